@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from .plans import analysis, canonical, discovery, planning, sheets  # noqa: F401  (they register)
+from .plans.base import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
