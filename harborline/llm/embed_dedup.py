@@ -48,8 +48,9 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, cell_row
     ``threshold`` 0.95 the furthest possible is 0.3122 (give that for a proof),
     and 0.16 is four standard deviations of a random deviation in 64
     dimensions. Rows that take no part (see ``valid_vectors``) have no links
-    and are their own component. Repeated ids are one row each, with the links
-    of all their vectors' rows. An empty table gives an empty table.
+    and are their own component. Repeated rows are returned as often as they came;
+    an id that several different vectors carry is one node with the links of
+    all of them. An empty table gives an empty table.
     """
     sc = vectors.sparkSession.sparkContext
     good, dim = valid_vectors(vectors, id_col, vec_col)
