@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +33,11 @@ L, N, O, Q2, Q3, W, Z_SPACE, Z_OTHER = range(8)
 #: Code points that are White_Space.
 SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Code points to take at once; a longer text is taken alone.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 #: Pieces the cache holds before it is emptied.
-CACHE = 400_000
+CACHE = 300_000
+#: Pieces of more bytes are merged one by one; the rank of a pair that is no word.
+LONG, NONE = 100, 1 << 40
 
 
 @lru_cache(1)
@@ -138,50 +141,95 @@ class Vocabulary:
     def __init__(self, lines: bytes):
         pairs = (line.split() for line in lines.splitlines() if line)
         self.ranks = {base64.b64decode(a): int(b) for a, b in pairs}
-        self.cache: dict[bytes, list[int]] = {}
+        self.cache: dict[bytes, bytes] = {}
         size = max(self.ranks.values()) + 1
         words = [b""] * size
         for word, rank in self.ranks.items():
             words[rank] = word
+        self.single = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+        known = self.ranks
+        joins = [
+            (a << 32 | b, rank)
+            for word, rank in known.items()
+            for i in range(1, len(word))
+            if (a := known.get(word[:i])) is not None and (b := known.get(word[i:])) is not None
+        ]
+        joins.sort()
+        self.pair_keys = np.fromiter((k for k, _ in joins), np.int64, len(joins))
+        self.pair_ranks = np.fromiter((r for _, r in joins), np.int64, len(joins))
         self.words = pa.array(words, pa.large_binary())
         self.length = np.fromiter(map(len, words), np.int64, size)
 
-    def pieces(self, unique: list[bytes]) -> list[list[int]]:
-        cache, out = self.cache, []
+    def pieces(self, unique: list[bytes]) -> list[bytes]:
+        """Ids of each piece, as the bytes of 32-bit numbers."""
+        cache = self.cache
         if len(cache) > CACHE:
             cache.clear()
-        for piece in unique:
-            ids = cache.get(piece)
-            if ids is None:
-                ids = self.merge(piece)
-                if len(piece) <= 256:
-                    cache[piece] = ids
-            out.append(ids)
+        out = [cache.get(p) for p in unique]
+        new = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(new, self.merge([unique[i] for i in new]), strict=True):
+            out[i] = ids
+            if len(unique[i]) <= 256:
+                cache[unique[i]] = ids
         return out
 
-    def merge(self, piece: bytes) -> list[int]:
-        """Merge the adjacent pair of least rank, leftmost first, until none has a rank."""
-        ranks = self.ranks
-        whole = ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        if len(piece) > 100:
-            return self._merge_long(piece)
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        none = len(ranks) + (1 << 30)
-        pair = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
-        while pair:
-            least = min(pair)
-            if least == none:
-                break
-            i = pair.index(least)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del pair[i]
-            if i:
-                pair[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
-            if i < len(pair):
-                pair[i] = ranks.get(parts[i] + parts[i + 1], none)
-        return [ranks[p] for p in parts]
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Merge in each piece the adjacent pair of least rank, leftmost first, until none has a rank.
+
+        A piece that is a word of the vocabulary stays whole. All others take
+        one step a round together; those that are done leave the arrays.
+        """
+        out: list[bytes | None] = [None] * len(pieces)
+        todo = []
+        for i, p in enumerate(pieces):
+            whole = self.ranks.get(p)
+            if whole is not None:
+                out[i] = np.int32(whole).tobytes()
+            elif len(p) > LONG:
+                out[i] = np.array(self._merge_long(p), np.int32).tobytes()
+            else:
+                todo.append(i)
+        size = np.fromiter((len(pieces[i]) for i in todo), np.int64, len(todo))
+        ids = self.single[np.frombuffer(b"".join(pieces[i] for i in todo), np.uint8)]
+        place = np.array(todo, np.int64)
+        while len(place):
+            start = np.cumsum(size) - size
+            last = np.zeros(len(ids), bool)
+            last[start + size - 1] = True
+            rank = self._pairs(ids[:-1], ids[1:])
+            rank[last[:-1]] = NONE
+            rank = np.append(rank, NONE)
+            while True:
+                step = np.minimum.reduceat(rank << 8 | np.arange(len(ids)) - np.repeat(start, size), start)
+                done = step >> 8 == NONE
+                if done.any():
+                    break
+                at = start + (step & 255)
+                ids[at] = step >> 8
+                keep = np.ones(len(ids), bool)
+                keep[at + 1] = False
+                ids, last = ids[keep], last[np.append(keep[1:], True)]
+                rank = rank[keep]
+                size = size - 1
+                start = np.cumsum(size) - size
+                at = at - np.arange(len(at))
+                after, before = at[~last[at]], at[at > start]
+                rank[at] = NONE
+                rank[after] = self._pairs(ids[after], ids[after + 1])
+                before = before - 1
+                rank[before] = self._pairs(ids[before], ids[before + 1])
+            text = ids.astype(np.int32).tobytes()
+            for i, a, n in zip(place[done].tolist(), start[done].tolist(), size[done].tolist(), strict=True):
+                out[i] = text[4 * a : 4 * (a + n)]
+            ids = ids[np.repeat(~done, size)]
+            place, size = place[~done], size[~done]
+        return out
+
+    def _pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each two joined words, NONE if they are no word."""
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NONE)
 
     def _merge_long(self, piece: bytes) -> list[int]:
         """The same with a heap and links, for pieces of any length."""
@@ -221,8 +269,8 @@ class Vocabulary:
         coded = slices.dictionary_encode()
         which = coded.indices.to_numpy()
         unique = self.pieces(coded.dictionary.to_pylist())
-        n = np.fromiter(map(len, unique), np.int64, len(unique))
-        flat = np.fromiter((i for ids in unique for i in ids), np.int32, n.sum())
+        n = np.fromiter(map(len, unique), np.int64, len(unique)) // 4
+        flat = np.frombuffer(b"".join(unique), np.int32)
         lead, count = np.cumsum(n) - n, n[which]
         ids = flat[np.repeat(lead[which] - np.cumsum(count) + count, count) + np.arange(count.sum())]
         text_of = np.searchsorted(np.cumsum(chars), at, "right")
@@ -254,6 +302,54 @@ def _lists(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(np.int32)))
 
 
+_ENCODED = ["id", "token_ids", "token_ends"]
+
+
+def _encode_batches(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        chars = pc.utf8_length(b.column(1)).fill_null(0).to_numpy(zero_copy_only=False)
+        at = 0
+        while at < b.num_rows:
+            to, size = at + 1, int(chars[at])
+            while to < b.num_rows and size + chars[to] <= CHUNK:
+                size += int(chars[to])
+                to += 1
+            n, ids, length = vocabulary.encode([t or "" for t in b.column(1).slice(at, to - at).to_pylist()])
+            offsets = np.concatenate(([0], np.cumsum(n)))
+            total = np.cumsum(length)
+            ends = total - np.repeat(np.concatenate(([0], total))[offsets[:-1]], n)
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), _lists(offsets, ids), _lists(offsets, ends)], _ENCODED)
+            at = to
+
+
+def _decode_batches(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        lists = b.column(1)
+        offsets = lists.offsets.to_numpy()
+        ids = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+        decoded = vocabulary.decode(ids, np.diff(offsets)).cast(pa.binary())
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], decoded], [*_ENCODED, "decoded"])
+
+
+def _apply(rows: DataFrame, ranks_path: str, steps: list, extra: str = "") -> DataFrame:
+    """``steps`` one after the other over the batches of a task, in one Python worker."""
+    with open(ranks_path, "rb") as f:
+        ranks = rows.sparkSession.sparkContext.broadcast(f.read())
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _vocabulary(ranks.value)
+        for step in steps:
+            batches = step(batches, vocabulary)
+        yield from batches
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(each, f"id {kind}, token_ids array<int>, token_ends array<int>{extra}")
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+
+
 def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, token_ids, token_ends): one row for each row of ``docs``.
 
@@ -261,48 +357,16 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
     (``base64 rank`` a line) is read by the driver and broadcast; its size is
     that of the vocabulary. Null or empty text has no tokens; repeated rows and
     null ids stay as they are; an empty table gives an empty table. A batch
-    holds about two million code points, or one longer text.
+    holds about half a million code points, or one longer text.
     """
-    with open(ranks_path, "rb") as f:
-        ranks = docs.sparkSession.sparkContext.broadcast(f.read())
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(ranks.value)
-        for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            at = 0
-            while at < len(texts):
-                to, size = at, 0
-                while to < len(texts) and (to == at or size + len(texts[to]) <= CHUNK):
-                    size += len(texts[to])
-                    to += 1
-                n, ids, length = vocabulary.encode(texts[at:to])
-                offsets = np.concatenate(([0], np.cumsum(n)))
-                total = np.cumsum(length)
-                base = np.concatenate(([0], total))[offsets[:-1]]
-                ends = total - np.repeat(base, n)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), _lists(offsets, ids), _lists(offsets, ends)], ["id", "token_ids", "token_ends"])
-                at = to
-
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(each, f"id {kind}, token_ids array<int>, token_ends array<int>")
+    return _apply(_rows(docs, id_col, text_col), ranks_path, [_encode_batches])
 
 
 def decode(tokens: DataFrame, ranks_path: str) -> DataFrame:
     """``tokens`` of ``encode`` with ``decoded``, the bytes that the ids stand for."""
-    with open(ranks_path, "rb") as f:
-        ranks = tokens.sparkSession.sparkContext.broadcast(f.read())
-    names = ["id", "token_ids", "token_ends"]
+    return _apply(tokens.select(*_ENCODED), ranks_path, [_decode_batches], ", decoded binary")
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(ranks.value)
-        for b in batches:
-            lists = b.column(1)
-            offsets = lists.offsets.to_numpy()
-            ids = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
-            decoded = vocabulary.decode(ids, np.diff(offsets)).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], decoded], [*names, "decoded"])
-
-    kind = tokens.schema["id"].dataType.simpleString()
-    return tokens.select(*names).mapInArrow(each, f"id {kind}, token_ids array<int>, token_ends array<int>, decoded binary")
+
+def round_trip(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` without a second Python worker for each task."""
+    return _apply(_rows(docs, id_col, text_col), ranks_path, [_encode_batches, _decode_batches], ", decoded binary")

@@ -73,8 +73,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    tokens = bpe.decode(bpe.encode(docs, ranks_path()), ranks_path())
-    return tokens.select(
+    return bpe.round_trip(docs, ranks_path()).select(
         F.col("id").alias("doc_id"),
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
