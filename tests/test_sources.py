@@ -97,6 +97,15 @@ def test_sweep_and_probe(spark, tmp_path):
     assert set(texts) == {'Open "PO"', "Stock"} and '"x;y"' in texts['Open "PO"']
 
 
+def test_cells_and_sheet_table(spark):
+    df = spark.createDataFrame([("a.xlsx", bytearray(workbook())), ("b.xlsx", bytearray(b"no"))], "path string, content binary")
+    every = files.cells(df)
+    assert [r["error"].split(":")[0] for r in every.where("error is not null").collect()] == ["BadZipFile"]
+    assert [tuple(r) for r in every.where("formula is not null").select("sheet", "row", "col", "value", "formula").collect()] == [("Data", 4, "B", "2", "=1+1")]
+    rows = files.sheet_table(every, "Data", header=3).orderBy("row").collect()
+    assert [(r["SKU"], r["Qty"], r["Region"]) for r in rows] == [("x", "2", None), ("y", None, None)]
+
+
 def test_column_index():
     assert [files.column_index(x) for x in ("A1", "Z", "AA3", "BX", "")] == [0, 25, 26, 75, -1]
 
