@@ -163,12 +163,14 @@ def in_shards(members: DataFrame, solve: Callable[[pa.Table], pa.Table], out: st
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, n = [], 0
             for batch in batches:
+                if not batch.num_rows:
+                    continue
                 held.append(batch)
                 n += batch.num_rows
-                last = batch.column("shard")[-1].as_py() if batch.num_rows else None
                 if n >= 50_000:
                     t = pa.Table.from_batches(held)
-                    cut = int(np.searchsorted(t["shard"].to_numpy(), last, "left"))
+                    shard = t["shard"].to_numpy()
+                    cut = int(np.searchsorted(shard, shard[-1], "left"))
                     if cut:
                         yield from done(t.slice(0, cut))
                     held, n = t.slice(cut).combine_chunks().to_batches(), t.num_rows - cut
@@ -382,13 +384,12 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     similar texts the row with the least id stays (of equal ids, the text with
     the least MD5; of rows equal in both, one). ``how`` goes to ``similar_texts``.
     """
-    groups = similar_texts(docs, text_col=text_col, **how).select(F.col("id").alias("_md5"), "component")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    row = docs.select(whole_row(docs).alias("doc"), F.col(id_col).alias("id"), F.md5(text).alias("_md5"))
-    placed = row.join(groups, "_md5", "left").withColumn("group", F.coalesce("component", "_md5"))
-    first = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("_md5").alias("body"))
-    ids = docs.select(F.col(id_col).alias("id"), F.md5(text).alias("_md5")).join(groups, "_md5", "left")
-    ids = ids.withColumn("group", F.coalesce("component", "_md5"))
-    best = ids.groupBy("group").agg(F.min(first).alias("best")).select(F.col("group").alias("g"), "best")
-    kept = placed.join(best, (F.col("group") == F.col("g")) & F.col("best.id").eqNullSafe(F.col("id")) & (F.col("best.body") == F.col("_md5")))
-    return kept.dropDuplicates(["group"]).select("doc.*")
+    groups = similar_texts(docs, text_col=text_col, **how).select(F.col("id").alias("body"), "component")
+    given = F.col(id_col)
+    key = [given.isNull().alias("none"), F.coalesce(given.cast("string"), F.lit("")).alias("name"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("body")]
+    ids = docs.select(given.alias("id"), *key).join(groups, "body", "left").withColumn("group", F.coalesce("component", "body"))
+    best = ids.groupBy("group").agg(F.min(F.struct("none", "id", "body", "name")).alias("b")).select("b.none", "b.name", "b.body")
+    # ids spread copies of one text over the tasks; texts move once
+    names = ["none", "name", "body"]
+    kept = docs.select(whole_row(docs).alias("doc"), *key).join(best, names)
+    return kept.dropDuplicates(names).select("doc.*")
