@@ -89,12 +89,13 @@ def scan_unseen(docs: DataFrame, ledger: DataFrame, version: int = VERSION, text
     seen = ledger.where(F.col("version") == version).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
     blobs = docs.select(blob_of(text).alias("blob"), text.alias("body"))
     todo = F.array_except(F.array(*map(F.lit, RULES)), F.coalesce(F.col("seen"), F.array().cast("array<string>")))
+    # copies fall together where they are read; the ledger then meets blobs on the same partitioning
     new = (
-        blobs.join(seen, "blob", "left")
+        blobs.groupBy("blob")
+        .agg(F.first("body").alias("body"))
+        .join(seen, "blob", "left")
         .withColumn("todo", todo)
         .where(F.size("todo") > 0)
-        .groupBy("blob")
-        .agg(F.first("body").alias("body"), F.first("todo").alias("todo"))
     )
     body = F.col("body")
     found = F.array(
