@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import numbers
+from ..functions import numbers, text
 from ..functions.dates import year_month
 from ..operators import aggregates as A
 from ..operators import joins, reshape
@@ -157,3 +157,73 @@ def product_readiness(spark, sf_dir):
     done = F.round(F.when(F.col("forward12") > 0, F.least(F.col("on_hand") / F.col("forward12"), F.lit(1.0))), 9)
     state = F.when(F.col("forward12") == 0, "no demand").when(F.col("on_hand") >= F.col("forward12"), "ready").when(F.col("on_hand") * 2 >= F.col("forward12"), "at risk").otherwise("short")
     return c.select("sku", done.alias("completion"), state.alias("readiness"))
+
+
+@query("""WITH x AS (SELECT p_brand || ' : ' || p_type || ' : ' || p_name AS name, n_name AS location, l_quantity::BIGINT AS q FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey % 2 = 0)
+SELECT substr(name, strpos(name, ':') + 1) AS name_tail, location, sum(q)::BIGINT AS available FROM x GROUP BY ALL""")
+def location_inventory(spark, sf_dir):
+    """Stock at flagged locations; what follows the first delimiter, not trimmed."""
+    l, p, s, n = (table(spark, sf_dir, t) for t in ("lineitem", "part", "supplier", "nation"))
+    stock = l.groupBy("l_partkey", "l_suppkey").agg(F.sum(F.col("l_quantity").cast("long")).alias("q"))
+    every = stock.join(p, stock["l_partkey"] == p["p_partkey"]).join(s, stock["l_suppkey"] == s["s_suppkey"]).join(n.where("n_nationkey % 2 = 0"), F.col("s_nationkey") == F.col("n_nationkey"))
+    name = F.concat_ws(" : ", "p_brand", "p_type", "p_name")
+    return every.groupBy(text.after_first(name, ":").alias("name_tail"), F.col("n_name").alias("location")).agg(F.sum("q").alias("available"))
+
+
+@query("""SELECT l_partkey AS item, l_shipdate::DATE AS expected, substr('SPO' || l_orderkey, strpos('SPO' || l_orderkey, 'O') + 1) AS document, l_linenumber AS line_id, sum(l_quantity)::BIGINT AS remaining FROM lineitem WHERE l_linestatus = 'O' GROUP BY ALL""")
+def po_documents(spark, sf_dir):
+    """Open lines by item, date and document; the document number follows its first letter O."""
+    l = table(spark, sf_dir, "lineitem").where("l_linestatus = 'O'")
+    number = text.after_first(F.concat(F.lit("SPO"), F.col("l_orderkey").cast("string")), "O")
+    return l.groupBy(F.col("l_partkey").alias("item"), F.col("l_shipdate").cast("date").alias("expected"), number.alias("document"), F.col("l_linenumber").alias("line_id")).agg(F.sum(F.col("l_quantity").cast("long")).alias("remaining"))
+
+
+#: Names that a launch leaves out.
+EXCLUDED = [f"Brand#{i}" for i in range(11, 35)]
+
+
+@query(f"""WITH w AS (SELECT p_brand AS name, sum(l_quantity::BIGINT) FILTER (l_returnflag = 'A')::BIGINT AS A, sum(l_quantity::BIGINT) FILTER (l_returnflag = 'R' AND l_linenumber = 7 AND p_size = 1)::BIGINT AS R
+FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_brand NOT IN ({", ".join("'" + x + "'" for x in EXCLUDED)}) GROUP BY 1)
+SELECT name, 'A' AS channel, A AS value FROM w WHERE A IS NOT NULL UNION ALL SELECT name, 'R', R FROM w WHERE R IS NOT NULL""")
+def new_product_allocations(spark, sf_dir):
+    """Listed channels to rows, nulls dropped, a list of names left out before."""
+    l, p = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    q = F.col("l_quantity").cast("long")
+    kept = p.where(~F.col("p_brand").isin(*EXCLUDED) | F.col("p_brand").isNull())
+    wide = l.join(kept, l["l_partkey"] == kept["p_partkey"]).groupBy(F.col("p_brand").alias("name")).agg(
+        F.sum(F.when(F.col("l_returnflag") == "A", q)).alias("A"), F.sum(F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7) & (F.col("p_size") == 1), q)).alias("R")
+    )
+    return reshape.unpivot(wide, ["name"], ["A", "R"], "channel", "value", keep_null=False)
+
+
+@query(f"""WITH {_PLACE_SQL} SELECT l_shipdate::DATE AS ship_date, region AS territory, l_partkey AS item, date_diff('day', DATE '1997-06-01', l_shipdate::DATE)::INTEGER AS days_from_today,
+  CASE region WHEN 'Americas' THEN 'JAX' WHEN 'EMEA' THEN 'ROT' WHEN 'Asia' THEN 'SZX' END AS fulfilment, sum(l_quantity)::BIGINT AS back_order
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN place ON c_nationkey = n_nationkey WHERE l_linestatus = 'O' GROUP BY ALL""")
+def open_order_report(spark, sf_dir, as_of: str = "1997-06-01"):
+    rows = customer_open_orders(spark, sf_dir)
+    hub = F.when(F.col("region") == "Americas", "JAX").when(F.col("region") == "EMEA", "ROT").when(F.col("region") == "Asia", "SZX")
+    return rows.select("ship_date", F.col("region").alias("territory"), "item", F.datediff("ship_date", F.lit(as_of).cast("date")).alias("days_from_today"), hub.alias("fulfilment"), "back_order")
+
+
+@query("""SELECT n_name AS location, (year(o_orderdate) * 100 + month(o_orderdate))::INTEGER AS yyyymm, sum(l_quantity)::BIGINT AS qty FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+WHERE year(o_orderdate) IN (1996, 1997) AND n_name NOT IN ('NATION_1', 'NATION_2', 'NATION_3') GROUP BY ALL""")
+def validated_sales(spark, sf_dir):
+    """Two years, three locations left out; the date bound reaches the scan."""
+    l, o, c, n = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "nation"))
+    two = o.where("o_orderdate >= '1996-01-01' and o_orderdate < '1998-01-01'")
+    places = n.where(~F.col("n_name").isin("NATION_1", "NATION_2", "NATION_3"))
+    return (
+        l.join(two, l["l_orderkey"] == two["o_orderkey"]).join(c, two["o_custkey"] == c["c_custkey"]).join(places, c["c_nationkey"] == places["n_nationkey"])
+        .groupBy(F.col("n_name").alias("location"), year_month(F.col("o_orderdate")).alias("yyyymm")).agg(F.sum(F.col("l_quantity").cast("long")).alias("qty"))
+    )
+
+
+@query("""WITH s AS (SELECT l_partkey AS part, coalesce(sum(l_quantity) FILTER (l_returnflag = 'A'), 0)::BIGINT AS on_hand, coalesce(sum(l_quantity) FILTER (l_returnflag = 'R' AND l_linestatus = 'O'), 0)::BIGINT AS back_orders,
+  count(DISTINCT l_orderkey) AS used_in FROM lineitem GROUP BY 1) SELECT part, on_hand, back_orders, greatest(on_hand - back_orders, 0) AS available, used_in FROM s""")
+def parts_live(spark, sf_dir):
+    """Availability of a part net of back orders, and how many parents use it."""
+    q, flag = F.col("l_quantity").cast("long"), F.col("l_returnflag")
+    by = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("part")).agg(
+        A.sum_if(flag == "A", q).alias("on_hand"), A.sum_if((flag == "R") & (F.col("l_linestatus") == "O"), q).alias("back_orders"), F.countDistinct("l_orderkey").alias("used_in")
+    )
+    return by.select("part", "on_hand", "back_orders", numbers.floor_zero(F.col("on_hand") - F.col("back_orders")).alias("available"), "used_in")
