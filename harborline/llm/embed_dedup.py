@@ -64,7 +64,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, cell_row
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = shared.value
         gaps = np.sqrt(np.maximum(2 - 2 * c @ c.T, 1e-18))
-        for b in gathered(batches):
+        for b in gathered(batches, 8_192):  # a row is listed several times
             rows = matrix(b["v"])
             rows /= np.linalg.norm(rows, axis=1, keepdims=True)
             s = rows @ c.T
