@@ -178,10 +178,10 @@ def train(docs: DataFrame, per_lang: int = 800, windows: int = 3, steps: int = 3
 
     The sample is bounded: of each label the ``per_lang`` documents of least
     hash, ``windows`` windows of each at places set by the hash anywhere in the
-    text. Ranking by label sees ids and hashes only; texts are taken for the
-    bounded sample.
+    text. A label's count sets a limit on the hash below which about four times
+    that many documents lie, so what is ranked doesn't grow with the input.
     """
-    seedling = F.xxhash64(F.col(id_col), F.lit(seed))
+    seedling = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 31))
     has_letter = F.rlike(F.col(text_col), F.lit(r"\p{L}"))
     usable = docs.where(F.col(lang_col).isNotNull() & ~held_out(id_col) & has_letter)
     places = F.array(
@@ -189,8 +189,11 @@ def train(docs: DataFrame, per_lang: int = 800, windows: int = 3, steps: int = 3
     )
     cut = F.transform(places, lambda p: F.substring(F.col(text_col), p, WINDOW))
     ranked = W.partitionBy("lang").orderBy("h", "id")
+    counts = usable.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).select("lang", (F.lit(4.0 * per_lang * (1 << 31)) / F.col("n")).alias("below"))
     sample = (
         usable.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), seedling.alias("h"), cut.alias("cut"))
+        .join(counts, "lang")
+        .where(F.col("h") < F.col("below"))
         .withColumn("rank", F.row_number().over(ranked))
         .where(F.col("rank") <= per_lang)
         .orderBy("lang", "rank")

@@ -315,16 +315,26 @@ def similar_in_shards(shard: np.ndarray, fps: np.ndarray, sketches: np.ndarray,
     return ea, eb
 
 
-def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 5, blocks: int = 7, slack: float = 0.06, tile: int = TILE, text_col: str = "text") -> DataFrame:
+def shard_shingles(hashes: np.ndarray) -> np.ndarray:
+    """The least shingle hash of each eighth of the hash range; ``hashes`` are in order."""
+    eighth = hashes >> np.uint64(61)
+    return hashes[np.flatnonzero(np.diff(eighth.astype(np.int64), prepend=-1))]
+
+
+def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 8, slack: float = 0.06, tile: int = TILE, text_col: str = "text") -> DataFrame:
     """(id, component): MD5 of each distinct text that is similar to another, by groups.
 
     Candidates are texts whose SimHash of single words differs in ``radius``
     bits or less, found through BK-trees: a few changed words move it little,
     while a SimHash of shingles moves by ten bits and more at a Jaccard
-    similarity of 0.8. Sketches of the ``width``-word shingles choose the most
-    similar links of each shard as a spanning forest; each of those is then
-    held against the exact similarity of both texts' shingles. Texts without a
-    word are similar to nothing but equal texts.
+    similarity of 0.8. Such fingerprints crowd together by language, so blocks
+    of their bits would make ever larger shards; a text's shards are the least
+    shingles of eight parts of the hash range instead, of which two texts
+    share each with a chance of about their similarity (all eight fail at 0.8
+    with a chance of 3 in a million). Sketches of the ``width``-word shingles
+    choose the most similar links of each shard as a spanning forest; each of
+    those is then held against the exact similarity of both texts' shingles.
+    Texts without a word are similar to nothing but equal texts.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     bodies = docs.select(F.md5(text).alias("id"), text.alias("text"))
@@ -336,13 +346,16 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, radi
             some = [i for i, s in enumerate(sets) if len(s)]
             fps = np.array([fingerprint(texts[i], 1) for i in some], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(some, pa.int64())), pa.array(fps.view(np.int64)), pa.array([sketch(sets[i]) for i in some], pa.binary())],
-                ["id", "fp", "sketch"],
+                [
+                    b.column(0).take(pa.array(some, pa.int64())), pa.array(fps.view(np.int64)), pa.array([sketch(sets[i]) for i in some], pa.binary()),
+                    pa.array([shard_shingles(sets[i]).view(np.int64) for i in some], pa.list_(pa.int64())),
+                ],
+                ["id", "fp", "sketch", "shards"],
             )
 
-    seen = bodies.mapInArrow(features, "id string, fp bigint, sketch binary")
-    distinct = settle(seen.groupBy("id").agg(F.first("fp").alias("fp"), F.first("sketch").alias("sketch")))
-    members = distinct.select(F.explode(shard_keys(block_masks(radius, blocks))).alias("shard"), "id", "fp", "sketch")
+    seen = bodies.mapInArrow(features, "id string, fp bigint, sketch binary, shards array<bigint>")
+    distinct = settle(seen.groupBy("id").agg(*[F.first(c).alias(c) for c in ("fp", "sketch", "shards")]))
+    members = distinct.select(F.explode("shards").alias("shard"), "id", "fp", "sketch")
 
     def solve(t: pa.Table) -> pa.Table:
         sketches = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)
