@@ -19,7 +19,12 @@ from pyspark.sql import functions as F
 from .common import settle
 from .components import connected_components
 from .simhash import _least
-from .vectors import BLOCKS, classes, gathered, matrix, meet, pack, unpack, valid_vectors
+from .vectors import BLOCKS, classes, gathered, matrix, meet, pack, stored_as, unpack, valid_vectors
+
+
+def unit(rows: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one."""
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray:
@@ -53,12 +58,13 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, cell_row
     all of them. An empty table gives an empty table.
     """
     sc = vectors.sparkSession.sparkContext
+    store = stored_as(vectors, vec_col)
     good, dim = valid_vectors(vectors, id_col, vec_col)
     distinct = settle(classes(good))
     n = distinct.count()
     picked = distinct.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toPandas()["v"]
     x = matrix(picked)
-    cells = spherical_kmeans(x / np.linalg.norm(x, axis=1, keepdims=True), max(1, min(4096, n // cell_rows))) if n else np.zeros((1, max(dim, 1)))
+    cells = spherical_kmeans(unit(x), max(1, min(4096, n // cell_rows))) if n else np.zeros((1, max(dim, 1)))
     shared = sc.broadcast(cells)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -66,24 +72,23 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, cell_row
         gaps = np.sqrt(np.maximum(2 - 2 * c @ c.T, 1e-18))
         for b in gathered(batches, 8_192):  # a row is listed several times
             rows = matrix(b["v"])
-            rows /= np.linalg.norm(rows, axis=1, keepdims=True)
-            s = rows @ c.T
+            s = unit(rows) @ c.T
             home = s.argmax(1)
             listed = (s.max(1)[:, None] - s) <= margin * gaps[home]
             listed[np.arange(len(b)), home] = True
             i, cell = np.nonzero(listed)
             ids, ns = b["id"].to_numpy(np.int64), b["n"].to_numpy(np.int64)
-            yield pack(home, ids, ns, rows, "home")
-            yield pack(cell, ids[i], ns[i], rows[i], "listed")
+            yield pack(home, ids, ns, rows, "home", store)
+            yield pack(cell, ids[i], ns[i], rows[i], "listed", store)
 
     blocks = settle(distinct.mapInPandas(assign, BLOCKS))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for row in b.itertuples(index=False):
-                ai, _, av = unpack(row.ids, row.ns, row.vs)
-                bi, bn, bv = unpack(row.ids2, row.ns2, row.vs2)
-                hit = av @ bv.T >= threshold
+                ai, _, av = unpack(row.ids, row.ns, row.vs, store)
+                bi, bn, bv = unpack(row.ids2, row.ns2, row.vs2, store)
+                hit = unit(av) @ unit(bv).T >= threshold
                 hit &= ai[:, None] != bi
                 i, j = np.nonzero(hit)
                 if len(i):

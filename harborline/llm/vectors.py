@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Vectors of a block; a block of 64 floats each is 256 KB.
-BLOCK = 1024
+#: Vectors of a block; a block of 64 floats each is 128 KB.
+BLOCK = 512
 
 
 def valid_vectors(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int]:
@@ -40,7 +40,12 @@ def matrix(column) -> np.ndarray:
     return np.stack([np.asarray(x, np.float64) for x in column]) if len(column) else np.zeros((0, 0))
 
 
-def pack(keys: np.ndarray, ids: np.ndarray, n: np.ndarray, rows: np.ndarray, kind: str) -> pd.DataFrame:
+def stored_as(df: DataFrame, vec_col: str) -> str:
+    """How blocks store components: floats as they came, all else as doubles."""
+    return "f4" if df.schema[vec_col].dataType.simpleString() == "array<float>" else "f8"
+
+
+def pack(keys: np.ndarray, ids: np.ndarray, n: np.ndarray, rows: np.ndarray, kind: str, store: str) -> pd.DataFrame:
     """A row for each key and block of its vectors: ids, counts and vectors as bytes."""
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
@@ -50,16 +55,16 @@ def pack(keys: np.ndarray, ids: np.ndarray, n: np.ndarray, rows: np.ndarray, kin
         for a, b in zip(cuts, cuts[1:], strict=False):
             for c in range(a, b, BLOCK):
                 i = order[c : min(b, c + BLOCK)]
-                out.append((int(keys[c]), kind, ids[i].astype(np.int64).tobytes(), n[i].astype(np.int64).tobytes(), rows[i].astype(np.float64).tobytes()))
+                out.append((int(keys[c]), kind, ids[i].astype(np.int64).tobytes(), n[i].astype(np.int64).tobytes(), rows[i].astype(store).tobytes()))
     return pd.DataFrame(out, columns=["key", "kind", "ids", "ns", "vs"])
 
 
 BLOCKS = "key bigint, kind string, ids binary, ns binary, vs binary"
 
 
-def unpack(ids: bytes, ns: bytes, vs: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unpack(ids: bytes, ns: bytes, vs: bytes, store: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     i = np.frombuffer(ids, np.int64)
-    return i, np.frombuffer(ns, np.int64), np.frombuffer(vs, np.float64).reshape(len(i), -1)
+    return i, np.frombuffer(ns, np.int64), np.frombuffer(vs, store).astype(np.float64).reshape(len(i), -1)
 
 
 def gathered(batches: Iterator[pd.DataFrame], rows: int = 20_000) -> Iterator[pd.DataFrame]:
