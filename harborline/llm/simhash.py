@@ -291,28 +291,41 @@ def spanning_forest(a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int) -> np.n
     return order[np.unique(np.concatenate(chosen))] if chosen else order
 
 
-def similar_in_shards(shard: np.ndarray, fps: np.ndarray, sketches: np.ndarray, radius: int, least: float, part: int = 1024) -> tuple[np.ndarray, np.ndarray]:
-    """Places (a, b) of a maximum spanning forest of pairs within the radius whose
-    sketches look similar to ``least`` or more; rows of one shard adjoin."""
-    new = np.diff(shard, prepend=shard[0] - 1) != 0
-    root = np.maximum.accumulate(np.where(new, np.arange(len(fps)), 0))
-    trees = BKTrees(fps, root)
-    ea, eb, ew = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    for at in range(0, len(fps), part):
-        who, node = trees.within(fps[at : at + part], root[at : at + part], radius)
-        who = who + at
-        who, node = who[who > node], node[who > node]
-        like = np.empty(len(who))
-        for c in range(0, len(who), 1 << 16):
-            p, q = sketches[who[c : c + (1 << 16)]], sketches[node[c : c + (1 << 16)]]
-            used = (p | q) > 0
-            like[c : c + (1 << 16)] = ((p == q) & used).sum(1) / np.maximum(used.sum(1), 1)
+def likely_pairs(group: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, similarity: float, least: float, part: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(a, b, estimate) in slices: the pairs of one group that may be ``similarity``
+    alike by their numbers of shingles, which is exact, and whose sketches look
+    alike to ``least`` or more. Rows are in order of group, then of size.
+    """
+    place = np.cumsum(np.diff(group, prepend=group[:1]) != 0) << 32
+    lo = np.searchsorted(place + sizes, place + np.ceil(similarity * sizes - 1e-6).astype(np.int64), "left")
+    n = np.arange(len(group)) - lo
+    total = np.concatenate(([0], np.cumsum(n)))
+    words = sketches.view(np.uint64).reshape(len(sketches), -1)
+    at = 0
+    while at < len(group):
+        to = max(at + 1, int(np.searchsorted(total, total[at] + part, "right")) - 1)
+        k = n[at:to]
+        a = np.repeat(np.arange(at, to), k)
+        b = np.repeat(lo[at:to] - np.cumsum(k) + k, k) + np.arange(k.sum())
+        p, q = words[a].view(np.uint8), words[b].view(np.uint8)
+        same, none = (np.bitwise_count(np.packbits(x, axis=1).view(np.uint64)).sum(1, dtype=np.int64) for x in (p == q, (p | q) == 0))
+        like = (same - none) / np.maximum(BINS - none, 1)
         ok = like >= least
-        ea, eb, ew = np.concatenate([ea, who[ok]]), np.concatenate([eb, node[ok]]), np.concatenate([ew, like[ok]])
-        if len(ea) > 1 << 20 or at + part >= len(fps):
-            keep = spanning_forest(ea, eb, ew, len(fps))
-            ea, eb, ew = ea[keep], eb[keep], ew[keep]
-    return ea, eb
+        yield a[ok], b[ok], like[ok]
+        at = to
+
+
+def similar_in_shards(shard: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, similarity: float, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places (a, b) of a maximum spanning forest of the likely pairs of each shard; rows of one shard adjoin."""
+    order = np.lexsort((sizes, np.cumsum(np.diff(shard, prepend=shard[:1]) != 0)))
+    ea, eb, ew, new = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), 0
+    for a, b, like in likely_pairs(shard[order], sizes[order], sketches[order], similarity, least):
+        ea, eb, ew, new = np.concatenate([ea, a]), np.concatenate([eb, b]), np.concatenate([ew, like]), new + len(a)
+        if new > 1 << 20:
+            keep = spanning_forest(ea, eb, ew, len(shard))
+            ea, eb, ew, new = ea[keep], eb[keep], ew[keep], 0
+    keep = spanning_forest(ea, eb, ew, len(shard))
+    return order[ea[keep]], order[eb[keep]]
 
 
 def shard_shingles(hashes: np.ndarray) -> np.ndarray:
@@ -321,19 +334,19 @@ def shard_shingles(hashes: np.ndarray) -> np.ndarray:
     return hashes[np.flatnonzero(np.diff(eighth.astype(np.int64), prepend=-1))]
 
 
-def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 8, slack: float = 0.06, tile: int = TILE, text_col: str = "text") -> DataFrame:
+def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slack: float = 0.3, tile: int = TILE, text_col: str = "text") -> DataFrame:
     """(id, component): MD5 of each distinct text that is similar to another, by groups.
 
-    Candidates are texts whose SimHash of single words differs in ``radius``
-    bits or less, found through BK-trees: a few changed words move it little,
-    while a SimHash of shingles moves by ten bits and more at a Jaccard
-    similarity of 0.8. Such fingerprints crowd together by language, so blocks
-    of their bits would make ever larger shards; a text's shards are the least
-    shingles of eight parts of the hash range instead, of which two texts
-    share each with a chance of about their similarity (all eight fail at 0.8
-    with a chance of 3 in a million). Sketches of the ``width``-word shingles
-    choose the most similar links of each shard as a spanning forest; each of
-    those is then held against the exact similarity of both texts' shingles.
+    No fingerprint chooses the candidates: a SimHash of shingles moves by ten
+    bits and more at a Jaccard similarity of 0.8, and one of single words by
+    as much where a block is cut, added or replaced. A text's shards are the
+    least shingles of eight parts of the hash range, of which two texts share
+    each with a chance of about their similarity (all eight fail at 0.8 with a
+    chance of 3 in a million). In a shard all pairs whose sizes allow the
+    similarity are held against each other by sketches of their
+    ``width``-word shingles; ``slack`` is over eight standard errors of such
+    an estimate. The most similar links of each shard, a spanning forest, are
+    then held against the exact similarity of both texts' shingles.
     Texts without a word are similar to nothing but equal texts.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -344,22 +357,21 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, radi
             texts = b.column(1).to_pylist()
             sets = [shingle_hashes(t, width) for t in texts]
             some = [i for i, s in enumerate(sets) if len(s)]
-            fps = np.array([fingerprint(texts[i], 1) for i in some], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    b.column(0).take(pa.array(some, pa.int64())), pa.array(fps.view(np.int64)), pa.array([sketch(sets[i]) for i in some], pa.binary()),
+                    b.column(0).take(pa.array(some, pa.int64())), pa.array([len(sets[i]) for i in some], pa.int64()), pa.array([sketch(sets[i]) for i in some], pa.binary()),
                     pa.array([shard_shingles(sets[i]).view(np.int64) for i in some], pa.list_(pa.int64())),
                 ],
-                ["id", "fp", "sketch", "shards"],
+                ["id", "size", "sketch", "shards"],
             )
 
-    seen = bodies.mapInArrow(features, "id string, fp bigint, sketch binary, shards array<bigint>")
-    distinct = settle(seen.groupBy("id").agg(*[F.first(c).alias(c) for c in ("fp", "sketch", "shards")]))
-    members = distinct.select(F.explode("shards").alias("shard"), "id", "fp", "sketch")
+    seen = bodies.mapInArrow(features, "id string, size bigint, sketch binary, shards array<bigint>")
+    distinct = settle(seen.groupBy("id").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "shards")]))
+    members = distinct.select(F.explode("shards").alias("shard"), "id", "size", "sketch")
 
     def solve(t: pa.Table) -> pa.Table:
         sketches = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)
-        a, b = similar_in_shards(t["shard"].to_numpy(), t["fp"].to_numpy().view(np.uint64), sketches, radius, similarity - slack)
+        a, b = similar_in_shards(t["shard"].to_numpy(), t["size"].to_numpy(), sketches, similarity, similarity - slack)
         ids = t["id"].combine_chunks()
         return pa.table({"a": ids.take(pa.array(np.minimum(a, b))), "b": ids.take(pa.array(np.maximum(a, b)))})
 

@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import Counter
 
@@ -154,3 +155,28 @@ def test_one_of_each_group_stays(spark):
 def test_spanning_forest_keeps_the_strongest():
     a, b, w = np.array([0, 1, 0, 3]), np.array([1, 2, 2, 4]), np.array([0.9, 0.8, 0.7, 0.5])
     assert sorted(simhash.spanning_forest(a, b, w, 6).tolist()) == [0, 1, 3]
+
+
+def block_edit(r, t, kind, share):
+    """``t`` with a tail cut, a passage appended, or its tail replaced."""
+    w = t.split()
+    k = int(len(w) * share)
+    return " ".join({"cut": w[: len(w) - k], "appended": w + words(r, k).split(), "replaced": w[: len(w) - k // 2] + words(r, k // 2).split()}[kind])
+
+
+def test_block_edits_against_brute_force(spark):
+    r = random.Random(11)
+    pairs = []
+    for kind in ("cut", "appended", "replaced"):
+        for n in (25, 60, 150, 400):
+            for share in (0.1, 0.14, 0.17, 0.19):
+                for _ in range(8):
+                    t = words(r, n)
+                    pairs.append((t, block_edit(r, t, kind, share)))
+    pairs += [(t, t + " " + "again " * 4000) for t in (words(r, 60) for _ in range(4))]  # one shingle more, another mix of words
+    docs = spark.createDataFrame([(t,) for p in pairs for t in p], "text string")
+    group = {x.id: x.component for x in simhash.similar_texts(docs).collect()}
+    name = lambda t: hashlib.md5(t.encode()).hexdigest()
+    found = [group.get(name(a), 0) == group.get(name(b), 1) for a, b in pairs]
+    assert found == [jaccard(a, b) >= 0.8 for a, b in pairs]
+    assert sum(0.8 <= jaccard(a, b) <= 0.9 for a, b in pairs) > 200
