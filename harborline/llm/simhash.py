@@ -249,6 +249,8 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, blocks: in
     return rows.join(by_fp, "fp").select("id", "fp", "component")
 
 
+#: Shingles, with a fixed charge for each text, that a task holds of one cluster.
+MOST = 1 << 21
 #: Bins of a sketch; a bin holds one byte of its least shingle hash, 0 if empty.
 BINS = 128
 
@@ -291,10 +293,11 @@ def spanning_forest(a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int) -> np.n
     return order[np.unique(np.concatenate(chosen))] if chosen else order
 
 
-def likely_pairs(group: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, similarity: float, least: float, part: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def likely_pairs(group: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, similarity: float, least: float, label: np.ndarray, part: int = 1 << 14) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(a, b, estimate) in slices: the pairs of one group that may be ``similarity``
     alike by their numbers of shingles, which is exact, and whose sketches look
-    alike to ``least`` or more. Rows are in order of group, then of size.
+    alike to ``least`` or more. Rows are in order of group, then of size. Pairs
+    that ``label`` connects already are left out; the caller may join its classes.
     """
     place = np.cumsum(np.diff(group, prepend=group[:1]) != 0) << 32
     lo = np.searchsorted(place + sizes, place + np.ceil(similarity * sizes - 1e-6).astype(np.int64), "left")
@@ -307,6 +310,8 @@ def likely_pairs(group: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, sim
         k = n[at:to]
         a = np.repeat(np.arange(at, to), k)
         b = np.repeat(lo[at:to] - np.cumsum(k) + k, k) + np.arange(k.sum())
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
         p, q = words[a].view(np.uint8), words[b].view(np.uint8)
         same, none = (np.bitwise_count(np.packbits(x, axis=1).view(np.uint64)).sum(1, dtype=np.int64) for x in (p == q, (p | q) == 0))
         like = (same - none) / np.maximum(BINS - none, 1)
@@ -315,17 +320,53 @@ def likely_pairs(group: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, sim
         at = to
 
 
-def similar_in_shards(shard: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, similarity: float, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Places (a, b) of a maximum spanning forest of the likely pairs of each shard; rows of one shard adjoin."""
-    order = np.lexsort((sizes, np.cumsum(np.diff(shard, prepend=shard[:1]) != 0)))
-    ea, eb, ew, new = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), 0
-    for a, b, like in likely_pairs(shard[order], sizes[order], sketches[order], similarity, least):
-        ea, eb, ew, new = np.concatenate([ea, a]), np.concatenate([eb, b]), np.concatenate([ew, like]), new + len(a)
-        if new > 1 << 20:
-            keep = spanning_forest(ea, eb, ew, len(shard))
-            ea, eb, ew, new = ea[keep], eb[keep], ew[keep], 0
-    keep = spanning_forest(ea, eb, ew, len(shard))
-    return order[ea[keep]], order[eb[keep]]
+def likely_classes(group: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, similarity: float, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(place, place of its class) of what likely pairs of one group connect; rows of one group adjoin."""
+    order = np.lexsort((sizes, np.cumsum(np.diff(group, prepend=group[:1]) != 0)))
+    label = np.arange(len(group))
+    for a, b, _ in likely_pairs(group[order], sizes[order], sketches[order], similarity, least, label):
+        label[:] = _least(label, a, b)
+    moved = label != np.arange(len(group))
+    return order[moved], order[label[moved]]
+
+
+def similar_classes(group: np.ndarray, sets: list[np.ndarray], sketches: np.ndarray, similarity: float, least: float, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """(place, place of its class) of what likely pairs of exact similarity connect.
+
+    Every likely pair is held against the exact similarity, the likeliest
+    first, unless confirmed pairs connect its ends already.
+    """
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    order = np.lexsort((sizes, np.cumsum(np.diff(group, prepend=group[:1]) != 0)))
+    sets, label = [sets[i] for i in order], np.arange(len(group))
+
+    def alike(x: int, y: int) -> bool:
+        both = np.concatenate((sets[x], sets[y]))
+        both.sort()
+        common = np.count_nonzero(both[1:] == both[:-1])
+        return common >= similarity * (len(both) - common)
+
+    for a, b, like in likely_pairs(group[order], sizes[order], sketches[order], similarity, least, label):
+        best = np.argsort(-like, kind="stable")
+        a, b = a[best], b[best]
+        while len(a):
+            up, linked = {}, []
+            x, y = a[:block], b[:block]
+            for i, j, p, q in zip(x.tolist(), y.tolist(), label[x].tolist(), label[y].tolist(), strict=True):
+                while p in up:
+                    p = up[p]
+                while q in up:
+                    q = up[q]
+                if p != q and alike(i, j):
+                    up[max(p, q)] = min(p, q)
+                    linked.append((i, j))
+            if linked:
+                label[:] = _least(label, *np.array(linked).T)
+            a, b = a[block:], b[block:]
+            apart = label[a] != label[b]
+            a, b = a[apart], b[apart]
+    moved = label != np.arange(len(group))
+    return order[moved], order[label[moved]]
 
 
 def shard_shingles(hashes: np.ndarray) -> np.ndarray:
@@ -334,7 +375,7 @@ def shard_shingles(hashes: np.ndarray) -> np.ndarray:
     return hashes[np.flatnonzero(np.diff(eighth.astype(np.int64), prepend=-1))]
 
 
-def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slack: float = 0.3, tile: int = TILE, text_col: str = "text") -> DataFrame:
+def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slack: float = 0.3, tile: int = TILE, most: int = MOST, text_col: str = "text") -> DataFrame:
     """(id, component): MD5 of each distinct text that is similar to another, by groups.
 
     No fingerprint chooses the candidates: a SimHash of shingles moves by ten
@@ -345,8 +386,11 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slac
     chance of 3 in a million). In a shard all pairs whose sizes allow the
     similarity are held against each other by sketches of their
     ``width``-word shingles; ``slack`` is over eight standard errors of such
-    an estimate. The most similar links of each shard, a spanning forest, are
-    then held against the exact similarity of both texts' shingles.
+    an estimate. What such likely pairs connect is a cluster, and every text
+    goes to its cluster with all its shingles: there each likely pair, of one
+    shard or not, is held against the exact similarity unless confirmed pairs
+    connect its texts already. Clusters of more than ``most`` shingles are cut
+    into tiles before any is moved, and every two tiles meet in a task.
     Texts without a word are similar to nothing but equal texts.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -369,39 +413,55 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slac
     distinct = settle(seen.groupBy("id").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "shards")]))
     members = distinct.select(F.explode("shards").alias("shard"), "id", "size", "sketch")
 
-    def solve(t: pa.Table) -> pa.Table:
+    def near(t: pa.Table) -> pa.Table:
         sketches = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)
-        a, b = similar_in_shards(t["shard"].to_numpy(), t["size"].to_numpy(), sketches, similarity, similarity - slack)
+        a, b = likely_classes(t["shard"].to_numpy(), t["size"].to_numpy(), sketches, similarity, similarity - slack)
         ids = t["id"].combine_chunks()
-        return pa.table({"a": ids.take(pa.array(np.minimum(a, b))), "b": ids.take(pa.array(np.maximum(a, b)))})
+        return pa.table({"a": ids.take(pa.array(a)), "b": ids.take(pa.array(b))})
 
-    likely = in_shards(members, solve, "a string, b string", tile)
-    likely = settle(likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    clusters = connected_components(in_shards(members, near, "a string, b string", tile)).withColumnRenamed("component", "cluster")
+    size = F.col("size") + BINS * 2
+    weights = clusters.join(distinct.select("id", "size"), "id").groupBy("cluster").agg(F.ceil(F.sum(size) / most).cast("int").alias("tiles"))
+    tiles = F.when(F.col("tiles") > 1, F.col("tiles") * 2).otherwise(1)
+    mine = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.col("tiles") - 1),
+        lambda o: F.xxhash64("cluster", F.least(F.col("mine"), o), F.greatest(F.col("mine"), o)),
+    )
+    met = settle(clusters.join(weights.withColumn("tiles", tiles), "cluster").withColumn("mine", mine).select("id", pairs.alias("groups")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([shingle_hashes(t.as_py(), width).tobytes() for t in b.column(1)], pa.binary())], ["id", "hashes"]
-            )
+            made = [shingle_hashes(t.as_py(), width) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([h.tobytes() for h in made], pa.binary())], ["id", "hashes"])
 
-    ends = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
-    exact = bodies.join(ends, "id", "left_semi").mapInArrow(sets, "id string, hashes binary")
-    exact = settle(exact.groupBy("id").agg(F.first("hashes").alias("hashes")))
-    both = likely.join(exact.select(F.col("id").alias("a"), F.col("hashes").alias("ha")), "a").join(
-        exact.select(F.col("id").alias("b"), F.col("hashes").alias("hb")), "b"
-    )
+    exact = bodies.join(met.select("id"), "id", "left_semi").mapInArrow(sets, "id string, hashes binary")
+    exact = exact.groupBy("id").agg(F.first("hashes").alias("hashes")).join(met, "id")
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
-            ok = []
-            for x, y in zip(t.column(2), t.column(3), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                ok.append(common >= similarity * (len(p) + len(q) - common))
-            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    links = both.select("a", "b", "ha", "hb").mapInArrow(hold, "a string, b string")
-    return connected_components(links)
+        """Groups adjoin; only whole ones are solved, many small ones at once."""
+        groups, ids, held, size = [], [], [], 0
+        for batch in batches:
+            for group, name, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if size > most and group != groups[-1]:
+                    yield from done(groups, ids, held)
+                    groups, ids, held, size = [], [], [], 0
+                groups.append(group)
+                ids.append(name)
+                held.append(np.frombuffer(h.as_py(), np.uint64))
+                size += len(held[-1])
+        if ids:
+            yield from done(groups, ids, held)
+
+    def done(groups: list[int], ids: list[str], held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        sketches = np.frombuffer(b"".join(map(sketch, held)), np.uint8).reshape(-1, BINS)
+        a, b = similar_classes(np.array(groups, np.int64), held, sketches, similarity, similarity - slack)
+        if len(a):
+            names = pa.array(ids, pa.string())
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(a)), names.take(pa.array(b))], ["a", "b"])
+
+    dealt = exact.select(F.explode("groups").alias("group"), "id", "hashes").repartition("group").sortWithinPartitions("group")
+    return connected_components(dealt.mapInArrow(hold, "a string, b string"))
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

@@ -180,3 +180,20 @@ def test_block_edits_against_brute_force(spark):
     found = [group.get(name(a), 0) == group.get(name(b), 1) for a, b in pairs]
     assert found == [jaccard(a, b) >= 0.8 for a, b in pairs]
     assert sum(0.8 <= jaccard(a, b) <= 0.9 for a, b in pairs) > 200
+
+
+@pytest.mark.parametrize("how", [{}, {"most": 8000}])
+def test_groups_near_the_threshold_against_brute_force(spark, how):
+    r = random.Random(13)
+    texts = []
+    for n, edits in [(400, 5), (400, 6), (150, 2), (60, 1)] * 4:
+        t = words(r, n)
+        texts += [near_copy(r, t, edits) for _ in range(30)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    node = {hashlib.md5(t.encode()).hexdigest(): t for t in texts}
+    names = sorted(node)
+    shingles = {k: {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in ((k, t.split()) for k, t in node.items())}
+    want = brute_components([(k, k) for k in names], lambda a, b: len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]))
+    got = {x.id: x.component for x in simhash.similar_texts(docs, **how).collect()}
+    assert {k: got.get(k, k) for k in names} == {k: want[k, k] for k in names}
+    assert 16 < len(set(want.values())) < len(names)
