@@ -1,12 +1,12 @@
 """Stupid-backoff scores of documents under a bigram model of all documents.
 
-Words outside the ``vocab_size`` most frequent become one unknown word, so the
-unigram table has a fixed size and is broadcast. Bigram counts grow with the
-corpus. Documents are read in flushes of about a million tokens; a flush deals
-each of its distinct bigrams, with its count, to the bucket of the bigram's
-hash. A bucket sums the counts and answers each flush with the sums of the
-bigrams that it sent; the flush joins these to its words, scores them and sums
-by document. A very frequent bigram is one entry a flush, however often it occurs.
+Words and bigrams are named by 64-bit hashes, none is left out, and no table
+of them is gathered or broadcast: both grow with the corpus. Documents are read
+in flushes of about a million tokens; a flush deals each of its distinct words
+and bigrams, with its count, to the bucket of its hash. A bucket sums the
+counts and answers each flush with the sums of those that it sent; the flush
+joins these to its words, scores them and sums by document. A very frequent
+word or bigram is one entry a flush, however often it occurs.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from .common import BLANKS, settle
 
 #: Tokens that a task packs together, and entries aimed at for a bucket.
 FLUSH, BUCKET = 1_000_000, 4_000_000
+#: Stands for all words outside a vocabulary, where one is asked for.
+_UNKNOWN = np.uint64(0x2545F4914F6CDD1D)
 _LOW = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 _BLANK = np.isin(np.arange(256), [ord(c) for c in BLANKS])
 _RANDOM = np.random.default_rng(20).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -84,42 +86,29 @@ def _in_flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, n
         yield pa.concat_arrays(ids), np.concatenate(hashes), np.concatenate(counts)
 
 
-class Unigrams:
-    """The bounded table: hashes in order, counts by word id; the last id is the unknown word."""
+class Grams:
+    """Distinct words and bigrams of a flush, ordered by bucket; words come as places in ``words``.
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, total: int):
-        order = np.argsort(hashes)
-        self.hashes, self.total = hashes[order], total
-        self.counts = np.append(counts[order], total - counts.sum()).astype(np.float64)
-        self.unknown = len(hashes)
-
-    def ids(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(h), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, at, self.unknown)
-
-    def scores(self, prev: np.ndarray, word: np.ndarray, seen: np.ndarray, min_count: int, alpha: float) -> np.ndarray:
-        """log S(word | prev), given how often the bigram was seen."""
-        alone = alpha * self.counts[word] / max(self.total, 1)
-        known = seen >= min_count
-        return np.log(np.where(known, seen / np.maximum(self.counts[prev], 1), alone))
-
-
-def _bigrams(w: np.ndarray, n: np.ndarray, buckets: int):
-    """Distinct bigrams of word ids by bucket, and where each word's own is among them.
-
-    (keys, counts, buckets, place of each bigram, places of words that have one before).
+    ``key``, ``count`` and ``bucket`` go over words and bigrams together;
+    ``alone`` is the place there of each of ``words``, ``pair`` that of each
+    distinct bigram ``first``, ``second``. ``own`` is the bigram of each of the
+    places ``inner`` in the text that have a word before.
     """
-    inner = np.ones(len(w), bool)
-    inner[(np.cumsum(n) - n)[n > 0]] = False
-    inner = np.flatnonzero(inner)
-    key, which, count = np.unique((w[inner - 1] << 16 | w[inner]).astype(np.uint32), return_inverse=True, return_counts=True)
-    bucket = (_mix(key.astype(np.uint64) * _BASE) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return key[order], count[order].astype(np.uint32), bucket[order], place[which], inner
+
+    def __init__(self, words: np.ndarray, w: np.ndarray, n: np.ndarray, buckets: int):
+        inner = np.ones(len(w), bool)
+        inner[(np.cumsum(n) - n)[n > 0]] = False
+        self.inner = np.flatnonzero(inner)
+        both, self.own, count = np.unique(w[self.inner - 1] << 32 | w[self.inner], return_inverse=True, return_counts=True)
+        self.first, self.second = both >> 32, both & 0xFFFFFFFF
+        key = np.concatenate([_mix(words * _BASE), _mix(_mix(words[self.first] + _BASE) * _BASE + words[self.second])])
+        count = np.concatenate([np.bincount(w, minlength=len(words)), count])
+        bucket = (_mix(key * _BASE) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.alone, self.pair = place[: len(words)], place[len(words) :]
+        self.key, self.count, self.bucket = key[order], count[order].astype(np.uint32), bucket[order]
 
 
 def unigram_counts(docs: DataFrame) -> DataFrame:
@@ -133,75 +122,84 @@ def unigram_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(each, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
 
 
-def score_documents(docs: DataFrame, vocab_size: int = 65_535, min_count: int = 2, alpha: float = 0.4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, vocab_size: int | None = None, min_count: int = 2, alpha: float = 0.4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, log_score, mean_log_score): one row for each id.
 
     S(w | p) is c(p, w) / c(p) if the bigram occurs ``min_count`` times or more
     in all documents, else ``alpha`` c(w) / N; a document's first word takes
     c(w) / N. Rows with one id are parts of one document, a null id is an id.
     Null or blank text has no tokens, score 0 and a null mean. An empty table
-    gives an empty table. ``vocab_size`` may not exceed 65,535.
+    gives an empty table. All words count; only if ``vocab_size`` is given are
+    those outside the most frequent one unknown word. It may not exceed 65,535.
     """
-    if vocab_size > 65_535:
-        raise ValueError("a bigram of word ids must fit in 32 bits")
+    if vocab_size is not None and vocab_size > 65_535:
+        raise ValueError("a vocabulary that is broadcast may have 65,535 words")
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    counts = settle(unigram_counts(rows))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    top = counts.orderBy(F.desc("n"), "h").limit(vocab_size).toPandas()  # at most vocab_size rows
-    uni = sc.broadcast(Unigrams(top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64), total))
-
-    buckets = max(8, -(-total // BUCKET))
+    kept = None
+    if vocab_size is not None:
+        top = unigram_counts(rows).orderBy(F.desc("n"), "h").limit(vocab_size).toPandas()  # at most vocab_size rows
+        kept = sc.broadcast(top["h"].to_numpy(np.int64).view(np.uint64))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = max(8, -(-size // (6 * BUCKET)))  # about six bytes a token
 
     def deal(batches):
-        """Bucket -1: a flush's documents and words. Else its distinct bigrams of a bucket, from place ``at`` on."""
-        u, task = uni.value, TaskContext.get().partitionId()
+        """Bucket -1: a flush's documents and words. Else its distinct words and bigrams of a bucket, from place ``at`` on."""
+        task = TaskContext.get().partitionId()
         for turn, (ids, h, n) in enumerate(_in_flushes(batches)):
-            w = u.ids(h)
-            key, count, bucket, _, _ = _bigrams(w, n, buckets)
-            new = np.flatnonzero(np.diff(bucket, prepend=-1))
-            spans = list(zip(new, np.append(new, len(key))[1:], strict=True))
+            if kept is not None:
+                h = np.where(np.isin(h, kept.value), h, _UNKNOWN)
+            words, w = np.unique(h, return_inverse=True)
+            g = Grams(words, w, n, buckets)
+            new = np.flatnonzero(np.diff(g.bucket, prepend=-1))
+            spans = list(zip(new, np.append(new, len(g.key))[1:], strict=True))
             made = len(new) + 1
+            small = np.uint16 if len(words) <= 1 << 16 else np.uint32
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.append(-1, bucket[new]), pa.int32()), pa.array(np.full(made, task << 32 | turn), pa.int64()), pa.array(np.append(0, new), pa.int64()),
+                    pa.array(np.append(-1, g.bucket[new]), pa.int32()), pa.array(np.full(made, task << 32 | turn), pa.int64()), pa.array(np.append(0, new), pa.int64()),
                     pa.ListArray.from_arrays(pa.array(np.append(0, np.full(made, len(ids))), pa.int32()), ids),
-                    pa.array([n.astype(np.int32).tobytes(), *(count[a:b].tobytes() for a, b in spans)]),
-                    pa.array([w.astype(np.uint16).tobytes(), *(key[a:b].tobytes() for a, b in spans)]),
+                    pa.array([n.astype(np.int32).tobytes(), *(g.count[a:b].tobytes() for a, b in spans)]),
+                    pa.array([w.astype(small).tobytes(), *(g.key[a:b].tobytes() for a, b in spans)]),
+                    pa.array([words.tobytes(), *[None] * len(new)], pa.binary()), pa.array([len(h), *[None] * len(new)], pa.int64()),
                 ],
-                ["bucket", "flush", "at", "ids", "counts", "data"],
+                ["bucket", "flush", "at", "ids", "counts", "data", "words", "tokens"],
             )
 
     def answer(table: pa.Table) -> pa.Table:
-        """Count one bucket's bigrams; each flush gets the counts of those it sent."""
+        """Count one bucket's words and bigrams; each flush gets the counts of those it sent."""
         keys, counts = table["data"].to_pylist(), table["counts"].to_pylist()
-        gram, which = np.unique(np.frombuffer(b"".join(keys), np.uint32), return_inverse=True)
+        gram, which = np.unique(np.frombuffer(b"".join(keys), np.uint64), return_inverse=True)
         seen = np.bincount(which, np.frombuffer(b"".join(counts), np.uint32), len(gram)).astype(np.int64)
         small = seen[which].astype(np.uint32) if not len(seen) or seen.max() < 1 << 32 else seen[which]
-        cuts = np.cumsum([0, *(len(k) // 4 for k in keys)])
+        cuts = np.cumsum([0, *(len(k) // 8 for k in keys)])
         sent = [small[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
         return pa.table({"flush": table["flush"], "at": table["at"], "width": pa.array(np.full(len(sent), small.itemsize), pa.int32()), "counts": pa.array(sent, pa.binary())})
 
+    # written, so that a flush is cut the same way for all its buckets even if its task runs again
+    packed = settle(rows.mapInArrow(deal, f"bucket int, flush bigint, at bigint, ids array<{kind}>, counts binary, data binary, words binary, tokens bigint"))
+    total = packed.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+
     def sum_up(table: pa.Table) -> pa.Table:
-        """One flush: the counts of its bigrams, joined to its words, scored and summed by document."""
-        u, at, counts, width = uni.value, table["at"].to_numpy(), table["counts"].to_pylist(), table["width"].to_pylist()
+        """One flush: the counts of its words and bigrams, joined to its text, scored and summed by document."""
+        at, counts, width = table["at"].to_numpy(), table["counts"].to_pylist(), table["width"].to_pylist()
         head = width.index(None)
         n = np.frombuffer(counts[head], np.int32).astype(np.int64)
-        w = np.frombuffer(table["data"][head].as_py(), np.uint16).astype(np.int64)
-        key, _, _, place, inner = _bigrams(w, n, buckets)
+        words, raw = np.frombuffer(table["words"][head].as_py(), np.uint64), table["data"][head].as_py()
+        w = np.frombuffer(raw, np.uint16 if len(words) <= 1 << 16 else np.uint32).astype(np.int64)
+        g = Grams(words, w, n, buckets)
         parts = [np.frombuffer(counts[i], f"u{width[i]}").astype(np.int64) for i in np.argsort(at, kind="stable") if i != head]
         seen = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        each = u.scores((key >> np.uint32(16)).astype(np.int64), (key & np.uint32(0xFFFF)).astype(np.int64), seen, min_count, alpha)
+        alone, pair = seen[g.alone], seen[g.pair]
+        each = np.log(np.where(pair >= min_count, pair / np.maximum(alone[g.first], 1), alpha * alone[g.second] / max(total, 1)))
         doc = np.repeat(np.arange(len(n)), n)
-        sums = np.bincount(doc[inner], each[place], len(n)).astype(np.float64)
-        sums[n > 0] += np.log(u.counts[w[(np.cumsum(n) - n)[n > 0]]] / max(u.total, 1))
+        sums = np.bincount(doc[g.inner], each[g.own], len(n)).astype(np.float64)
+        sums[n > 0] += np.log(alone[w[(np.cumsum(n) - n)[n > 0]]] / max(total, 1))
         return pa.table({"id": table["ids"][head].values, "n": pa.array(n), "s": pa.array(sums)})
 
-    # written, so that a flush is cut the same way for all its buckets even if its task runs again
-    packed = settle(rows.mapInArrow(deal, f"bucket int, flush bigint, at bigint, ids array<{kind}>, counts binary, data binary"))
     answers = packed.where("bucket >= 0").select("bucket", "flush", "at", "counts", "data").groupBy("bucket").applyInArrow(answer, "flush bigint, at bigint, width int, counts binary")
-    heads = packed.where("bucket < 0").drop("bucket")
+    heads = packed.where("bucket < 0").drop("bucket", "tokens")
     parts = heads.withColumn("width", F.lit(None).cast("int")).unionByName(answers, allowMissingColumns=True).groupBy("flush").applyInArrow(sum_up, f"id {kind}, n bigint, s double")
     return (
         parts.groupBy("id")

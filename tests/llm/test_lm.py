@@ -54,3 +54,11 @@ def test_empty_and_wrong(spark):
     assert sorted((r.id, r.n_tokens, r.log_score, r.mean_log_score) for r in blank) == [(1, 0, 0.0, None), (2, 0, 0.0, None)]
     with pytest.raises(ValueError):
         lm.score_documents(spark.createDataFrame([], "doc_id bigint, text string"), vocab_size=70_000)
+
+
+def test_all_words_count_in_a_large_vocabulary(spark):
+    docs = [(i, " ".join(f"w{i * 100 + k}" for k in range(100))) for i in range(800)]
+    docs += [(1000, "w1 w2 w3"), (1001, "w79998 w79999"), (1002, "w79998 w3 never seen")]
+    got = {r.id: r.log_score for r in lm.score_documents(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)).collect()}
+    want = brute(docs, 1 << 40)
+    assert set(got) == set(want) and all(abs(got[i] - s) < 1e-6 * abs(s) for i, (_, s) in want.items())
