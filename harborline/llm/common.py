@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,24 +19,63 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (a test on one machine) a folder is made and set.
+    Only in local mode, as in tests, a folder is made where it is unset; on a
+    cluster that is an error, as no machine's own folder is shared.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="harborline-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
+#: Where each settled frame lies.
+_SETTLED: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+#: Spark then deletes the shuffle files of a write when the write has ended.
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _home(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/settled/{spark.conf.get('spark.app.id')}"
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` into the shared folder and read it back.
 
-    Cuts lineage; the copy survives the loss of any executor.
+    Cuts lineage; the copy survives the loss of any executor, and the shuffle
+    files that made it can go.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/settled/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = f"{_home(spark)}/{uuid.uuid4().hex}"
+    before = spark.conf.get(_FREE, None)
+    spark.conf.set(_FREE, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_FREE) if before is None else spark.conf.set(_FREE, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    _SETTLED[out] = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete settled frames that nothing reads any more."""
+    for df in frames:
+        if path := _SETTLED.pop(df, None):
+            _delete(df.sparkSession, path)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete all that this application has settled; call it when its results are written."""
+    _delete(spark, _home(spark))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

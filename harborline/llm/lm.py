@@ -1,34 +1,45 @@
 """Stupid-backoff scores of documents under a bigram model of all documents.
 
-Words and bigrams are named by 64-bit hashes, none is left out, and no table
-of them is gathered or broadcast: both grow with the corpus. Documents are read
-in flushes of about a million tokens; a flush deals each of its distinct words
-and bigrams, with its count, to the bucket of its hash. A bucket sums the
-counts and answers each flush with the sums of those that it sent; the flush
-joins these to its words, scores them and sums by document. A very frequent
-word or bigram is one entry a flush, however often it occurs.
+A token's score is ``c(p, w) / c(p)`` where the bigram is frequent enough, else
+``alpha c(w) / N``. Its logarithm is a sum over n-grams: each word weighs
+``ln c(w)``, each frequent bigram weighs what it adds to the backoff,
+``ln c(p, w) - ln c(p) - ln alpha - ln c(w) + ln N``, and all else is the number
+of tokens times a constant. So the model is one table of (gram, weight), made
+by hash-partitioned counts, and scoring joins the exploded n-grams of the
+documents to it and sums by document. Weights are whole numbers of 1e-8, so
+sums don't depend on the order of rows.
+
+Grams are 64-bit names. The most frequent words are named by their place in a
+table of at most ``2 ** HOT_BITS`` words, which every task holds; two such words make an
+exact name, all other bigrams a hash. The weights of as many of the most
+frequent grams are met before any shuffle: a gram that is shuffled has so few
+occurrences that no partition can be hot.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, settle
+from .common import BLANKS, forget, settle
 
-#: Tokens that a task packs together, and entries aimed at for a bucket.
-FLUSH, BUCKET = 1_000_000, 4_000_000
-#: Stands for all words outside a vocabulary, where one is asked for.
-_UNKNOWN = np.uint64(0x2545F4914F6CDD1D)
+#: Tokens that a task handles together.
+FLUSH = 1 << 19
+#: Every task holds at most 2 to this power of words, and as many grams: 16 MB each.
+HOT_BITS = 20
+#: Weights are whole numbers of 1 / SCALE.
+SCALE = 10**8
 _LOW = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 _BLANK = np.isin(np.arange(256), [ord(c) for c in BLANKS])
 _RANDOM = np.random.default_rng(20).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_NO_GRAM = 1 << 61
+_HASHED = np.uint64(1 << 63)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -86,123 +97,184 @@ def _in_flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, n
         yield pa.concat_arrays(ids), np.concatenate(hashes), np.concatenate(counts)
 
 
-class Grams:
-    """Distinct words and bigrams of a flush, ordered by bucket; words come as places in ``words``.
+def _batch(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})
 
-    ``key``, ``count`` and ``bucket`` go over words and bigrams together;
-    ``alone`` is the place there of each of ``words``, ``pair`` that of each
-    distinct bigram ``first``, ``second``. ``own`` is the bigram of each of the
-    places ``inner`` in the text that have a word before.
-    """
 
-    def __init__(self, words: np.ndarray, w: np.ndarray, n: np.ndarray, buckets: int):
-        inner = np.ones(len(w), bool)
-        inner[(np.cumsum(n) - n)[n > 0]] = False
-        self.inner = np.flatnonzero(inner)
-        both, self.own, count = np.unique(w[self.inner - 1] << 32 | w[self.inner], return_inverse=True, return_counts=True)
-        self.first, self.second = both >> 32, both & 0xFFFFFFFF
-        key = np.concatenate([_mix(words * _BASE), _mix(_mix(words[self.first] + _BASE) * _BASE + words[self.second])])
-        count = np.concatenate([np.bincount(w, minlength=len(words)), count])
-        bucket = (_mix(key * _BASE) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.alone, self.pair = place[: len(words)], place[len(words) :]
-        self.key, self.count, self.bucket = key[order], count[order].astype(np.uint32), bucket[order]
-
-
-def unigram_counts(docs: DataFrame) -> DataFrame:
-    """(h, n): count of every word of all documents, combined where it is read."""
+def word_counts(rows: DataFrame) -> DataFrame:
+    """(h, n): the count of every word of all texts, combined where it is read."""
 
     def each(batches):
         for _, h, _n in _in_flushes(batches):
-            u, c = np.unique(h, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(c.astype(np.int64))], ["h", "n"])
+            words, n = np.unique(h, return_counts=True)
+            yield _batch(h=words.view(np.int64), n=n)
+
+    return rows.mapInArrow(each, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+def most_frequent(counts: DataFrame, most: int) -> int:
+    """The least count such that ``most`` rows at most have it or more.
+
+    Found from a histogram of sixteenths of powers of two, so the driver sees a
+    thousand rows at most. Where more rows than that share the top of the
+    histogram it is a count that none has.
+    """
+    step = F.floor(F.log2("n") * 16)
+    bins = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("least"), F.max("n").alias("top")).orderBy(F.desc("step")).collect()
+    least, held = (bins[0]["top"] + 1 if bins else 1), 0
+    for b in bins:
+        held += b["rows"]
+        if held > most:
+            break
+        least = b["least"]
+    return least
+
+
+def _sorted_table(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The two long columns of a frame of bounded size, in order of the first."""
+    t = frame.toArrow()
+    key, value = (c.combine_chunks().to_numpy(zero_copy_only=False) if t.num_rows else np.zeros(0, np.int64) for c in t.columns)
+    order = np.argsort(key, kind="stable")
+    return key[order], value[order]
+
+
+def _found(table: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the ordered table, whether it is there) of each key."""
+    if not len(table):
+        return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+    at = np.minimum(np.searchsorted(table, key), len(table) - 1)
+    return at, table[at] == key
+
+
+def _codes(hot: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Names of words: the place in the table of frequent words, else the hash as a negative number."""
+    at, there = _found(hot, h.view(np.int64))
+    return np.where(there, at, (h | _HASHED).view(np.int64))
+
+
+def _grams(hot: np.ndarray, h: np.ndarray, n: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(name of each word, places of those with a word before, name of the bigram there)."""
+    words, which = np.unique(h, return_inverse=True)
+    code = _codes(hot, words)[which]
+    inner = np.ones(len(h), bool)
+    inner[(np.cumsum(n) - n)[n > 0]] = False
+    inner = np.flatnonzero(inner)
+    p, w = code[inner - 1], code[inner]
+    hashed = (_mix(_mix(p.view(np.uint64) + _BASE) * _BASE + w.view(np.uint64)) | _HASHED).view(np.int64)
+    return code, inner, np.where((p >= 0) & (w >= 0), 1 << 2 * bits | p << bits | w, hashed)
 
-    return docs.mapInArrow(each, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
 
+class Model:
+    """Count tables of a corpus and the weights made of them; see ``train``."""
 
-def score_documents(docs: DataFrame, vocab_size: int | None = None, min_count: int = 2, alpha: float = 0.4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def __init__(self, words: DataFrame, total: int, hot, weights: DataFrame):
+        self.words, self.total, self.hot, self.weights = words, total, hot, weights
+
+
+def train(rows: DataFrame, min_count: int = 2, alpha: float = 0.4, bits: int = HOT_BITS) -> Model:
+    """A model of the texts of ``rows`` (id, text): counts, then weights, written to the shared folder.
+
+    Words and bigrams of count one have no row in ``weights``: ln 1 is 0, and
+    such a bigram backs off (unless ``min_count`` is 1).
+    """
+    sc = rows.sparkSession.sparkContext
+    words = settle(word_counts(rows))
+    total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    least = most_frequent(words, 1 << bits)
+    hot, hot_n = _sorted_table(words.where(F.col("n") >= least))  # a bounded number of rows
+    shared = sc.broadcast((hot, np.log(hot_n)))
+
+    def pairs(batches):
+        hot = shared.value[0]
+        for _, h, n in _in_flushes(batches):
+            code, inner, pair = _grams(hot, h, n, bits)
+            gram, first, count = np.unique(pair, return_index=True, return_counts=True)
+            named = gram > 0  # the words can be read off the name
+            p, w = (pa.array(code[inner[first] - back], mask=named) for back in (1, 0))
+            yield _batch(gram=gram, p=p, w=w, n=count)
+
+    counted = rows.mapInArrow(pairs, "gram bigint, p bigint, w bigint, n bigint").groupBy("gram", "p", "w")
+    bigrams = settle(counted.agg(F.sum("n").alias("n")).where(F.col("n") >= min_count))
+    more = math.log(max(total, 1)) - math.log(alpha)
+
+    def weigh(batches):
+        """What is known of the weight; the names of the words whose counts are not."""
+        log = shared.value[1]
+        for b in batches:
+            gram, n = b.column(0).to_numpy(), b.column(3).to_numpy()
+            named = gram > 0
+            p, w = (np.where(named, own, b.column(i).fill_null(0).to_numpy()) for i, own in ((1, gram >> bits & (1 << bits) - 1), (2, gram & (1 << bits) - 1)))
+            value, apart = np.log(n) + more, np.stack([p, w], 1)
+            known = apart >= 0
+            for k in (0, 1):
+                value[known[:, k]] -= log[apart[known[:, k], k]]
+            ends = np.concatenate(([0], np.cumsum((~known).sum(1))))
+            yield _batch(gram=gram, n=n, value=value, apart=pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(apart[~known])))
+
+    part = bigrams.mapInArrow(weigh, "gram bigint, n bigint, value double, apart array<bigint>")
+    whole = part.where(F.size("apart") == 0).select("gram", "n", "value")
+
+    def named(batches):
+        hot = shared.value[0]
+        for b in batches:
+            yield _batch(gram=_codes(hot, b.column(0).to_numpy().view(np.uint64)), n=b.column(1))
+
+    alone = words.where("n > 1").mapInArrow(named, "gram bigint, n bigint").withColumn("value", F.ln("n"))
+    rare = alone.where("gram < 0").select(F.col("gram").alias("word"), F.col("value").alias("log"))
+    rest = part.where(F.size("apart") > 0).select("gram", "n", "value", F.explode("apart").alias("word")).join(rare, "word", "left")
+    rest = rest.groupBy("gram", "n", "value").agg(F.sum(F.coalesce("log", F.lit(0.0))).alias("logs")).select("gram", "n", (F.col("value") - F.col("logs")).alias("value"))
+    weights = whole.unionByName(rest).unionByName(alone).withColumn("value", F.round(F.col("value") * SCALE).cast("bigint"))
+    weights = settle(weights)
+    forget(bigrams)
+    return Model(words, total, shared, weights)
+
+
+def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_col: str = "doc_id", text_col: str = "text", bits: int = HOT_BITS) -> DataFrame:
     """(id, n_tokens, log_score, mean_log_score): one row for each id.
 
     S(w | p) is c(p, w) / c(p) if the bigram occurs ``min_count`` times or more
     in all documents, else ``alpha`` c(w) / N; a document's first word takes
-    c(w) / N. Rows with one id are parts of one document, a null id is an id.
-    Null or blank text has no tokens, score 0 and a null mean. An empty table
-    gives an empty table. All words count; only if ``vocab_size`` is given are
-    those outside the most frequent one unknown word. It may not exceed 65,535.
+    c(w) / N. Rows with one id are parts of one document, a null id is an id;
+    repeated rows count as often as they come. Null or blank text has no
+    tokens, score 0 and a null mean. Texts of any length are read whole. An
+    empty table gives an empty table. All words count, none is left out.
     """
-    if vocab_size is not None and vocab_size > 65_535:
-        raise ValueError("a vocabulary that is broadcast may have 65,535 words")
-    sc = docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    kept = None
-    if vocab_size is not None:
-        top = unigram_counts(rows).orderBy(F.desc("n"), "h").limit(vocab_size).toPandas()  # at most vocab_size rows
-        kept = sc.broadcast(top["h"].to_numpy(np.int64).view(np.uint64))
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    buckets = max(8, -(-size // (6 * BUCKET)))  # about six bytes a token
-
-    def deal(batches):
-        """Bucket -1: a flush's documents and words. Else its distinct words and bigrams of a bucket, from place ``at`` on."""
-        task = TaskContext.get().partitionId()
-        for turn, (ids, h, n) in enumerate(_in_flushes(batches)):
-            if kept is not None:
-                h = np.where(np.isin(h, kept.value), h, _UNKNOWN)
-            words, w = np.unique(h, return_inverse=True)
-            g = Grams(words, w, n, buckets)
-            new = np.flatnonzero(np.diff(g.bucket, prepend=-1))
-            spans = list(zip(new, np.append(new, len(g.key))[1:], strict=True))
-            made = len(new) + 1
-            small = np.uint16 if len(words) <= 1 << 16 else np.uint32
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.append(-1, g.bucket[new]), pa.int32()), pa.array(np.full(made, task << 32 | turn), pa.int64()), pa.array(np.append(0, new), pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(np.append(0, np.full(made, len(ids))), pa.int32()), ids),
-                    pa.array([n.astype(np.int32).tobytes(), *(g.count[a:b].tobytes() for a, b in spans)]),
-                    pa.array([w.astype(small).tobytes(), *(g.key[a:b].tobytes() for a, b in spans)]),
-                    pa.array([words.tobytes(), *[None] * len(new)], pa.binary()), pa.array([len(h), *[None] * len(new)], pa.int64()),
-                ],
-                ["bucket", "flush", "at", "ids", "counts", "data", "words", "tokens"],
-            )
-
-    def answer(table: pa.Table) -> pa.Table:
-        """Count one bucket's words and bigrams; each flush gets the counts of those it sent."""
-        keys, counts = table["data"].to_pylist(), table["counts"].to_pylist()
-        gram, which = np.unique(np.frombuffer(b"".join(keys), np.uint64), return_inverse=True)
-        seen = np.bincount(which, np.frombuffer(b"".join(counts), np.uint32), len(gram)).astype(np.int64)
-        small = seen[which].astype(np.uint32) if not len(seen) or seen.max() < 1 << 32 else seen[which]
-        cuts = np.cumsum([0, *(len(k) // 8 for k in keys)])
-        sent = [small[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
-        return pa.table({"flush": table["flush"], "at": table["at"], "width": pa.array(np.full(len(sent), small.itemsize), pa.int32()), "counts": pa.array(sent, pa.binary())})
-
-    # written, so that a flush is cut the same way for all its buckets even if its task runs again
-    packed = settle(rows.mapInArrow(deal, f"bucket int, flush bigint, at bigint, ids array<{kind}>, counts binary, data binary, words binary, tokens bigint"))
-    total = packed.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-
-    def sum_up(table: pa.Table) -> pa.Table:
-        """One flush: the counts of its words and bigrams, joined to its text, scored and summed by document."""
-        at, counts, width = table["at"].to_numpy(), table["counts"].to_pylist(), table["width"].to_pylist()
-        head = width.index(None)
-        n = np.frombuffer(counts[head], np.int32).astype(np.int64)
-        words, raw = np.frombuffer(table["words"][head].as_py(), np.uint64), table["data"][head].as_py()
-        w = np.frombuffer(raw, np.uint16 if len(words) <= 1 << 16 else np.uint32).astype(np.int64)
-        g = Grams(words, w, n, buckets)
-        parts = [np.frombuffer(counts[i], f"u{width[i]}").astype(np.int64) for i in np.argsort(at, kind="stable") if i != head]
-        seen = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        alone, pair = seen[g.alone], seen[g.pair]
-        each = np.log(np.where(pair >= min_count, pair / np.maximum(alone[g.first], 1), alpha * alone[g.second] / max(total, 1)))
-        doc = np.repeat(np.arange(len(n)), n)
-        sums = np.bincount(doc[g.inner], each[g.own], len(n)).astype(np.float64)
-        sums[n > 0] += np.log(alone[w[(np.cumsum(n) - n)[n > 0]]] / max(total, 1))
-        return pa.table({"id": table["ids"][head].values, "n": pa.array(n), "s": pa.array(sums)})
-
-    answers = packed.where("bucket >= 0").select("bucket", "flush", "at", "counts", "data").groupBy("bucket").applyInArrow(answer, "flush bigint, at bigint, width int, counts binary")
-    heads = packed.where("bucket < 0").drop("bucket", "tokens")
-    parts = heads.withColumn("width", F.lit(None).cast("int")).unionByName(answers, allowMissingColumns=True).groupBy("flush").applyInArrow(sum_up, f"id {kind}, n bigint, s double")
+    model = train(rows, min_count, alpha, bits)
+    frequent = model.hot
+    least = most_frequent(model.weights, 1 << bits)
+    top = rows.sparkSession.sparkContext.broadcast(_sorted_table(model.weights.where(F.col("n") >= least).select("gram", "value")))  # a bounded number of rows
+
+    def explode(batches):
+        """A row for each occurrence of a gram that isn't among the most frequent, and one for each
+        text with the weights of those that are. The latter's gram is a name that no gram has."""
+        hot, (grams, values) = frequent.value[0], top.value
+        for ids, h, n in _in_flushes(batches):
+            code, inner, pair = _grams(hot, h, n, bits)
+            gram, which = np.unique(np.concatenate([code, pair]), return_inverse=True)
+            at, there = _found(grams, gram)
+            value = np.where(there, values[at] if len(values) else 0, 0)[which]
+            doc = np.repeat(np.arange(len(n)), n)
+            doc = np.concatenate([doc, doc[inner]])
+            sums = np.zeros(len(n), np.int64)
+            np.add.at(sums, doc, value)
+            cold = np.flatnonzero(~there[which])
+            cold = cold[np.argsort(doc[cold], kind="stable")]
+            own = _NO_GRAM | (_mix((np.arange(len(n)) + int(sums.sum() & 0xFFFFFFFF)).astype(np.uint64)) >> np.uint64(4)).astype(np.int64)
+            zero = np.zeros(len(cold), np.int64)
+            yield _batch(id=ids, gram=own, tokens=n, value=sums)
+            yield _batch(id=ids.take(pa.array(doc[cold])), gram=gram[which[cold]], tokens=zero, value=zero)
+
+    exploded = rows.mapInArrow(explode, f"id {kind}, gram bigint, tokens bigint, value bigint")
+    weighed = exploded.join(model.weights.where(F.col("n") < least).select("gram", F.col("value").alias("weight")), "gram", "left")
+    telling = F.col("weight").isNotNull() | (F.col("gram") >= _NO_GRAM)
+    n, firsts = F.col("n_tokens"), F.col("firsts")
+    log = F.col("sum") / F.lit(float(SCALE)) - n * F.lit(math.log(max(model.total, 1))) + (n - firsts) * F.lit(math.log(alpha))
     return (
-        parts.groupBy("id")
-        .agg(F.sum("n").alias("n_tokens"), F.sum("s").alias("log_score"))
-        .withColumn("mean_log_score", F.when(F.col("n_tokens") > 0, F.col("log_score") / F.col("n_tokens")))
+        weighed.where(telling)
+        .groupBy("id")
+        .agg(F.sum("tokens").alias("n_tokens"), F.sum((F.col("tokens") > 0).cast("bigint")).alias("firsts"), F.sum(F.col("value") + F.coalesce("weight", F.lit(0))).alias("sum"))
+        .select("id", "n_tokens", log.alias("log_score"))
+        .withColumn("mean_log_score", F.when(n > 0, F.col("log_score") / n))
     )

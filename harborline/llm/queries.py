@@ -34,7 +34,10 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    scored = lm.score_documents(table(spark, sf_dir, "documents"))
+    return scored.select(
+        F.col("id").alias("doc_id"), "n_tokens", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score")
+    )
 
 
 def op3_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +101,32 @@ _WORD = r"[^\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ORACLE = {
+    "op2_lm_score": rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS ws FROM documents
+), t AS (
+  SELECT row, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM d
+), g AS (
+  SELECT row, w, lag(w) OVER (PARTITION BY row ORDER BY pos) AS p FROM t
+), total AS (
+  SELECT greatest(count(*), 1)::DOUBLE AS n FROM t
+), u AS (
+  SELECT w, ln(count(*)) AS log FROM t GROUP BY w
+), b AS (
+  SELECT p, w, ln(count(*)) AS log FROM g WHERE p IS NOT NULL GROUP BY p, w HAVING count(*) >= 2
+), weight AS (
+  SELECT b.p, b.w, round((b.log + (ln(total.n) - ln(0.4)) - a.log - c.log) * 100000000)::BIGINT AS more
+  FROM b JOIN u AS a ON a.w = b.p JOIN u AS c ON c.w = b.w, total
+), s AS (
+  SELECT row, sum(round(u.log * 100000000)::BIGINT + coalesce(more, 0)) AS value, count(*) AS n
+  FROM g JOIN u USING (w) LEFT JOIN weight ON weight.p = g.p AND weight.w = g.w GROUP BY row
+), r AS (
+  SELECT doc_id, coalesce(sum(s.n), 0)::BIGINT AS n_tokens, count(s.n) AS firsts, coalesce(sum(value), 0)::DOUBLE / 100000000 AS value
+  FROM d LEFT JOIN s USING (row) GROUP BY doc_id
+), f AS (
+  SELECT doc_id, n_tokens, value - n_tokens * ln(total.n) + (n_tokens - firsts) * ln(0.4) AS log_score FROM r, total
+)
+SELECT doc_id, n_tokens, round(log_score, 4) AS log_score, CASE WHEN n_tokens > 0 THEN round(log_score / n_tokens, 6) END AS mean_log_score FROM f""",
     "op4_line_dedup": rf"""
 WITH line AS (
   SELECT doc_id, row_number() OVER () AS row, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents

@@ -28,32 +28,36 @@ def brute(rows, vocab, min_count=2, alpha=0.4):
     return out
 
 
-@pytest.mark.parametrize("bucket", [4_000_000, 1000])
-def test_against_brute_force(spark, sf, monkeypatch, bucket):
-    monkeypatch.setattr(lm, "BUCKET", bucket)
+@pytest.mark.parametrize("hot_bits", [20, 6, 0])
+def test_against_brute_force(spark, sf, hot_bits):
+    """All grams met in the task, few of them, and (almost) none."""
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     docs += [(10_000, None), (10_001, " \n"), (10_002, "One"), (None, "the the"), (None, "the end"), (0, "again"), (10_003, "the of " * 50_000)]
     df = spark.createDataFrame([(*d, 1, "s") for d in docs], "doc_id bigint, text string, n int, id string").repartition(5)
-    got = {r.id: r for r in lm.score_documents(df).collect()}
-    want = brute(docs, 65_535)
+    got = {r.id: r for r in lm.score_documents(df, bits=hot_bits).collect()}
+    want = brute(docs, 1 << 40)
     assert set(got) == set(want)
     for i, (n, s) in want.items():
         assert got[i].n_tokens == n and abs(got[i].log_score - s) < 1e-6 * max(1, abs(s))
         assert (got[i].mean_log_score is None) == (n == 0)
 
 
-def test_unknown_words(spark):
-    docs = [(1, "a a a b b c d a b"), (2, "a b a b e f"), (3, "b")]
-    got = {r.id: r.log_score for r in lm.score_documents(spark.createDataFrame(docs, "doc_id bigint, text string"), vocab_size=2).collect()}
-    assert all(abs(got[i] - s) < 1e-9 for i, (_, s) in brute(docs, 2).items())
+def test_result_does_not_depend_on_partitions(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    one, many = (sorted(map(tuple, lm.score_documents(docs.repartition(k)).collect())) for k in (1, 7))
+    assert one == many
+
+
+def test_a_bound_of_the_histogram(spark):
+    df = spark.createDataFrame([(1,)] * 50 + [(7,)] * 5 + [(100,)] * 3 + [(101,)], "n bigint")
+    assert [lm.most_frequent(df, k) for k in (0, 3, 4, 8, 9, 58, 59)] == [102, 102, 100, 100, 7, 7, 1]
+    assert lm.most_frequent(df.limit(0), 5) == 1
 
 
 def test_empty_and_wrong(spark):
     assert lm.score_documents(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
     blank = lm.score_documents(spark.createDataFrame([(1, None), (2, " ")], "doc_id bigint, text string")).collect()
     assert sorted((r.id, r.n_tokens, r.log_score, r.mean_log_score) for r in blank) == [(1, 0, 0.0, None), (2, 0, 0.0, None)]
-    with pytest.raises(ValueError):
-        lm.score_documents(spark.createDataFrame([], "doc_id bigint, text string"), vocab_size=70_000)
 
 
 def test_all_words_count_in_a_large_vocabulary(spark):
