@@ -22,13 +22,25 @@ from .common import whole_row
 UNKNOWN = "und"
 #: Windows that go through the network together, and bytes of one.
 ROWS, WINDOW = 1024, 128
+#: Languages that a network may have.
+MOST_LABELS = 1000
 
 
-def squash(v: np.ndarray) -> np.ndarray:
-    """v / (1 + |v|) in place: the gates' activation, several times cheaper than tanh."""
-    d = np.abs(v)
-    d += 1
-    v /= d
+def logistic(v: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-v)) in place."""
+    np.negative(v, out=v)
+    np.minimum(v, 80, out=v)
+    np.exp(v, out=v)
+    v += 1
+    return np.reciprocal(v, out=v)
+
+
+def tanh(v: np.ndarray) -> np.ndarray:
+    """tanh in place, by the logistic function, whose exponential numpy does faster."""
+    v *= 2
+    logistic(v)
+    v *= 2
+    v -= 1
     return v
 
 
@@ -65,13 +77,11 @@ class ByteGRU:
                 np.take(x[d], both[d, t], axis=1, out=a[d], mode="clip")
                 np.matmul(u[d], h[d], out=uh[d])
             zr = a[:, : 2 * hidden] + uh[:, : 2 * hidden]
-            squash(zr)
-            zr += 1
-            zr *= 0.5
+            logistic(zr)
             z, r = zr[:, :hidden], zr[:, hidden:]
             n = r * uh[:, 2 * hidden :]
             n += a[:, 2 * hidden :]
-            squash(n)
+            tanh(n)
             if keep is not None:
                 keep.append((h, z, r, uh[:, 2 * hidden :].copy(), n))
             h = h - n
@@ -118,9 +128,9 @@ class ByteGRU:
         for t in range(steps - 1, -1, -1):
             h, z, r, un, n = keep[t]
             dh = dh + np.stack([down[0][t], down[1][steps - 1 - t]])
-            dn = dh * (1 - z) * (1 - abs(n)) ** 2
-            dz = dh * (h - n) * 0.5 * (1 - abs(2 * z - 1)) ** 2
-            dr = dn * un * 0.5 * (1 - abs(2 * r - 1)) ** 2
+            dn = dh * (1 - z) * (1 - n * n)
+            dz = dh * (h - n) * z * (1 - z)
+            dr = dn * un * r * (1 - r)
             inputs[:, t] = np.concatenate([dz, dr, dn], 1)
             du = np.concatenate([dz, dr, dn * r], 1)
             gu += du @ h.transpose(0, 2, 1)
@@ -179,7 +189,9 @@ def train(docs: DataFrame, per_lang: int = 800, windows: int = 3, steps: int = 3
     The sample is bounded: of each label the ``per_lang`` documents of least
     hash, ``windows`` windows of each at places set by the hash anywhere in the
     text. A label's count sets a limit on the hash below which about four times
-    that many documents lie, so what is ranked doesn't grow with the input.
+    that many documents lie; only those are moved and ranked, so neither grows
+    with the input. There is a row for each label in what is broadcast, and an
+    output of the network, so labels must be few: over ``MOST_LABELS`` is an error.
     """
     seedling = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 31))
     has_letter = F.rlike(F.col(text_col), F.lit(r"\p{L}"))
@@ -188,11 +200,16 @@ def train(docs: DataFrame, per_lang: int = 800, windows: int = 3, steps: int = 3
         *[(F.pmod(F.xxhash64(F.col(id_col), F.lit(seed + 1 + k)), F.greatest(F.length(text_col) - WINDOW + 1, F.lit(1))) + 1).cast("int") for k in range(windows)]
     )
     cut = F.transform(places, lambda p: F.substring(F.col(text_col), p, WINDOW))
+    counts = usable.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).limit(MOST_LABELS + 1).collect()
+    if not counts:
+        return None
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels")
+    limits = docs.sparkSession.createDataFrame([(r["lang"], 4.0 * per_lang * (1 << 31) / r["n"]) for r in counts], "lang string, below double")
     ranked = W.partitionBy("lang").orderBy("h", "id")
-    counts = usable.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).select("lang", (F.lit(4.0 * per_lang * (1 << 31)) / F.col("n")).alias("below"))
     sample = (
         usable.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), seedling.alias("h"), cut.alias("cut"))
-        .join(counts, "lang")
+        .join(F.broadcast(limits), "lang")  # MOST_LABELS rows at most
         .where(F.col("h") < F.col("below"))
         .withColumn("rank", F.row_number().over(ranked))
         .where(F.col("rank") <= per_lang)
@@ -248,8 +265,10 @@ def predict(docs: DataFrame, model: ByteGRU | None, text_col: str = "text", keep
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **how) -> DataFrame:
     """(doc, held_out, lang_pred, score): every row of ``docs``, whole texts.
 
-    Repeated rows stay; an empty table gives an empty table. ``how`` goes to
-    ``train``.
+    Null and blank texts and those without a letter are ``und``. A text of any
+    length is read whole, 8 MB of texts at a time or one longer text. Repeated
+    rows and null ids stay; an empty table gives an empty table. Other columns,
+    whatever their names, are kept in ``doc``. ``how`` goes to ``train``.
     """
     model = train(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, **how)
     rows = docs.select(whole_row(docs).alias("doc"), held_out(id_col).alias("held_out"), F.col(text_col).alias("body"))

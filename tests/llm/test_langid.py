@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -27,6 +28,44 @@ def test_gradients_by_differences():
             assert abs(g[i] - (up - down) / (2 * e)) < 2e-3 * max(1, abs(g[i]))
 
 
+def forward(net, text):
+    """Probabilities of a whole text, byte by byte, unit by unit, in plain Python."""
+    hidden, classes = net.u.shape[2], len(net.langs)
+    sums = [0.0] * classes
+    for at in range(0, len(text), langid.WINDOW):
+        window = text[at : at + langid.WINDOW]
+        padded = list(window) + [0] * (langid.WINDOW - len(window))
+        states = []
+        for d in range(2):
+            h, seen = [0.0] * hidden, []
+            for byte in padded if d == 0 else padded[::-1]:
+                a = [float(net.x[d, g, byte]) for g in range(3 * hidden)]
+                uh = [sum(float(net.u[d, g, k]) * h[k] for k in range(hidden)) for g in range(3 * hidden)]
+                z = [1 / (1 + math.exp(-a[k] - uh[k])) for k in range(hidden)]
+                r = [1 / (1 + math.exp(-a[hidden + k] - uh[hidden + k])) for k in range(hidden)]
+                n = [math.tanh(a[2 * hidden + k] + r[k] * uh[2 * hidden + k]) for k in range(hidden)]
+                h = [(1 - z[k]) * n[k] + z[k] * h[k] for k in range(hidden)]
+                seen.append(h)
+            states.append(seen if d == 0 else seen[::-1])
+        for t in range(len(window)):
+            s = [*states[0][t], *states[1][t], 1.0]
+            e = [math.exp(sum(float(w) * v for w, v in zip(net.out[c], s))) for c in range(classes)]
+            for c in range(classes):
+                sums[c] += e[c] / sum(e)
+    return [v / max(1, len(text)) for v in sums]
+
+
+def test_whole_documents_against_plain_loops(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    net = langid.train(docs, per_lang=30, steps=40, hidden=4)
+    texts = sorted({r.text for r in docs.collect() if r.text and len(r.text) < 900})[:12] + ["x", "é" * 100]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in langid.predict(df, net).collect():
+        p = forward(net, r.text.encode())
+        assert abs(max(p) - r.score) < 1e-4
+        assert r.lang_pred == net.langs[p.index(max(p))] or sorted(p)[-1] - sorted(p)[-2] < 2e-4
+
+
 def test_windows_and_batches_dont_change_a_document():
     net = langid.ByteGRU.fresh(LANGS, 4, 2)
     texts = [b"x", b"hello there " * 300, b"", b"q" * langid.WINDOW, b"z" * (langid.WINDOW + 1)]
