@@ -71,12 +71,11 @@ def test_nearest_is_exact_where_it_must_be(spark):
     assert ann.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
-def test_recall_on_the_whole_table(spark):
-    sf = "/root/testdata/sf0.1"
+def recall(df, **how):
     got = {}
-    for r in queries.op3_ann_search(spark, sf).collect():
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, **how).collect():
         got.setdefault(r.query_id, []).append(r)
-    rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
+    rows = df.collect()
     x = np.array([r.embedding for r in rows], float)
     ids = np.array([r.vec_id for r in rows])
     hits = []
@@ -85,7 +84,38 @@ def test_recall_on_the_whole_table(spark):
         s[k] = -np.inf
         hits.append(len({r.vec_id for r in got[ids[k]]} & set(ids[np.argsort(-s)[:20]].tolist())) / 20)
         assert sorted(r.rank for r in got[ids[k]]) == list(range(1, 21))
-    assert np.mean(hits) >= 0.9
+    return np.mean(hits)
+
+
+@pytest.mark.parametrize("sf,how", [("sf0.01", {}), ("sf0.1", {}), ("sf0.1", {"turns": 2, "probes": 512})])
+def test_recall_on_the_whole_table(spark, sf, how):
+    assert recall(spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet"), **how) >= 0.9
+
+
+def test_the_plan_keeps_buckets_bounded():
+    assert [ann.plan(n, 128)[0] for n in (0, 1000, 4096 * 128, 4096 * 128 + 1, 4096 * 128**2 + 1)] == [1, 1, 1, 2, 3]
+    probes = [ann.plan(n, 128)[1] for n in (500, 2000, 10_000, 50_000, 500_000)]
+    assert probes == sorted(probes, reverse=True)
+
+
+def test_best_buckets_are_those_of_all_pairs():
+    near = [np.random.default_rng(i).standard_normal((7, 16)) for i in range(2)]
+    sums = (near[0][:, :, None] + near[1][:, None]).reshape(7, -1)
+    assert (ann.best_buckets(near, 9) == np.argsort(-sums, axis=1)[:, :9]).all()
+    assert sorted(ann.best_buckets(near, 256)[0]) == list(range(256))
+
+
+def test_a_hot_bucket_and_many_queries(spark):
+    """A third of all rows point one way; tasks give their best in parts."""
+    r = np.random.default_rng(8)
+    x = r.standard_normal((900, 8))
+    x[:300] = x[0] + 1e-3 * r.standard_normal((300, 8))
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(x)]
+    got = {}
+    for g in ann.nearest(frame(spark, rows), F.col("vec_id") % 20 == 0, k=5, probes=16, tables=2).collect():
+        got.setdefault(g.query_id, []).append((g.rank, g.vec_id))
+    want = brute_nearest([(i, np.array(v, np.float32).astype(float)) for i, v in rows], lambda i: i % 20 == 0, 5)
+    assert {q: [i for _, i in sorted(v)] for q, v in got.items()} == {q: [i for _, i in v] for q, v in want.items()}
 
 
 def test_hadamard_keeps_lengths():
