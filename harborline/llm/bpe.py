@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import prepare
+
 # States: a token is finished; in letters, digits, other signs, white space;
 # after a space that joins what follows; one or two letters before a
 # contraction's end.
@@ -33,9 +35,9 @@ L, N, O, Q2, Q3, W, Z_SPACE, Z_OTHER = range(8)
 #: Code points that are White_Space.
 SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Code points to take at once; a longer text is taken alone.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 #: Pieces the cache holds before it is emptied.
-CACHE = 300_000
+CACHE = 100_000
 #: Pieces of more bytes are merged one by one; the rank of a pair that is no word.
 LONG, NONE = 100, 1 << 40
 
@@ -333,6 +335,7 @@ def _decode_batches(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -
 
 def _apply(rows: DataFrame, ranks_path: str, steps: list, extra: str = "") -> DataFrame:
     """``steps`` one after the other over the batches of a task, in one Python worker."""
+    prepare(rows.sparkSession)
     with open(ranks_path, "rb") as f:
         ranks = rows.sparkSession.sparkContext.broadcast(f.read())
 
@@ -357,7 +360,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
     (``base64 rank`` a line) is read by the driver and broadcast; its size is
     that of the vocabulary. Null or empty text has no tokens; repeated rows and
     null ids stay as they are; an empty table gives an empty table. A batch
-    holds about half a million code points, or one longer text.
+    holds about a quarter of a million code points, or one longer text.
     """
     return _apply(_rows(docs, id_col, text_col), ranks_path, [_encode_batches])
 

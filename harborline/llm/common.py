@@ -32,6 +32,19 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+#: Rows of a batch that goes to Python: Spark's 10,000 texts would be tens of MB, on both sides.
+TEXTS = 1000
+#: Bytes of a join's smaller side in a partition that adaptive execution may hash instead of sort.
+HASHED = 32 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """Settings that the operators on texts need, where the session leaves them unset."""
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS), ("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", HASHED)):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
 #: Where each settled frame lies.
 _SETTLED: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 #: Spark then deletes the shuffle files of a write when the write has ended.

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import whole_row
+from .common import prepare, whole_row
 
 UNKNOWN = "und"
 #: Windows that go through the network together, and bytes of one.
@@ -236,6 +236,7 @@ def predict(docs: DataFrame, model: ByteGRU | None, text_col: str = "text", keep
     language over all positions. Null texts, texts without a letter and all
     texts if there is no model are ``und`` with score 0.
     """
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<lang_pred:string,score:double>")

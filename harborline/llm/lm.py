@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, forget, settle
+from .common import BLANKS, forget, prepare, settle
 
 #: Tokens that a task handles together.
 FLUSH = 1 << 19
@@ -239,6 +239,7 @@ def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_
     tokens, score 0 and a null mean. Texts of any length are read whole. An
     empty table gives an empty table. All words count, none is left out.
     """
+    prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     model = train(rows, min_count, alpha, bits)

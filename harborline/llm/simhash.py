@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle, whole_row
+from .common import prepare, settle, whole_row
 from .components import connected_components
 
 #: Fingerprints a shard may have before it is cut into tiles.
@@ -63,6 +63,7 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             fps = np.array([fingerprint(t.as_py(), width) for t in b.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
 
+    prepare(docs.sparkSession)
     ids = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = ids.schema["id"].dataType.simpleString()
     return ids.mapInArrow(each, f"id {kind}, fp bigint")
@@ -393,6 +394,7 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slac
     into tiles before any is moved, and every two tiles meet in a task.
     Texts without a word are similar to nothing but equal texts.
     """
+    prepare(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     bodies = docs.select(F.md5(text).alias("id"), text.alias("text"))
 
