@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -48,9 +48,16 @@ def has_tokens(c: Column, phrase: str) -> Column:
 
 
 def glob_regex(pattern: str) -> str:
-    """Case-insensitive regular expression of a file glob with * and ?."""
-    body = "".join({"*": ".*", "?": "."}.get(ch, re.escape(ch)) for ch in pattern)
-    return f"(?i)^{body}$"
+    """Case-insensitive regular expression of a file glob with *, ?, [abc] and [!abc]."""
+
+    def part(m: re.Match[str]) -> str:
+        if m[1] is not None:
+            inside = m[1].replace("\\", "\\\\").replace("[", "\\[")
+            return f"[^{inside[1:]}]" if inside.startswith("!") else f"[{inside}]"
+        return {"*": ".*", "?": "."}.get(m[0], re.escape(m[0]))
+
+    body = re.sub(r"\[(!?[^]]+)\]|.", part, pattern, flags=re.S)
+    return f"(?is)^{body}$"
 
 
 def matches_any(c: Column, globs: Sequence[str]) -> Column:
@@ -61,21 +68,49 @@ def matches_any(c: Column, globs: Sequence[str]) -> Column:
     return out
 
 
-def redact(c: Column, patterns: Sequence[str], mark: str = "<REDACTED>") -> tuple[Column, Column]:
-    """(scrubbed text, hits): rules in turn, each on what the former left; group 1 is kept."""
-    hits = F.lit(0)
-    for p in patterns:
-        hits = hits + F.coalesce(F.regexp_count(c, F.lit(p)), F.lit(0))
-        c = F.regexp_replace(c, p, f"$1{mark}")
-    return c, hits
+#: Secrets that addresses and connection texts carry; group 1 is what may be seen. Fixed values.
+REDACT_RULES = {
+    "media_token": r"([?&]h=)[A-Za-z0-9_\-]{8,}",
+    "embedded_credentials": r'(://[^:/@\s"]+:)[^@/\s"]{3,}(?=@)',
+    "signature": r"([?&](?:sig|sv|se)=)[A-Za-z0-9%+/=_\-]{10,}",
+    "api_key": r'(?i)([?&](?:api[_-]?key|access[_-]?token|auth|token|key|password|pwd)=)[^&"\s]{6,}',
+    "bearer_token": r"(?i)(Bearer\s+)[A-Za-z0-9._\-]{16,}",
+    "connection_secret": r'(?i)((?:^|[;,])\s*(?:password|pwd|user id|uid|account[_ ]?key)\s*=)[^;"]{3,}',
+}
+
+
+def redact(df: DataFrame, column: str, rules: Mapping[str, str] = REDACT_RULES, mark: str = "<REDACTED>", hits: str = "hits") -> DataFrame:
+    """``df`` with ``column`` scrubbed and a map of hits by rule, rules without a hit left out.
+
+    Rules run in turn, each on what the former left; what group 1 holds is
+    kept, a rule without a group keeps nothing. Each step is a projection of
+    its own, so no replacement is computed twice.
+    """
+    out, counts = df, []
+    for i, (name, pattern) in enumerate(rules.items()):
+        kept = "$1" if re.compile(pattern).groups else ""
+        n = F.coalesce(F.regexp_count(column, F.lit(pattern)), F.lit(0))
+        out = out.withColumns({f"_hits{i}": n, column: F.regexp_replace(column, pattern, kept + mark)})
+        counts.append(F.struct(F.lit(name).alias("key"), F.col(f"_hits{i}").alias("value")))
+    found = F.map_from_entries(F.filter(F.array(*counts), lambda e: e["value"] > 0))
+    return out.withColumn(hits, found).drop(*[f"_hits{i}" for i in range(len(rules))])
+
+
+#: Trailing words that mark a file as a version of another. Fixed values.
+VERSION_WORDS = (
+    "updated", "update", "new", "final", "latest", "current", "copy", "draft", "rev", "revised", "old", "backup", "bak", "v2", "v3", "temp", "working"
+)
 
 
 def file_stem(c: Column) -> Column:
-    """File name without folders, extension and trailing version marks, letters and digits only."""
-    name = F.regexp_replace(F.lower(F.substring_index(F.translate(c, "\\", "/"), "/", -1)), r"\.[a-z0-9]+$", "")
-    for _ in range(3):  # "report v2 (1) final": each pass drops one mark
-        name = F.regexp_replace(name, r"[\s_.-]*(\(\d+\)|v\d+|final|copy|updated)$", "")
-    return F.regexp_replace(name, "[^a-z0-9]+", "")
+    """File name without folders, extension, trailing version words and then trailing numbers; letters and digits only.
+
+    Any number of marks goes; a name that is a number stays.
+    """
+    name = F.regexp_replace(F.lower(F.substring_index(F.translate(c, "\\", "/"), "/", -1)), r"(?<=.)\.[^.]+$", "")
+    words = F.trim(F.regexp_replace(name, "[^a-z0-9]+", " "))
+    asset = F.regexp_replace(words, rf"(^| )(?:{'|'.join(VERSION_WORDS)})(?: (?:{'|'.join(VERSION_WORDS)}))*$", "")
+    return F.replace(F.regexp_replace(asset, "( [0-9]+)+$", ""), F.lit(" "), F.lit(""))
 
 
 def safe_name(c: Column) -> Column:
@@ -84,30 +119,39 @@ def safe_name(c: Column) -> Column:
 
 
 def formula_pattern(c: Column) -> Column:
-    """Formula with relative rows as {r}; text in double quotes and $-absolute rows stay.
+    """Formula with the row of every cell reference, relative or absolute, as {r}."""
+    return F.regexp_replace(strip_all(c), r"(\$?[A-Z]{1,3})\$?(\d+)", "$1{r}")
 
-    A text literal never holds an unpaired quote, so a reference lies outside
-    literals if an even number of quotes follows it.
-    """
-    outside = r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    return F.regexp_replace(c, rf"(?<![A-Za-z0-9_.])(\$?[A-Z]{{1,3}})([0-9]+)\b(?!\(){outside}", "$1{r}")
+
+def _distinct_matches(c: Column, pattern: str, group: int = 0) -> Column:
+    return F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), F.lit(group))))
 
 
 def formula_functions(c: Column) -> Column:
-    """Distinct names called in a formula, sorted."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit(r"([A-Z][A-Z0-9.]*)\("), F.lit(1))))
+    """Distinct names of two letters or more that are called in a formula, sorted."""
+    return _distinct_matches(c, r"\b([A-Z][A-Z0-9._]+)\s*\(", 1)
+
+
+def formula_columns(c: Column) -> Column:
+    """Distinct whole-column ranges, sorted."""
+    return _distinct_matches(c, r"\$?[A-Z]{1,3}:\$?[A-Z]{1,3}\b")
+
+
+def formula_errors(c: Column) -> Column:
+    """Distinct error literals in a formula's text, sorted: references that were destroyed."""
+    return _distinct_matches(c, r"#(?:REF!|NAME\?|VALUE!|DIV/0!|NULL!|NUM!)")
 
 
 def formula_sheets(c: Column) -> Column:
     """Distinct sheets that a formula refers to, sorted; #REF! is none."""
-    quoted = F.regexp_extract_all(c, F.lit(r"'([^']+)'!"), F.lit(1))
-    plain = F.regexp_extract_all(c, F.lit(r"(?<![#A-Za-z0-9_.'])([A-Za-z_][A-Za-z0-9_.]*)!"), F.lit(1))
+    quoted = F.regexp_extract_all(c, F.lit(r"'([^']+)'\s*!"), F.lit(1))
+    plain = F.regexp_extract_all(c, F.lit(r"(?<![#A-Za-z0-9_.'])([A-Za-z_][A-Za-z0-9_.]*)\s*!"), F.lit(1))
     return F.array_sort(F.array_distinct(F.concat(quoted, plain)))
 
 
 def is_literal(c: Column) -> Column:
     """Whether a cell's text is a number or a quoted text rather than a computation."""
-    return c.rlike(r'^=?\s*([+-]?\d+(\.\d+)?%?|"[^"]*")\s*$')
+    return c.rlike(r'^\s*=?\s*("([^"]|"")*"|-?[\d.,]+%?)\s*$')
 
 
 def first_rule(c: Column, rules: Mapping[str, str], default: str | None = None) -> Column:

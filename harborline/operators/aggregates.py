@@ -14,8 +14,12 @@ def total(c: Column, zero_fill: bool = False) -> Column:
 
 
 def exact_total(c: Column, places: int = 4) -> Column:
-    """Sum of doubles as decimals, so that the result doesn't depend on the order of rows."""
-    return F.sum(c.cast(f"decimal(18,{places})")).cast("double")
+    """Sum of doubles as decimals of ``places`` decimals, so that the result doesn't depend on the order of rows.
+
+    Whole digits may be 38 - ``places``; a value or a sum beyond that, or one
+    that isn't finite, makes the sum null instead of failing the job.
+    """
+    return F.try_sum(c.try_cast(f"decimal(38,{places})")).cast("double")
 
 
 def first_known(c: Column, *order: Column) -> Column:
@@ -38,10 +42,10 @@ def max_if(cond: Column, c: Column) -> Column:
 
 
 def dominant(df: DataFrame, by: Sequence[str], value: str, order: str) -> DataFrame:
-    """Each group's most frequent value (ties: the earliest by ``order``), cells and share."""
+    """Each group's most frequent value (ties: the earliest by ``order``, then the smaller), cells and share."""
     counted = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("at"))
     return counted.groupBy(*by).agg(
-        F.min_by(F.struct(value, "n"), F.struct(-F.col("n"), F.col("at"))).alias("top"),
+        F.min_by(F.struct(value, "n"), F.struct(-F.col("n"), F.col("at"), F.col(value))).alias("top"),
         F.sum("n").alias("cells"),
         F.count(F.lit(1)).alias("patterns"),
     ).select(*by, F.col(f"top.{value}").alias(value), "cells", "patterns", (F.col("top.n") / F.col("cells")).alias("share"))

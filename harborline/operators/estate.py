@@ -12,21 +12,24 @@ from ..functions import text
 from .aggregates import dominant
 
 
-def upstream_identity(source: Column) -> Column:
+def upstream_identity(source: Column, kind: str = "name") -> Column:
     """One name for one upstream however it is written.
 
-    A media id in the address is the identity; else SharePoint by its path
-    without query, other web addresses by host and path, files by lower name.
+    The media id of a file-cabinet address (``media.nl?...id=``) is the
+    identity, whatever token goes with it; else a team site or other web
+    address without query, else a path's file name, else ``kind`` and the text.
     """
-    media = F.regexp_extract(source, r"(?i)[?&](?:id|mediaid)=(\d+)", 1)
-    bare = F.regexp_replace(F.lower(F.regexp_replace(source, r"[?#].*$", "")), "/+$", "")
-    path = F.regexp_replace(bare, "^[a-z]+://", "")
-    name = F.substring_index(F.translate(bare, "\\", "/"), "/", -1)
+    whole = text.strip_all(source)
+    low = F.lower(whole)
+    media = F.regexp_extract(whole, r'(?i)media\.nl\?[^"]*?\bid=(\d+)', 1)
+    bare = F.regexp_replace(low, r"[?#].*$", "")
+    name = F.substring_index(F.regexp_replace(F.translate(low, "\\", "/"), "/+$", ""), "/", -1)
     return (
         F.when(media != "", F.concat(F.lit("media:"), media))
-        .when(F.contains(bare, F.lit("sharepoint")), F.concat(F.lit("sharepoint:"), path))
-        .when(bare.rlike("^https?://"), F.concat(F.lit("web:"), path))
-        .otherwise(F.concat(F.lit("file:"), name))
+        .when(F.contains(low, F.lit("sharepoint.com")), F.concat(F.lit("sharepoint:"), bare))
+        .when(low.rlike("^https?://"), F.concat(F.lit("web:"), bare))
+        .when(low.rlike(r"[\\/]"), F.concat(F.lit("file:"), F.when(name != "", name).otherwise(low)))
+        .otherwise(F.concat(F.lit(f"{kind}:"), low))
     )
 
 
@@ -34,12 +37,12 @@ def assign_roles(scores: DataFrame, sheet: str, header: str, role: str, score: s
     """Greedy one-to-one roles: within a sheet the best score is fixed first, then the best of what is left.
 
     A sheet has as many rows as it has headers times roles, so it fits a task.
-    Ties go to the smaller header, then role.
+    Ties go to the smaller role, then header.
     """
 
     def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
         taken_h, taken_r, out = set(), set(), []
-        for row in pdf.sort_values([score, header, role], ascending=[False, True, True]).itertuples(index=False):
+        for row in pdf.sort_values([score, role, header], ascending=[False, True, True]).itertuples(index=False):
             h, r = getattr(row, header), getattr(row, role)
             if h not in taken_h and r not in taken_r:
                 taken_h.add(h)
@@ -90,3 +93,14 @@ def formula_map(cells: DataFrame, least_formulas: int = 100, least_cells: int =
     top = dominant(f, ["path", "sheet", "col"], "pattern", "row")
     odd = (F.col("cells") >= least_cells) & (F.col("share") < consistent) & ~text.is_literal(F.col("pattern"))
     return top.withColumn("suspicious", odd)
+
+
+def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, change): rows ``added``, ``removed`` or ``changed`` between two snapshots with one row a key.
+
+    All other columns of ``after`` are compared, by digests: no content is joined.
+    """
+    rest = [c for c in after.columns if c not in keys]
+    digest = lambda df, name: df.select(*keys, F.sha2(F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}), 256).alias(name))
+    both = digest(after, "_now").join(digest(before, "_then"), list(keys), "full").where(~F.col("_now").eqNullSafe(F.col("_then")))
+    return both.select(*keys, F.when(F.col("_then").isNull(), "added").when(F.col("_now").isNull(), "removed").otherwise("changed").alias("change"))

@@ -1,8 +1,8 @@
 """Comparison of query definitions that read the same upstream; lineage of files.
 
 A profile is one row: label, upstream, options map, measures (array of
-struct<name, signature>), keys (array of struct<name, normalizers>), grain and
-filters (arrays). Findings come from one self-join by upstream.
+struct<name, signature>), keys (array of struct<name, normalizers, expression>),
+grain, filters and outputs (arrays; outputs are all columns it gives). Findings come from one self-join by upstream.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from .joins import pairs_in_group
 
 PROFILE = (
     "label string, workbook string, upstream string, options map<string,string>, measures array<struct<name:string,signature:string>>, "
-    "keys array<struct<name:string,normalizers:array<string>>>, grain array<string>, filters array<string>"
+    "keys array<struct<name:string,normalizers:array<string>,expression:string>>, grain array<string>, filters array<string>, outputs array<string>"
 )
 _SPACE = r"\s+"
 
@@ -47,17 +47,19 @@ def findings(profiles: DataFrame) -> DataFrame:
 
     keys = pair.select("l", "r", F.explode("l.keys").alias("k")).select("l", "r", "k", F.explode("r.keys").alias("j")).where(F.col("k.name") == F.col("j.name"))
     text = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
-    norm = _finding(keys.where(text(F.col("k.normalizers")) != text(F.col("j.normalizers"))), "key_normalization", "blocking", F.col("k.name"), text(F.col("k.normalizers")), text(F.col("j.normalizers")))
+    plain = lambda c: F.trim(F.regexp_replace(c, _SPACE, " "))
+    made = lambda k: F.coalesce(plain(F.col(f"{k}.expression")), F.lit(""))
+    apart = text(F.col("k.normalizers")) != text(F.col("j.normalizers"))
+    norm = _finding(keys.where(apart | (made("k") != made("j"))), "key_normalization", F.when(apart, "blocking").otherwise("warning"), F.col("k.name"), made("k"), made("j"))
     known = lambda s: F.transform(F.col(f"{s}.keys"), lambda v: v["name"])
-    made = lambda s: F.concat(known(s), F.transform(F.col(f"{s}.measures"), lambda v: v["name"]), F.col(f"{s}.grain"))
-    lost_r = pair.select("l", "r", F.explode(F.array_except(known("l"), made("r"))).alias("k"))
-    lost_l = pair.select("l", "r", F.explode(F.array_except(known("r"), made("l"))).alias("k"))
+    lost_r = pair.select("l", "r", F.explode(F.array_except(F.array_except(known("l"), known("r")), F.col("r.outputs"))).alias("k"))
+    lost_l = pair.select("l", "r", F.explode(F.array_except(F.array_except(known("r"), known("l")), F.col("l.outputs"))).alias("k"))
     missing = _finding(lost_r, "key_missing", "warning", F.col("k"), F.lit("derived"), none).union(_finding(lost_l, "key_missing", "warning", F.col("k"), none, F.lit("derived")))
 
     lg, rg = text(F.col("l.grain")), text(F.col("r.grain"))
     grain = _finding(pair.where(lg != rg), "grain", "warning", none, lg, rg)
-    plain = lambda s: text(F.transform(F.col(f"{s}.filters"), lambda x: F.regexp_replace(x, _SPACE, " ")))
-    filters = _finding(pair.where(plain("l") != plain("r")), "filter", "warning", none, plain("l"), plain("r"))
+    rows = lambda s: text(F.transform(F.col(f"{s}.filters"), plain))
+    filters = _finding(pair.where(rows("l") != rows("r")), "filter", "warning", none, rows("l"), rows("r"))
     out = parse
     for f in (measure, naming, norm, missing, grain, filters):
         out = out.union(f)

@@ -4,20 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import estate, reconcile
-from .analysis import profiles
+from ..operators import estate
 from .base import query, table
 
 
-@query(r"""SELECT page_id, 'web:' || regexp_replace(regexp_replace(regexp_replace(lower(url), '[?#].*$', ''), '/+$', ''), '^[a-z]+://', '') AS upstream FROM pages""")
-def upstream_identity(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", estate.upstream_identity(F.col("url")).alias("upstream"))
+#: A page's address as it is, and as a media file, a team site's file, a path and a name.
+_ADDRESS = ("url", "media", "site", "path", "name")
 
 
-@query("""SELECT * FROM (VALUES ('s1', 'Item', 'sku', 0.9::DOUBLE), ('s1', 'Part', 'part', 0.5), ('s2', 'Item', 'part', 0.8)) t(sheet, header, role, score)""")
-def greedy_roles(spark, sf_dir):
-    rows = [("s1", "Item", "sku", 0.9), ("s1", "Part", "sku", 0.85), ("s1", "Part", "part", 0.5), ("s1", "Item", "part", 0.7), ("s2", "Item", "part", 0.8), ("s2", "Item", "sku", 0.8)]
-    return estate.assign_roles(spark.createDataFrame(rows, "sheet string, header string, role string, score double"), "sheet", "header", "role", "score")
+@query(r"""WITH u AS (
+  SELECT page_id, unnest(['url', 'media', 'site', 'path', 'name']) AS kind, unnest([url, 'https://' || page_id % 9 || '.app.example.com/core/media/media.nl?c=1&ID=' || page_id % 20 || '&h=' || md5(url),
+    'https://team.SharePoint.com/' || page_id % 5 || '/Book.xlsx?web=' || page_id, '\\\\srv\Share' || page_id || '\Plan ' || page_id % 7 || '.XLSX', 'Table' || page_id % 3]) AS address FROM pages)
+SELECT page_id, kind, CASE kind WHEN 'media' THEN 'media:' || page_id % 20 WHEN 'site' THEN 'sharepoint:https://team.sharepoint.com/' || page_id % 5 || '/book.xlsx'
+  WHEN 'path' THEN 'file:plan ' || page_id % 7 || '.xlsx' WHEN 'name' THEN 'query:table' || page_id % 3 ELSE 'web:' || regexp_replace(lower(address), '[?#].*$', '') END AS upstream FROM u""")
+def upstream_identity(spark, sf_dir):
+    k = F.col("page_id")
+    media = F.concat(F.lit("https://"), k % 9, F.lit(".app.example.com/core/media/media.nl?c=1&ID="), k % 20, F.lit("&h="), F.md5("url"))
+    site = F.concat(F.lit("https://team.SharePoint.com/"), k % 5, F.lit("/Book.xlsx?web="), k)
+    path = F.concat(F.lit("\\\\srv\\Share"), k, F.lit("\\Plan "), k % 7, F.lit(".XLSX"))
+    given = dict(zip(_ADDRESS, (F.col("url"), media, site, path, F.concat(F.lit("Table"), k % 3)), strict=True))
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("kind"), c.alias("address")) for n, c in given.items()])).alias("a")
+    return table(spark, sf_dir, "pages").select("page_id", each).select("page_id", "a.kind", estate.upstream_identity(F.col("a.address"), "query").alias("upstream"))
 
 
 @query("""SELECT user_id, count(*) AS rows_, count(*) FILTER (value > 150) AS valued, count(*) >= 10 AND count(*) FILTER (value > 150) < 0.1 * count(*) AS bloated FROM events GROUP BY 1""")
@@ -32,32 +39,26 @@ def source_priority(spark, sf_dir):
     return estate.work_order(e, "failed", "risk", "rows_", "user_id")
 
 
-@query("""SELECT * FROM (VALUES ('blocking', 5::BIGINT), ('info', 1), ('warning', 6)) t(severity, n)""")
-def finding_severity(spark, sf_dir):
-    f = reconcile.findings(profiles(spark)).groupBy("severity").agg(F.count(F.lit(1)).alias("n"))
-    return estate.finding_order(f, "severity", "n")
-
-
-@query("""SELECT r_name, coalesce((SELECT string_agg(n_name, ',' ORDER BY n_nationkey) FROM nation WHERE n_regionkey = r_regionkey AND n_nationkey > 3), '') AS members FROM region""")
+@query("""SELECT r_name, coalesce((SELECT string_agg(n_name, ',' ORDER BY n_nationkey) FROM nation WHERE n_regionkey = r_regionkey), '') AS members FROM region""")
 def nested_join(spark, sf_dir):
     r = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    n = table(spark, sf_dir, "nation").where("n_nationkey > 3")
+    n = table(spark, sf_dir, "nation")
     return estate.nest(r, n, "n_regionkey", "members", ["n_nationkey"]).select("r_name", F.array_join(F.transform("members", lambda m: m["n_name"]), ",").alias("members"))
 
 
-@query("""WITH m AS (SELECT o_custkey, list(o_totalprice ORDER BY o_orderkey) AS a FROM orders GROUP BY 1)
-SELECT o_custkey, len(list_filter(a, lambda x: x > 100000))::INTEGER AS large, list_filter(a, lambda x: x > 100000)[1] AS first_large FROM m""")
+@query("""SELECT o_custkey, count(*) FILTER (o_totalprice > 100000) AS large, min_by(o_totalprice, o_orderkey) FILTER (o_totalprice > 100000) AS first_large FROM orders GROUP BY 1""")
 def spill_filter(spark, sf_dir):
-    """Array filter and first element of a group's values."""
-    o = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_totalprice"))).alias("a"))
-    large = F.filter("a", lambda x: x["o_totalprice"] > 100000)
-    return o.select("o_custkey", F.size(large).alias("large"), F.get(large, 0)["o_totalprice"].alias("first_large"))
-
-
-@query("""SELECT 'book' AS path, 'Data' AS sheet, col, pattern, cells, patterns, share, suspicious FROM (VALUES ('C', '=SUMIFS(Stock!$D$2:$D$900,Stock!$A$2:$A$900,$A{r})', 500::BIGINT, 2::BIGINT, 0.96::DOUBLE, true), ('D', '=1.5', 500, 1, 1.0, false)) t(col, pattern, cells, patterns, share, suspicious)""")
-def formula_map(spark, sf_dir):
-    from .analysis import formula_cells
-
-    cells = formula_cells(spark).select(F.lit("book").alias("path"), F.lit("Data").alias("sheet"), "row", "col", "formula")
-    few = spark.createDataFrame([("book", "Small", 1, "A", "=B1")], "path string, sheet string, row int, col string, formula string")
-    return estate.formula_map(cells.union(few))
+    """How many of a customer's orders are large, and the first of them: aggregates, no list of all orders."""
+    large = F.col("o_totalprice") > 100000
+    first = F.min_by("o_totalprice", F.when(large, F.col("o_orderkey")))
+    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count_if(large).alias("large"), F.when(F.count_if(large) > 0, first).alias("first_large"))
+
+
+@query("""SELECT o_custkey, o_orderkey, len(list_filter(d, lambda x: x > 0.05))::INTEGER AS discounted, list_filter(d, lambda x: x > 0.05)[1] AS first_discount
+FROM (SELECT l_orderkey, list(l_discount ORDER BY l_discount) AS d FROM lineitem GROUP BY 1) JOIN orders ON l_orderkey = o_orderkey""")
+def array_filter(spark, sf_dir):
+    """Array filter and first element over the lines of an order."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list("l_discount")).alias("d"))  # an order's own lines
+    o = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    some = F.filter("d", lambda x: x > 0.05)
+    return o.select("o_custkey", "o_orderkey", F.size(some).alias("discounted"), F.get(some, 0).alias("first_discount"))

@@ -52,16 +52,56 @@ def test_header_tokens(spark):
 
 
 def test_redact_runs_rules_in_turn(spark):
-    df = spark.createDataFrame([("see https://h/x?h=abc123&q=1 and h=zz9",)], "t string")
-    body, hits = text.redact(F.col("t"), [r"([?&]h=)[a-z0-9]+", r"(\bh=)[a-z0-9]+"])
-    assert tuple(df.select(body, hits).first()) == ("see https://h/x?h=<REDACTED>&q=1 and h=<REDACTED>", 2)
+    df = spark.createDataFrame([("see https://h/x?h=abc123&q=1 and h=zz9 secret",), (None,)], "t string")
+    rules = {"link": r"([?&]h=)[a-z0-9]+", "bare": r"(\bh=)[a-z0-9]+", "word": "secret", "none": "qqq"}
+    got = text.redact(df, "t", rules).collect()
+    assert (got[0].t, got[0].hits) == ("see https://h/x?h=<REDACTED>&q=1 and h=<REDACTED> <REDACTED>", {"link": 1, "bare": 1, "word": 1})
+    assert (got[1].t, got[1].hits) == (None, {})
 
 
-def test_formula_pattern_keeps_text_and_absolute_rows(spark):
-    got = one(spark, '=IF(A12>0,"B2C",SUM($C$2:D12))', text.formula_pattern)
-    assert got == '=IF(A{r}>0,"B2C",SUM($C$2:D{r}))'
+def test_default_redaction_keeps_what_may_be_seen(spark):
+    rows = [
+        "https://x/media.nl?id=5&h=abcdEFGH_-12", "ftp://me:hunter22@host/p", "https://b/c?sig=abcdefghij%3D&x=1", "a?Token=s3cr3t-value&z=1",
+        "Authorization: bearer abcdefghijklmnop.q", "Server=x;Password = p4ss;Uid=someone", "?key=short",
+    ]
+    got = text.redact(spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, t string"), "t").orderBy("i").collect()
+    assert [r.t for r in got] == [
+        "https://x/media.nl?id=5&h=<REDACTED>", "ftp://me:<REDACTED>@host/p", "https://b/c?sig=<REDACTED>&x=1", "a?Token=<REDACTED>&z=1",
+        "Authorization: bearer <REDACTED>", "Server=x;Password =<REDACTED>;Uid=<REDACTED>", "?key=short",
+    ]
+    assert [list(r.hits.items()) for r in got] == [
+        [("media_token", 1)], [("embedded_credentials", 1)], [("signature", 1)], [("api_key", 1)], [("bearer_token", 1)], [("connection_secret", 2)], []
+    ]
 
 
-@pytest.mark.parametrize("a,b", [("dir/Stock Report v1.xlsx", "Stock_Report (2).xlsm"), ("plan.xlsx", "Plan final.xlsx")])
-def test_file_stem(spark, a, b):
-    assert one(spark, a, text.file_stem) == one(spark, b, text.file_stem)
+def test_formula_pattern_folds_all_rows(spark):
+    assert one(spark, "=IF(A12>0,SUM($C$2:D12)) ", text.formula_pattern) == "=IF(A{r}>0,SUM($C{r}:D{r}))"
+
+
+def test_formula_parts(spark):
+    f = "=N(A1)+T.INV_2T (0.5)*SUM('Lead Times'!C:C,Stock!$A:$B)+IF(#REF!A1,#DIV/0!,1)"
+    assert one(spark, f, text.formula_functions) == ["IF", "SUM", "T.INV_2T"]
+    assert one(spark, f, text.formula_columns) == ["$A:$B", "C:C"]
+    assert one(spark, f, text.formula_errors) == ["#DIV/0!", "#REF!"]
+    assert one(spark, f, text.formula_sheets) == ["Lead Times", "Stock"]
+
+
+@pytest.mark.parametrize("cell,want", [('"a ""b"" (c)"', True), ("=1.5", True), ("-1,200.5%", True), ("=A1", False), ("A", False)])
+def test_is_literal(spark, cell, want):
+    assert one(spark, cell, text.is_literal) is want
+
+
+@pytest.mark.parametrize(
+    "name,want",
+    [
+        ("dir/Stock Report v2.xlsx", "stockreport"), ("Stock_Report (2).xlsm", "stockreport"), ("Plan 2026.xlsx", "plan"), ("2026.xlsx", "2026"),
+        ("Plan - Updated - final - copy - v2.xlsx", "plan"), ("Request HIE .xlsm", "requesthie"), ("a\\b\\c new rev 7 8.csv", "cnewrev"), ("final.xlsx", ""), ("v1.x", "v1"),
+    ],
+)
+def test_file_stem(spark, name, want):
+    assert one(spark, name, text.file_stem) == want
+
+
+@pytest.mark.parametrize("glob,name,want", [("*[0-9]?.XLS*", "a17.xlsx", True), ("[!a]*", "abc", False), ("[!a]*", "bbc", True), ("a.b", "axb", False), ("*(1)*", "x (1).csv", True)])
+def test_globs(spark, glob, name, want):
+    assert one(spark, name, lambda c: text.matches_any(c, [glob])) is want

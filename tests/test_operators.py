@@ -115,6 +115,26 @@ def test_union_ragged_and_unpivot(spark):
 
 
 def test_identical_queries_have_no_findings(spark):
-    row = ("a", "w", "u", {"Columns": "3"}, [("Q", "sum([x])")], [("k", ["trim"])], ["k"], ["f"])
+    row = ("a", "w", "u", {"Columns": "3"}, [("Q", "sum([x])")], [("k", ["trim"], "Text.Trim([k])")], ["k"], ["f"], ["k"])
     df = spark.createDataFrame([row, ("b", *row[1:])], reconcile.PROFILE)
     assert reconcile.findings(df).count() == 0
+
+
+def test_keys_of_query_definitions(spark):
+    """Other normalisers block, another expression warns, a key that the other side outputs is not missing."""
+    row = lambda label, keys, outputs: (label, "w", "u", {}, [], keys, [], [], outputs)
+    profiles = [
+        row("a", [("k", ["trim"], "Text.Trim([k])"), ("m", [], "[m]")], []), row("b", [("k", ["trim"], "Text.Trim([j])")], ["m"]),
+        row("c", [("k", [], "[k]")], []),
+    ]
+    got = {(r.left_label, r.right_label, r.kind, r.severity, r.subject) for r in reconcile.findings(spark.createDataFrame(profiles, reconcile.PROFILE)).collect()}
+    assert got == {
+        ("a", "b", "key_normalization", "warning", "k"), ("a", "c", "key_normalization", "blocking", "k"), ("b", "c", "key_normalization", "blocking", "k"),
+        ("a", "c", "key_missing", "warning", "m"),
+    }
+
+
+def test_exact_total_keeps_digits_and_survives_any_number(spark):
+    rows = [(1, 0.12345), (1, 0.00001), (2, 1e18), (2, 1.0), (3, float("nan")), (4, None)]
+    got = {r.k: r.s for r in spark.createDataFrame(rows, "k int, x double").groupBy("k").agg(aggregates.exact_total(F.col("x"), 5).alias("s")).collect()}
+    assert got == {1: 0.12346, 2: 1e18 + 1, 3: None, 4: None}
