@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import functools
 import sys
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .operators import entities, gates
@@ -28,34 +30,55 @@ def discover(args) -> int:
 def extract(args) -> int:
     """Read exports, build entities, check all gates, publish all or nothing.
 
-    Gates of every source are evaluated before any table is written. A blocked
-    or partly failed run exits with 2, forced or not.
+    Gates of every source, and those over several of them, are evaluated
+    before any table is written. A blocked or partly failed run exits with 2,
+    forced or not. Every entity is computed whole, once, before its gates, so
+    an error in any row is an error of its source.
     """
     spark = session()
     now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    built, failed, verdicts, exceptions = {}, [], None, None
+    built, frames, failed, cached = {}, {}, [], []
+    try:
+        return _extract(args, spark, now, built, frames, failed, cached)
+    finally:  # another run may read changed files under the same names
+        for df in cached:
+            df.unpersist()
+
+
+def _extract(args, spark, now, built, frames, failed, cached) -> int:
+    def keep(df: DataFrame) -> DataFrame:
+        cached.append(df.persist())
+        df.count()
+        return df
+
     for c in contracts.load(args.contracts):
         if c.slug not in entities.BUILDERS:
             continue
         path = exports.local_path(args.drop, c.slug)
         try:
-            rows = exports.read_export(spark, path, c).frame
+            rows = keep(exports.read_export(spark, path, c).frame)
             extra = [spark.read.parquet(args.locations)] if c.slug == "inventory" else []
             one = entities.BUILDERS[c.slug](rows, *extra)
-            one.frame.limit(1).count()
+            frame = keep(sinks.stamp(one.frame, c.slug, path, now))
         except Exception as e:
             failed.append(f"{c.slug}: {type(e).__name__}: {e}")
             continue
-        built[c.slug] = sinks.stamp(one.frame, c.slug, path, now).persist()
-        verdicts = one.verdicts if verdicts is None else verdicts.union(one.verdicts)
-        exceptions = one.exceptions() if exceptions is None else exceptions.unionByName(one.exceptions(), allowMissingColumns=True)
+        built[c.slug], frames[c.slug] = one, frame
     for line in failed:
         print(line, file=sys.stderr)
     if not built:
         return 2
+    given = lambda path: spark.read.parquet(path) if path else None
+    crossed = entities.cross_checks(built, given(args.items), given(args.precedence), given(args.crosswalk))
+    verdicts = functools.reduce(DataFrame.unionByName, [one.verdicts for one in built.values()] + ([crossed] if crossed is not None else []))
+    verdicts = keep(verdicts)
+    exceptions = gates.exceptions(verdicts)
+    for one in built.values():
+        if one.conflicts is not None:
+            exceptions = exceptions.unionByName(one.conflicts, allowMissingColumns=True)
     ok = gates.may_publish(verdicts)
     if ok or args.force:
-        sinks.publish(built | {"exceptions": exceptions}, args.warehouse, args.run_id)
+        sinks.publish(frames | {"exceptions": exceptions}, args.warehouse, args.run_id)
     return 0 if ok and not failed else 2
 
 
@@ -86,7 +109,8 @@ def parser() -> argparse.ArgumentParser:
     e = sub.add_parser("extract")
     for name in ("contracts", "drop", "warehouse", "run-id"):
         e.add_argument(f"--{name}", required=True)
-    e.add_argument("--locations")
+    for name in ("locations", "items", "crosswalk", "precedence"):
+        e.add_argument(f"--{name}", help="a Parquet table")
     e.add_argument("--force", action="store_true")
     e.set_defaults(run=extract)
     q = sub.add_parser("query")

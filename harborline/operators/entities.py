@@ -111,6 +111,31 @@ def allocation(export: DataFrame, channels: dict[str, str] | None = None) -> Ent
 BUILDERS: dict[str, Callable[..., EntityBuild]] = {"inventory": inventory_onhand, "open_po": open_po, "allocation": allocation}
 
 
+def cross_checks(built: dict[str, EntityBuild], items: DataFrame | None = None, precedence: DataFrame | None = None, crosswalk: DataFrame | None = None) -> DataFrame | None:
+    """Verdicts of the gates that look at several entities, those for which all that they need is there."""
+    out = []
+    if items is not None:
+        for name, one in built.items():
+            bad = gates.orphans(one.frame, items, "sku", crosswalk)
+            out.append(gates.verdict(bad, one.frame.select("sku").distinct(), name, name, "orphan_sku", "sku is no item"))
+    if "allocation" in built and "inventory" in built:
+        supplies = [(built["inventory"].frame, "on_hand")]
+        if "open_po" in built:
+            supplies.append((built["open_po"].frame.where("not is_closed"), "qty_remaining"))
+        given = built["allocation"].frame
+        bad = gates.over_allocated(given, supplies, "sku", "qty_allocated")
+        out.append(gates.verdict(bad, given.select("sku").distinct(), "allocation", "allocation", "allocation_over_supply", "more is allocated than there is"))
+    if precedence is not None:
+        for name, one in built.items():
+            if one.conflicts is not None:
+                bad = gates.unresolved(one.conflicts, precedence)
+                out.append(gates.verdict(bad, one.conflicts, name, name, "unresolved_conflict", "no rule says which side wins"))
+    every = None
+    for v in out:
+        every = v if every is None else every.unionByName(v)
+    return every
+
+
 def percentiles(df: DataFrame, by: Sequence[str], value: str, approximate: bool = False) -> DataFrame:
     """Median and 90th percentile of a value by group; approximate in one pass with bounded state."""
     f = F.percentile_approx if approximate else F.percentile

@@ -85,6 +85,81 @@ def unique_grain(df: DataFrame, source: str, entity: str, grain: Sequence[str])
     )
 
 
+def verdict(failing: DataFrame, checked: DataFrame, source: str, entity: str, name: str, message: str, severity: str = BLOCKING) -> DataFrame:
+    """One verdict row for a gate whose offenders are a frame: how many there are, of how many checked."""
+    n = lambda df, c: df.agg(F.count(F.lit(1)).alias(c))
+    return n(failing, "failed").crossJoin(n(checked, "checked")).select(  # one row each
+        F.lit(f"{source}:{entity}:{name}").alias("exception_id"), F.lit(name).alias("gate"), F.lit(severity).alias("severity"),
+        "failed", "checked", (F.col("failed") == 0).alias("passed"), F.lit(message).alias("message"),
+    )
+
+
+def orphans(facts: DataFrame, items: DataFrame, key: str, crosswalk: DataFrame | None = None) -> DataFrame:
+    """(key, n_rows): keys of the facts that ``items`` lacks, after ``crosswalk`` (key, mapped) has renamed them.
+
+    A null key is no orphan: ``no_null_keys`` is for that. Rows are counted
+    before the join, so a frequent key is one row there.
+    """
+    counted = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    named = counted.withColumn("_name", F.col(key))
+    if crosswalk is not None:
+        named = counted.join(crosswalk.select(F.col(key), F.col("mapped").alias("_mapped")), key, "left").select(key, "n_rows", F.coalesce("_mapped", key).alias("_name"))
+    return named.join(items.select(F.col(key).alias("_name")).distinct(), "_name", "left_anti").select(key, "n_rows")
+
+
+def stale(snapshots: DataFrame, source: str, as_of: str, today: Column, most_days: int = 7) -> DataFrame:
+    """(source, data_as_of, age_days, stale) by source; a source without any date has an unknown age and isn't stale."""
+    last = snapshots.groupBy(source).agg(F.max(as_of).cast("date").alias("data_as_of"))
+    age = F.datediff(today.cast("date"), "data_as_of")
+    return last.select(source, "data_as_of", age.alias("age_days"), F.coalesce(age > most_days, F.lit(False)).alias("stale"))
+
+
+def _blank(c: str) -> Column:
+    return F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == "")
+
+
+def incomplete_transit(lines: DataFrame, container: str = "container", eta: str = "eta") -> DataFrame:
+    """Lines in transit with neither a container nor an expected arrival."""
+    return lines.where(_blank(container) & F.col(eta).isNull())
+
+
+def over_allocated(allocated: DataFrame, supplies: Sequence[tuple[DataFrame, str]], key: str, quantity: str) -> DataFrame:
+    """(key, allocated, supply): keys with more allocated than all supplies hold together.
+
+    ``supplies`` are frames with their quantity columns, say stock, in transit
+    and on order. Each is summed by key before they meet.
+    """
+    parts = [allocated.select(key, F.col(quantity).alias("allocated"), F.lit(0).alias("supply"))]
+    parts += [df.select(key, F.lit(0).alias("allocated"), F.col(c).alias("supply")) for df, c in supplies]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    return every.groupBy(key).agg(total("allocated"), total("supply")).where("allocated > supply")
+
+
+def unit_mismatches(lines: DataFrame, key: str, unit: str, quantities: Sequence[str]) -> DataFrame:
+    """(key, units, undeclared): keys with more than one unit of measure, or with quantities that have none."""
+    some = F.lit(False)
+    for c in quantities:
+        some = some | F.col(c).isNotNull()
+    found = lines.groupBy(key).agg(F.countDistinct(F.upper(F.trim(F.col(unit)))).alias("units"), F.count_if(some & _blank(unit)).alias("undeclared"))
+    return found.where("units > 1 or undeclared > 0")
+
+
+def undeclared_money(rows: DataFrame, amounts: Sequence[str], currency: str) -> DataFrame:
+    """Rows with an amount and no currency."""
+    some = F.lit(False)
+    for c in amounts:
+        some = some | F.col(c).isNotNull()
+    return rows.where(some & _blank(currency))
+
+
+def unresolved(conflicts: DataFrame, precedence: DataFrame, rule: str = "gate") -> DataFrame:
+    """Conflicts whose ``rule`` has no entry in ``precedence``, which says which side wins."""
+    return conflicts.join(precedence.select(rule).distinct(), rule, "left_anti")
+
+
 def offenders(df: DataFrame, bad: Column, order: Sequence[str], n: int = 5) -> DataFrame:
     """A few rows that offend, the same ones each time."""
     return df.where(bad).orderBy(*order).limit(n)

@@ -145,12 +145,12 @@ def exceptions_union(spark, sf_dir):
 def wide_allocation(spark, sf_dir):
     """One row a part with a quantity column for each return flag, one of them often null."""
     l = table(spark, sf_dir, "lineitem")
-    qty = lambda f: F.sum(F.when(F.col("l_returnflag") == f, F.col("l_quantity").cast("long"))).alias(f)
-    return l.where("l_linenumber <= 2").groupBy("l_partkey").agg(*map(qty, "ANR"))
+    qty = lambda f: F.sum(F.when((F.col("l_returnflag") == f) & (F.col("l_linenumber") <= 2), F.col("l_quantity").cast("long"))).alias(f)
+    return l.groupBy("l_partkey").agg(*map(qty, "ANR"))
 
 
-_WIDE_SQL = """wide AS (SELECT l_partkey, sum(l_quantity::BIGINT) FILTER (l_returnflag = 'A')::BIGINT AS A, sum(l_quantity::BIGINT) FILTER (l_returnflag = 'N')::BIGINT AS N,
-  sum(l_quantity::BIGINT) FILTER (l_returnflag = 'R')::BIGINT AS R FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1)"""
+_WIDE_SQL = """wide AS (SELECT l_partkey, sum(l_quantity::BIGINT) FILTER (l_returnflag = 'A' AND l_linenumber <= 2)::BIGINT AS A, sum(l_quantity::BIGINT) FILTER (l_returnflag = 'N' AND l_linenumber <= 2)::BIGINT AS N,
+  sum(l_quantity::BIGINT) FILTER (l_returnflag = 'R' AND l_linenumber <= 2)::BIGINT AS R FROM lineitem GROUP BY 1)"""
 _LONG_SQL = "long AS (SELECT l_partkey, 'A' AS c, A AS q FROM wide UNION ALL SELECT l_partkey, 'N', N FROM wide UNION ALL SELECT l_partkey, 'R', R FROM wide)"
 
 
@@ -202,58 +202,69 @@ def gate_min_rows(spark, sf_dir):
     return full.union(empty).select(*_VERDICT)
 
 
-@query("""SELECT l_partkey AS sku, count(*) AS n_rows FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 2) GROUP BY 1""")
+@query("""WITH w AS (SELECT p_partkey AS sku, p_partkey + 1 AS mapped FROM part WHERE p_size = 1), k AS (SELECT p_partkey AS sku FROM part WHERE p_size > 2),
+n AS (SELECT l_partkey AS sku, count(*) AS n_rows FROM lineitem GROUP BY 1)
+SELECT n.sku, n_rows FROM n LEFT JOIN w USING (sku) WHERE coalesce(mapped, n.sku) NOT IN (SELECT sku FROM k)""")
 def gate_orphan_sku(spark, sf_dir):
-    known = table(spark, sf_dir, "part").where("p_size > 2").select(F.col("p_partkey").alias("sku"))
-    return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("sku")).join(known, "sku", "left_anti").groupBy("sku").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Small parts are no items; those of size 1 have the next part's name in the crosswalk."""
+    part = table(spark, sf_dir, "part")
+    known = part.where("p_size > 2").select(F.col("p_partkey").alias("sku"))
+    crosswalk = part.where("p_size = 1").select(F.col("p_partkey").alias("sku"), (F.col("p_partkey") + 1).alias("mapped"))
+    return gates.orphans(table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("sku")), known, "sku", crosswalk)
 
 
 @query("""SELECT event_type AS source, max(ts)::DATE AS data_as_of, date_diff('day', max(ts)::DATE, DATE '2024-02-15')::INTEGER AS age_days,
   date_diff('day', max(ts)::DATE, DATE '2024-02-15') > 7 AS stale FROM events GROUP BY 1""")
 def gate_stale_snapshot(spark, sf_dir, as_of: str = "2024-02-15", most_days: int = 7):
-    last = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("source")).agg(F.max("ts").cast("date").alias("data_as_of"))
-    age = F.datediff(F.lit(as_of).cast("date"), "data_as_of")
-    return last.select("source", "data_as_of", age.alias("age_days"), (age > most_days).alias("stale"))
+    e = table(spark, sf_dir, "events").withColumnRenamed("event_type", "source")
+    return gates.stale(e, "source", "ts", F.lit(as_of), most_days)
 
 
-@query("""SELECT l_partkey AS sku, count(DISTINCT CASE WHEN l_linenumber = 7 THEN 'CS' ELSE 'EA' END) AS uoms FROM lineitem GROUP BY 1 HAVING count(DISTINCT CASE WHEN l_linenumber = 7 THEN 'CS' ELSE 'EA' END) > 1""")
+@query("""SELECT l_partkey AS sku, count(DISTINCT u) AS units, count(*) FILTER (u IS NULL) AS undeclared FROM (SELECT l_partkey, CASE WHEN l_linenumber = 7 THEN 'CS' WHEN l_orderkey % 97 <> 0 THEN 'EA' END AS u FROM lineitem)
+GROUP BY 1 HAVING count(DISTINCT u) > 1 OR count(*) FILTER (u IS NULL) > 0""")
 def gate_uom_mismatch(spark, sf_dir):
-    uom = F.when(F.col("l_linenumber") == 7, "CS").otherwise("EA")
-    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("sku")).agg(F.countDistinct(uom).alias("uoms")).where("uoms > 1")
+    uom = F.when(F.col("l_linenumber") == 7, " cs").when(F.col("l_orderkey") % 97 != 0, F.when(F.col("l_linenumber") == 1, "ea").otherwise("EA "))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("sku"), "l_quantity", uom.alias("uom"))
+    return gates.unit_mismatches(lines, "sku", "uom", ["l_quantity"])
 
 
-@query("""SELECT l_partkey AS sku, coalesce(sum(l_quantity) FILTER (l_returnflag = 'R'), 0)::BIGINT AS allocated, coalesce(sum(l_quantity) FILTER (l_returnflag = 'A'), 0)::BIGINT AS on_hand,
-  coalesce(sum(l_quantity) FILTER (l_linestatus = 'O'), 0)::BIGINT AS inbound FROM lineitem GROUP BY 1
+@query("""SELECT l_partkey AS sku, coalesce(sum(l_quantity) FILTER (l_returnflag = 'R'), 0)::BIGINT AS allocated, coalesce(sum(l_quantity) FILTER (l_returnflag = 'A'), 0)::BIGINT
+  + coalesce(sum(l_quantity) FILTER (l_linestatus = 'O'), 0)::BIGINT AS supply FROM lineitem GROUP BY 1
 HAVING coalesce(sum(l_quantity) FILTER (l_returnflag = 'R'), 0) > coalesce(sum(l_quantity) FILTER (l_returnflag = 'A'), 0) + coalesce(sum(l_quantity) FILTER (l_linestatus = 'O'), 0)""")
 def gate_allocation_over_supply(spark, sf_dir):
-    q = lambda c: F.coalesce(F.sum(F.when(c, F.col("l_quantity").cast("long"))), F.lit(0))
-    by = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("sku")).agg(
-        q(F.col("l_returnflag") == "R").alias("allocated"), q(F.col("l_returnflag") == "A").alias("on_hand"), q(F.col("l_linestatus") == "O").alias("inbound")
-    )
-    return by.where("allocated > on_hand + inbound")
+    l = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("sku"), F.col("l_quantity").cast("long").alias("q"), "l_returnflag", "l_linestatus")
+    return gates.over_allocated(l.where("l_returnflag = 'R'"), [(l.where("l_returnflag = 'A'"), "q"), (l.where("l_linestatus = 'O'"), "q")], "sku", "q")
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, container IS NULL AND invoice IS NULL AS no_identity, eta IS NULL AS no_eta FROM (
-  SELECT *, CASE WHEN l_returnflag = 'A' THEN 'C1' END AS container, CASE WHEN l_linenumber < 4 THEN 'I1' END AS invoice, CASE WHEN l_linestatus = 'O' THEN l_shipdate END AS eta FROM lineitem)
-WHERE container IS NULL AND invoice IS NULL OR eta IS NULL""")
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_returnflag <> 'A' AND l_linestatus <> 'O'""")
 def gate_in_transit_complete(spark, sf_dir):
+    """Lines as shipments: a container where the flag is A, an arrival where the status is O."""
     l = table(spark, sf_dir, "lineitem")
-    container, invoice = F.when(F.col("l_returnflag") == "A", "C1"), F.when(F.col("l_linenumber") < 4, "I1")
-    eta = F.when(F.col("l_linestatus") == "O", F.col("l_shipdate"))
-    out = l.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (container.isNull() & invoice.isNull()).alias("no_identity"), eta.isNull().alias("no_eta"))
-    return out.where("no_identity or no_eta")
+    container = F.when(F.col("l_returnflag") == "A", "C1").when(F.col("l_returnflag") == "N", " ")
+    lines = l.withColumn("container", container).withColumn("eta", F.when(F.col("l_linestatus") == "O", F.col("l_shipdate")))
+    return gates.incomplete_transit(lines).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 @query("""SELECT o_orderkey, o_totalprice, CASE WHEN o_orderpriority LIKE '3%' THEN NULL ELSE 'USD' END AS currency FROM orders WHERE o_orderpriority LIKE '3%' AND o_totalprice IS NOT NULL""")
 def gate_currency_undeclared(spark, sf_dir):
     o = table(spark, sf_dir, "orders").withColumn("currency", F.when(~F.col("o_orderpriority").startswith("3"), F.lit("USD")))
-    return o.where(F.col("o_totalprice").isNotNull() & F.col("currency").isNull()).select("o_orderkey", "o_totalprice", "currency")
+    return gates.undeclared_money(o, ["o_totalprice"], "currency").select("o_orderkey", "o_totalprice", "currency")
 
 
 @query(f"""WITH {_PO_SQL}, {_CONFLICT_SQL} SELECT gate, count(*) AS open_conflicts FROM conflict WHERE gate NOT IN ('settled_rule') GROUP BY 1""")
 def gate_unresolved_conflict(spark, sf_dir):
     rules = spark.createDataFrame([("settled_rule",)], "gate string")  # a precedence names its winner
-    return po_conflicts(spark, sf_dir).join(rules, "gate", "left_anti").groupBy("gate").agg(F.count(F.lit(1)).alias("open_conflicts"))
+    return gates.unresolved(po_conflicts(spark, sf_dir), rules).groupBy("gate").agg(F.count(F.lit(1)).alias("open_conflicts"))
+
+
+@query("""WITH a AS (SELECT l_partkey AS sku, sum(l_quantity) FILTER (l_returnflag = 'R') AS x, coalesce(sum(l_quantity) FILTER (l_returnflag = 'A'), 0) AS y FROM lineitem GROUP BY 1)
+SELECT 'allocation_over_supply' AS gate, 'blocking' AS severity, count(*) FILTER (x > y) AS failed, count(x) AS checked, count(*) FILTER (x > y) = 0 AS passed FROM a""")
+def gate_cross_entity(spark, sf_dir):
+    """The gates over several entities, as extract runs them."""
+    l = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("sku"), F.col("l_quantity").cast("long").alias("q"), "l_returnflag")
+    given = entities.EntityBuild(l.where("l_returnflag = 'R'").select("sku", F.col("q").alias("qty_allocated")), ["sku"], None)
+    held = entities.EntityBuild(l.where("l_returnflag = 'A'").select("sku", F.col("q").alias("on_hand")), ["sku"], None)
+    return entities.cross_checks({"allocation": given, "inventory": held}).select(*_VERDICT)
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN greatest(date_diff('day', o_orderdate::DATE, DATE '1998-01-01'), 0)::INTEGER END AS days_late,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import codecs
 import os
 import re
 from dataclasses import dataclass, field
@@ -18,8 +17,8 @@ from ..functions.text import strip_all
 from .contracts import Contract
 
 ENCODINGS = ("utf-8-sig", "utf-8", "cp1252", "latin-1")
-#: Bytes that encodings are told from.
-HEAD = 65_536
+#: What the bytes 0x80 to 0x9F mean in Latin-1 (control characters) and in Windows-1252.
+_CONTROLS = tuple("".join(chr(b) if e == "latin-1" else bytes([b]).decode(e) for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")) for e in ("latin-1", "cp1252"))
 
 
 class MissingColumns(ValueError):
@@ -43,21 +42,31 @@ class Export:
         return sums.select(F.explode(rows).alias("r")).select("r.*").where("lost > 0")
 
 
-def sniff_encoding(head: bytes, whole: bool = True) -> str:
-    """The first encoding that decodes the bytes; unless they are whole, a cut last character is forgiven."""
+def sniff_encoding(data: bytes) -> str:
+    """The first encoding that decodes all of the bytes."""
     for e in ENCODINGS:
         try:
-            codecs.getincrementaldecoder(e)().decode(head, whole)
+            data.decode(e)
             return e
         except UnicodeDecodeError:
             continue
     return "latin-1"
 
 
-def _head(spark: SparkSession, path: str, size: int = HEAD) -> bytes:
-    """The start of the file, read through Spark's file system."""
-    rows = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, size).alias("h")).limit(1).collect()
-    return bytes(rows[0]["h"]) if rows else b""
+def layout(spark: SparkSession, path: str) -> tuple[str, bool]:
+    """(encoding, whether a quoted value may hold a line break), told from every line of the file.
+
+    One pass over lines, which split between tasks: a file is UTF-8 if all its
+    lines are, else Windows-1252 unless a byte has no meaning there. A quote
+    that is open at a line's end leaves an odd number of quotes on the line.
+    """
+    line = F.col("value")
+    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
+    undefined = F.hex(line.cast("binary")).rlike("^(?:[0-9A-F]{2})*?(?:81|8D|8F|90|9D)")
+    good = F.is_valid_utf8(line)
+    told = spark.read.text(path).agg(F.count_if(~good).alias("other"), F.count_if(~good & undefined).alias("odd"), F.count_if(quotes % 2 == 1).alias("open")).first()
+    e = "utf-8" if not told["other"] else "cp1252" if not told["odd"] else "latin-1"
+    return e, told["open"] > 0
 
 
 def typed(c, dtype: str):
@@ -79,17 +88,21 @@ def typed(c, dtype: str):
 def read_export(spark: SparkSession, path: str, contract: Contract, encoding: str | None = None, delimiter: str = ",") -> Export:
     """Everything as text first, then columns coerced by the contract.
 
-    Quotes are honoured, doubled quotes too, and line breaks in them. A
+    Quotes are honoured, doubled quotes too, and line breaks in them: only a
+    file that has such is read in one piece, all others split. A
     declared column that is absent is an error that names it; an undeclared
     one is kept as text and reported. A line of white space only is no row, a
     row of empty cells is.
     """
-    head = _head(spark, path)
-    e = encoding or sniff_encoding(head, whole=len(head) < HEAD)
-    spark_encoding = {"utf-8-sig": "UTF-8", "utf-8": "UTF-8", "cp1252": "windows-1252", "latin-1": "ISO-8859-1"}[e]
-    opts = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "encoding": spark_encoding, "sep": delimiter, "nullValue": "", "emptyValue": ""}
+    told, broken = layout(spark, path)
+    e = encoding or told
+    spark_encoding = "UTF-8" if e.startswith("utf-8") else "ISO-8859-1"  # of Windows-1252, Spark reads what Latin-1 shares
+    opts = {"header": "true", "quote": '"', "escape": '"', "multiLine": str(broken).lower(), "encoding": spark_encoding, "sep": delimiter, "nullValue": "", "emptyValue": ""}
     raw = spark.read.options(**opts).csv(path)
     names = [c.strip().lstrip("﻿") for c in raw.columns]
+    if e == "cp1252":
+        raw = raw.select(*[F.translate("`" + c.replace("`", "``") + "`", *_CONTROLS) for c in raw.columns])
+        names = [c.translate(str.maketrans(*_CONTROLS)) for c in names]
     raw = raw.toDF(*names)
     declared = [c.name for c in contract.columns]
     if missing := [c for c in declared if c not in names]:

@@ -32,7 +32,45 @@ def test_missing_column_is_named(spark, tmp_path):
 
 def test_encodings():
     assert exports.sniff_encoding("né".encode("cp1252") + b"\x80") == "cp1252"
-    assert exports.sniff_encoding("né".encode()[:-1], whole=False) == "utf-8-sig"
+    assert exports.sniff_encoding("né".encode()) == "utf-8-sig"
+
+
+@pytest.mark.parametrize(
+    "data,want",
+    [
+        ("a,é\n1,2\n".encode(), ("utf-8", False)), ("a,é\n1,2\n".encode("cp1252"), ("cp1252", False)), (b"a\n\x81\n", ("latin-1", False)),
+        (b"a\n1\n" * 40_000 + "é".encode("cp1252"), ("cp1252", False)), (b'a,b\n"x ""y""",2\n', ("utf-8", False)), (b'a\n"x\ny"\n', ("utf-8", True)), (b"", ("utf-8", False)),
+    ],
+)
+def test_layout_is_told_from_the_whole_file(spark, tmp_path, data, want):
+    """A byte of another encoding counts wherever it is; only a quoted line break keeps a file in one piece."""
+    p = tmp_path / "x.csv"
+    p.write_bytes(data)
+    assert exports.layout(spark, str(p)) == want
+
+
+def test_a_late_byte_is_not_replaced(spark, tmp_path):
+    p = tmp_path / "inventory.csv"
+    p.write_bytes(b"Name,Q\n" + b"plain,1\n" * 20_000 + "Café €,2\n".encode("cp1252"))
+    e = exports.read_export(spark, str(p), contract(Name="string", Q="whole"))
+    assert [tuple(r) for r in e.frame.where("Q = 2").collect()] == [("Café €", 2)]
+
+
+def test_large_files_are_listed_but_not_read(spark, tmp_path):
+    (tmp_path / "big.csv").write_bytes(b"x" * 2_000_000)
+    (tmp_path / "small.csv").write_bytes(b"a,b\n1,2\n")
+    found = files.sweep(spark, [str(tmp_path)], [".csv"])
+    assert found.count() == 2
+    assert [r.path.rsplit("/", 1)[1] for r in files.contents(spark, found, max_mb=1).collect()] == ["small.csv"]
+    assert "length" in files.contents(spark, found, max_mb=1)._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1][:200]
+
+
+def test_header_row_as_aggregate_and_in_a_probe(spark):
+    rows = [["Title"], ["1", "2", "3"], ["SKU", "Qty", "Qty"], ["SKU", "Qty", "Region"], ["a", "b", "c"], ["x", "1", "2"]]
+    assert files.header_row(rows) == (3, 0.85) and files.header_row([["1", "2"], ["x"]]) == (-1, 0.0) and files.header_row([]) == (-1, 0.0)
+    cells = [("p", "s", i + 1, chr(65 + j), v) for i, r in enumerate(rows) for j, v in enumerate(r)] + [("p", "t", 1, "A", "only")]
+    got = files.header_rows(spark.createDataFrame(cells, "path string, sheet string, row bigint, col string, value string")).collect()
+    assert [(r.sheet, r.row, r.confidence) for r in got] == [("s", 4, 0.85)]
 
 
 def test_tokens(monkeypatch):
