@@ -4,7 +4,8 @@ Each vector has a home cell, and is also listed in every other cell whose
 border is near enough for a linked vector to lie behind it. A vector is
 compared with all that its home cell lists, block by block; a block gives the
 number of links of each vector and a spanning forest of them, never the pairs.
-Equal vectors are compared once, as a class.
+A pair across a border is found from both sides or from one; the side that
+alone finds it counts it for both. Equal vectors are compared once, as a class.
 """
 
 from __future__ import annotations
@@ -44,19 +45,37 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> n
     return c
 
 
+def behind(u: np.ndarray, cells: np.ndarray, home: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """How much nearer each unit row is to its home than to another cell; the same in whichever batch a row is."""
+    return (u * cells[home]).sum(1) - (u * cells[cell]).sum(1)
+
+
+def border_gaps(cells: np.ndarray) -> np.ndarray:
+    """Distances between centroids."""
+    return np.sqrt(np.maximum(2 - 2 * cells @ cells.T, 1e-18))
+
+
+#: Bits of a block's counts that hold the number of equal rows; the home cell lies above them.
+_ROWS = 40
+
+
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, cell_rows: int = 2048, sample: int = 20_000, margin: float = 0.16, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(id, n_links, component) for each row of ``vectors``.
 
     Centroids are fitted on at most ``sample`` vectors, one for ``cell_rows``
-    rows; all vectors are assigned. A pair is sure to be compared if neither
-    is further than ``margin`` behind the other's cell border; at
-    ``threshold`` 0.95 the furthest possible is 0.3122 (give that for a proof),
-    and 0.16 is four standard deviations of a random deviation in 64
-    dimensions. Rows that take no part (see ``valid_vectors``) have no links
+    rows; all vectors are assigned. A vector is listed in a cell if it lies no
+    further than ``margin`` behind the border to it. Two vectors of cosine c
+    are sqrt(2 - 2 c) apart, and so is what their places along the line between
+    two centroids differ by at most. With homes on either side of a border,
+    one of the two is no further from it than half of that: at ``threshold``
+    0.95, 0.1582. So a ``margin`` of 0.16 finds every pair, from one side at
+    least; a smaller threshold needs a larger margin. Rows that take no part (see ``valid_vectors``) have no links
     and are their own component. Repeated rows are returned as often as they came;
     an id that several different vectors carry is one node with the links of
     all of them. An empty table gives an empty table.
     """
+    if margin < np.sqrt(max(0.0, 2 - 2 * threshold)) / 2:
+        raise ValueError("pairs across a border could be missed: margin is under half their distance")
     sc = vectors.sparkSession.sparkContext
     store = stored_as(vectors, vec_col)
     good, dim = valid_vectors(vectors, id_col, vec_col)
@@ -69,35 +88,44 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, cell_row
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = shared.value
-        gaps = np.sqrt(np.maximum(2 - 2 * c @ c.T, 1e-18))
+        gaps = border_gaps(c)
         for b in gathered(batches, 8_192):  # a row is listed several times
             rows = matrix(b["v"])
-            s = unit(rows) @ c.T
+            u = unit(rows)
+            s = u @ c.T
             home = s.argmax(1)
-            listed = (s.max(1)[:, None] - s) <= margin * gaps[home]
-            listed[np.arange(len(b)), home] = True
-            i, cell = np.nonzero(listed)
-            ids, ns = b["id"].to_numpy(np.int64), b["n"].to_numpy(np.int64)
+            i, cell = np.nonzero((s.max(1)[:, None] - s) <= margin * gaps[home] + 1e-9)
+            near = (cell == home[i]) | (behind(u[i], c, home[i], cell) <= margin * gaps[home[i], cell])
+            i, cell = i[near], cell[near]
+            ids, ns = b["id"].to_numpy(np.int64), b["n"].to_numpy(np.int64) + (home << _ROWS)
             yield pack(home, ids, ns, rows, "home", store)
             yield pack(cell, ids[i], ns[i], rows[i], "listed", store)
 
     blocks = settle(distinct.mapInPandas(assign, BLOCKS))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c = shared.value
+        gaps = border_gaps(c)
         for b in batches:
             for row in b.itertuples(index=False):
-                ai, _, av = unpack(row.ids, row.ns, row.vs, store)
+                ai, an, av = unpack(row.ids, row.ns, row.vs, store)
                 bi, bn, bv = unpack(row.ids2, row.ns2, row.vs2, store)
-                hit = unit(av) @ unit(bv).T >= threshold
+                au, bu = unit(av), unit(bv)
+                hit = au @ bu.T >= threshold - 1e-12
                 hit &= ai[:, None] != bi
                 i, j = np.nonzero(hit)
+                sure = (au[i] * bu[j]).sum(1) >= threshold  # the same from either side
+                i, j = i[sure], j[sure]
                 if len(i):
-                    links = np.bincount(i, bn[j], len(ai)).astype(np.int64)
+                    here, there = an[i] >> _ROWS, bn[j] >> _ROWS
+                    alone = (here != there) & (behind(au[i], c, here, there) > margin * gaps[here, there])  # the other side doesn't see it
+                    own = np.bincount(i, bn[j] & (1 << _ROWS) - 1, len(ai)).astype(np.int64)
+                    other = np.bincount(j[alone], an[i[alone]] & (1 << _ROWS) - 1, len(bi)).astype(np.int64)
                     ids, place = np.unique(np.concatenate([ai[i], bi[j]]), return_inverse=True)
                     label = _least(np.arange(len(ids)), place[: len(i)], place[len(i) :])
                     moved = label != np.arange(len(ids))
-                    some = links > 0
-                    yield pd.DataFrame({"a": ai[some], "b": -1, "n": links[some]})
+                    yield pd.DataFrame({"a": ai[own > 0], "b": -1, "n": own[own > 0]})
+                    yield pd.DataFrame({"a": bi[other > 0], "b": -1, "n": other[other > 0]})
                     yield pd.DataFrame({"a": ids[moved], "b": ids[label[moved]], "n": 0})
 
     found = settle(

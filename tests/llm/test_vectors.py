@@ -19,7 +19,7 @@ def clustered(r, n, d=8):
     return np.concatenate([base, base[:20] + 0.02 * r.standard_normal((20, d)), base[:10] + 0.2 * r.standard_normal((10, d)), base[5:8] * 3]).astype(np.float32)
 
 
-@pytest.mark.parametrize("cell_rows,margin", [(10, 0.3123), (1000, 0.16)])
+@pytest.mark.parametrize("cell_rows,margin", [(10, 0.3123), (10, 0.16), (1000, 0.16)])
 def test_links_against_brute_force(spark, cell_rows, margin):
     x = clustered(np.random.default_rng(2), 150)
     rows = [(1000 - i, v.tolist()) for i, v in enumerate(x)] + [(2000 + i, v) for i, v in enumerate(BAD)] + [(3000, x[0].tolist()), (3001, x[0].tolist()), (3001, x[0].tolist())]
@@ -36,6 +36,32 @@ def test_links_against_brute_force(spark, cell_rows, margin):
         assert (r.n_links, r.component) in by.get(r.id, {(0, r.id)})
 
 
+@pytest.mark.parametrize("dim,cells", [(64, 20), (4, 20)])
+def test_planted_pairs_across_many_cells(spark, dim, cells):
+    """Pairs of cosine 0.95 to 0.97, many of them across borders, and a chain; at 4 dimensions many are seen from one side."""
+    r = np.random.default_rng(dim)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(r.standard_normal((1500, dim)))
+    side = r.standard_normal((1500, dim))
+    side = unit(side - (side * x).sum(1, keepdims=True) * x)
+    c = r.uniform(0.95, 0.97, (1500, 1))
+    y = c * x + np.sqrt(1 - c * c) * side
+    every = np.concatenate([x, y, y[:5], x[:3] * 7]).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(every)]
+    got = {g.id: g for g in embed_dedup.near_duplicate_vectors(frame(spark, rows), cell_rows=len(rows) // cells).collect()}
+    u = unit(every.astype(float))
+    near = u @ u.T >= 0.95
+    comp = brute_components([(i, i) for i in range(len(u))], lambda a, b: near[a, b])
+    assert near.sum() > len(u) + 2000
+    for i in range(len(u)):
+        assert (got[i].n_links, got[i].component) == (near[i].sum() - 1, comp[i, i])
+
+
+def test_a_margin_that_could_miss_pairs_is_refused(spark):
+    with pytest.raises(ValueError, match="margin"):
+        embed_dedup.near_duplicate_vectors(frame(spark, []), threshold=0.9)
+
+
 def test_whole_table_against_brute_force(spark):
     sf = "/root/testdata/sf0.01"
     got = {r.vec_id: r for r in queries.op5_embed_dedup(spark, sf).collect()}
