@@ -1,8 +1,10 @@
 """Line dedup: lines that very many documents share are dropped everywhere.
 
 Only native expressions. Lines are hashed where they are read; what is
-shuffled for counting is 128-bit hashes, not text. Text moves once, when each
-document meets the flags of its lines.
+shuffled for counting is 128-bit hashes, not text. The most frequent common
+lines, of which there can't be more than ``HOT``, meet their copies without a
+shuffle; all others are joined by hash. Text moves once, when each document
+meets the flags of its lines.
 """
 
 from __future__ import annotations
@@ -12,6 +14,9 @@ from pyspark.sql import functions as F
 
 from .common import BLANKS, ascii_lower, settle, whole_row, wide_hash
 
+#: A line with over one in this many of all lines is flagged by broadcast; there are fewer of those than this.
+HOT = 1 << 14
+
 
 def _lines(text):
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
@@ -49,15 +54,21 @@ def drop_common_lines(
         doc.select(key_id.alias("id"), F.xxhash64(text).alias("body"), F.posexplode(hashed))
         .select("id", "body", "pos", "col.h1", "col.h2", "col.may")
     )
-    common = (
+    total = lines.count()
+    common = settle(
         lines.where("may")
         .groupBy("h1", "h2")
-        .agg(F.countDistinct(F.struct("id")).alias("n"))
+        .agg(F.countDistinct(F.struct("id")).alias("n"), F.count(F.lit(1)).alias("rows"))
         .where(F.col("n") >= min_docs)
-        .select("h1", "h2", F.lit(True).alias("hit"))
+        .select("h1", "h2", "rows", F.lit(True).alias("hit"))
     )
+    frequent = F.col("rows") * HOT > total
+    hot = common.where(frequent).select("h1", "h2", F.lit(True).alias("hot"))  # fewer than HOT rows
+    # a flagged line needs no partner any more: it is spread by its place instead of its hash
+    spread = lines.join(F.broadcast(hot), ["h1", "h2"], "left").withColumn("h1", F.when(F.col("hot"), F.xxhash64("id", "pos")).otherwise(F.col("h1")))
     flags = (
-        lines.join(common, ["h1", "h2"], "left")
+        spread.join(common.where(~frequent).drop("rows"), ["h1", "h2"], "left")
+        .withColumn("hit", F.coalesce("hot", "hit"))
         .select("id", "body", "pos", F.coalesce(F.col("hit") & F.col("may"), F.lit(False)).alias("hit"))
         .groupBy("id", "body")
         .agg(F.array_sort(F.collect_set(F.struct("pos", "hit"))).alias("at"))
