@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from .common import settle
 
-VERSION = 1
+#: The version of each rule; raising one makes the next run scan every blob for that rule only.
+VERSIONS = {"assign": 1, "access": 1, "hex": 1}
 WORDS = ("password", "passwd", "secret", "token")
 
 
@@ -29,7 +30,7 @@ ASSIGN = rf"""({NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: A run of 18 or 16 is the same as a whole run that proves long enough.
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
-RULES = ("assign", "access", "hex")
+RULES = tuple(VERSIONS)
 LEDGER = T.StructType(
     [
         T.StructField("blob", T.BinaryType()),
@@ -83,10 +84,15 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER)
 
 
-def scan_unseen(docs: DataFrame, ledger: DataFrame, version: int = VERSION, text_col: str = "text") -> DataFrame:
-    """New ledger rows: every blob of ``docs`` and rule not yet in ``ledger``."""
+def _current(versions: dict[str, int]):
+    """The version that a ledger row's rule now has."""
+    return F.element_at(F.create_map(*[F.lit(x) for kv in versions.items() for x in kv]), F.col("rule"))
+
+
+def scan_unseen(docs: DataFrame, ledger: DataFrame, versions: dict[str, int] = VERSIONS, text_col: str = "text") -> DataFrame:
+    """New ledger rows: every blob of ``docs`` and rule of the current version not yet in ``ledger``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    seen = ledger.where(F.col("version") == version).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+    seen = ledger.where(F.col("version") == _current(versions)).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
     blobs = docs.select(blob_of(text).alias("blob"), text.alias("body"))
     todo = F.array_except(F.array(*map(F.lit, RULES)), F.coalesce(F.col("seen"), F.array().cast("array<string>")))
     # copies fall together where they are read; the ledger then meets blobs on the same partitioning
@@ -107,14 +113,12 @@ def scan_unseen(docs: DataFrame, ledger: DataFrame, version: int = VERSION, text
             for rule, (may, spans) in _rule_spans(body).items()
         ]
     )
-    return (
-        new.select("blob", "todo", F.explode(found).alias("f"))
-        .where(F.array_contains("todo", F.col("f.rule")))
-        .select("blob", F.col("f.rule").alias("rule"), F.lit(version).alias("version"), F.col("f.spans").alias("spans"))
-    )
+    scanned = new.select("blob", "todo", F.explode(found).alias("f")).where(F.array_contains("todo", F.col("f.rule")))
+    scanned = scanned.select("blob", F.col("f.rule").alias("rule"), F.col("f.spans").alias("spans"))
+    return scanned.select("blob", "rule", _current(versions).alias("version"), "spans")
 
 
-def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, version: int = VERSION, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, versions: dict[str, int] = VERSIONS, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(findings by row, new ledger rows).
 
     Findings: the id, ``assign``, ``access`` and ``hex``, arrays of [start, end)
@@ -124,8 +128,8 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, version: int
     to the ledger to make the next run incremental.
     """
     old = ledger if ledger is not None else empty_ledger(docs.sparkSession)
-    new = settle(scan_unseen(docs, old, version, text_col))
-    known = old.where(F.col("version") == version).select(*new.columns).union(new)
+    new = settle(scan_unseen(docs, old, versions, text_col))
+    known = old.where(F.col("version") == _current(versions)).select(*new.columns).union(new)
     of = lambda rule: F.coalesce(F.first(F.when(F.col("rule") == rule, F.col("spans")), ignorenulls=True), F.array().cast(_EMPTY)).alias(rule)
     by_blob = known.where(F.size("spans") > 0).groupBy("blob").agg(*map(of, RULES))
     paths = docs.select(F.col(id_col), blob_of(F.col(text_col)).alias("blob"))
