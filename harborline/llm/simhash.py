@@ -7,7 +7,7 @@ BK-tree, children keyed by their integer Hamming distance to the parent, and
 each member follows only edges within the radius. A tree travels to the task
 that owns its shard instead of being broadcast: all trees together are as
 large as the corpus, which no broadcast may be. Shards that are too large are
-cut into tiles, and every two tiles meet in a task of their own.
+cut into tiles before they are dealt, and every two tiles meet in a task.
 """
 
 from __future__ import annotations
@@ -149,71 +149,54 @@ def shard_keys(masks: list[int]):
     return F.array(*[F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(signed(m))) for t, m in enumerate(masks)])
 
 
+#: Large shards that may be broadcast: a few MB.
+MANY = 1 << 17
+
+
 def in_shards(members: DataFrame, solve: Callable[[pa.Table], pa.Table], out: str, tile: int) -> DataFrame:
     """``solve`` applied to tables of whole shards; ``members`` has a column ``shard``.
 
-    A shard of more than ``tile`` members passes the first time unsolved. It is
-    then cut into tiles of half that size, and every two tiles meet in a shard
-    of their own, in whichever task that falls to.
+    Shards are counted first, with a combine before the shuffle. One of more
+    than ``tile`` members is cut into tiles of half that size before any member
+    moves, and every two tiles meet in a shard of their own, in whichever task
+    that falls to. So no task ever holds more of one shard than a tile.
     """
     own = [f.name for f in members.schema if f.name != "shard"]
-    made = [x.split()[0] for x in out.split(", ")]
-    passed = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.schema if f.name != "shard")
-
-    def work(most: int):
-        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, n = [], 0
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                held.append(batch)
-                n += batch.num_rows
-                if n >= 50_000:
-                    t = pa.Table.from_batches(held)
-                    shard = t["shard"].to_numpy()
-                    cut = int(np.searchsorted(shard, shard[-1], "left"))
-                    if cut:
-                        yield from done(t.slice(0, cut))
-                    held, n = t.slice(cut).combine_chunks().to_batches(), t.num_rows - cut
-            if n:
-                yield from done(pa.Table.from_batches(held))
-
-        def done(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            shard = t["shard"].to_numpy()
-            place = np.cumsum(np.diff(shard, prepend=shard[0]) != 0)
-            size = np.bincount(place)[place]
-            fit = t.filter(pa.array((size <= most) & (size > 1)))
-            if fit.num_rows:
-                r = solve(fit)
-                r = r.append_column("shard", pa.nulls(r.num_rows, pa.int64())).append_column("n", pa.array(np.zeros(r.num_rows, np.int64)))
-                for c in own:
-                    r = r.append_column("_" + c, pa.nulls(r.num_rows, t.schema.field(c).type))
-                yield from r.combine_chunks().to_batches()
-            over = size > most
-            if over.any():
-                big = t.filter(pa.array(over))
-                cols = [pa.nulls(big.num_rows, kinds[c]) for c in made] + [big["shard"], pa.array(size[over])] + [big[c] for c in own]
-                yield from pa.table(cols, names=[*made, "shard", "n", *["_" + c for c in own]]).combine_chunks().to_batches()
-
-        return each
-
-    types = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}
-    kinds = {x.split()[0]: types[x.split()[1]] for x in out.split(", ")}
-    schema = f"{out}, shard bigint, n bigint, " + ", ".join("_" + x for x in passed.split(", "))
-    dealt = members.repartition("shard").sortWithinPartitions("shard")
-    first = settle(dealt.mapInArrow(work(tile), schema))
-    solved, large = first.where("n = 0").select(*made), first.where("n > 0")
-    if large.isEmpty():
-        return solved
-    tiles = F.ceil(F.col("n") / (tile / 2)).cast("int")
-    mine = F.pmod(F.xxhash64(*["_" + c for c in own]), tiles).cast("int")
-    pairs = F.transform(
-        F.sequence(F.lit(0), tiles - 1),
-        lambda o: F.xxhash64("shard", F.least(F.col("mine"), o), F.greatest(F.col("mine"), o)),
-    )
-    again = large.withColumn("mine", mine).select(*[F.col("_" + c).alias(c) for c in own], F.explode(pairs).alias("shard"))
-    more = again.repartition("shard").sortWithinPartitions("shard").mapInArrow(work(1 << 40), schema)
-    return solved.union(more.select(*made))
+    large = settle(members.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile))
+    many = large.count()
+    if many:
+        tiles = F.ceil(F.col("n") / (tile / 2)).cast("int")
+        mine = F.pmod(F.xxhash64(*own), tiles).cast("int")
+        pairs = F.transform(F.sequence(F.lit(0), tiles - 1), lambda o: F.xxhash64("shard", F.least(mine, o), F.greatest(mine, o)))
+        met = members.join(F.broadcast(large) if many <= MANY else large, "shard", "left")
+        members = met.select(*own, F.explode(F.when(F.col("n").isNull(), F.array("shard")).otherwise(pairs)).alias("shard"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Whole shards, many small ones at once; a shard's members adjoin."""
+        held, n = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            n += batch.num_rows
+            if n >= 4 * tile:
+                t = pa.Table.from_batches(held)
+                shard = t["shard"].to_numpy()
+                cut = int(np.flatnonzero(np.diff(shard, prepend=shard[:1]))[-1]) if (shard != shard[0]).any() else 0
+                if cut:
+                    yield from done(t.slice(0, cut))
+                held, n = t.slice(cut).combine_chunks().to_batches(), t.num_rows - cut
+        if n:
+            yield from done(pa.Table.from_batches(held))
+
+    def done(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        shard = t["shard"].to_numpy()
+        place = np.cumsum(np.diff(shard, prepend=shard[:1]) != 0)
+        t = t.filter(pa.array(np.bincount(place)[place] > 1))
+        if t.num_rows:
+            yield from solve(t).combine_chunks().to_batches()
+
+    return members.repartition("shard").sortWithinPartitions("shard").mapInArrow(work, out)
 
 
 def link_fingerprints(fps: DataFrame, radius: int = 4, blocks: int = 6, tile: int = TILE) -> DataFrame:
@@ -240,7 +223,7 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, blocks: in
     empty table.
     """
     rows = settle(with_fingerprints(docs, id_col, text_col, width))
-    firsts = rows.groupBy("fp").agg(F.min("id").alias("id"))
+    firsts = settle(rows.groupBy("fp").agg(F.min("id").alias("id")))
     classes = connected_components(link_fingerprints(firsts.select("fp"), radius, blocks))
     named = firsts.join(classes, firsts["fp"] == classes["id"], "left").select(
         firsts["fp"], firsts["id"], F.coalesce("component", firsts["fp"]).alias("class")
