@@ -75,6 +75,26 @@ def ends_with_key(facts: DataFrame, right: DataFrame, text: str, key: str, tail:
     return facts.join(right.withColumn("_tail", F.upper(tail)), F.upper(F.col(key)) == F.col("_tail")).drop("_tail")
 
 
+def contains_key(facts: DataFrame, right: DataFrame, text: str, key: str, gram: int = 3) -> DataFrame:
+    """Wildcard lookup ``*key*``: facts with the right rows whose text holds the key, in any case.
+
+    An equi-join on the key's rarest piece of ``gram`` letters among the pieces
+    of the right side's texts, then checked whole. Keys of fewer letters meet
+    pieces of their own length. Blank keys match nothing.
+    """
+    low, want = F.upper(F.col(text)), F.upper(F.col(key))
+    pieces = lambda c, n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1))), lambda i: F.substring(c, i, n))
+    keys = facts.select(key).where(F.length(key) > 0).distinct()
+    lengths = sorted({gram, *(r[0] for r in keys.select(F.least(F.length(key), F.lit(gram))).distinct().collect())})  # gram rows at most
+    rows = right.withColumn("_row", F.xxhash64(*right.columns)).withColumn("_low", low)
+    held = rows.select("_row", F.explode(F.array_distinct(F.concat(*[pieces(F.col("_low"), n) for n in lengths]))).alias("_piece"))
+    often = held.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
+    own = keys.select(key, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(want) - gram + 1, F.lit(1))), lambda i: F.substring(want, i, F.lit(gram))))).alias("_piece"))
+    rarest = own.join(often, "_piece").groupBy(key).agg(F.min(F.struct("_n", "_piece"))["_piece"].alias("_piece"))
+    met = rarest.join(held, "_piece").join(rows, "_row").where(F.contains("_low", want)).select(key, *right.columns).distinct()
+    return facts.join(met, key)
+
+
 def set_overlap(sets: DataFrame, owner: str, item: str, file: str, least: float = 0.7, min_items: int = 4) -> DataFrame:
     """Pairs of owners in different files whose item sets have a Jaccard index of ``least`` or more.
 

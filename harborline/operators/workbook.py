@@ -13,12 +13,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import numbers, text
 from ..functions.dates import year_month
 from ..sources.exports import typed
 from .aggregates import exact_total, max_if, min_if, sum_if, total
 from .entities import map_values
-from .joins import ends_with_key
+from .joins import ends_with_key, excluding
 from .reshape import unpivot
 
 
@@ -163,3 +163,69 @@ def container_validation(
         F.when(no_cost & F.col("list_price").isNull() & (F.col("lines_all") == 0), "no price or cost data").when(F.col("lines_all") == 0, "no realized price")
         .when(no_cost, "no cost data").otherwise("ok").alias("price_flag"),
     )
+
+
+def clean_back_orders(orders: DataFrame, names: Sequence[str], since: dt.date, lists: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """Back orders (sku, customer, ship_date, qty, rate, ...) that count, with their ``value``.
+
+    Left out: blank skus, quantities of zero or less, customers whose name
+    holds one of ``names`` in any case, dates before ``since`` (no date
+    passes), and what meets a row of one of ``lists`` on its keys, blank
+    meeting blank.
+    """
+    kept = orders.where((text.strip_all(F.col("sku").cast("string")) != "") & (F.col("qty") > 0) & (F.col("ship_date").isNull() | (F.col("ship_date") >= F.lit(since))))
+    for n in names:
+        kept = kept.where(~F.coalesce(F.contains(F.lower("customer"), F.lit(n.lower())), F.lit(False)))
+    for others, on in lists:
+        kept = excluding(kept, others, on)
+    return kept.withColumn("value", F.col("qty") * F.coalesce("rate", F.lit(0)))
+
+
+def allocation_mix(parts: Sequence[DataFrame]) -> DataFrame:
+    """(sku, channel, qty, share) of frames (sku, channel, qty), say back orders and forecasts: each channel's share of a sku's sum."""
+    every = parts[0].select("sku", "channel", "qty")
+    for p in parts[1:]:
+        every = every.unionByName(p.select("sku", "channel", "qty"))
+    by = every.groupBy("sku", "channel").agg(total(F.col("qty"), zero_fill=True).alias("qty"))
+    whole = by.groupBy("sku").agg(F.sum("qty").alias("_whole"))
+    return by.join(whole, "sku").withColumn("share", numbers.ratio(F.col("qty"), F.col("_whole"))).drop("_whole")
+
+
+def positions(
+    stock: DataFrame, back_orders: DataFrame, bought: DataFrame, forecast: DataFrame, demand: DataFrame, aliases: Mapping[str, str], as_of: dt.date,
+    lead_days: float, run_months: int = 3, since: dt.date = dt.date(2020, 1, 1),
+) -> DataFrame:
+    """The position of every sku and channel that has stock, back orders, forecast or demand.
+
+    ``stock`` (sku, channel, on_hand), ``back_orders`` (sku, channel,
+    ship_date, qty), ``bought`` (sku, expected, qty, value; see
+    ``closure_list`` for what to leave out), ``forecast`` and ``demand`` (sku,
+    channel, month, qty). ``aliases`` name channels that count for another.
+    What is bought belongs to the sku and shows in each of its channels.
+    """
+    channel = F.coalesce(map_values(F.col("channel"), aliases), F.col("channel")).alias("channel")
+    month = F.trunc(F.lit(as_of), "month")
+    ahead = lambda n: (F.col("month") >= month) & (F.col("month") < F.add_months(month, n))
+    past = (F.col("month") < month) & (F.col("month") >= F.add_months(month, -run_months))
+    value = lambda name, c: F.coalesce(F.sum(c), F.lit(0)).alias(name)
+    held = stock.groupBy("sku", channel).agg(value("on_hand", F.col("on_hand")))
+    owed = back_orders.groupBy("sku", channel).agg(value("live_bo", F.when(F.col("ship_date") >= F.lit(since), F.col("qty"))))
+    monthly = forecast.groupBy("sku", channel, "month").agg(F.sum("qty").alias("qty"))
+    due = monthly.groupBy("sku", "channel").agg(
+        value("forecast3", F.when(ahead(3), F.col("qty"))), value("forecast12", F.when(ahead(12), F.col("qty"))), F.count_if(ahead(12) & (F.col("qty") > 0)).alias("_months")
+    )
+    sold = demand.groupBy("sku", channel).agg(value("_sold", F.when(past, F.col("qty"))))
+    come = bought.where(F.col("expected").isNotNull()).groupBy("sku").agg(
+        value("inbound", F.col("qty")), exact_total(F.col("value")).alias("inbound_value"), F.min(F.when(F.col("expected") > F.lit(as_of), F.col("expected"))).alias("next_due")
+    )
+    out = held
+    for part in (owed, due, sold):
+        out = out.join(part, ["sku", "channel"], "full")
+    out = out.join(come, "sku", "left").fillna(0, ["on_hand", "live_bo", "forecast3", "forecast12", "_months", "_sold", "inbound", "inbound_value"])
+    rate = F.col("_sold") / F.lit(float(run_months))
+    supply = numbers.months_of_supply(F.col("on_hand"), F.col("forecast12"), rate)
+    return out.select(
+        F.concat_ws("|", F.col("sku").cast("string"), "channel").alias("key"), "sku", "channel", "on_hand", "live_bo", (F.col("on_hand") - F.col("live_bo")).alias("net"), "inbound", "inbound_value", "next_due",
+        "forecast3", "forecast12", numbers.floor_zero(F.lit(12) - F.col("_months")).alias("zero_months"), rate.alias("run_rate"), F.lit(lead_days / 30).alias("lead_months"),
+        supply.alias("months_of_supply"), (supply - lead_days / 30).alias("coverage"),
+    )

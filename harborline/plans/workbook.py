@@ -6,7 +6,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import workbook
+from ..functions import numbers
+from ..operators import joins, workbook
 from .base import query, table
 
 _GROUPS = {"FRANCE": "EMEA", "NATION_3": "Americas", "NATION_5": "AP", "NATION_7": "B2C"}
@@ -211,3 +212,98 @@ def container_validation(spark, sf_dir):
         allocations=p.where("p_size % 7 = 0").select(F.concat("p_brand", F.lit(" : "), "p_partkey").alias("name"), (F.col("p_retailprice") * 2).alias("base_price")),
         region="Americas", months=[199608, 199609, 199610], lanes={"6": "first container", "7": "second container"}, eta=dt.date(1996, 9, 27), due=(dt.date(1996, 8, 1), dt.date(1996, 10, 31)),
     )
+
+
+_BACK_SQL = """e AS (SELECT l_orderkey, l_linenumber, l_partkey AS sku, c_name AS customer, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate::DATE END AS ship_date, l_quantity::BIGINT AS qty, l_extendedprice AS rate, l_returnflag, l_linestatus
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)"""
+
+
+def _back_orders(spark, sf_dir):
+    l, o, c = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer"))
+    date = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate").cast("date"))
+    return l.join(o, l["l_orderkey"] == o["o_orderkey"]).join(c, o["o_custkey"] == c["c_custkey"]).select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("sku"), F.col("c_name").alias("customer"), date.alias("ship_date"),
+        F.col("l_quantity").cast("long").alias("qty"), F.col("l_extendedprice").alias("rate"), "l_returnflag", "l_linestatus",
+    )
+
+
+@query(f"""WITH {_BACK_SQL}, k AS (SELECT * FROM e WHERE l_linestatus = 'O' AND lower(customer) NOT LIKE '%0007%' AND lower(customer) NOT LIKE '%0013%' AND (ship_date IS NULL OR ship_date >= DATE '1995-01-01'))
+SELECT l_orderkey, l_linenumber, sku, customer, ship_date, qty, qty * rate AS value FROM k
+WHERE NOT EXISTS (SELECT 1 FROM e x WHERE x.l_linenumber = 7 AND x.sku = k.sku AND x.customer = k.customer AND x.ship_date IS NOT DISTINCT FROM k.ship_date)
+AND NOT EXISTS (SELECT 1 FROM e x WHERE x.l_returnflag = 'R' AND x.l_linenumber = 1 AND x.sku = k.sku AND x.ship_date IS NOT DISTINCT FROM k.ship_date)
+AND NOT EXISTS (SELECT 1 FROM e x WHERE x.l_returnflag = 'A' AND x.l_linenumber = 2 AND x.l_orderkey = k.l_orderkey)""")
+def clean_back_orders(spark, sf_dir):
+    """Names, a date floor and three lists leave back orders out."""
+    e = _back_orders(spark, sf_dir)
+    lists = [
+        (e.where("l_linenumber = 7"), ["sku", "customer", "ship_date"]), (e.where("l_returnflag = 'R' and l_linenumber = 1"), ["sku", "ship_date"]),
+        (e.where("l_returnflag = 'A' and l_linenumber = 2"), ["l_orderkey"]),
+    ]
+    kept = workbook.clean_back_orders(e.where("l_linestatus = 'O'"), ["0007", "0013"], dt.date(1995, 1, 1), lists)
+    return kept.select("l_orderkey", "l_linenumber", "sku", "customer", "ship_date", "qty", "value")
+
+
+@query("""WITH m AS (SELECT l_partkey AS sku, l_returnflag AS channel, sum(l_quantity)::BIGINT AS qty FROM lineitem WHERE l_linestatus = 'O' OR l_shipdate >= DATE '1996-01-01' GROUP BY 1, 2)
+SELECT sku, channel, qty, round(qty / nullif(sum(qty) OVER (PARTITION BY sku), 0)::DOUBLE, 9) AS share FROM m""")
+def allocation_mix(spark, sf_dir):
+    """Back orders and forecasts together, each channel's share of a sku."""
+    l = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("sku"), F.col("l_returnflag").alias("channel"), F.col("l_quantity").cast("long").alias("qty"), "l_linestatus", "l_shipdate")
+    parts = [l.where("l_linestatus = 'O'"), l.where("l_linestatus <> 'O' and l_shipdate >= '1996-01-01'")]
+    return workbook.allocation_mix(parts).withColumn("share", F.round("share", 9))
+
+
+_POSITION_SQL = """l AS (SELECT l_partkey AS sku, CASE WHEN s_nationkey % 4 = 3 THEN 'C0' ELSE 'C' || s_nationkey % 4 END AS channel, l_quantity::BIGINT AS q, l_extendedprice AS price, l_returnflag AS f, l_linestatus AS st,
+  l_shipdate::DATE AS d, date_trunc('month', l_shipdate)::DATE AS m FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
+h AS (SELECT sku, channel, sum(q)::BIGINT AS on_hand FROM l WHERE f = 'A' GROUP BY 1, 2), b AS (SELECT sku, channel, coalesce(sum(q) FILTER (d >= DATE '1994-01-01'), 0)::BIGINT AS live_bo FROM l WHERE f = 'R' AND st = 'O' GROUP BY 1, 2),
+fm AS (SELECT sku, channel, m, sum(q) AS q FROM l WHERE f = 'N' GROUP BY 1, 2, 3),
+f AS (SELECT sku, channel, coalesce(sum(q) FILTER (m >= DATE '1996-06-01' AND m < DATE '1996-09-01'), 0)::BIGINT AS forecast3, coalesce(sum(q) FILTER (m >= DATE '1996-06-01' AND m < DATE '1997-06-01'), 0)::BIGINT AS forecast12,
+  count(*) FILTER (m >= DATE '1996-06-01' AND m < DATE '1997-06-01' AND q > 0) AS months FROM fm GROUP BY 1, 2),
+s AS (SELECT sku, channel, coalesce(sum(q) FILTER (m < DATE '1996-06-01' AND m >= DATE '1996-03-01'), 0)::BIGINT AS sold FROM l WHERE f = 'R' GROUP BY 1, 2),
+p AS (SELECT sku, sum(q)::BIGINT AS inbound, sum(price::DECIMAL(38,4))::DOUBLE AS inbound_value, min(d) FILTER (d > DATE '1996-06-15') AS next_due FROM l WHERE st = 'O' AND f = 'N' GROUP BY 1),
+j AS (SELECT sku, channel, coalesce(on_hand, 0) AS on_hand, coalesce(live_bo, 0) AS live_bo, coalesce(inbound, 0) AS inbound, coalesce(inbound_value, 0) AS inbound_value, next_due, coalesce(forecast3, 0) AS forecast3, coalesce(forecast12, 0) AS forecast12,
+  coalesce(months, 0) AS months, coalesce(sold, 0) / 3.0::DOUBLE AS run_rate FROM h FULL JOIN b USING (sku, channel) FULL JOIN f USING (sku, channel) FULL JOIN s USING (sku, channel) LEFT JOIN p USING (sku)),
+k AS (SELECT *, CASE WHEN forecast12 > 0 THEN on_hand / (forecast12 / 12.0::DOUBLE) WHEN run_rate > 0 THEN on_hand / run_rate WHEN on_hand > 0 THEN 999.0::DOUBLE ELSE 0.0::DOUBLE END AS supply FROM j)"""
+
+
+@query(f"""WITH {_POSITION_SQL} SELECT sku || '|' || channel AS key, sku, channel, on_hand, live_bo, on_hand - live_bo AS net, inbound, inbound_value, next_due, forecast3, forecast12, greatest(12 - months, 0) AS zero_months,
+run_rate, 1.5::DOUBLE AS lead_months, supply AS months_of_supply, supply - 1.5 AS coverage FROM k""")
+def positions(spark, sf_dir):
+    """Line items as stock, back orders, purchases, forecast and demand; channel C3 counts for C0."""
+    l, s = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
+    day = F.col("l_shipdate").cast("date")
+    rows = l.join(s, l["l_suppkey"] == s["s_suppkey"]).select(
+        F.col("l_partkey").alias("sku"), F.concat(F.lit("C"), F.col("s_nationkey") % 4).alias("channel"), F.col("l_quantity").cast("long").alias("qty"), F.col("l_extendedprice").alias("value"),
+        "l_returnflag", "l_linestatus", day.alias("ship_date"), F.trunc(day, "month").alias("month"),
+    )
+    of = lambda flag: rows.where(F.col("l_returnflag") == flag)
+    return workbook.positions(
+        of("A").withColumnRenamed("qty", "on_hand"), of("R").where("l_linestatus = 'O'"), of("N").where("l_linestatus = 'O'").withColumnRenamed("ship_date", "expected"), of("N"), of("R"),
+        {"C3": "C0"}, dt.date(1996, 6, 15), lead_days=45, since=dt.date(1994, 1, 1),
+    )
+
+
+@query(f"""WITH {_POSITION_SQL} SELECT sku, channel, on_hand / nullif(CASE WHEN forecast12 > 0 THEN forecast12 / 12.0::DOUBLE ELSE run_rate END, 0) AS months FROM j""")
+def months_of_cover(spark, sf_dir):
+    """Cover as the specification has it: null without demand."""
+    p = positions(spark, sf_dir)
+    return p.select("sku", "channel", numbers.months_of_cover(F.col("on_hand"), F.col("forecast12"), 12, F.col("run_rate") * 3).alias("months"))
+
+
+@query("""WITH k AS (SELECT r_name, r_name || ' E' AS key FROM region), t AS (SELECT p_partkey, p_name || ' ' || lower(r_name) || ' ' || p_type AS c FROM part, region)
+SELECT p_partkey, r_name, c FROM t JOIN k ON contains(upper(c), upper(key))""")
+def infix_lookup(spark, sf_dir):
+    """Texts that hold a key anywhere."""
+    r = table(spark, sf_dir, "region").select("r_name", F.concat("r_name", F.lit(" E")).alias("key"))
+    names = F.explode(F.transform(F.array(*[F.lit(n) for n in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")]), lambda n: F.concat("p_name", F.lit(" "), F.lower(n), F.lit(" "), "p_type")))
+    texts = table(spark, sf_dir, "part").select("p_partkey", names.alias("c"))
+    return joins.contains_key(r, texts, "c", "key").select("p_partkey", "r_name", "c")
+
+
+@query("""WITH p AS (SELECT l_orderkey, l_linenumber, l_quantity::BIGINT - coalesce(CASE l_returnflag WHEN 'A' THEN l_quantity + 2 WHEN 'R' THEN l_quantity - 1 END, 0)::BIGINT AS left_, l_quantity::BIGINT AS ordered, l_linenumber = 3 AS odd FROM lineitem),
+c AS (SELECT 'open_po:remaining:' || l_orderkey || '|' || l_linenumber AS exception_id, greatest(left_, 0) - CASE WHEN odd THEN ordered ELSE greatest(left_, 0) END AS delta FROM p)
+SELECT exception_id, delta::DOUBLE AS delta FROM c WHERE delta <> 0 ORDER BY abs(delta) DESC, exception_id LIMIT 10""")
+def top_exceptions(spark, sf_dir):
+    """The ten conflicts that differ most: the limit is the feature."""
+    from .canonical import po_conflicts
+
+    return po_conflicts(spark, sf_dir).orderBy(F.desc(F.abs("delta")), "exception_id").limit(10).select("exception_id", "delta")
