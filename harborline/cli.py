@@ -1,4 +1,4 @@
-"""Command line: discover, extract, query. Exit codes: 0 done, 1 wrong use, 2 findings that block."""
+"""Command line: discover, extract, schemas, reconcile, formulas, query. Exit codes: 0 done, 1 wrong use, 2 findings that block."""
 
 from __future__ import annotations
 
@@ -10,7 +10,8 @@ import sys
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .operators import entities, gates
+from .operators import entities, estate, gates
+from .operators import reconcile as reconciliation
 from .session import session
 from .sources import contracts, exports, files, sinks
 
@@ -82,6 +83,35 @@ def _extract(args, spark, now, built, frames, failed, cached) -> int:
     return 0 if ok and not failed else 2
 
 
+def schemas(args) -> int:
+    """List the contracts and their columns; 2 if queries disagree about a column's type."""
+    told = contracts.load(args.contracts)
+    for c in told:
+        for col in c.columns:
+            print("\t".join([c.slug, col.name, col.dtype, ",".join(col.conflicts)]).rstrip())
+    return 2 if any(col.conflicts for c in told for col in c.columns) else 0
+
+
+def reconcile(args) -> int:
+    """Compare query profiles (a Parquet table in the columns of ``reconcile.PROFILE``); 2 if a finding blocks."""
+    profiles = session().read.parquet(args.profiles)
+    found = reconciliation.findings(profiles).persist()
+    estate.finding_order(found, "severity", "kind", "left_label", "right_label", "subject").write.mode("overwrite").parquet(f"{args.out}/findings")
+    reconciliation.forked_upstreams(profiles).write.mode("overwrite").parquet(f"{args.out}/forks")
+    blocked = not found.where("severity = 'blocking'").isEmpty()
+    found.unpersist()
+    return 2 if blocked else 0
+
+
+def formulas(args) -> int:
+    """Map the formula columns of workbooks below the roots; 2 if one is suspicious."""
+    spark = session()
+    found = files.sweep(spark, args.root, [".xlsx", ".xlsm"], args.skip, args.prune)
+    cells = files.cells(files.contents(spark, found.where("path is not null"))).where("formula is not null")
+    estate.formula_map(cells, args.least).write.mode("overwrite").parquet(f"{args.out}/formulas")
+    return 0 if spark.read.parquet(f"{args.out}/formulas").where("suspicious").isEmpty() else 2
+
+
 def query(args) -> int:
     """Run one registered query and write its rows."""
     from .registry import QUERIES
@@ -113,6 +143,20 @@ def parser() -> argparse.ArgumentParser:
         e.add_argument(f"--{name}", help="a Parquet table")
     e.add_argument("--force", action="store_true")
     e.set_defaults(run=extract)
+    s = sub.add_parser("schemas")
+    s.add_argument("--contracts", required=True)
+    s.set_defaults(run=schemas)
+    r = sub.add_parser("reconcile")
+    r.add_argument("--profiles", required=True)
+    r.add_argument("--out", required=True)
+    r.set_defaults(run=reconcile)
+    f = sub.add_parser("formulas")
+    f.add_argument("root", nargs="+")
+    f.add_argument("--out", required=True)
+    f.add_argument("--least", type=int, default=100, help="formulas that a sheet must have")
+    f.add_argument("--skip", nargs="*", default=["~$*"])
+    f.add_argument("--prune", nargs="*", default=["archive"])
+    f.set_defaults(run=formulas)
     q = sub.add_parser("query")
     q.add_argument("name")
     q.add_argument("--data", required=True)

@@ -137,6 +137,21 @@ def cross_checks(built: dict[str, EntityBuild], items: DataFrame | None = None,
 
 
 def percentiles(df: DataFrame, by: Sequence[str], value: str, approximate: bool = False) -> DataFrame:
-    """Median and 90th percentile of a value by group; approximate in one pass with bounded state."""
-    f = F.percentile_approx if approximate else F.percentile
-    return df.groupBy(*by).agg(f(value, F.lit(0.5)).alias("p50"), f(value, F.lit(0.9)).alias("p90"), F.count(value).alias("n"))
+    """Median and 90th percentile of a value by group.
+
+    Equal values are counted first, with a combine before the shuffle, so a
+    group's state grows with its distinct values, not its rows; approximate
+    has bounded state.
+    """
+    if approximate:
+        at = lambda p: F.percentile_approx(value, F.lit(p))
+        return df.groupBy(*by).agg(at(0.5).alias("p50"), at(0.9).alias("p90"), F.count(value).alias("n"))
+    counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    at = lambda p: F.percentile(value, F.lit(p), F.col("_n"))
+    every = df.select(*by).distinct()
+    some = counted.groupBy(*by).agg(at(0.5).alias("p50"), at(0.9).alias("p90"), F.sum("_n").alias("n"))
+    same = None
+    for c in by:
+        one = every[c].eqNullSafe(some[c])
+        same = one if same is None else same & one
+    return every.join(some, same, "left").select(*[every[c] for c in by], "p50", "p90", F.coalesce("n", F.lit(0)).alias("n"))

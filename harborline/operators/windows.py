@@ -58,6 +58,24 @@ def cumulative_share(df: DataFrame, value: str, tie: str) -> DataFrame:
     )
 
 
+def ranked(df: DataFrame, by: Sequence[str], value: str, tie: str, name: str = "rank") -> DataFrame:
+    """``df`` with the rank of each row in its group, the largest ``value`` first, ties by ``tie``.
+
+    As in ``cumulative_share`` only rows of one bin by magnitude are ordered
+    together, so a group of any size is no single task.
+    """
+    v = F.col(value)
+    place = F.when(v > 0, F.floor(F.log2(v) * 16).cast("int")).when(v.isNotNull(), F.lit(-20_000)).otherwise(F.lit(-30_000))
+    binned = df.withColumn("_bin", place)
+    bins = binned.groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("_rows"))
+    above = W.partitionBy(*by).orderBy(F.desc("_bin")).rowsBetween(W.unboundedPreceding, -1)
+    bins = bins.withColumn("_above", F.coalesce(F.sum("_rows").over(above), F.lit(0))).drop("_rows")
+    own = W.partitionBy(*by, "_bin").orderBy(F.desc_nulls_last(value), tie)
+    keys = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
+    met = binned.withColumn("_own", F.row_number().over(own)).alias("l").join(bins.alias("r"), [*keys, F.col("l._bin") == F.col("r._bin")])
+    return met.select(*[F.col(f"l.`{c}`") for c in df.columns], (F.col("r._above") + F.col("l._own")).alias(name))
+
+
 def abc_class(cumulative: Column, grand: Column, a: float = 0.8, b: float = 0.95) -> Column:
     """A up to 80 % of the total, B up to 95 %, C beyond."""
     share = F.round(cumulative / grand, 9)

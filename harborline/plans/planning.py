@@ -185,10 +185,10 @@ def bom_min_build(spark, sf_dir):
 SELECT o_orderkey, c_nationkey, rate FROM (SELECT o_orderkey, c_nationkey, o_orderdate::DATE AS day FROM orders JOIN customer ON o_custkey = c_custkey) o
 ASOF LEFT JOIN rate ON c_nationkey = n_nationkey AND day >= since""")
 def asof_rate(spark, sf_dir):
-    dates = spark.createDataFrame([("1993-01-01", 0), ("1995-06-01", 1), ("1997-01-01", 2)], "since string, k int").select(F.col("since").cast("date").alias("since"), "k")
-    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"))
-    # a rate table is made here of 25 nations and 3 dates, stated in full
-    rates = n.join(dates, F.lit(True)).withColumn("rate", F.round(1 + F.col("c_nationkey") / 100.0 + F.col("k") / 1000.0, 6)).drop("k")
+    since = F.explode(F.array(*[F.struct(F.lit(d).cast("date").alias("since"), F.lit(k).alias("k")) for k, d in enumerate(("1993-01-01", "1995-06-01", "1997-01-01"))]))
+    rates = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), since.alias("s")).select(
+        "c_nationkey", "s.since", F.round(1 + F.col("c_nationkey") / 100.0 + F.col("s.k") / 1000.0, 6).alias("rate")
+    )
     o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     facts = o.join(c, o["o_custkey"] == c["c_custkey"]).select("o_orderkey", "c_nationkey", F.col("o_orderdate").cast("date").alias("day"))
     return joins.effective(facts, rates, ["c_nationkey"], "day", "since", ["rate"]).select("o_orderkey", "c_nationkey", "rate")

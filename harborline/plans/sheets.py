@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import numbers, text
 from ..functions.dates import year_month
 from ..operators import aggregates as A
-from ..operators import joins, reshape
+from ..operators import joins, reshape, windows
 from .base import query, table
 from .planning import cover
 
@@ -120,8 +120,8 @@ def position_engine(spark, sf_dir):
         F.coalesce(A.exact_total(F.when(open_, F.col("l_quantity") * F.col("l_extendedprice"))), F.lit(0.0)).alias("inbound_value"), F.min(F.when(open_, F.col("l_shipdate"))).alias("next_due"),
     )
     mix = F.round(numbers.ratio(F.col("on_hand"), F.sum("on_hand").over(W.partitionBy("sku"))), 9)
-    rank = F.row_number().over(W.partitionBy("channel").orderBy(F.desc("inbound_value"), "sku")).cast("long")
-    return k.select(F.concat(F.col("sku").cast("string"), F.lit("|"), "channel").alias("key"), "*", mix.alias("mix"), rank.alias("rank"))
+    out = k.select(F.concat(F.col("sku").cast("string"), F.lit("|"), "channel").alias("key"), "*", mix.alias("mix"))
+    return windows.ranked(out, ["channel"], "inbound_value", "sku")
 
 
 @query(f"""WITH {_ENGINE_SQL} SELECT channel, sum(on_hand)::BIGINT AS on_hand, sum(inbound)::BIGINT AS inbound FROM k GROUP BY ROLLUP (channel)""")
