@@ -1,13 +1,15 @@
-"""Stupid-backoff scores of documents under a bigram model of all documents.
-
-A token's score is ``c(p, w) / c(p)`` where the bigram is frequent enough, else
-``alpha c(w) / N``. Its logarithm is a sum over n-grams: each word weighs
-``ln c(w)``, each frequent bigram weighs what it adds to the backoff,
-``ln c(p, w) - ln c(p) - ln alpha - ln c(w) + ln N``, and all else is the number
-of tokens times a constant. So the model is one table of (gram, weight), made
-by hash-partitioned counts, and scoring joins the exploded n-grams of the
-documents to it and sums by document. Weights are whole numbers of 1e-8, so
-sums don't depend on the order of rows.
+"""Stupid-backoff scores of documents under an n-gram model of all documents.
+
+A token's score is ``c(p w) / c(p)`` with the longest context p for which the
+n-gram is frequent enough, times ``alpha`` for each word that the context lost;
+without any context it is ``c(w) / N``. A frequent n-gram's tail is as frequent,
+so the logarithm is a sum over n-grams: each word weighs ``ln c(w)``, each
+frequent n-gram weighs what it adds to the backoff,
+``ln c(g) - ln c(front) - ln c(tail) + ln c(middle) - ln alpha`` (of a bigram
+the middle's count is N), and all else is a constant for each place. So the
+model is one table of (gram, weight), made by hash-partitioned counts, and
+scoring joins the exploded n-grams of the documents to it and sums by document.
+Weights are whole numbers of 1e-8, so sums don't depend on the order of rows.
 
 Grams are 64-bit names. The most frequent words are named by their place in a
 table of at most ``2 ** HOT_BITS`` words, which every task holds; two such words make an
@@ -152,16 +154,23 @@ def _codes(hot: np.ndarray, h: np.ndarray) -> np.ndarray:
     return np.where(there, at, (h | _HASHED).view(np.int64))
 
 
-def _grams(hot: np.ndarray, h: np.ndarray, n: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(name of each word, places of those with a word before, name of the bigram there)."""
+def _grams(hot: np.ndarray, h: np.ndarray, n: np.ndarray, bits: int, order: int = 2) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(places where it ends, name) of the words, of the bigrams, and so on up to ``order``."""
     words, which = np.unique(h, return_inverse=True)
     code = _codes(hot, words)[which]
-    inner = np.ones(len(h), bool)
-    inner[(np.cumsum(n) - n)[n > 0]] = False
-    inner = np.flatnonzero(inner)
-    p, w = code[inner - 1], code[inner]
-    hashed = (_mix(_mix(p.view(np.uint64) + _BASE) * _BASE + w.view(np.uint64)) | _HASHED).view(np.int64)
-    return code, inner, np.where((p >= 0) & (w >= 0), 1 << 2 * bits | p << bits | w, hashed)
+    before = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)  # words that the text has before
+    out = [(np.arange(len(h)), code)]
+    whole = code
+    for k in range(2, order + 1):
+        at = np.flatnonzero(before >= k - 1)
+        p, w = whole[at - 1], code[at]
+        name = (_mix(_mix(p.view(np.uint64) + _BASE) * _BASE + w.view(np.uint64)) | _HASHED).view(np.int64)
+        if k == 2:
+            name = np.where((p >= 0) & (w >= 0), 1 << 2 * bits | p << bits | w, name)
+        whole = np.zeros(len(h), np.int64)
+        whole[at] = name
+        out.append((at, name))
+    return out
 
 
 class Model:
@@ -171,11 +180,37 @@ class Model:
         self.words, self.total, self.hot, self.weights = words, total, hot, weights
 
 
-def train(rows: DataFrame, min_count: int = 2, alpha: float = 0.4, bits: int = HOT_BITS) -> Model:
+def _long_weights(rows: DataFrame, k: int, lower: DataFrame, hot, min_count: int, alpha: float, bits: int) -> DataFrame:
+    """(gram, n, value) of the frequent ``k``-grams, k over 2; ``lower`` (gram, n, log) has all shorter grams."""
+
+    def count(batches):
+        for _, h, n in _in_flushes(batches):
+            found = _grams(hot.value[0], h, n, bits, k)
+            ends, name = found[k - 1]
+            whole = [np.zeros(len(h), np.int64) for _ in range(k - 1)]
+            for held, (at, names) in zip(whole, found, strict=False):
+                held[at] = names
+            gram, first, n_of = np.unique(name, return_index=True, return_counts=True)
+            last = ends[first]
+            yield _batch(gram=gram, front=whole[k - 2][last - 1], tail=whole[k - 2][last], middle=whole[k - 3][last - 1], n=n_of)
+
+    counted = rows.mapInArrow(count, "gram bigint, front bigint, tail bigint, middle bigint, n bigint").groupBy("gram", "front", "tail", "middle")
+    grams = settle(counted.agg(F.sum("n").alias("n")).where(F.col("n") >= min_count))
+    part = lambda c, sign: F.struct(F.col(c).alias("name"), F.lit(sign).alias("sign"))
+    asked = grams.select("gram", "n", F.explode(F.array(part("front", -1), part("tail", -1), part("middle", 1))).alias("p")).select("gram", "n", "p.name", "p.sign")
+    least = most_frequent(lower, 1 << min(bits, 16))
+    met = []
+    for some, join in ((lower.where(F.col("n") >= least), F.broadcast), (lower.where(F.col("n") < least), lambda df: df)):  # the former is bounded
+        met.append(asked.join(join(some.select(F.col("gram").alias("name"), "log")), "name").select("gram", "n", "sign", "log"))
+    logs = met[0].union(met[1]).groupBy("gram", "n").agg(F.sum(F.col("sign") * F.col("log")).alias("logs"))  # what has no row counts one
+    return grams.join(logs, ["gram", "n"], "left").select("gram", "n", (F.ln("n") - F.lit(math.log(alpha)) + F.coalesce("logs", F.lit(0.0))).alias("value"))
+
+
+def train(rows: DataFrame, min_count: int = 2, alpha: float = 0.4, bits: int = HOT_BITS, order: int = 2) -> Model:
     """A model of the texts of ``rows`` (id, text): counts, then weights, written to the shared folder.
 
-    Words and bigrams of count one have no row in ``weights``: ln 1 is 0, and
-    such a bigram backs off (unless ``min_count`` is 1).
+    Grams of count one have no row in ``weights``: ln 1 is 0, and such a
+    bigram or longer gram backs off (unless ``min_count`` is 1).
     """
     sc = rows.sparkSession.sparkContext
     words = settle(word_counts(rows))
@@ -187,7 +222,7 @@ def train(rows: DataFrame, min_count: int = 2, alpha: float = 0.4, bits: int = H
     def pairs(batches):
         hot = shared.value[0]
         for _, h, n in _in_flushes(batches):
-            code, inner, pair = _grams(hot, h, n, bits)
+            (_, code), (inner, pair) = _grams(hot, h, n, bits)
             gram, first, count = np.unique(pair, return_index=True, return_counts=True)
             named = gram > 0  # the words can be read off the name
             p, w = (pa.array(code[inner[first] - back], mask=named) for back in (1, 0))
@@ -223,18 +258,24 @@ def train(rows: DataFrame, min_count: int = 2, alpha: float = 0.4, bits: int = H
     rare = alone.where("gram < 0").select(F.col("gram").alias("word"), F.col("value").alias("log"))
     rest = part.where(F.size("apart") > 0).select("gram", "n", "value", F.explode("apart").alias("word")).join(rare, "word", "left")
     rest = rest.groupBy("gram", "n", "value").agg(F.sum(F.coalesce("log", F.lit(0.0))).alias("logs")).select("gram", "n", (F.col("value") - F.col("logs")).alias("value"))
-    weights = whole.unionByName(rest).unionByName(alone).withColumn("value", F.round(F.col("value") * SCALE).cast("bigint"))
-    weights = settle(weights)
+    weights = whole.unionByName(rest).unionByName(alone)
+    lower = alone.select("gram", "n", F.col("value").alias("log")).unionByName(bigrams.select("gram", "n", F.ln("n").alias("log")))
+    for k in range(3, order + 1):
+        longer = settle(_long_weights(rows, k, settle(lower), shared, min_count, alpha, bits))
+        weights = weights.unionByName(longer)
+        lower = lower.unionByName(longer.select("gram", "n", F.ln("n").alias("log")))
+    weights = settle(weights.withColumn("value", F.round(F.col("value") * SCALE).cast("bigint")))
     forget(bigrams)
     return Model(words, total, shared, weights)
 
 
-def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_col: str = "doc_id", text_col: str = "text", bits: int = HOT_BITS) -> DataFrame:
+def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_col: str = "doc_id", text_col: str = "text", bits: int = HOT_BITS, order: int = 2) -> DataFrame:
     """(id, n_tokens, log_score, mean_log_score): one row for each id.
 
-    S(w | p) is c(p, w) / c(p) if the bigram occurs ``min_count`` times or more
-    in all documents, else ``alpha`` c(w) / N; a document's first word takes
-    c(w) / N. Rows with one id are parts of one document, a null id is an id;
+    S(w | p) is c(p w) / c(p) if the n-gram p w of up to ``order`` words occurs
+    ``min_count`` times or more in all documents, else ``alpha`` times the
+    score with p one word shorter; without context it is c(w) / N. No context
+    reaches over the start of a text. Rows with one id are parts of one document, a null id is an id;
     repeated rows count as often as they come. Null or blank text has no
     tokens, score 0 and a null mean. Texts of any length are read whole. An
     empty table gives an empty table. All words count, none is left out.
@@ -242,7 +283,7 @@ def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    model = train(rows, min_count, alpha, bits)
+    model = train(rows, min_count, alpha, bits, order)
     frequent = model.hot
     least = most_frequent(model.weights, 1 << bits)
     top = rows.sparkSession.sparkContext.broadcast(_sorted_table(model.weights.where(F.col("n") >= least).select("gram", "value")))  # a bounded number of rows
@@ -252,30 +293,31 @@ def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_
         text with the weights of those that are. The latter's gram is a name that no gram has."""
         hot, (grams, values) = frequent.value[0], top.value
         for ids, h, n in _in_flushes(batches):
-            code, inner, pair = _grams(hot, h, n, bits)
-            gram, which = np.unique(np.concatenate([code, pair]), return_inverse=True)
+            found = _grams(hot, h, n, bits, order)
+            gram, which = np.unique(np.concatenate([name for _, name in found]), return_inverse=True)
             at, there = _found(grams, gram)
             value = np.where(there, values[at] if len(values) else 0, 0)[which]
             doc = np.repeat(np.arange(len(n)), n)
-            doc = np.concatenate([doc, doc[inner]])
+            lost = np.bincount(np.concatenate([np.zeros(0, np.int64), *[doc[at] for at, _ in found[1:]]]), minlength=len(n))
+            doc = np.concatenate([doc[at] for at, _ in found])
             sums = np.zeros(len(n), np.int64)
             np.add.at(sums, doc, value)
             cold = np.flatnonzero(~there[which])
             cold = cold[np.argsort(doc[cold], kind="stable")]
             own = _NO_GRAM | (_mix((np.arange(len(n)) + int(sums.sum() & 0xFFFFFFFF)).astype(np.uint64)) >> np.uint64(4)).astype(np.int64)
             zero = np.zeros(len(cold), np.int64)
-            yield _batch(id=ids, gram=own, tokens=n, value=sums)
-            yield _batch(id=ids.take(pa.array(doc[cold])), gram=gram[which[cold]], tokens=zero, value=zero)
+            yield _batch(id=ids, gram=own, tokens=n, lost=lost, value=sums)
+            yield _batch(id=ids.take(pa.array(doc[cold])), gram=gram[which[cold]], tokens=zero, lost=zero, value=zero)
 
-    exploded = rows.mapInArrow(explode, f"id {kind}, gram bigint, tokens bigint, value bigint")
+    exploded = rows.mapInArrow(explode, f"id {kind}, gram bigint, tokens bigint, lost bigint, value bigint")
     weighed = exploded.join(model.weights.where(F.col("n") < least).select("gram", F.col("value").alias("weight")), "gram", "left")
     telling = F.col("weight").isNotNull() | (F.col("gram") >= _NO_GRAM)
-    n, firsts = F.col("n_tokens"), F.col("firsts")
-    log = F.col("sum") / F.lit(float(SCALE)) - n * F.lit(math.log(max(model.total, 1))) + (n - firsts) * F.lit(math.log(alpha))
+    n = F.col("n_tokens")
+    log = F.col("sum") / F.lit(float(SCALE)) - n * F.lit(math.log(max(model.total, 1))) + F.col("lost") * F.lit(math.log(alpha))
     return (
         weighed.where(telling)
         .groupBy("id")
-        .agg(F.sum("tokens").alias("n_tokens"), F.sum((F.col("tokens") > 0).cast("bigint")).alias("firsts"), F.sum(F.col("value") + F.coalesce("weight", F.lit(0))).alias("sum"))
+        .agg(F.sum("tokens").alias("n_tokens"), F.sum("lost").alias("lost"), F.sum(F.col("value") + F.coalesce("weight", F.lit(0))).alias("sum"))
         .select("id", "n_tokens", log.alias("log_score"))
         .withColumn("mean_log_score", F.when(n > 0, F.col("log_score") / n))
     )

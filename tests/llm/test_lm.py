@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -6,6 +7,32 @@ import pytest
 from harborline.llm import lm
 
 
+def brute_of_order(rows, order, min_count=2, alpha=0.4):
+    """The recursion as it is defined, over tuples of words."""
+    texts = [(i, (t or "").lower().split()) for i, t in rows]
+    count, total = Counter(), 0
+    for _, ws in texts:
+        total += len(ws)
+        for k in range(1, order + 1):
+            count.update(tuple(ws[i : i + k]) for i in range(len(ws) - k + 1))
+
+    def score(p, w):
+        if not p:
+            return count[w,] / total
+        return count[*p, w] / count[p] if count[*p, w] >= min_count else alpha * score(p[1:], w)
+
+    return {i: sum(math.log(score(tuple(ws[max(0, j - order + 1) : j]), w)) for j, w in enumerate(ws)) for i, ws in texts}
+
+
+@pytest.mark.parametrize("order,min_count,bits", [(1, 2, 20), (2, 1, 3), (3, 2, 20), (3, 3, 2), (4, 1, 4)])
+def test_any_order(spark, order, min_count, bits):
+    r = random.Random(order)
+    docs = [(i, " ".join(r.choices("a b c d e f".split(), [6, 3, 2, 1, 1, 0.05], k=r.randint(0, 30)))) for i in range(60)]
+    got = {x.id: x.log_score for x in lm.score_documents(spark.createDataFrame(docs, "doc_id bigint, text string"), order=order, min_count=min_count, bits=bits).collect()}
+    want = brute_of_order(docs, order, min_count)
+    assert set(got) == set(want) and all(abs(got[i] - s) < 1e-5 for i, s in want.items())
+
+
 def brute(rows, vocab, min_count=2, alpha=0.4):
     strip = lambda t: [w for w in (t or "").translate({9: 32, 10: 32, 11: 32, 12: 32, 13: 32}).split(" ") if w]
     low = lambda w: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w)
