@@ -131,7 +131,8 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, versions: dic
     new = settle(scan_unseen(docs, old, versions, text_col))
     known = old.where(F.col("version") == _current(versions)).select(*new.columns).union(new)
     of = lambda rule: F.coalesce(F.first(F.when(F.col("rule") == rule, F.col("spans")), ignorenulls=True), F.array().cast(_EMPTY)).alias(rule)
-    by_blob = known.where(F.size("spans") > 0).groupBy("blob").agg(*map(of, RULES))
+    # written, so that the join below is one of two plain exchanges, whose large partitions Spark splits
+    by_blob = settle(known.where(F.size("spans") > 0).groupBy("blob").agg(*map(of, RULES)))
     paths = docs.select(F.col(id_col), blob_of(F.col(text_col)).alias("blob"))
     none = F.array().cast(_EMPTY)
     return (
