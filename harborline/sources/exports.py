@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import os
 import re
+import shutil
+import urllib.request
 from dataclasses import dataclass, field
 from urllib.parse import urlsplit, urlunsplit
 
@@ -139,3 +142,48 @@ def fetch_url(url: str, prefix: str, slug: str) -> tuple[str, str]:
     p = urlsplit(url)
     query = "&".join(x for x in (p.query, f"h={token}") if x)
     return urlunsplit(p._replace(query=query)), urlunsplit(p._replace(query=(p.query + "&" if p.query else "") + "h=<REDACTED>"))
+
+
+def fetch(url: str, prefix: str, slug: str, drop: str, timeout: float = 120) -> str:
+    """Download an export to where ``local_path`` looks for it; gives the address fit for logs.
+
+    The file appears under its name only when it is whole. ``drop`` is a folder
+    that the driver writes and the executors read.
+    """
+    full, safe = fetch_url(url, prefix, slug)
+    path = local_path(drop, slug)
+    part = f"{path}.part"
+    try:
+        with urllib.request.urlopen(full, timeout=timeout) as answer, open(part, "wb") as out:  # noqa: S310
+            shutil.copyfileobj(answer, out, 1 << 20)
+    except OSError as e:
+        raise OSError(f"{safe}: {type(e).__name__}") from None  # the error's own text has the token
+    os.replace(part, path)
+    return safe
+
+
+def profile(spark: SparkSession, path: str, cap: int = 2_000_000) -> DataFrame:
+    """One row on a CSV file: encoding, delimiter, headers, n_rows, ragged, capped.
+
+    Lines are counted where they are read. A line's fields are its delimiters
+    outside quotes, and one more; ``ragged`` has another number than the
+    header. Counting stops at ``cap`` rows, which ``capped`` tells. A file with
+    line breaks in quotes has to be probed whole (``files.probe``).
+    """
+    encoding, broken = layout(spark, path)
+    if broken:
+        raise ValueError(f"{path}: quoted line breaks")
+    lines = spark.read.text(path).where(strip_all(F.col("value")) != "")
+    first = lines.limit(1).collect()
+    if not first:
+        return spark.createDataFrame([(encoding, None, [], 0, 0, False)], "encoding string, delimiter string, headers array<string>, n_rows bigint, ragged bigint, capped boolean")
+    head = first[0]["value"].lstrip("﻿")
+    delimiter = max(",;\t|", key=lambda d: (head.count(d), -",;\t|".index(d)))
+    bare = F.regexp_replace("value", '"[^"]*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1
+    headers = [h.strip().strip('"') for h in head.split(delimiter)] if '"' not in head else next(csv.reader([head], delimiter=delimiter))
+    counted = lines.limit(cap + 2).agg(F.count(F.lit(1)).alias("n"), F.count_if(fields != len(headers)).alias("ragged"))
+    n = F.col("n") - 1
+    return counted.select(
+        F.lit(encoding).alias("encoding"), F.lit(delimiter).alias("delimiter"), F.array(*map(F.lit, headers)).alias("headers"), F.least(n, F.lit(cap)).alias("n_rows"), "ragged", (n > cap).alias("capped"),
+    )

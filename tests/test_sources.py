@@ -1,6 +1,8 @@
 import base64
+import http.server
 import io
 import struct
+import threading
 import zipfile
 
 import pytest
@@ -81,6 +83,38 @@ def test_tokens(monkeypatch):
         exports.fetch_url("https://host/x", "TOK_", "other")
 
 
+def test_fetch_writes_whole_files_and_hides_the_token(tmp_path, monkeypatch):
+    class Answer(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            good = "h=s3cr3t" in self.path and "id=1" in self.path
+            self.send_response(200 if good else 403)
+            self.end_headers()
+            self.wfile.write(b"A\n1\n" if good else b"no")
+
+        def log_message(self, *args):
+            pass
+
+    monkeypatch.setenv("TOK_OPEN_PO", "s3cr3t")
+    with http.server.HTTPServer(("127.0.0.1", 0), Answer) as server:
+        threading.Thread(target=server.serve_forever, daemon=True).start()
+        at = f"http://127.0.0.1:{server.server_port}/x?id="
+        assert exports.fetch(at + "1", "TOK_", "open_po", str(tmp_path)).endswith("id=1&h=<REDACTED>")
+        with pytest.raises(OSError) as told:
+            exports.fetch(at + "2", "TOK_", "open_po", str(tmp_path))
+        server.shutdown()
+    assert (tmp_path / "open_po.csv").read_bytes() == b"A\n1\n" and "s3cr3t" not in str(told.value)
+
+
+def test_profile_of_a_csv(spark, tmp_path):
+    p = tmp_path / "x.csv"
+    p.write_bytes('﻿SKU;"Q;ty";Region\n1;2;3\n"a;b";2;3\n1;2\n\n1;2;3\n'.encode())
+    told = lambda **how: tuple(exports.profile(spark, str(p), **how).first())
+    assert told() == ("utf-8", ";", ["SKU", "Q;ty", "Region"], 4, 1, False)
+    assert told(cap=2)[3:] == (2, 1, True)
+    p.write_bytes(b"")
+    assert told() == ("utf-8", None, [], 0, 0, False)
+
+
 def test_contracts_merge_and_keep_notes(tmp_path):
     c = contracts.merge("s", [{"Q": "Int64.Type", "T": "type nullable text"}, {"Q": "number", "Z": "any"}])
     assert [(x.name, x.dtype, x.conflicts) for x in c.columns] == [("Q", "number", ("whole",)), ("T", "string", ()), ("Z", "string", ())]
