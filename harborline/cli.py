@@ -24,7 +24,8 @@ def discover(args) -> int:
     found = files.sweep(spark, args.root, EXTENSIONS, args.skip, args.prune).persist()
     probes = files.probe(files.contents(spark, found.where("path is not null")))
     sinks.write_json(probes, f"{args.out}/probes")
-    bad = found.where("error is not null").count() + spark.read.json(f"{args.out}/probes", schema=files.PROBE).where("error is not null").count()
+    bad = found.where("error is not null").count() + spark.read.json(f"{args.out}/probes",
+        schema=files.PROBE).where("error is not null").count()
     return 2 if bad or found.where("path is not null").isEmpty() else 0
 
 
@@ -71,7 +72,8 @@ def _extract(args, spark, now, built, frames, failed, cached) -> int:
         return 2
     given = lambda path: spark.read.parquet(path) if path else None
     crossed = entities.cross_checks(built, given(args.items), given(args.precedence), given(args.crosswalk))
-    verdicts = functools.reduce(DataFrame.unionByName, [one.verdicts for one in built.values()] + ([crossed] if crossed is not None else []))
+    verdicts = functools.reduce(DataFrame.unionByName, [one.verdicts for one in built.values()] + ([crossed]
+        if crossed is not None else []))
     verdicts = keep(verdicts)
     exceptions = gates.exceptions(verdicts)
     for one in built.values():
@@ -96,7 +98,8 @@ def reconcile(args) -> int:
     """Compare query profiles (a Parquet table in the columns of ``reconcile.PROFILE``); 2 if a finding blocks."""
     profiles = session().read.parquet(args.profiles)
     found = reconciliation.findings(profiles).persist()
-    estate.finding_order(found, "severity", "kind", "left_label", "right_label", "subject").write.mode("overwrite").parquet(f"{args.out}/findings")
+    estate.finding_order(found, "severity", "kind", "left_label", "right_label",
+        "subject").write.mode("overwrite").parquet(f"{args.out}/findings")
     reconciliation.forked_upstreams(profiles).write.mode("overwrite").parquet(f"{args.out}/forks")
     blocked = not found.where("severity = 'blocking'").isEmpty()
     found.unpersist()

@@ -57,7 +57,8 @@ def months_of_supply(on_hand: Column, forward12: Column, run_rate: Column) -> Co
     )
 
 
-def months_of_cover(on_hand: Column, forecast: Column, months: int, trailing: Column, trailing_months: int = 3) -> Column:
+def months_of_cover(on_hand: Column, forecast: Column, months: int, trailing: Column,
+    trailing_months: int = 3) -> Column:
     """On hand by mean monthly demand: the forecast of ``months`` where there is one, else what was sold lately; null without demand."""
     monthly = F.when(forecast > 0, forecast / F.lit(float(months))).otherwise(trailing / F.lit(float(trailing_months)))
     return F.when(monthly > 0, on_hand / monthly)

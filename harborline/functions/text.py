@@ -79,7 +79,8 @@ REDACT_RULES = {
 }
 
 
-def redact(df: DataFrame, column: str, rules: Mapping[str, str] = REDACT_RULES, mark: str = "<REDACTED>", hits: str = "hits") -> DataFrame:
+def redact(df: DataFrame, column: str, rules: Mapping[str, str] = REDACT_RULES, mark: str = "<REDACTED>",
+    hits: str = "hits") -> DataFrame:
     """``df`` with ``column`` scrubbed and a map of hits by rule, rules without a hit left out.
 
     Rules run in turn, each on what the former left; what group 1 holds is
@@ -98,7 +99,8 @@ def redact(df: DataFrame, column: str, rules: Mapping[str, str] = REDACT_RULES,
 
 #: Trailing words that mark a file as a version of another. Fixed values.
 VERSION_WORDS = (
-    "updated", "update", "new", "final", "latest", "current", "copy", "draft", "rev", "revised", "old", "backup", "bak", "v2", "v3", "temp", "working"
+    "updated", "update", "new", "final", "latest", "current", "copy", "draft", "rev", "revised", "old", "backup", "bak",
+        "v2", "v3", "temp", "working"
 )
 
 

@@ -48,4 +48,5 @@ def dominant(df: DataFrame, by: Sequence[str], value: str, order: str) -> DataFr
         F.min_by(F.struct(value, "n"), F.struct(-F.col("n"), F.col("at"), F.col(value))).alias("top"),
         F.sum("n").alias("cells"),
         F.count(F.lit(1)).alias("patterns"),
-    ).select(*by, F.col(f"top.{value}").alias(value), "cells", "patterns", (F.col("top.n") / F.col("cells")).alias("share"))
+    ).select(*by, F.col(f"top.{value}").alias(value), "cells", "patterns",
+        (F.col("top.n") / F.col("cells")).alias("share"))

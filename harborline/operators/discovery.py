@@ -42,18 +42,21 @@ CONFIRM = 0.70
 NO_GRAIN = "unresolved"
 
 
-def key_candidates(headers: DataFrame, sheet: str, header: str, patterns: Mapping[str, Sequence[str]] = KEY_PATTERNS) -> DataFrame:
+def key_candidates(headers: DataFrame, sheet: str, header: str,
+    patterns: Mapping[str, Sequence[str]] = KEY_PATTERNS) -> DataFrame:
     """(sheet, header, role, score, match): the best claim of each role on each header.
 
     Exact 1, leading 0.75, contained as whole tokens 0.55, and 0.08 for every
     further token of the pattern; a score may exceed 1. A header meets only
     patterns that begin with one of its tokens, or that equal it without separators.
     """
-    rules = headers.sparkSession.createDataFrame([(r, p) for r, ps in patterns.items() for p in ps], "role string, pattern string")
+    rules = headers.sparkSession.createDataFrame([(r, p) for r, ps in patterns.items() for p in ps],
+        "role string, pattern string")
     p = rules.select("role", text.header_tokens(F.col("pattern")).alias("p")).where(F.size("p") > 0)
     p = p.select("role", F.size("p").alias("n"), F.array_join("p", " ").alias("p"), F.array_join("p", "").alias("flat"))
     p = p.select("*", F.explode(F.array_distinct(F.array(F.substring_index("p", " ", 1), F.col("flat")))).alias("word"))
-    h = headers.select(F.col(sheet).alias("sheet"), F.col(header).alias("header")).where(text.strip_all(F.col("header")) != "").distinct()
+    h = headers.select(F.col(sheet).alias("sheet"), F.col(header)
+        .alias("header")).where(text.strip_all(F.col("header")) != "").distinct()
     tokens = text.header_tokens(F.col("header"))
     h = h.select("*", F.array_join(tokens, " ").alias("h"), text.header_key(F.col("header")).alias("key"))
     h = h.select("*", F.explode(F.array_distinct(F.concat(F.split("h", " "), F.array("key")))).alias("word"))
@@ -65,21 +68,27 @@ def key_candidates(headers: DataFrame, sheet: str, header: str, patterns: Mappin
     )
     base = F.when(F.col("match") == "exact", 1.0).when(F.col("match") == "leading", 0.75).otherwise(0.55)
     score = F.round(base + F.lit(0.08) * (F.col("n") - 1), 9)
-    met = h.join(F.broadcast(p), "word").withColumn("match", match).where(F.col("match").isNotNull()).withColumn("score", score)  # a fixed table of rules
-    best = F.max_by(F.struct("score", "match"), F.struct("score", (F.col("match") == "exact").alias("e"), (F.col("match") == "leading").alias("l")))
-    return met.groupBy("sheet", "header", "role").agg(best.alias("b")).select("sheet", "header", "role", "b.score", "b.match")
+    met = h.join(F.broadcast(p), "word").withColumn("match", match).where(F.col("match")
+        .isNotNull()).withColumn("score", score)  # a fixed table of rules
+    best = F.max_by(F.struct("score", "match"), F.struct("score", (F.col("match") == "exact").alias("e"),
+        (F.col("match") == "leading").alias("l")))
+    return met.groupBy("sheet", "header", "role").agg(best.alias("b")).select("sheet", "header", "role", "b.score",
+        "b.match")
 
 
-def key_roles(headers: DataFrame, sheet: str, header: str, patterns: Mapping[str, Sequence[str]] = KEY_PATTERNS) -> DataFrame:
+def key_roles(headers: DataFrame, sheet: str, header: str, patterns: Mapping[str,
+    Sequence[str]] = KEY_PATTERNS) -> DataFrame:
     """(sheet, header, role, score, match, needs_confirmation): each role at most once a sheet, each header for one role.
 
     The best claim of a sheet is granted first, by its score before it is cut
     to 1; ties go to the smaller role, then header.
     """
     c = key_candidates(headers, sheet, header, patterns)
-    won = assign_roles(c, "sheet", "header", "role", "score").join(c.select("sheet", "header", "role", "match"), ["sheet", "header", "role"])
+    won = assign_roles(c, "sheet", "header", "role", "score").join(c.select("sheet", "header", "role", "match"),
+        ["sheet", "header", "role"])
     return won.select(
-        F.col("sheet").alias(sheet), F.col("header").alias(header), "role", F.round(F.least("score", F.lit(1.0)), 3).alias("score"), "match",
+        F.col("sheet").alias(sheet), F.col("header").alias(header), "role",
+            F.round(F.least("score", F.lit(1.0)), 3).alias("score"), "match",
         (F.col("score") < CONFIRM).alias("needs_confirmation"),
     )
 
@@ -108,20 +117,24 @@ def domain(path: Column, headers: Column, keywords: Mapping[str, Sequence[str]],
     every = []
     for i, (name, words) in enumerate(keywords.items()):
         hits = [
-            F.when(inside(w, low, low_flat), F.struct(F.lit(by_path).alias("w"), F.lit(f"{w} (path)").alias("hit"))).when(
+            F.when(inside(w, low, low_flat), F.struct(F.lit(by_path).alias("w"), F.lit(f"{w} (path)").alias("hit")))
+                .when(
                 inside(w, heads, heads_flat), F.struct(F.lit(1).alias("w"), F.lit(w).alias("hit"))
             )
             for w in words
         ]
         found = F.filter(F.array(*hits), lambda h: h.isNotNull())
         weight = F.aggregate(found, F.lit(0), lambda n, h: n + h["w"])
-        every.append(F.struct(weight.alias("score"), F.lit(-i).alias("place"), F.lit(name).alias("domain"), F.transform(found, lambda h: h["hit"]).alias("hits")))
+        every.append(F.struct(weight.alias("score"), F.lit(-i).alias("place"), F.lit(name).alias("domain"),
+            F.transform(found, lambda h: h["hit"]).alias("hits")))
     best = F.array_max(F.array(*every))
-    return F.struct(F.when(best["score"] > 0, best["domain"]).otherwise("unclassified").alias("domain"), best["score"].alias("score"), best["hits"].alias("hits"))
+    return F.struct(F.when(best["score"] > 0, best["domain"]).otherwise("unclassified").alias("domain"),
+        best["score"].alias("score"), best["hits"].alias("hits"))
 
 
 def part_played(
-    query_sources: Column, links: Column, connections: Column, formulas: Column, rows: Column, macros: Column, is_csv: Column,
+    query_sources: Column, links: Column, connections: Column, formulas: Column, rows: Column, macros: Column,
+        is_csv: Column,
     heavy: float = 500, heavy_per_row: float = 1.0,
 ) -> Column:
     """struct<role, confidence, reasons>: does a file hold data or restate another's?
@@ -132,27 +145,32 @@ def part_played(
     density = F.when(rows > 0, formulas / rows).otherwise(0.0)
     computes = (formulas > heavy) & (density >= heavy_per_row)
     role = (
-        F.when(is_csv, "true_source").when(pulls & computes, "hybrid").when(pulls, "derived_copy").when(computes, "calculated_output")
+        F.when(is_csv, "true_source").when(pulls & computes, "hybrid").when(pulls, "derived_copy")
+            .when(computes, "calculated_output")
         .when(rows > 0, "true_source").otherwise("unknown")
     )
     sure = F.when(is_csv | pulls, "high").when(computes | (rows > 0), "medium").otherwise("low")
     why = [
         F.when(is_csv, "flat export"),
-        F.when(~is_csv & pulls, F.format_string("pulls from %d queries, %d links, %d connections", query_sources, links, connections)),
+        F.when(~is_csv & pulls, F.format_string("pulls from %d queries, %d links, %d connections", query_sources, links,
+            connections)),
         F.when(~is_csv & computes, F.format_string("%d formulas, %.1f a row", formulas, density)),
         F.when(~is_csv & macros, "has macros"),
         F.when(~is_csv & pulls & computes, "imports and recomputes"),
-        F.when(~is_csv & ~pulls & ~computes & (rows > 0), F.format_string("%d rows, pulls nothing, few formulas", rows)),
+        F.when(~is_csv & ~pulls & ~computes & (rows > 0), F.format_string("%d rows, pulls nothing, few formulas",
+            rows)),
         F.when(~is_csv & ~pulls & ~computes & ~(rows > 0), "no rows read"),
     ]
-    return F.struct(role.alias("role"), sure.alias("confidence"), F.filter(F.array(*why), lambda x: x.isNotNull()).alias("reasons"))
+    return F.struct(role.alias("role"), sure.alias("confidence"),
+        F.filter(F.array(*why), lambda x: x.isNotNull()).alias("reasons"))
 
 
 def refresh_mechanism(queries: Column, connections: Column, links: Column, macros: Column, is_csv: Column) -> Column:
     """How a source gets new data, as text."""
     parts = F.concat_ws(
         " + ",
-        F.when(queries > 0, F.format_string("queries (%d)", queries)), F.when(connections > 0, F.format_string("connections (%d)", connections)),
+        F.when(queries > 0, F.format_string("queries (%d)", queries)),
+            F.when(connections > 0, F.format_string("connections (%d)", connections)),
         F.when(links > 0, F.format_string("formula links (%d)", links)), F.when(macros, "macro"),
     )
     return F.when(is_csv, "export").when(parts == "", "manual").otherwise(parts)
@@ -175,7 +193,8 @@ def normal_location(c: Column) -> Column:
 
 
 def risk(
-    locations: Column, macros: Column, protected: Column, hidden_sheets: Column, capped: Column, header_confidence: Column, errors: Column,
+    locations: Column, macros: Column, protected: Column, hidden_sheets: Column, capped: Column,
+        header_confidence: Column, errors: Column,
     most: int = 3, most_hidden: int = 24,
 ) -> Column:
     """struct<score, band, findings>: what breaks a source; higher is worse.
@@ -191,8 +210,10 @@ def risk(
     weak = (header_confidence > 0) & (header_confidence < 0.55)
     parts = [(F.lit(w) * F.least(count(name), F.lit(most)), name) for name, _, w in FRAGILE]
     parts += [
-        (F.when(macros, 10), "macros"), (F.when(protected, 10), "protected macros"), (F.least(hidden_sheets * 3, F.lit(most_hidden)), "hidden sheets"),
-        (F.when(capped, 15), "row count capped"), (F.when(weak, 12), "weak header"), (F.when(errors > 0, 20), "probe errors"),
+        (F.when(macros, 10), "macros"), (F.when(protected, 10), "protected macros"),
+            (F.least(hidden_sheets * 3, F.lit(most_hidden)), "hidden sheets"),
+        (F.when(capped, 15), "row count capped"), (F.when(weak, 12), "weak header"),
+            (F.when(errors > 0, 20), "probe errors"),
     ]
     score = F.lit(0)
     for points, _ in parts:
@@ -201,7 +222,8 @@ def risk(
     return F.struct(score.alias("score"), numbers.risk_band(score).alias("band"), named.alias("findings"))
 
 
-def overlaps(sheets: DataFrame, owner: str, item: str, file: str, rows: str, least: float = 0.7, min_items: int = 4) -> DataFrame:
+def overlaps(sheets: DataFrame, owner: str, item: str, file: str, rows: str, least: float = 0.7,
+    min_items: int = 4) -> DataFrame:
     """(a, b, jaccard, shared, shared_columns, row_delta, conflict): sheets of different files with much the same headers.
 
     ``sheets`` has one row for each (owner, file, item) with the owner's
@@ -210,15 +232,18 @@ def overlaps(sheets: DataFrame, owner: str, item: str, file: str, rows: str, lea
     """
     found = set_overlap(sheets, owner, item, file, least, min_items)
     size = sheets.groupBy(owner).agg(F.first(rows).alias("n"))
-    found = found.join(size.select(F.col(owner).alias("a"), F.col("n").alias("_na")), "a").join(size.select(F.col(owner).alias("b"), F.col("n").alias("_nb")), "b")
+    found = found.join(size.select(F.col(owner).alias("a"), F.col("n").alias("_na")),
+        "a").join(size.select(F.col(owner).alias("b"), F.col("n").alias("_nb")), "b")
     one = sheets.select(owner, item).distinct()
     common = (
         found.select("a", "b").join(one.select(F.col(owner).alias("a"), F.col(item).alias("_i")), "a")
         .join(one.select(F.col(owner).alias("b"), F.col(item).alias("_i")), ["b", "_i"])
-        .groupBy("a", "b").agg(F.sort_array(F.collect_list("_i")).alias("shared_columns"))  # at most the columns of one sheet
+        .groupBy("a", "b").agg(F.sort_array(F.collect_list("_i"))
+            .alias("shared_columns"))  # at most the columns of one sheet
     )
     delta = F.col("_na") - F.col("_nb")
-    out = found.join(common, ["a", "b"]).select("a", "b", "jaccard", "shared", "shared_columns", delta.alias("row_delta"), (delta != 0).alias("conflict"))
+    out = found.join(common, ["a", "b"]).select("a", "b", "jaccard", "shared", "shared_columns",
+        delta.alias("row_delta"), (delta != 0).alias("conflict"))
     return out.orderBy(F.desc(F.abs("row_delta")), F.desc("jaccard"), "a", "b")
 
 
@@ -234,4 +259,5 @@ def capped(df: DataFrame, by: Sequence[str], order: Sequence[str], most: int) ->
     for c in by:
         same = F.col(c).eqNullSafe(F.col(f"_by_{c}"))
         cond = same if cond is None else cond & same
-    return first.join(size.select(*[F.col(c).alias(f"_by_{c}") for c in by], "capped"), cond, "left").drop(*[f"_by_{c}" for c in by])
+    return first.join(size.select(*[F.col(c).alias(f"_by_{c}") for c in by], "capped"), cond,
+        "left").drop(*[f"_by_{c}" for c in by])

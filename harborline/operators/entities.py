@@ -17,7 +17,8 @@ from .reshape import unpivot
 
 #: Side of supply to owner, and channel columns to channel codes.
 OWNERS = {"consigned": "consigned", "company": "company_paid", "vendor": "vendor_owned"}
-CHANNELS = {"B2C": "b2c", "Sponsorships": "sponsorship", "EMEA": "emea", "Americas": "americas", "ASIA": "apac", "Tradeshows": "tradeshow", "Marketing": "marketing"}
+CHANNELS = {"B2C": "b2c", "Sponsorships": "sponsorship", "EMEA": "emea", "Americas": "americas", "ASIA": "apac",
+    "Tradeshows": "tradeshow", "Marketing": "marketing"}
 
 
 @dataclass
@@ -58,7 +59,8 @@ def inventory_onhand(export: DataFrame, locations: DataFrame, zero_fill: bool =
             F.count(F.lit(1)).alias("source_rows"),
         )
     )
-    frame = many_to_one(frame, locations, "location_id").withColumn("ownership", map_values(F.col("supply_side"), OWNERS))
+    frame = many_to_one(frame, locations, "location_id").withColumn("ownership",
+        map_values(F.col("supply_side"), OWNERS))
     checks = [
         gates.min_rows(), *gates.no_null_keys(frame, ["sku", "location_id"]),
         gates.known_members(frame, "location_id", "regional_id"), *gates.non_negative(["on_hand", "available"]),
@@ -81,12 +83,16 @@ def open_po(export: DataFrame) -> EntityBuild:
         F.coalesce(F.lower(F.trim("closed")).isin("yes", "true", "t", "y"), F.lit(False)).alias("is_closed"),
     )
     conflicts = frame.where(F.coalesce("qty_remaining", F.lit(0)) != F.coalesce("stated_remaining", F.lit(0))).select(
-        F.concat(F.lit("open_po:remaining:"), F.coalesce(F.col("po_number").cast("string"), F.lit("")), F.lit("|"), F.coalesce(F.col("po_line").cast("string"), F.lit(""))).alias("exception_id"),
+        F.concat(F.lit("open_po:remaining:"), F.coalesce(F.col("po_number").cast("string"), F.lit("")), F.lit("|"),
+            F.coalesce(F.col("po_line").cast("string"), F.lit(""))).alias("exception_id"),
         F.lit("remaining_mismatch").alias("gate"), F.lit("warning").alias("severity"),
-        F.col("qty_remaining").cast("string").alias("left_value"), F.col("stated_remaining").cast("string").alias("right_value"),
-        (F.coalesce("qty_remaining", F.lit(0)) - F.coalesce("stated_remaining", F.lit(0))).cast("double").alias("delta"),
+        F.col("qty_remaining").cast("string").alias("left_value"),
+            F.col("stated_remaining").cast("string").alias("right_value"),
+        (F.coalesce("qty_remaining", F.lit(0)) - F.coalesce("stated_remaining", F.lit(0))).cast("double")
+            .alias("delta"),
     )
-    checks = [gates.min_rows(), *gates.no_null_keys(frame, ["po_number", "sku"]), *gates.non_negative(["qty_remaining"])]
+    checks = [gates.min_rows(), *gates.no_null_keys(frame, ["po_number", "sku"]),
+        *gates.non_negative(["qty_remaining"])]
     verdicts = gates.evaluate(frame, "open_po", "open_po", checks)
     return EntityBuild(frame, grain, verdicts.union(gates.unique_grain(frame, "open_po", "open_po", grain)), conflicts)
 
@@ -98,7 +104,8 @@ def allocation(export: DataFrame, channels: dict[str, str] | None = None) -> Ent
     """
     channels = channels or CHANNELS
     grain = ["sku", "region_channel"]
-    frame = unpivot(export.withColumn("sku", canonical_sku(F.col("name"))), ["sku"], list(channels), "channel_column", "qty").select(
+    frame = unpivot(export.withColumn("sku", canonical_sku(F.col("name"))), ["sku"], list(channels), "channel_column",
+        "qty").select(
         "sku", map_values(F.col("channel_column"), channels).alias("region_channel"),
         F.coalesce("qty", F.lit(0)).alias("qty_allocated"), F.lit("launch_control").alias("basis"),
     )
@@ -108,28 +115,33 @@ def allocation(export: DataFrame, channels: dict[str, str] | None = None) -> Ent
 
 
 #: Export slug to builder: the extension point.
-BUILDERS: dict[str, Callable[..., EntityBuild]] = {"inventory": inventory_onhand, "open_po": open_po, "allocation": allocation}
+BUILDERS: dict[str, Callable[..., EntityBuild]] = {"inventory": inventory_onhand, "open_po": open_po,
+    "allocation": allocation}
 
 
-def cross_checks(built: dict[str, EntityBuild], items: DataFrame | None = None, precedence: DataFrame | None = None, crosswalk: DataFrame | None = None) -> DataFrame | None:
+def cross_checks(built: dict[str, EntityBuild], items: DataFrame | None = None, precedence: DataFrame | None = None,
+    crosswalk: DataFrame | None = None) -> DataFrame | None:
     """Verdicts of the gates that look at several entities, those for which all that they need is there."""
     out = []
     if items is not None:
         for name, one in built.items():
             bad = gates.orphans(one.frame, items, "sku", crosswalk)
-            out.append(gates.verdict(bad, one.frame.select("sku").distinct(), name, name, "orphan_sku", "sku is no item"))
+            out.append(gates.verdict(bad, one.frame.select("sku").distinct(), name, name, "orphan_sku",
+                "sku is no item"))
     if "allocation" in built and "inventory" in built:
         supplies = [(built["inventory"].frame, "on_hand")]
         if "open_po" in built:
             supplies.append((built["open_po"].frame.where("not is_closed"), "qty_remaining"))
         given = built["allocation"].frame
         bad = gates.over_allocated(given, supplies, "sku", "qty_allocated")
-        out.append(gates.verdict(bad, given.select("sku").distinct(), "allocation", "allocation", "allocation_over_supply", "more is allocated than there is"))
+        out.append(gates.verdict(bad, given.select("sku").distinct(), "allocation", "allocation",
+            "allocation_over_supply", "more is allocated than there is"))
     if precedence is not None:
         for name, one in built.items():
             if one.conflicts is not None:
                 bad = gates.unresolved(one.conflicts, precedence)
-                out.append(gates.verdict(bad, one.conflicts, name, name, "unresolved_conflict", "no rule says which side wins"))
+                out.append(gates.verdict(bad, one.conflicts, name, name, "unresolved_conflict",
+                    "no rule says which side wins"))
     every = None
     for v in out:
         every = v if every is None else every.unionByName(v)
@@ -154,4 +166,5 @@ def percentiles(df: DataFrame, by: Sequence[str], value: str, approximate: bool
     for c in by:
         one = every[c].eqNullSafe(some[c])
         same = one if same is None else same & one
-    return every.join(some, same, "left").select(*[every[c] for c in by], "p50", "p90", F.coalesce("n", F.lit(0)).alias("n"))
+    return every.join(some, same, "left").select(*[every[c] for c in by], "p50", "p90",
+        F.coalesce("n", F.lit(0)).alias("n"))

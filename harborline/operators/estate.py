@@ -78,10 +78,12 @@ def nest(left: DataFrame, right: DataFrame, key: str, name: str, order: Sequence
     cols = [*order, *[c for c in right.columns if c not in (*order, key)]]
     grouped = right.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*cols))).alias(name))
     out = left.join(grouped, key, "left")
-    return out.withColumn(name, F.coalesce(name, F.filter(F.array(F.lit(None).cast(grouped.schema[name].dataType.elementType)), lambda x: x.isNotNull())))
+    return out.withColumn(name, F.coalesce(name, F.filter(F.array(F.lit(None)
+        .cast(grouped.schema[name].dataType.elementType)), lambda x: x.isNotNull())))
 
 
-def formula_map(cells: DataFrame, least_formulas: int = 100, least_cells: int = 20, consistent: float = 0.98) -> DataFrame:
+def formula_map(cells: DataFrame, least_formulas: int = 100, least_cells: int = 20,
+    consistent: float = 0.98) -> DataFrame:
     """Dominant pattern of every formula column of ``cells`` (path, sheet, row, col, formula).
 
     Sheets with fewer than ``least_formulas`` are left out. A column is
@@ -101,6 +103,9 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> D
     All other columns of ``after`` are compared, by digests: no content is joined.
     """
     rest = [c for c in after.columns if c not in keys]
-    digest = lambda df, name: df.select(*keys, F.sha2(F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}), 256).alias(name))
-    both = digest(after, "_now").join(digest(before, "_then"), list(keys), "full").where(~F.col("_now").eqNullSafe(F.col("_then")))
-    return both.select(*keys, F.when(F.col("_then").isNull(), "added").when(F.col("_now").isNull(), "removed").otherwise("changed").alias("change"))
+    digest = lambda df, name: df.select(*keys, F.sha2(F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}), 256)
+        .alias(name))
+    both = digest(after, "_now").join(digest(before, "_then"), list(keys),
+        "full").where(~F.col("_now").eqNullSafe(F.col("_then")))
+    return both.select(*keys, F.when(F.col("_then").isNull(), "added").when(F.col("_now").isNull(), "removed")
+        .otherwise("changed").alias("change"))

@@ -30,14 +30,16 @@ class Gate:
 
 def min_rows(least: int = 1) -> Gate:
     n = F.count(F.lit(1))
-    return Gate("min_rows", BLOCKING, F.when(n < least, F.lit(least) - n).otherwise(F.lit(0)), n, message=f"fewer than {least} rows")
+    return Gate("min_rows", BLOCKING, F.when(n < least, F.lit(least) - n).otherwise(F.lit(0)), n,
+        message=f"fewer than {least} rows")
 
 
 def no_null_keys(df: DataFrame, keys: Sequence[str], allowed: float = 0.0) -> list[Gate]:
     """One gate a key; a key column that is absent fails on every row."""
     n = F.count(F.lit(1))
     return [
-        Gate(f"no_null_keys:{k}", BLOCKING, F.count_if(F.col(k).isNull()) if k in df.columns else n, n, allowed, f"{k} is null" if k in df.columns else f"{k} is absent")
+        Gate(f"no_null_keys:{k}", BLOCKING, F.count_if(F.col(k).isNull()) if k in df.columns else n, n, allowed,
+            f"{k} is null" if k in df.columns else f"{k} is absent")
         for k in keys
     ]
 
@@ -45,13 +47,15 @@ def no_null_keys(df: DataFrame, keys: Sequence[str], allowed: float = 0.0) -> li
 def known_members(df: DataFrame, key: str, marker: str, allowed: float = 0.02) -> Gate:
     """Non-null keys that the dimension lacks: rows whose ``marker``, taken from it, is null."""
     if key not in df.columns or marker not in df.columns:
-        return Gate(f"known_members:{key}", WARNING, F.lit(0).cast("long"), F.count(F.lit(1)), message=f"{key} is absent")
+        return Gate(f"known_members:{key}", WARNING, F.lit(0).cast("long"), F.count(F.lit(1)),
+            message=f"{key} is absent")
     bad = F.count_if(F.col(key).isNotNull() & F.col(marker).isNull())
     return Gate(f"known_members:{key}", BLOCKING, bad, F.count(F.lit(1)), allowed, f"{key} is not in the dimension")
 
 
 def non_negative(columns: Sequence[str]) -> list[Gate]:
-    return [Gate(f"non_negative:{c}", WARNING, F.count_if(F.col(c) < 0), F.count(F.col(c)), message=f"{c} is negative") for c in columns]
+    return [Gate(f"non_negative:{c}", WARNING, F.count_if(F.col(c) < 0), F.count(F.col(c)), message=f"{c} is negative")
+        for c in columns]
 
 
 def evaluate(df: DataFrame, source: str, entity: str, gates: Sequence[Gate]) -> DataFrame:
@@ -66,7 +70,8 @@ def evaluate(df: DataFrame, source: str, entity: str, gates: Sequence[Gate]) ->
                 F.lit(f"{source}:{entity}:{g.name}").alias("exception_id"),
                 F.lit(g.name).alias("gate"), F.lit(g.severity).alias("severity"),
                 F.col(f"f{i}").alias("failed"), F.col(f"c{i}").alias("checked"),
-                (F.col(f"f{i}") <= F.lit(g.allowed) * F.col(f"c{i}")).alias("passed"), F.lit(g.message).alias("message"),
+                (F.col(f"f{i}") <= F.lit(g.allowed) * F.col(f"c{i}")).alias("passed"),
+                    F.lit(g.message).alias("message"),
             )
             for i, g in enumerate(gates)
         ]
@@ -77,19 +82,24 @@ def evaluate(df: DataFrame, source: str, entity: str, gates: Sequence[Gate]) ->
 def unique_grain(df: DataFrame, source: str, entity: str, grain: Sequence[str]) -> DataFrame:
     """Verdict on duplicate keys: all rows that share a key count; nulls are equal."""
     twice = df.groupBy(*grain).agg(F.count(F.lit(1)).alias("n"))
-    one = twice.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("failed"), F.coalesce(F.sum("n"), F.lit(0)).alias("checked"))
+    one = twice.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("failed"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("checked"))
     name = "unique_grain"
     return one.select(
-        F.lit(f"{source}:{entity}:{name}").alias("exception_id"), F.lit(name).alias("gate"), F.lit(BLOCKING).alias("severity"),
-        "failed", "checked", (F.col("failed") == 0).alias("passed"), F.lit("rows share " + " x ".join(grain)).alias("message"),
+        F.lit(f"{source}:{entity}:{name}").alias("exception_id"), F.lit(name).alias("gate"),
+            F.lit(BLOCKING).alias("severity"),
+        "failed", "checked", (F.col("failed") == 0).alias("passed"),
+            F.lit("rows share " + " x ".join(grain)).alias("message"),
     )
 
 
-def verdict(failing: DataFrame, checked: DataFrame, source: str, entity: str, name: str, message: str, severity: str = BLOCKING) -> DataFrame:
+def verdict(failing: DataFrame, checked: DataFrame, source: str, entity: str, name: str, message: str,
+    severity: str = BLOCKING) -> DataFrame:
     """One verdict row for a gate whose offenders are a frame: how many there are, of how many checked."""
     n = lambda df, c: df.agg(F.count(F.lit(1)).alias(c))
     return n(failing, "failed").crossJoin(n(checked, "checked")).select(  # one row each
-        F.lit(f"{source}:{entity}:{name}").alias("exception_id"), F.lit(name).alias("gate"), F.lit(severity).alias("severity"),
+        F.lit(f"{source}:{entity}:{name}").alias("exception_id"), F.lit(name).alias("gate"),
+            F.lit(severity).alias("severity"),
         "failed", "checked", (F.col("failed") == 0).alias("passed"), F.lit(message).alias("message"),
     )
 
@@ -103,7 +113,8 @@ def orphans(facts: DataFrame, items: DataFrame, key: str, crosswalk: DataFrame |
     counted = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
     named = counted.withColumn("_name", F.col(key))
     if crosswalk is not None:
-        named = counted.join(crosswalk.select(F.col(key), F.col("mapped").alias("_mapped")), key, "left").select(key, "n_rows", F.coalesce("_mapped", key).alias("_name"))
+        named = counted.join(crosswalk.select(F.col(key), F.col("mapped").alias("_mapped")), key, "left").select(key,
+            "n_rows", F.coalesce("_mapped", key).alias("_name"))
     return named.join(items.select(F.col(key).alias("_name")).distinct(), "_name", "left_anti").select(key, "n_rows")
 
 
@@ -111,7 +122,8 @@ def stale(snapshots: DataFrame, source: str, as_of: str, today: Column, most_day
     """(source, data_as_of, age_days, stale) by source; a source without any date has an unknown age and isn't stale."""
     last = snapshots.groupBy(source).agg(F.max(as_of).cast("date").alias("data_as_of"))
     age = F.datediff(today.cast("date"), "data_as_of")
-    return last.select(source, "data_as_of", age.alias("age_days"), F.coalesce(age > most_days, F.lit(False)).alias("stale"))
+    return last.select(source, "data_as_of", age.alias("age_days"),
+        F.coalesce(age > most_days, F.lit(False)).alias("stale"))
 
 
 def _blank(c: str) -> Column:
@@ -123,7 +135,8 @@ def incomplete_transit(lines: DataFrame, container: str = "container", eta: str
     return lines.where(_blank(container) & F.col(eta).isNull())
 
 
-def over_allocated(allocated: DataFrame, supplies: Sequence[tuple[DataFrame, str]], key: str, quantity: str) -> DataFrame:
+def over_allocated(allocated: DataFrame, supplies: Sequence[tuple[DataFrame, str]], key: str,
+    quantity: str) -> DataFrame:
     """(key, allocated, supply): keys with more allocated than all supplies hold together.
 
     ``supplies`` are frames with their quantity columns, say stock, in transit
@@ -143,7 +156,8 @@ def unit_mismatches(lines: DataFrame, key: str, unit: str, quantities: Sequence[
     some = F.lit(False)
     for c in quantities:
         some = some | F.col(c).isNotNull()
-    found = lines.groupBy(key).agg(F.countDistinct(F.upper(F.trim(F.col(unit)))).alias("units"), F.count_if(some & _blank(unit)).alias("undeclared"))
+    found = lines.groupBy(key).agg(F.countDistinct(F.upper(F.trim(F.col(unit)))).alias("units"),
+        F.count_if(some & _blank(unit)).alias("undeclared"))
     return found.where("units > 1 or undeclared > 0")
 
 

@@ -30,7 +30,8 @@ def unknown_members(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return facts.select(key).where(F.col(key).isNotNull()).distinct().join(dim, key, "left_anti")
 
 
-def first_match(facts: DataFrame, right: DataFrame, key: str, order: Sequence[Column], take: Mapping[str, object]) -> DataFrame:
+def first_match(facts: DataFrame, right: DataFrame, key: str, order: Sequence[Column],
+    take: Mapping[str, object]) -> DataFrame:
     """Exact lookup: of several right rows the first by ``order``; defaults where none.
 
     ``take`` maps columns to take to their defaults. Picking the first is a
@@ -54,7 +55,8 @@ def excluding(facts: DataFrame, others: DataFrame, on: Sequence[str]) -> DataFra
     return facts.join(r, cond, "left_anti")
 
 
-def effective(facts: DataFrame, rates: DataFrame, on: Sequence[str], when: str, since: str, values: Sequence[str]) -> DataFrame:
+def effective(facts: DataFrame, rates: DataFrame, on: Sequence[str], when: str, since: str,
+    values: Sequence[str]) -> DataFrame:
     """Facts with the values of the latest rate that is in force on their date.
 
     Rates become intervals by one window over the (small) rate table, so facts
@@ -83,15 +85,21 @@ def contains_key(facts: DataFrame, right: DataFrame, text: str, key: str, gram:
     pieces of their own length. Blank keys match nothing.
     """
     low, want = F.upper(F.col(text)), F.upper(F.col(key))
-    pieces = lambda c, n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1))), lambda i: F.substring(c, i, n))
+    pieces = lambda c, n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1))),
+        lambda i: F.substring(c, i, n))
     keys = facts.select(key).where(F.length(key) > 0).distinct()
-    lengths = sorted({gram, *(r[0] for r in keys.select(F.least(F.length(key), F.lit(gram))).distinct().collect())})  # gram rows at most
+    lengths = sorted({gram, *(r[0] for r in keys.select(F.least(F.length(key), F.lit(gram))).distinct()
+        .collect())})  # gram rows at most
     rows = right.withColumn("_row", F.xxhash64(*right.columns)).withColumn("_low", low)
-    held = rows.select("_row", F.explode(F.array_distinct(F.concat(*[pieces(F.col("_low"), n) for n in lengths]))).alias("_piece"))
+    held = rows.select("_row", F.explode(F.array_distinct(F.concat(*[pieces(F.col("_low"), n) for n in lengths])))
+        .alias("_piece"))
     often = held.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
-    own = keys.select(key, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(want) - gram + 1, F.lit(1))), lambda i: F.substring(want, i, F.lit(gram))))).alias("_piece"))
+    own = keys.select(key, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1),
+        F.greatest(F.length(want) - gram + 1, F.lit(1))), lambda i: F.substring(want, i, F.lit(gram)))))
+            .alias("_piece"))
     rarest = own.join(often, "_piece").groupBy(key).agg(F.min(F.struct("_n", "_piece"))["_piece"].alias("_piece"))
-    met = rarest.join(held, "_piece").join(rows, "_row").where(F.contains("_low", want)).select(key, *right.columns).distinct()
+    met = rarest.join(held, "_piece").join(rows, "_row").where(F.contains("_low", want)).select(key,
+        *right.columns).distinct()
     return facts.join(met, key)
 
 
@@ -114,9 +122,11 @@ def set_overlap(sets: DataFrame, owner: str, item: str, file: str, least: float
     prefix = ranked.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * least) + 1)
     l, r = prefix.alias("l"), prefix.alias("r")
     near = (
-        l.join(r, (F.col(f"l.{item}") == F.col(f"r.{item}")) & (F.col(f"l.{owner}") < F.col(f"r.{owner}")) & (F.col(f"l.{file}") != F.col(f"r.{file}")))
+        l.join(r, (F.col(f"l.{item}") == F.col(f"r.{item}")) & (F.col(f"l.{owner}") < F.col(f"r.{owner}")) & (F.col(
+            f"l.{file}") != F.col(f"r.{file}")))
         .where((F.col("l.size") >= F.col("r.size") * least) & (F.col("r.size") >= F.col("l.size") * least))
-        .select(F.col(f"l.{owner}").alias("a"), F.col(f"r.{owner}").alias("b"), F.col("l.size").alias("na"), F.col("r.size").alias("nb"))
+        .select(F.col(f"l.{owner}").alias("a"), F.col(f"r.{owner}").alias("b"), F.col("l.size").alias("na"),
+            F.col("r.size").alias("nb"))
         .distinct()
     )
     a = one.select(F.col(owner).alias("a"), F.col(item).alias("_i"))

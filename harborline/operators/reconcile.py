@@ -23,7 +23,8 @@ _SPACE = r"\s+"
 def _finding(df: DataFrame, kind: str, severity, subject, left, right) -> DataFrame:
     s = severity if not isinstance(severity, str) else F.lit(severity)
     return df.select(
-        F.col("l.label").alias("left_label"), F.col("r.label").alias("right_label"), F.lit(kind).alias("kind"), s.alias("severity"),
+        F.col("l.label").alias("left_label"), F.col("r.label").alias("right_label"), F.lit(kind).alias("kind"),
+            s.alias("severity"),
         subject.alias("subject"), left.alias("left_value"), right.alias("right_value"),
     )
 
@@ -32,29 +33,40 @@ def findings(profiles: DataFrame) -> DataFrame:
     """Every way in which two queries of one upstream disagree."""
     pair = pairs_in_group(profiles, "upstream", "label")
     none = F.lit("")
-    opts = pair.select("l", "r", F.explode(F.array(*map(F.lit, ("QuoteStyle", "Columns", "Delimiter", "Encoding")))).alias("o"))
+    opts = pair.select("l", "r", F.explode(F.array(*map(F.lit, ("QuoteStyle", "Columns", "Delimiter", "Encoding"))))
+        .alias("o"))
     lo, ro = F.col("l.options")[F.col("o")], F.col("r.options")[F.col("o")]
     unquoted = F.coalesce(lo == "QuoteStyle.None", F.lit(False)) | F.coalesce(ro == "QuoteStyle.None", F.lit(False))
-    parse = _finding(opts.where(~lo.eqNullSafe(ro)), "parse_option", F.when(unquoted, "blocking").otherwise("warning"), F.col("o"), F.coalesce(lo, none), F.coalesce(ro, none))
+    parse = _finding(opts.where(~lo.eqNullSafe(ro)), "parse_option", F.when(unquoted, "blocking").otherwise("warning"),
+        F.col("o"), F.coalesce(lo, none), F.coalesce(ro, none))
 
-    each = pair.select("l", "r", F.explode("l.measures").alias("m")).select("l", "r", "m", F.explode("r.measures").alias("n"))
+    each = pair.select("l", "r", F.explode("l.measures").alias("m")).select("l", "r", "m",
+        F.explode("r.measures").alias("n"))
     other = each.where((F.col("m.name") == F.col("n.name")) & (F.col("m.signature") != F.col("n.signature")))
-    measure = _finding(other, "measure_definition", "blocking", F.col("m.name"), F.col("m.signature"), F.col("n.signature"))
-    names = lambda s, x: F.array_join(F.array_sort(F.array_distinct(F.transform(F.filter(F.col(f"{s}.measures"), lambda v: v["signature"] == x), lambda v: v["name"]))), ",")
-    sig = pair.select("l", "r", F.explode(F.array_intersect(F.transform("l.measures", lambda v: v["signature"]), F.transform("r.measures", lambda v: v["signature"]))).alias("s"))
+    measure = _finding(other, "measure_definition", "blocking", F.col("m.name"), F.col("m.signature"),
+        F.col("n.signature"))
+    names = lambda s, x: F.array_join(F.array_sort(F.array_distinct(F.transform(F.filter(F.col(f"{s}.measures"),
+        lambda v: v["signature"] == x), lambda v: v["name"]))), ",")
+    sig = pair.select("l", "r", F.explode(F.array_intersect(F.transform("l.measures", lambda v: v["signature"]),
+        F.transform("r.measures", lambda v: v["signature"]))).alias("s"))
     ln, rn = names("l", F.col("s")), names("r", F.col("s"))
     naming = _finding(sig.where(ln != rn), "measure_name", "info", F.col("s"), ln, rn)
 
-    keys = pair.select("l", "r", F.explode("l.keys").alias("k")).select("l", "r", "k", F.explode("r.keys").alias("j")).where(F.col("k.name") == F.col("j.name"))
+    keys = pair.select("l", "r", F.explode("l.keys").alias("k")).select("l", "r", "k",
+        F.explode("r.keys").alias("j")).where(F.col("k.name") == F.col("j.name"))
     text = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
     plain = lambda c: F.trim(F.regexp_replace(c, _SPACE, " "))
     made = lambda k: F.coalesce(plain(F.col(f"{k}.expression")), F.lit(""))
     apart = text(F.col("k.normalizers")) != text(F.col("j.normalizers"))
-    norm = _finding(keys.where(apart | (made("k") != made("j"))), "key_normalization", F.when(apart, "blocking").otherwise("warning"), F.col("k.name"), made("k"), made("j"))
+    norm = _finding(keys.where(apart | (made("k") != made("j"))), "key_normalization",
+        F.when(apart, "blocking").otherwise("warning"), F.col("k.name"), made("k"), made("j"))
     known = lambda s: F.transform(F.col(f"{s}.keys"), lambda v: v["name"])
-    lost_r = pair.select("l", "r", F.explode(F.array_except(F.array_except(known("l"), known("r")), F.col("r.outputs"))).alias("k"))
-    lost_l = pair.select("l", "r", F.explode(F.array_except(F.array_except(known("r"), known("l")), F.col("l.outputs"))).alias("k"))
-    missing = _finding(lost_r, "key_missing", "warning", F.col("k"), F.lit("derived"), none).union(_finding(lost_l, "key_missing", "warning", F.col("k"), none, F.lit("derived")))
+    lost_r = pair.select("l", "r", F.explode(F.array_except(F.array_except(known("l"), known("r")), F.col("r.outputs")))
+        .alias("k"))
+    lost_l = pair.select("l", "r", F.explode(F.array_except(F.array_except(known("r"), known("l")), F.col("l.outputs")))
+        .alias("k"))
+    missing = _finding(lost_r, "key_missing", "warning", F.col("k"), F.lit("derived"),
+        none).union(_finding(lost_l, "key_missing", "warning", F.col("k"), none, F.lit("derived")))
 
     lg, rg = text(F.col("l.grain")), text(F.col("r.grain"))
     grain = _finding(pair.where(lg != rg), "grain", "warning", none, lg, rg)
@@ -68,12 +80,14 @@ def findings(profiles: DataFrame) -> DataFrame:
 
 def forked_upstreams(profiles: DataFrame) -> DataFrame:
     """Upstreams that more than one workbook reads."""
-    return profiles.groupBy("upstream").agg(F.countDistinct("workbook").alias("workbooks"), F.count(F.lit(1)).alias("queries")).where("workbooks > 1")
+    return profiles.groupBy("upstream").agg(F.countDistinct("workbook").alias("workbooks"),
+        F.count(F.lit(1)).alias("queries")).where("workbooks > 1")
 
 
 def version_skew(edges: DataFrame) -> DataFrame:
     """(consumer, stem, files) where a consumer reads several files of one stem. ``edges``: src, dst."""
-    named = edges.select(F.col("dst").alias("consumer"), file_stem(F.col("src")).alias("stem"), F.lower("src").alias("file"))
+    named = edges.select(F.col("dst").alias("consumer"), file_stem(F.col("src")).alias("stem"),
+        F.lower("src").alias("file"))
     return named.groupBy("consumer", "stem").agg(F.countDistinct("file").alias("files")).where("files > 1")
 
 
@@ -87,10 +101,12 @@ def cycles(edges: DataFrame, depth: int = 12) -> DataFrame:
     paths = e.where("src <= dst").select(F.array("src").alias("path"), F.col("dst").alias("at"))
     found = None
     for _ in range(depth):
-        closed = paths.where(F.col("path")[0] == F.col("at")).select(F.array_join(F.array_sort("path"), ",").alias("nodes"))
+        closed = paths.where(F.col("path")[0] == F.col("at")).select(F.array_join(F.array_sort("path"), ",")
+            .alias("nodes"))
         found = closed if found is None else found.union(closed)
         open_ = paths.where(F.col("path")[0] < F.col("at")).where(~F.array_contains("path", F.col("at")))
-        paths = open_.join(e, F.col("at") == F.col("src")).select(F.concat("path", F.array("at")).alias("path"), F.col("dst").alias("at"))
+        paths = open_.join(e, F.col("at") == F.col("src")).select(F.concat("path", F.array("at")).alias("path"),
+            F.col("dst").alias("at"))
     return found.distinct()
 
 
@@ -99,4 +115,5 @@ def resolve(edges: DataFrame, files: DataFrame) -> DataFrame:
     key = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
     by_name = files.groupBy(F.lower("name").alias("n")).agg(F.min_by("file_id", "pos").alias("f1"))
     by_key = files.groupBy(key(F.col("name")).alias("k")).agg(F.min_by("file_id", "pos").alias("f2"))
-    return edges.join(by_name, F.lower("src") == F.col("n"), "left").join(by_key, key(F.col("src")) == F.col("k"), "left").select(*edges.columns, F.coalesce("f1", "f2").alias("file_id"))
+    return edges.join(by_name, F.lower("src") == F.col("n"), "left").join(by_key, key(F.col("src")) == F.col("k"),
+        "left").select(*edges.columns, F.coalesce("f1", "f2").alias("file_id"))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str, value: str, keep_null: bool = True) -> DataFrame:
+def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str, value: str,
+    keep_null: bool = True) -> DataFrame:
     """Listed columns to rows; nulls stay or go."""
     out = df.unpivot(list(ids), list(values), name, value)
     return out if keep_null else out.where(F.col(value).isNotNull())

@@ -17,7 +17,8 @@ def prior_total(value: Column, by: Sequence[str], order: Column) -> Column:
     return F.coalesce(F.sum(value).over(w), F.lit(0))
 
 
-def waterfall(df: DataFrame, by: Sequence[str], order: str, supply: str, held: str, wanted: str, quota: str) -> DataFrame:
+def waterfall(df: DataFrame, by: Sequence[str], order: str, supply: str, held: str, wanted: str,
+    quota: str) -> DataFrame:
     """Base allocation, unmet demand and the sweep of what is left, by priority.
 
     base = floor(min(quota, max(0, supply - held))); unmet = max(0, wanted - base);
@@ -49,7 +50,8 @@ def cumulative_share(df: DataFrame, value: str, tie: str) -> DataFrame:
     bins = binned.groupBy("_bin").agg(F.sum(value).alias("_sum"))
     above = W.orderBy(F.desc("_bin")).rowsBetween(W.unboundedPreceding, -1)  # at most 1,025 bins
     every = W.partitionBy()
-    bins = bins.withColumn("_above", F.coalesce(F.sum("_sum").over(above), F.lit(0))).withColumn("grand", F.sum("_sum").over(every))
+    bins = bins.withColumn("_above", F.coalesce(F.sum("_sum").over(above), F.lit(0))).withColumn("grand",
+        F.sum("_sum").over(every))
     own = W.partitionBy("_bin").orderBy(F.desc(value), tie).rowsBetween(W.unboundedPreceding, 0)
     return (
         binned.join(F.broadcast(bins), "_bin")
@@ -65,14 +67,16 @@ def ranked(df: DataFrame, by: Sequence[str], value: str, tie: str, name: str = "
     together, so a group of any size is no single task.
     """
     v = F.col(value)
-    place = F.when(v > 0, F.floor(F.log2(v) * 16).cast("int")).when(v.isNotNull(), F.lit(-20_000)).otherwise(F.lit(-30_000))
+    place = F.when(v > 0, F.floor(F.log2(v) * 16).cast("int")).when(v.isNotNull(),
+        F.lit(-20_000)).otherwise(F.lit(-30_000))
     binned = df.withColumn("_bin", place)
     bins = binned.groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("_rows"))
     above = W.partitionBy(*by).orderBy(F.desc("_bin")).rowsBetween(W.unboundedPreceding, -1)
     bins = bins.withColumn("_above", F.coalesce(F.sum("_rows").over(above), F.lit(0))).drop("_rows")
     own = W.partitionBy(*by, "_bin").orderBy(F.desc_nulls_last(value), tie)
     keys = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
-    met = binned.withColumn("_own", F.row_number().over(own)).alias("l").join(bins.alias("r"), [*keys, F.col("l._bin") == F.col("r._bin")])
+    met = binned.withColumn("_own", F.row_number().over(own)).alias("l").join(bins.alias("r"),
+        [*keys, F.col("l._bin") == F.col("r._bin")])
     return met.select(*[F.col(f"l.`{c}`") for c in df.columns], (F.col("r._above") + F.col("l._own")).alias(name))
 
 

@@ -24,7 +24,8 @@ from .reshape import unpivot
 
 def casts(sheet: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """A sheet of text cells under a contract's types; columns that aren't named keep their text. What doesn't parse is null."""
-    return sheet.select(*[typed(F.col(f"`{c}`").cast("string"), types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in sheet.columns])
+    return sheet.select(*[typed(F.col(f"`{c}`").cast("string"), types[c]).alias(c) if c in types else F.col(f"`{c}`")
+        for c in sheet.columns])
 
 
 def month_rows(export: DataFrame, ids: Sequence[str], months: Sequence[str]) -> DataFrame:
@@ -39,7 +40,8 @@ def grouped_forecast(rows: DataFrame, groups: Mapping[str, str], lead_groups: Ma
     The group is the territory's, else the lead group's. Sums of null or zero are dropped.
     """
     group = F.coalesce(map_values(F.col("territory"), groups), map_values(F.col("lead_group"), lead_groups))
-    by = rows.groupBy("item", group.alias("allocation_group"), "month", "category").agg(total(F.col("qty")).alias("forecast_qty"))
+    by = rows.groupBy("item", group.alias("allocation_group"), "month",
+        "category").agg(total(F.col("qty")).alias("forecast_qty"))
     return by.where("forecast_qty <> 0")
 
 
@@ -50,8 +52,10 @@ def full_forecast(rows: DataFrame, lead_groups: Mapping[str, str], sub_locations
     """
     region = F.coalesce(map_values(F.col("lead_group"), lead_groups), map_values(F.col("sub_location"), sub_locations))
     keys = ["sub_location", "category", "lead_group", "territory"]
-    by = rows.groupBy(text.canonical_sku(F.col("item")).alias("sku"), *keys, "month", region.alias("region")).agg(total(F.col("qty")).alias("forecast_qty"))
-    return by.where("forecast_qty <> 0").select("sku", *keys, "region", F.year("month").alias("year"), year_month(F.col("month")).alias("yyyymm"), "forecast_qty")
+    by = rows.groupBy(text.canonical_sku(F.col("item")).alias("sku"), *keys, "month",
+        region.alias("region")).agg(total(F.col("qty")).alias("forecast_qty"))
+    return by.where("forecast_qty <> 0").select("sku", *keys, "region", F.year("month").alias("year"),
+        year_month(F.col("month")).alias("yyyymm"), "forecast_qty")
 
 
 def regional_inventory(stock: DataFrame, regions: Mapping[str, str]) -> DataFrame:
@@ -94,10 +98,12 @@ def bill_master(bom: DataFrame, prefix: str = "TP ", word: str = "ARC") -> DataF
 def hold_list(held: DataFrame, stock: DataFrame) -> DataFrame:
     """Held rows (sku, back_order, rate) with the stock on hand (0 if none) and the value held back."""
     by = stock.groupBy("sku").agg(total(F.col("on_hand"), zero_fill=True).alias("on_hand"))
-    return held.join(by, "sku", "left").withColumn("on_hand", F.coalesce("on_hand", F.lit(0))).withColumn("value", F.col("back_order") * F.col("rate"))
+    return held.join(by, "sku", "left").withColumn("on_hand", F.coalesce("on_hand", F.lit(0))).withColumn("value",
+        F.col("back_order") * F.col("rate"))
 
 
-def closure_list(orders: DataFrame, stock: DataFrame, on_order: DataFrame, transfers: str = "TO", vendors: Sequence[str] = ()) -> DataFrame:
+def closure_list(orders: DataFrame, stock: DataFrame, on_order: DataFrame, transfers: str = "TO",
+    vendors: Sequence[str] = ()) -> DataFrame:
     """``hold_list`` with what is on purchase: rows (sku, document, vendor, remaining) that are no transfer and of no named vendor."""
     bought = on_order.where(~F.coalesce(F.startswith("document", F.lit(transfers)), F.lit(False)))
     for v in vendors:
@@ -108,15 +114,21 @@ def closure_list(orders: DataFrame, stock: DataFrame, on_order: DataFrame, trans
 
 def launch_status(readiness: DataFrame, on_order: DataFrame, least: float = 0.85) -> DataFrame:
     """Readiness rows (sku, name, status, completion) with what is on purchase and a flag on those short of ``least``."""
-    by = on_order.groupBy("sku").agg(total(F.col("remaining"), zero_fill=True).alias("po_qty"), F.count(F.lit(1)).alias("po_lines"))
-    flag = F.when(F.col("completion").isNull(), "no completion data").when(F.col("completion") < least, "below target").otherwise("on track")
+    by = on_order.groupBy("sku").agg(total(F.col("remaining"), zero_fill=True).alias("po_qty"),
+        F.count(F.lit(1)).alias("po_lines"))
+    flag = F.when(F.col("completion").isNull(), "no completion data").when(F.col("completion") < least,
+        "below target").otherwise("on track")
     out = readiness.join(by, "sku", "left")
-    return out.select(*readiness.columns, flag.alias("flag"), F.coalesce(F.col("po_lines") > 0, F.lit(False)).alias("po_exists"), F.coalesce("po_qty", F.lit(0)).alias("po_qty"))
+    return out.select(*readiness.columns, flag.alias("flag"),
+        F.coalesce(F.col("po_lines") > 0, F.lit(False)).alias("po_exists"),
+            F.coalesce("po_qty", F.lit(0)).alias("po_qty"))
 
 
 def container_validation(
-    skus: DataFrame, orders: DataFrame, review: DataFrame, stock: DataFrame, forecast: DataFrame, shipments: DataFrame, on_order: DataFrame,
-    prices: DataFrame, positions: DataFrame, allocations: DataFrame, region: str, months: Sequence[int], lanes: Mapping[str, str], eta: dt.date,
+    skus: DataFrame, orders: DataFrame, review: DataFrame, stock: DataFrame, forecast: DataFrame, shipments: DataFrame,
+        on_order: DataFrame,
+    prices: DataFrame, positions: DataFrame, allocations: DataFrame, region: str, months: Sequence[int],
+        lanes: Mapping[str, str], eta: dt.date,
     due: tuple[dt.date, dt.date],
 ) -> DataFrame:
     """What speaks for and against a container, 27 columns for each sku.
@@ -133,18 +145,24 @@ def container_validation(
     own, paid = F.col("region") == region, F.col("rate") > 0
     o = orders.groupBy("sku").agg(
         sum_if(own, F.col("back_order")).alias("bo_region"), total(F.col("back_order"), zero_fill=True).alias("bo_all"),
-        min_if(own & paid, F.col("rate")).alias("rate_min_region"), max_if(own & paid, F.col("rate")).alias("rate_max_region"), F.count_if(own & paid).alias("lines_region"),
-        min_if(paid, F.col("rate")).alias("rate_min_all"), max_if(paid, F.col("rate")).alias("rate_max_all"), F.count_if(paid).alias("lines_all"),
+        min_if(own & paid, F.col("rate")).alias("rate_min_region"),
+            max_if(own & paid, F.col("rate")).alias("rate_max_region"), F.count_if(own & paid).alias("lines_region"),
+        min_if(paid, F.col("rate")).alias("rate_min_all"), max_if(paid, F.col("rate")).alias("rate_max_all"),
+            F.count_if(paid).alias("lines_all"),
     )
     v = review.groupBy("sku").agg(
-        *[F.sum(c).alias(c) for c in ("held", "on_po", "forecast_12m", "inv_months")], F.try_divide(F.sum("inv_cost"), F.sum("total_inv")).alias("implied_cost")
+        *[F.sum(c).alias(c) for c in ("held", "on_po", "forecast_12m", "inv_months")],
+            F.try_divide(F.sum("inv_cost"), F.sum("total_inv")).alias("implied_cost")
     )
     s = stock.groupBy("sku").agg(sum_if(own, F.col("on_hand")).alias("on_hand_region"))
     names = [f"forecast_{m}" for m in months]
-    f = forecast.groupBy("sku").agg(*[sum_if(own & (F.col("yyyymm") == m), F.col("qty")).alias(n) for m, n in zip(months, names, strict=True)])
+    f = forecast.groupBy("sku").agg(*[sum_if(own & (F.col("yyyymm") == m), F.col("qty")).alias(n) for m,
+        n in zip(months, names, strict=True)])
     first, second = lanes
-    h = shipments.groupBy("sku").agg(sum_if(F.col("lane") == first, F.col("qty")).alias("transit_first"), sum_if(F.col("lane") == second, F.col("qty")).alias("transit_second"))
-    p = on_order.groupBy("sku").agg(sum_if(F.col("expected").between(F.lit(due[0]), F.lit(due[1])), F.col("remaining")).alias("po_due"))
+    h = shipments.groupBy("sku").agg(sum_if(F.col("lane") == first, F.col("qty")).alias("transit_first"),
+        sum_if(F.col("lane") == second, F.col("qty")).alias("transit_second"))
+    p = on_order.groupBy("sku").agg(sum_if(F.col("expected").between(F.lit(due[0]), F.lit(due[1])), F.col("remaining"))
+        .alias("po_due"))
     c = prices.groupBy("sku").agg(F.min("average_cost").alias("unit_cost"))
     e = positions.groupBy("sku").agg(F.min("average_cost").alias("position_cost"))
     listed = ends_with_key(skus.select("sku"), allocations, "name", "sku", text.after_last(F.col("name"), " : "))
@@ -152,20 +170,25 @@ def container_validation(
     out = skus.select("sku")
     for part in (o, v, s, f, h, p, c, e, a):
         out = out.join(part, "sku", "left")
-    zero = ["bo_region", "bo_all", "rate_min_region", "rate_max_region", "lines_region", "rate_min_all", "rate_max_all", "lines_all", "on_hand_region", *names]
-    out = out.fillna(0, [*zero, "transit_first", "transit_second", "po_due", "held", "on_po", "forecast_12m", "inv_months"])
+    zero = ["bo_region", "bo_all", "rate_min_region", "rate_max_region", "lines_region", "rate_min_all", "rate_max_all",
+        "lines_all", "on_hand_region", *names]
+    out = out.fillna(0, [*zero, "transit_first", "transit_second", "po_due", "held", "on_po", "forecast_12m",
+        "inv_months"])
     transit = F.col("transit_first") + F.col("transit_second")
     no_cost = F.col("unit_cost").isNull() & F.col("position_cost").isNull() & F.col("implied_cost").isNull()
     return out.select(
         "*", sum((F.col(n) for n in names[1:]), F.col(names[0])).alias("forecast_total"),
-        F.when(F.col("transit_first") > 0, lanes[first]).when(F.col("transit_second") > 0, lanes[second]).alias("container_group"),
+        F.when(F.col("transit_first") > 0, lanes[first]).when(F.col("transit_second") > 0, lanes[second])
+            .alias("container_group"),
         F.when(transit > 0, F.lit(eta)).alias("eta"), transit.alias("transit"),
-        F.when(no_cost & F.col("list_price").isNull() & (F.col("lines_all") == 0), "no price or cost data").when(F.col("lines_all") == 0, "no realized price")
+        F.when(no_cost & F.col("list_price").isNull() & (F.col("lines_all") == 0), "no price or cost data")
+            .when(F.col("lines_all") == 0, "no realized price")
         .when(no_cost, "no cost data").otherwise("ok").alias("price_flag"),
     )
 
 
-def clean_back_orders(orders: DataFrame, names: Sequence[str], since: dt.date, lists: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+def clean_back_orders(orders: DataFrame, names: Sequence[str], since: dt.date,
+    lists: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """Back orders (sku, customer, ship_date, qty, rate, ...) that count, with their ``value``.
 
     Left out: blank skus, quantities of zero or less, customers whose name
@@ -173,7 +196,8 @@ def clean_back_orders(orders: DataFrame, names: Sequence[str], since: dt.date, l
     passes), and what meets a row of one of ``lists`` on its keys, blank
     meeting blank.
     """
-    kept = orders.where((text.strip_all(F.col("sku").cast("string")) != "") & (F.col("qty") > 0) & (F.col("ship_date").isNull() | (F.col("ship_date") >= F.lit(since))))
+    kept = orders.where((text.strip_all(F.col("sku").cast("string")) != "") & (F.col("qty") > 0) & (F.col("ship_date")
+        .isNull() | (F.col("ship_date") >= F.lit(since))))
     for n in names:
         kept = kept.where(~F.coalesce(F.contains(F.lower("customer"), F.lit(n.lower())), F.lit(False)))
     for others, on in lists:
@@ -192,7 +216,8 @@ def allocation_mix(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def positions(
-    stock: DataFrame, back_orders: DataFrame, bought: DataFrame, forecast: DataFrame, demand: DataFrame, aliases: Mapping[str, str], as_of: dt.date,
+    stock: DataFrame, back_orders: DataFrame, bought: DataFrame, forecast: DataFrame, demand: DataFrame,
+        aliases: Mapping[str, str], as_of: dt.date,
     lead_days: float, run_months: int = 3, since: dt.date = dt.date(2020, 1, 1),
 ) -> DataFrame:
     """The position of every sku and channel that has stock, back orders, forecast or demand.
@@ -209,23 +234,29 @@ def positions(
     past = (F.col("month") < month) & (F.col("month") >= F.add_months(month, -run_months))
     value = lambda name, c: F.coalesce(F.sum(c), F.lit(0)).alias(name)
     held = stock.groupBy("sku", channel).agg(value("on_hand", F.col("on_hand")))
-    owed = back_orders.groupBy("sku", channel).agg(value("live_bo", F.when(F.col("ship_date") >= F.lit(since), F.col("qty"))))
+    owed = back_orders.groupBy("sku", channel).agg(value("live_bo",
+        F.when(F.col("ship_date") >= F.lit(since), F.col("qty"))))
     monthly = forecast.groupBy("sku", channel, "month").agg(F.sum("qty").alias("qty"))
     due = monthly.groupBy("sku", "channel").agg(
-        value("forecast3", F.when(ahead(3), F.col("qty"))), value("forecast12", F.when(ahead(12), F.col("qty"))), F.count_if(ahead(12) & (F.col("qty") > 0)).alias("_months")
+        value("forecast3", F.when(ahead(3), F.col("qty"))), value("forecast12", F.when(ahead(12), F.col("qty"))),
+            F.count_if(ahead(12) & (F.col("qty") > 0)).alias("_months")
     )
     sold = demand.groupBy("sku", channel).agg(value("_sold", F.when(past, F.col("qty"))))
     come = bought.where(F.col("expected").isNotNull()).groupBy("sku").agg(
-        value("inbound", F.col("qty")), exact_total(F.col("value")).alias("inbound_value"), F.min(F.when(F.col("expected") > F.lit(as_of), F.col("expected"))).alias("next_due")
+        value("inbound", F.col("qty")), exact_total(F.col("value")).alias("inbound_value"),
+            F.min(F.when(F.col("expected") > F.lit(as_of), F.col("expected"))).alias("next_due")
     )
     out = held
     for part in (owed, due, sold):
         out = out.join(part, ["sku", "channel"], "full")
-    out = out.join(come, "sku", "left").fillna(0, ["on_hand", "live_bo", "forecast3", "forecast12", "_months", "_sold", "inbound", "inbound_value"])
+    out = out.join(come, "sku", "left").fillna(0, ["on_hand", "live_bo", "forecast3", "forecast12", "_months", "_sold",
+        "inbound", "inbound_value"])
     rate = F.col("_sold") / F.lit(float(run_months))
     supply = numbers.months_of_supply(F.col("on_hand"), F.col("forecast12"), rate)
     return out.select(
-        F.concat_ws("|", F.col("sku").cast("string"), "channel").alias("key"), "sku", "channel", "on_hand", "live_bo", (F.col("on_hand") - F.col("live_bo")).alias("net"), "inbound", "inbound_value", "next_due",
-        "forecast3", "forecast12", numbers.floor_zero(F.lit(12) - F.col("_months")).alias("zero_months"), rate.alias("run_rate"), F.lit(lead_days / 30).alias("lead_months"),
+        F.concat_ws("|", F.col("sku").cast("string"), "channel").alias("key"), "sku", "channel", "on_hand", "live_bo",
+            (F.col("on_hand") - F.col("live_bo")).alias("net"), "inbound", "inbound_value", "next_due",
+        "forecast3", "forecast12", numbers.floor_zero(F.lit(12) - F.col("_months")).alias("zero_months"),
+            rate.alias("run_rate"), F.lit(lead_days / 30).alias("lead_months"),
         supply.alias("months_of_supply"), (supply - lead_days / 30).alias("coverage"),
     )

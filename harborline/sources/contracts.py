@@ -41,7 +41,8 @@ class Contract:
 
     def schema(self) -> T.StructType:
         """Typed schema; conflicts are kept as field metadata."""
-        return T.StructType([T.StructField(c.name, SPARK_TYPES[c.dtype], True, {"conflicts": list(c.conflicts)}) for c in self.columns])
+        return T.StructType([T.StructField(c.name, SPARK_TYPES[c.dtype], True, {"conflicts": list(c.conflicts)})
+            for c in self.columns])
 
 
 def declared_type(name: str) -> str:

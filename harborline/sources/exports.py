@@ -21,7 +21,8 @@ from .contracts import Contract
 
 ENCODINGS = ("utf-8-sig", "utf-8", "cp1252", "latin-1")
 #: What the bytes 0x80 to 0x9F mean in Latin-1 (control characters) and in Windows-1252.
-_CONTROLS = tuple("".join(chr(b) if e == "latin-1" else bytes([b]).decode(e) for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")) for e in ("latin-1", "cp1252"))
+_CONTROLS = tuple("".join(chr(b) if e == "latin-1" else bytes([b]).decode(e) for b in range(0x80, 0xA0) if bytes([b])
+    .decode("cp1252", "ignore")) for e in ("latin-1", "cp1252"))
 
 
 class MissingColumns(ValueError):
@@ -36,11 +37,13 @@ class Export:
 
     def coercion_report(self) -> DataFrame:
         """(column, lost): non-null cells that no longer hold a value, where there are any."""
-        typed = [f.name for f in self.frame.schema if not isinstance(f.dataType, T.StringType) and f"_raw_{f.name}" in self.raw.columns]
+        typed = [f.name for f in self.frame.schema if not isinstance(f.dataType, T.StringType)
+            and f"_raw_{f.name}" in self.raw.columns]
         if not typed:
             return self.raw.sparkSession.createDataFrame([], "column string, lost bigint")
         quote = lambda c: "`" + c.replace("`", "``") + "`"
-        sums = self.raw.agg(*[F.count_if(F.col(quote(f"_raw_{c}")).isNotNull() & F.col(quote(c)).isNull()).alias(str(i)) for i, c in enumerate(typed)])
+        sums = self.raw.agg(*[F.count_if(F.col(quote(f"_raw_{c}")).isNotNull() & F.col(quote(c)).isNull())
+            .alias(str(i)) for i, c in enumerate(typed)])
         rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(str(i)).alias("lost")) for i, c in enumerate(typed)])
         return sums.select(F.explode(rows).alias("r")).select("r.*").where("lost > 0")
 
@@ -67,7 +70,8 @@ def layout(spark: SparkSession, path: str) -> tuple[str, bool]:
     quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
     undefined = F.hex(line.cast("binary")).rlike("^(?:[0-9A-F]{2})*?(?:81|8D|8F|90|9D)")
     good = F.is_valid_utf8(line)
-    told = spark.read.text(path).agg(F.count_if(~good).alias("other"), F.count_if(~good & undefined).alias("odd"), F.count_if(quotes % 2 == 1).alias("open")).first()
+    told = spark.read.text(path).agg(F.count_if(~good).alias("other"), F.count_if(~good & undefined).alias("odd"),
+        F.count_if(quotes % 2 == 1).alias("open")).first()
     e = "utf-8" if not told["other"] else "cp1252" if not told["odd"] else "latin-1"
     return e, told["open"] > 0
 
@@ -88,7 +92,8 @@ def typed(c, dtype: str):
     return t
 
 
-def read_export(spark: SparkSession, path: str, contract: Contract, encoding: str | None = None, delimiter: str = ",") -> Export:
+def read_export(spark: SparkSession, path: str, contract: Contract, encoding: str | None = None,
+    delimiter: str = ",") -> Export:
     """Everything as text first, then columns coerced by the contract.
 
     Quotes are honoured, doubled quotes too, and line breaks in them: only a
@@ -99,8 +104,10 @@ def read_export(spark: SparkSession, path: str, contract: Contract, encoding: st
     """
     told, broken = layout(spark, path)
     e = encoding or told
-    spark_encoding = "UTF-8" if e.startswith("utf-8") else "ISO-8859-1"  # of Windows-1252, Spark reads what Latin-1 shares
-    opts = {"header": "true", "quote": '"', "escape": '"', "multiLine": str(broken).lower(), "encoding": spark_encoding, "sep": delimiter, "nullValue": "", "emptyValue": ""}
+    spark_encoding = "UTF-8" if e.startswith(
+        "utf-8") else "ISO-8859-1"  # of Windows-1252, Spark reads what Latin-1 shares
+    opts = {"header": "true", "quote": '"', "escape": '"', "multiLine": str(broken).lower(), "encoding": spark_encoding,
+        "sep": delimiter, "nullValue": "", "emptyValue": ""}
     raw = spark.read.options(**opts).csv(path)
     names = [c.strip().lstrip("﻿") for c in raw.columns]
     if e == "cp1252":
@@ -118,8 +125,10 @@ def read_export(spark: SparkSession, path: str, contract: Contract, encoding: st
         raw = raw.where(~blank)
     extra = [c for c in names if c not in declared]
     out = raw.select(
-        *[typed(q(c.name), c.dtype).alias(c.name) for c in contract.columns], *[F.nullif(strip_all(q(c)), F.lit("")).alias(c) for c in extra],
-        *[F.nullif(strip_all(q(c.name)), F.lit("")).alias(f"_raw_{c.name}") for c in contract.columns if c.dtype != "string"],
+        *[typed(q(c.name), c.dtype).alias(c.name) for c in contract.columns],
+            *[F.nullif(strip_all(q(c)), F.lit("")).alias(c) for c in extra],
+        *[F.nullif(strip_all(q(c.name)), F.lit("")).alias(f"_raw_{c.name}") for c in contract.columns
+            if c.dtype != "string"],
     )
     return Export(out.select(*["`" + c.replace("`", "``") + "`" for c in [*declared, *extra]]), out, extra)
 
@@ -141,7 +150,8 @@ def fetch_url(url: str, prefix: str, slug: str) -> tuple[str, str]:
         raise KeyError(f"environment variable {name} is not set")
     p = urlsplit(url)
     query = "&".join(x for x in (p.query, f"h={token}") if x)
-    return urlunsplit(p._replace(query=query)), urlunsplit(p._replace(query=(p.query + "&" if p.query else "") + "h=<REDACTED>"))
+    return urlunsplit(p._replace(query=query)), urlunsplit(p._replace(query=(p.query + "&" if p.query
+        else "") + "h=<REDACTED>"))
 
 
 def fetch(url: str, prefix: str, slug: str, drop: str, timeout: float = 120) -> str:
@@ -176,14 +186,18 @@ def profile(spark: SparkSession, path: str, cap: int = 2_000_000) -> DataFrame:
     lines = spark.read.text(path).where(strip_all(F.col("value")) != "")
     first = lines.limit(1).collect()
     if not first:
-        return spark.createDataFrame([(encoding, None, [], 0, 0, False)], "encoding string, delimiter string, headers array<string>, n_rows bigint, ragged bigint, capped boolean")
+        return spark.createDataFrame([(encoding, None, [], 0, 0, False)],
+            "encoding string, delimiter string, headers array<string>, n_rows bigint, ragged bigint, capped boolean")
     head = first[0]["value"].lstrip("﻿")
     delimiter = max(",;\t|", key=lambda d: (head.count(d), -",;\t|".index(d)))
     bare = F.regexp_replace("value", '"[^"]*"', "")
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1
-    headers = [h.strip().strip('"') for h in head.split(delimiter)] if '"' not in head else next(csv.reader([head], delimiter=delimiter))
+    headers = [h.strip().strip('"') for h in head.split(delimiter)] if '"' not in head else next(csv.reader([head],
+        delimiter=delimiter))
     counted = lines.limit(cap + 2).agg(F.count(F.lit(1)).alias("n"), F.count_if(fields != len(headers)).alias("ragged"))
     n = F.col("n") - 1
     return counted.select(
-        F.lit(encoding).alias("encoding"), F.lit(delimiter).alias("delimiter"), F.array(*map(F.lit, headers)).alias("headers"), F.least(n, F.lit(cap)).alias("n_rows"), "ragged", (n > cap).alias("capped"),
+        F.lit(encoding).alias("encoding"), F.lit(delimiter).alias("delimiter"),
+            F.array(*map(F.lit, headers)).alias("headers"), F.least(n, F.lit(cap)).alias("n_rows"), "ragged",
+                (n > cap).alias("capped"),
     )

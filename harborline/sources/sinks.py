@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 def stamp(df: DataFrame, slug: str, origin: str, extracted_at: str) -> DataFrame:
     """Lineage columns; ``data_as_of`` stays null until a source declares it."""
     return df.withColumns(
-        {"source_slug": F.lit(slug), "source_origin": F.lit(origin), "extracted_at": F.lit(extracted_at).cast("timestamp"), "data_as_of": F.lit(None).cast("timestamp")}
+        {"source_slug": F.lit(slug), "source_origin": F.lit(origin),
+            "extracted_at": F.lit(extracted_at).cast("timestamp"), "data_as_of": F.lit(None).cast("timestamp")}
     )
 
 
@@ -59,14 +60,16 @@ def mirror_sqlite(tables: Mapping[str, DataFrame], path: str, most: int = 1_000_
             if df.limit(most + 1).count() > most:
                 raise ValueError(f"{name} has over {most} rows; the mirror is for small tables")
             times = [f.name for f in df.schema if f.dataType.typeName().startswith(("timestamp", "date"))]
-            df.select(*[F.col(c).cast("string").alias(c) if c in times else F.col(c) for c in df.columns]).toPandas().to_sql(name, db, if_exists="replace", index=False)
+            df.select(*[F.col(c).cast("string").alias(c) if c in times else F.col(c)
+                for c in df.columns]).toPandas().to_sql(name, db, if_exists="replace", index=False)
 
 
 def markdown(df: DataFrame, title: str, most: int = 200) -> str:
     """A summary table as Markdown; a report, so it has a limit."""
     rows = df.limit(most).collect()
     head = "| " + " | ".join(df.columns) + " |\n|" + "---|" * len(df.columns)
-    return f"# {title}\n\n{head}\n" + "\n".join("| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows) + "\n"
+    return f"# {title}\n\n{head}\n" + "\n".join("| " + " | ".join("" if v is None else str(v) for v in r) + " |"
+        for r in rows) + "\n"
 
 
 def manifest(path: str, **what: object) -> None:

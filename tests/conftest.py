@@ -11,7 +11,8 @@ def spark():
     from harborline.session import session
 
     s = session(
-        "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__driver__memory="6g", spark__sql__autoBroadcastJoinThreshold="1m"
+        "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
+            spark__driver__memory="6g", spark__sql__autoBroadcastJoinThreshold="1m"
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -8,14 +8,16 @@ from harborline.operators import discovery, estate
 
 def roles(spark, *headers):
     df = spark.createDataFrame([("s", h) for h in headers], "sheet string, header string")
-    return {r.role: (r.header, r.score, r.match, r.needs_confirmation) for r in discovery.key_roles(df, "sheet", "header").collect()}
+    return {r.role: (r.header, r.score, r.match, r.needs_confirmation)
+        for r in discovery.key_roles(df, "sheet", "header").collect()}
 
 
 def test_a_quantity_on_order_is_no_order_number(spark):
     got = roles(spark, "Qty on PO", "PO #", "SKU", "POL", "POD", " ", "Container #")
     assert got["quantity"] == ("Qty on PO", 0.75, "leading", False)
     assert got["po_number"][:3] == ("PO #", 1.0, "exact")
-    assert (got["port_of_loading"][0], got["port_of_discharge"][0], got["sku"][0], got["container"][0]) == ("POL", "POD", "SKU", "Container #")
+    assert (got["port_of_loading"][0], got["port_of_discharge"][0], got["sku"][0], got["container"][0]) == ("POL",
+        "POD", "SKU", "Container #")
 
 
 def test_a_guess_needs_confirmation(spark):
@@ -34,51 +36,67 @@ def test_headers_without_separators_match(spark):
     assert roles(spark, "OnHand")["quantity"][2] == "exact" and roles(spark, "item_code")["sku"][2] == "exact"
 
 
-@pytest.mark.parametrize("held,want", [(["sku", "po_number", "uom"], "po_number x sku"), (["uom"], "unresolved"), ([], "unresolved")])
+@pytest.mark.parametrize("held,want", [(["sku", "po_number", "uom"], "po_number x sku"), (["uom"], "unresolved"),
+    ([], "unresolved")])
 def test_grain(spark, held, want):
     assert spark.range(1).select(discovery.grain(F.array(*map(F.lit, held)).cast("array<string>"))).first()[0] == want
 
 
 def test_domain(spark):
-    words = {"inventory": ["on hand", "stock status"], "open_po": ["purchase order", "po"], "transit": ["pol", "container"]}
-    rows = [("x/OnHand.csv", ["a"]), ("x/ItemsPurchaseOrder.csv", ["container", "pol"]), ("x.csv", ["On Hand", "Container"]), ("x.csv", []), ("x/on hand.csv", ["on hand"]), (None, None)]
+    words = {"inventory": ["on hand", "stock status"], "open_po": ["purchase order", "po"],
+        "transit": ["pol", "container"]}
+    rows = [("x/OnHand.csv", ["a"]), ("x/ItemsPurchaseOrder.csv", ["container", "pol"]),
+        ("x.csv", ["On Hand", "Container"]), ("x.csv", []), ("x/on hand.csv", ["on hand"]), (None, None)]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, path string, heads array<string>")
-    got = [tuple(r.d) for r in df.select("i", discovery.domain(F.col("path"), F.col("heads"), words).alias("d")).orderBy("i").collect()]
-    assert [g[:2] for g in got] == [("inventory", 3), ("open_po", 4), ("inventory", 1), ("unclassified", 0), ("inventory", 3), ("unclassified", 0)]
+    got = [tuple(r.d) for r in df.select("i", discovery.domain(F.col("path"), F.col("heads"), words).alias("d"))
+        .orderBy("i").collect()]
+    assert [g[:2] for g in got] == [("inventory", 3), ("open_po", 4), ("inventory", 1), ("unclassified", 0),
+        ("inventory", 3), ("unclassified", 0)]
     assert got[0][2] == ["on hand (path)"]
 
 
 def test_part_played(spark):
-    rows = [(0, 0, 0, 0, 0, False, True), (2, 0, 0, 900, 100, True, False), (0, 1, 0, 10, 100, False, False), (0, 0, 0, 900, 100, False, False), (0, 0, 0, 400, 100, False, False), (0,) * 5 + (False, False)]
+    rows = [(0, 0, 0, 0, 0, False, True), (2, 0, 0, 900, 100, True, False), (0, 1, 0, 10, 100, False, False),
+        (0, 0, 0, 900, 100, False, False), (0, 0, 0, 400, 100, False, False), (0,) * 5 + (False, False)]
     names = "query_sources links connections formulas rows macros is_csv".split()
-    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, " + ", ".join(f"{n} {'boolean' if n in ('macros', 'is_csv') else 'int'}" for n in names))
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+        "i int, " + ", ".join(f"{n} {'boolean' if n in ('macros', 'is_csv') else 'int'}" for n in names))
     got = [r.p for r in df.select("i", discovery.part_played(*map(F.col, names)).alias("p")).orderBy("i").collect()]
     assert [(g.role, g.confidence) for g in got] == [
-        ("true_source", "high"), ("hybrid", "high"), ("derived_copy", "high"), ("calculated_output", "medium"), ("true_source", "medium"), ("unknown", "low")
+        ("true_source", "high"), ("hybrid", "high"), ("derived_copy", "high"), ("calculated_output", "medium"),
+            ("true_source", "medium"), ("unknown", "low")
     ]
-    assert got[1].reasons == ["pulls from 2 queries, 0 links, 0 connections", "900 formulas, 9.0 a row", "has macros", "imports and recomputes"]
-    how = df.select("i", discovery.refresh_mechanism(*map(F.col, ("query_sources", "connections", "links", "macros", "is_csv"))).alias("h")).orderBy("i").collect()
+    assert got[1].reasons == ["pulls from 2 queries, 0 links, 0 connections", "900 formulas, 9.0 a row", "has macros",
+        "imports and recomputes"]
+    how = df.select("i", discovery.refresh_mechanism(*map(F.col,
+        ("query_sources", "connections", "links", "macros", "is_csv"))).alias("h")).orderBy("i").collect()
     assert [r.h for r in how] == ["export", "queries (2) + macro", "formula links (1)", "manual", "manual", "manual"]
 
 
 def test_risk(spark):
     users = [f"C:\\Users\\u{i}\\b.xlsx" for i in range(5)]
     rows = [
-        (users, False, False, 0, False, 0.9, 0), (["file:///\\\\srv\\a%20b.xlsx", "D:\\Downloads\\x.csv"], True, True, 51, True, 0.3, 2),
+        (users, False, False, 0, False, 0.9, 0), (["file:///\\\\srv\\a%20b.xlsx", "D:\\Downloads\\x.csv"], True, True,
+            51, True, 0.3, 2),
         (["https://x.sharepoint.com/a"], False, False, 0, False, 0.0, 0), (None, False, False, 2, False, None, 0),
     ]
     cols = "locations macros protected hidden capped confidence errors".split()
-    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, locations array<string>, macros boolean, protected boolean, hidden int, capped boolean, confidence double, errors int")
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+        "i int, locations array<string>, macros boolean, protected boolean, hidden int, capped boolean, confidence double, errors int")
     got = [r.r for r in df.select("i", discovery.risk(*map(F.col, cols)).alias("r")).orderBy("i").collect()]
-    assert [(g.score, g.band) for g in got] == [(120, "critical"), (25 + 45 + 10 + 10 + 24 + 15 + 12 + 20, "critical"), (8, "low"), (6, "low")]
+    assert [(g.score, g.band) for g in got] == [(120, "critical"), (25 + 45 + 10 + 10 + 24 + 15 + 12 + 20, "critical"),
+        (8, "low"), (6, "low")]
     assert got[0].findings == ["user path"] and got[3].findings == ["hidden sheets"]
 
 
 def test_overlaps_come_by_difference_of_rows(spark):
-    sets = {1: ("f1", 10, "abcde"), 2: ("f2", 90, "abcde"), 3: ("f3", 10, "abcd"), 4: ("f3", 5, "abcde"), 5: ("f4", 1, "xyzw")}
+    sets = {1: ("f1", 10, "abcde"), 2: ("f2", 90, "abcde"), 3: ("f3", 10, "abcd"), 4: ("f3", 5, "abcde"),
+        5: ("f4", 1, "xyzw")}
     rows = [(o, f, n, c) for o, (f, n, items) in sets.items() for c in items]
-    got = discovery.overlaps(spark.createDataFrame(rows, "owner int, file string, n int, item string"), "owner", "item", "file", "n").collect()
-    assert [(r.a, r.b, r.row_delta, r.conflict) for r in got] == [(2, 4, 85, True), (1, 2, -80, True), (2, 3, 80, True), (1, 4, 5, True), (1, 3, 0, False)]
+    got = discovery.overlaps(spark.createDataFrame(rows, "owner int, file string, n int, item string"), "owner", "item",
+        "file", "n").collect()
+    assert [(r.a, r.b, r.row_delta, r.conflict) for r in got] == [(2, 4, 85, True), (1, 2, -80, True), (2, 3, 80, True),
+        (1, 4, 5, True), (1, 3, 0, False)]
     assert got[2].shared_columns == list("abcd")
 
 
@@ -91,16 +109,22 @@ def test_capped_groups(spark):
 @pytest.mark.parametrize(
     "a,b,same",
     [
-        ("https://1.app.example.com/core/media/media.nl?id=5&c=1&h=x", "https://1.app.example.com/core/media/media.nl?c=1&h=y&id=5", True),
-        ("https://a.example.com/p?id=5", "https://b.example.org/other?id=5", False), ("\\\\srv\\a\\Book.xlsx", "C:/x/book.XLSX", True),
-        ("https://t.sharepoint.com/B.xlsx?web=1", "https://t.sharepoint.com/b.xlsx#s", True), ("Table1", "table1", True), ("Table1", "x/Table1", False),
+        ("https://1.app.example.com/core/media/media.nl?id=5&c=1&h=x",
+            "https://1.app.example.com/core/media/media.nl?c=1&h=y&id=5", True),
+        ("https://a.example.com/p?id=5", "https://b.example.org/other?id=5", False),
+            ("\\\\srv\\a\\Book.xlsx", "C:/x/book.XLSX", True),
+        ("https://t.sharepoint.com/B.xlsx?web=1", "https://t.sharepoint.com/b.xlsx#s", True),
+            ("Table1", "table1", True), ("Table1", "x/Table1", False),
     ],
 )
 def test_upstream_identity(spark, a, b, same):
-    r = spark.createDataFrame([(a, b)], "a string, b string").select(*[estate.upstream_identity(F.col(c)) for c in "ab"]).first()
+    r = spark.createDataFrame([(a, b)], "a string, b string").select(*[estate.upstream_identity(F.col(c))
+        for c in "ab"]).first()
     assert (r[0] == r[1]) is same
 
 
 def test_snapshot_diff(spark):
-    before, after = (spark.createDataFrame(r, "k int, x string, y int") for r in ([(1, "a", None), (2, "b", 1), (3, "c", 1)], [(1, None, None), (2, "b", 1), (4, "d", 1)]))
-    assert sorted(map(tuple, estate.snapshot_diff(before, after, ["k"]).collect())) == [(1, "changed"), (3, "removed"), (4, "added")]
+    before, after = (spark.createDataFrame(r, "k int, x string, y int")
+        for r in ([(1, "a", None), (2, "b", 1), (3, "c", 1)], [(1, None, None), (2, "b", 1), (4, "d", 1)]))
+    assert sorted(map(tuple, estate.snapshot_diff(before, after, ["k"]).collect())) == [(1, "changed"), (3, "removed"),
+        (4, "added")]

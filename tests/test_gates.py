@@ -9,20 +9,23 @@ from harborline.operators import entities, gates
 
 def test_orphans_after_the_crosswalk(spark):
     facts = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), (None,)], "sku string")
-    items, walk = spark.createDataFrame([("a",), ("z",)], "sku string"), spark.createDataFrame([("c", "z")], "sku string, mapped string")
+    items, walk = spark.createDataFrame([("a",), ("z",)], "sku string"), spark.createDataFrame([("c", "z")],
+        "sku string, mapped string")
     assert [tuple(r) for r in gates.orphans(facts, items, "sku", walk).collect()] == [("b", 2)]
     assert sorted(map(tuple, gates.orphans(facts, items, "sku").collect())) == [("b", 2), ("c", 1)]
 
 
 def test_stale_snapshots(spark):
     day = lambda d: dt.datetime(2024, 1, d, 12)
-    df = spark.createDataFrame([("new", day(10)), ("old", day(1)), ("old", day(2)), ("none", None)], "source string, at timestamp")
+    df = spark.createDataFrame([("new", day(10)), ("old", day(1)), ("old", day(2)), ("none", None)],
+        "source string, at timestamp")
     got = {r.source: (r.age_days, r.stale) for r in gates.stale(df, "source", "at", F.lit("2024-01-10")).collect()}
     assert got == {"new": (0, False), "old": (8, True), "none": (None, False)}
 
 
 def test_transit_needs_a_container_or_an_arrival(spark):
-    df = spark.createDataFrame([(1, "C", None), (2, None, dt.date(2024, 1, 1)), (3, " ", None), (4, None, None)], "i int, container string, eta date")
+    df = spark.createDataFrame([(1, "C", None), (2, None, dt.date(2024, 1, 1)), (3, " ", None), (4, None, None)],
+        "i int, container string, eta date")
     assert sorted(r.i for r in gates.incomplete_transit(df).collect()) == [3, 4]
 
 
@@ -34,16 +37,23 @@ def test_units_and_money(spark):
 
 
 def test_gates_over_several_entities(spark):
-    build = lambda rows, schema, conflicts=None: entities.EntityBuild(spark.createDataFrame(rows, schema), ["sku"], None, conflicts)
+    build = lambda rows, schema, conflicts=None: entities.EntityBuild(spark.createDataFrame(rows, schema), ["sku"],
+        None, conflicts)
     clash = spark.createDataFrame([("x", "remaining_mismatch"), ("y", "settled")], "exception_id string, gate string")
     built = {
-        "allocation": build([("a", 5), ("a", 6), ("b", 9)], "sku string, qty_allocated bigint"), "inventory": build([("a", 4), ("b", 9), ("c", None)], "sku string, on_hand bigint"),
-        "open_po": build([("a", 6, False), ("b", 1, True)], "sku string, qty_remaining bigint, is_closed boolean", clash),
+        "allocation": build([("a", 5), ("a", 6), ("b", 9)], "sku string, qty_allocated bigint"),
+            "inventory": build([("a", 4), ("b", 9), ("c", None)], "sku string, on_hand bigint"),
+        "open_po": build([("a", 6, False), ("b", 1, True)], "sku string, qty_remaining bigint, is_closed boolean",
+            clash),
     }
-    items, rules = spark.createDataFrame([("a",), ("b",)], "sku string"), spark.createDataFrame([("settled",)], "gate string")
-    got = {r.exception_id: (r.failed, r.checked, r.passed) for r in entities.cross_checks(built, items, rules).collect()}
+    items, rules = spark.createDataFrame([("a",), ("b",)], "sku string"), spark.createDataFrame([("settled",)],
+        "gate string")
+    got = {r.exception_id: (r.failed, r.checked, r.passed) for r in entities.cross_checks(built, items, rules)
+        .collect()}
     assert got == {
-        "allocation:allocation:orphan_sku": (0, 2, True), "inventory:inventory:orphan_sku": (1, 3, False), "open_po:open_po:orphan_sku": (0, 2, True),
-        "allocation:allocation:allocation_over_supply": (1, 2, False), "open_po:open_po:unresolved_conflict": (1, 2, False),
+        "allocation:allocation:orphan_sku": (0, 2, True), "inventory:inventory:orphan_sku": (1, 3, False),
+            "open_po:open_po:orphan_sku": (0, 2, True),
+        "allocation:allocation:allocation_over_supply": (1, 2, False),
+            "open_po:open_po:unresolved_conflict": (1, 2, False),
     }
     assert entities.cross_checks({"open_po": built["open_po"]}) is None

@@ -35,7 +35,8 @@ def number(x):
 @given(st.lists(cell, min_size=1, max_size=60))
 def test_scalars(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x string")
-    got = {r.i: (r.s, r.n) for r in df.select("i", text.canonical_sku(F.col("x")).alias("s"), numbers.parse_number(F.col("x")).alias("n")).collect()}
+    got = {r.i: (r.s, r.n) for r in df.select("i", text.canonical_sku(F.col("x")).alias("s"),
+        numbers.parse_number(F.col("x")).alias("n")).collect()}
     for i, v in enumerate(values):
         assert got[i][0] == sku(v)
         assert got[i][1] == pytest.approx(number(v), nan_ok=True)
@@ -53,12 +54,14 @@ def test_cumulative_share(spark, values):
 
 
 @few
-@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 9)), max_size=12), st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 9)), max_size=12))
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 9)), max_size=12),
+    st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 9)), max_size=12))
 def test_effective(spark, rates, facts):
     rates = {(k, d): float(i) for i, (k, d) in enumerate(rates)}
     r = spark.createDataFrame([(k, d, v) for (k, d), v in rates.items()], "k string, since int, rate double")
     f = spark.createDataFrame([(k, d) for k, d in facts], "k string, day int")
-    got = sorted((x.k, x.day, x.rate) for x in joins.effective(f, r, ["k"], "day", "since", ["rate"]).fillna(-1.0).collect())
+    got = sorted((x.k, x.day, x.rate) for x in joins.effective(f, r, ["k"], "day", "since", ["rate"]).fillna(-1.0)
+        .collect())
     want = []
     for k, day in facts:
         ok = [(d, v) for (q, d), v in rates.items() if q == k and d <= day]

@@ -20,7 +20,8 @@ def test_read_export(spark, tmp_path):
     p.write_bytes('﻿Name,On Hand,Cat,When,Extra\n"P : A ","1,204","A, ""B""",2024-01-31,e\n   \n"x\ny",1d,,1/2/2024,\n,,,,\n'.encode())
     e = exports.read_export(spark, str(p), contract(Name="string", On_Hand="whole", Cat="string", When="timestamp"))
     rows = e.frame.collect()
-    assert [(r["Name"], r["On Hand"], r["Cat"]) for r in rows] == [("P : A", 1204, 'A, "B"'), ("x\ny", None, None), (None, None, None)]
+    assert [(r["Name"], r["On Hand"], r["Cat"]) for r in rows] == [("P : A", 1204, 'A, "B"'), ("x\ny", None, None),
+        (None, None, None)]
     assert e.unexpected == ["Extra"] and str(rows[1]["When"])[:10] == "2024-01-02"
     assert [tuple(r) for r in e.coercion_report().collect()] == [("On Hand", 1)]
 
@@ -40,8 +41,10 @@ def test_encodings():
 @pytest.mark.parametrize(
     "data,want",
     [
-        ("a,é\n1,2\n".encode(), ("utf-8", False)), ("a,é\n1,2\n".encode("cp1252"), ("cp1252", False)), (b"a\n\x81\n", ("latin-1", False)),
-        (b"a\n1\n" * 40_000 + "é".encode("cp1252"), ("cp1252", False)), (b'a,b\n"x ""y""",2\n', ("utf-8", False)), (b'a\n"x\ny"\n', ("utf-8", True)), (b"", ("utf-8", False)),
+        ("a,é\n1,2\n".encode(), ("utf-8", False)), ("a,é\n1,2\n".encode("cp1252"), ("cp1252", False)),
+            (b"a\n\x81\n", ("latin-1", False)),
+        (b"a\n1\n" * 40_000 + "é".encode("cp1252"), ("cp1252", False)), (b'a,b\n"x ""y""",2\n', ("utf-8", False)),
+            (b'a\n"x\ny"\n', ("utf-8", True)), (b"", ("utf-8", False)),
     ],
 )
 def test_layout_is_told_from_the_whole_file(spark, tmp_path, data, want):
@@ -64,14 +67,19 @@ def test_large_files_are_listed_but_not_read(spark, tmp_path):
     found = files.sweep(spark, [str(tmp_path)], [".csv"])
     assert found.count() == 2
     assert [r.path.rsplit("/", 1)[1] for r in files.contents(spark, found, max_mb=1).collect()] == ["small.csv"]
-    assert "length" in files.contents(spark, found, max_mb=1)._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1][:200]
+    assert "length" in files.contents(spark, found, max_mb=1)._jdf.queryExecution().executedPlan().toString().split(
+        "PushedFilters")[1][:200]
 
 
 def test_header_row_as_aggregate_and_in_a_probe(spark):
-    rows = [["Title"], ["1", "2", "3"], ["SKU", "Qty", "Qty"], ["SKU", "Qty", "Region"], ["a", "b", "c"], ["x", "1", "2"]]
-    assert files.header_row(rows) == (3, 0.85) and files.header_row([["1", "2"], ["x"]]) == (-1, 0.0) and files.header_row([]) == (-1, 0.0)
-    cells = [("p", "s", i + 1, chr(65 + j), v) for i, r in enumerate(rows) for j, v in enumerate(r)] + [("p", "t", 1, "A", "only")]
-    got = files.header_rows(spark.createDataFrame(cells, "path string, sheet string, row bigint, col string, value string")).collect()
+    rows = [["Title"], ["1", "2", "3"], ["SKU", "Qty", "Qty"], ["SKU", "Qty", "Region"], ["a", "b", "c"],
+        ["x", "1", "2"]]
+    assert files.header_row(rows) == (3, 0.85) and files.header_row([["1", "2"], ["x"]]) == (-1,
+        0.0) and files.header_row([]) == (-1, 0.0)
+    cells = [("p", "s", i + 1, chr(65 + j), v) for i, r in enumerate(rows) for j,
+        v in enumerate(r)] + [("p", "t", 1, "A", "only")]
+    got = files.header_rows(spark.createDataFrame(
+        cells, "path string, sheet string, row bigint, col string, value string")).collect()
     assert [(r.sheet, r.row, r.confidence) for r in got] == [("s", 4, 0.85)]
 
 
@@ -117,11 +125,13 @@ def test_profile_of_a_csv(spark, tmp_path):
 
 def test_contracts_merge_and_keep_notes(tmp_path):
     c = contracts.merge("s", [{"Q": "Int64.Type", "T": "type nullable text"}, {"Q": "number", "Z": "any"}])
-    assert [(x.name, x.dtype, x.conflicts) for x in c.columns] == [("Q", "number", ("whole",)), ("T", "string", ()), ("Z", "string", ())]
+    assert [(x.name, x.dtype, x.conflicts) for x in c.columns] == [("Q", "number", ("whole",)), ("T", "string", ()),
+        ("Z", "string", ())]
     path = str(tmp_path / "c.json")
     contracts.dump([contracts.Contract("s", c.columns, "entity", "by hand")], path)
     contracts.dump([c], path)
-    assert contracts.load(path)[0].notes == "by hand" and contracts.load(path)[0].schema()["Q"].metadata == {"conflicts": ["whole"]}
+    assert contracts.load(path)[0].notes == "by hand" and contracts.load(path)[0].schema()["Q"].metadata == {
+        "conflicts": ["whole"]}
 
 
 def workbook(queries=None):
@@ -129,11 +139,15 @@ def workbook(queries=None):
     ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
     cell = lambda ref, v: f'<c r="{ref}" t="inlineStr"><is><t>{v}</t></is></c>'
     sheet = "".join(
-        f'<row r="{i}">{c}</row>' for i, c in [(1, cell("A1", "Title")), (3, cell("A3", "SKU") + cell("B3", "Qty") + cell("AA3", "Region")), (4, cell("A4", "x") + '<c r="B4"><f>1+1</f><v>2</v></c>'), (5, cell("A5", "y")), (6, "<c r=\"A6\"/>")]
+        f'<row r="{i}">{c}</row>' for i, c in [(1, cell("A1", "Title")),
+            (3, cell("A3", "SKU") + cell("B3", "Qty") + cell("AA3", "Region")),
+                (4, cell("A4", "x") + '<c r="B4"><f>1+1</f><v>2</v></c>'), (5, cell("A5", "y")), (6, "<c r=\"A6\"/>")]
     )
     with zipfile.ZipFile(out, "w") as z:
-        z.writestr("xl/workbook.xml", f'<workbook {ns}><sheets><sheet name="Data" sheetId="1" r:id="r1"/><sheet name="Old" sheetId="2" state="hidden" r:id="r2"/></sheets></workbook>')
-        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/sheet1.xml"/><Relationship Id="r2" Target="/xl/worksheets/sheet2.xml"/></Relationships>')
+        z.writestr("xl/workbook.xml",
+            f'<workbook {ns}><sheets><sheet name="Data" sheetId="1" r:id="r1"/><sheet name="Old" sheetId="2" state="hidden" r:id="r2"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels",
+            '<Relationships><Relationship Id="r1" Target="worksheets/sheet1.xml"/><Relationship Id="r2" Target="/xl/worksheets/sheet2.xml"/></Relationships>')
         z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {ns}><sheetData>{sheet}</sheetData></worksheet>")
         z.writestr("xl/worksheets/sheet2.xml", f"<worksheet {ns}><sheetData/></worksheet>")
         z.writestr("xl/vbaProject.bin", b'x DPB="1" CMG="2"')
@@ -142,7 +156,8 @@ def workbook(queries=None):
             with zipfile.ZipFile(inner, "w") as q:
                 q.writestr("Formulas/Section1.m", queries)
             blob = struct.pack("<II", 0, len(inner.getvalue())) + inner.getvalue()
-            z.writestr("customXml/item1.xml", ('<DataMashup xmlns="m">' + base64.b64encode(blob).decode() + "</DataMashup>").encode("utf-16"))
+            z.writestr("customXml/item1.xml", ('<DataMashup xmlns="m">' + base64.b64encode(blob)
+                .decode() + "</DataMashup>").encode("utf-16"))
     return out.getvalue()
 
 
@@ -161,19 +176,25 @@ def test_sweep_and_probe(spark, tmp_path):
     assert [r["error"].split(":")[0] for r in rows if r["error"]] == ["unreachable"]
     probes = {(r["path"].rsplit("/", 1)[1], r["sheet"]): r for r in files.probe(files.contents(spark, found)).collect()}
     data = probes["book.xlsm", "Data"]
-    assert (data["headers"], data["n_rows"], data["formulas"], data["macros_protected"]) == (["SKU", "Qty", "Region"], 2, 1, True)
-    assert probes["book.xlsm", "Old"]["state"] == "hidden" and probes["bad.xlsx", None]["error"].startswith("BadZipFile")
+    assert (data["headers"], data["n_rows"], data["formulas"], data["macros_protected"]) == (["SKU", "Qty", "Region"],
+        2, 1, True)
+    assert probes["book.xlsm", "Old"]["state"] == "hidden" and probes["bad.xlsx",
+        None]["error"].startswith("BadZipFile")
     c = probes["data.csv", None]
-    assert (c["encoding"], c["delimiter"], c["headers"], c["n_rows"], c["ragged"]) == ("utf-8-sig", ";", ["a", "b"], 3, 1)
-    texts = {r["query"]: r["text"] for r in files.query_texts(files.contents(spark, found.where("name like '%.xlsm'"))).collect()}
+    assert (c["encoding"], c["delimiter"], c["headers"], c["n_rows"], c["ragged"]) == ("utf-8-sig", ";", ["a", "b"], 3,
+        1)
+    texts = {r["query"]: r["text"] for r in files.query_texts(files.contents(spark, found.where("name like '%.xlsm'")))
+        .collect()}
     assert set(texts) == {'Open "PO"', "Stock"} and '"x;y"' in texts['Open "PO"']
 
 
 def test_cells_and_sheet_table(spark):
-    df = spark.createDataFrame([("a.xlsx", bytearray(workbook())), ("b.xlsx", bytearray(b"no"))], "path string, content binary")
+    df = spark.createDataFrame([("a.xlsx", bytearray(workbook())), ("b.xlsx", bytearray(b"no"))],
+        "path string, content binary")
     every = files.cells(df)
     assert [r["error"].split(":")[0] for r in every.where("error is not null").collect()] == ["BadZipFile"]
-    assert [tuple(r) for r in every.where("formula is not null").select("sheet", "row", "col", "value", "formula").collect()] == [("Data", 4, "B", "2", "=1+1")]
+    assert [tuple(r) for r in every.where("formula is not null").select("sheet", "row", "col", "value", "formula")
+        .collect()] == [("Data", 4, "B", "2", "=1+1")]
     rows = files.sheet_table(every, "Data", header=3).orderBy("row").collect()
     assert [(r["SKU"], r["Qty"], r["Region"]) for r in rows] == [("x", "2", None), ("y", None, None)]
 
@@ -206,13 +227,16 @@ def test_mirror(spark, tmp_path):
 def test_extract_publishes_or_blocks(spark, tmp_path):
     drop = tmp_path / "drop"
     drop.mkdir()
-    cols = {"po_number": "whole", "po_line": "whole", "item": "string", "ordered": "whole", "received": "whole", "remaining": "whole", "closed": "string"}
+    cols = {"po_number": "whole", "po_line": "whole", "item": "string", "ordered": "whole", "received": "whole",
+        "remaining": "whole", "closed": "string"}
     path = str(tmp_path / "c.json")
     contracts.dump([contracts.Contract("open_po", tuple(contracts.Column(k, v) for k, v in cols.items()))], path)
-    run = lambda i, *more: cli.main(["extract", "--contracts", path, "--drop", str(drop), "--warehouse", str(tmp_path / "w"), "--run-id", i, *more])
+    run = lambda i, *more: cli.main(["extract", "--contracts", path, "--drop", str(drop), "--warehouse",
+        str(tmp_path / "w"), "--run-id", i, *more])
     assert run("r0") == 2
     (drop / "open_po.csv").write_text(",".join(cols) + "\n1,1,P : a,200,0,150,No\n1,2,P : b,5,1,4,No\n")
     assert run("r1") == 0 and sinks.current(spark, str(tmp_path / "w"), "exceptions").count() == 1
     (drop / "open_po.csv").write_text(",".join(cols) + "\n1,1,P : a,2,0,2,No\n1,1,P : b,5,1,4,No\n")
     assert run("r2") == 2 and sinks.current(spark, str(tmp_path / "w"), "open_po").count() == 2
-    assert run("r3", "--force") == 2 and sinks.current(spark, str(tmp_path / "w"), "open_po").where("sku = 'B'").first()["received"] == 1
+    assert run("r3", "--force") == 2 and sinks.current(spark, str(tmp_path / "w"),
+        "open_po").where("sku = 'B'").first()["received"] == 1
