@@ -88,7 +88,8 @@ def _monoid() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 index[h] = len(slots)
                 slots.append(h)
         at += 1
-    compose = np.array([[index[tuple(g[q] for q in f)] for g in slots] for f in slots], np.uint8 if len(slots) < 256 else np.uint16)
+    compose = np.array([[index[tuple(g[q] for q in f)] for g in slots] for f in slots],
+        np.uint8 if len(slots) < 256 else np.uint16)
     start = np.array([[_next_state(q, s)[1] for q in range(8)] for s in range(8)])
     return np.array(slots, np.uint8), compose, start
 
@@ -129,7 +130,8 @@ def boundaries(points: np.ndarray, first: np.ndarray) -> np.ndarray:
         quote = quote[quote + 2 < len(points)]
         quote = quote[~ends[quote + 1]]
         pair = points[quote + 1] * 256 + np.minimum(points[quote + 2], 255)
-        sym[quote[(points[quote + 1] < 128) & np.isin(pair, [ord(a) * 256 + ord(b) for a, b in ("re", "ve", "ll")])]] = Q3
+        sym[quote[(points[quote + 1] < 128) & np.isin(pair, [ord(a) * 256 + ord(b) for a,
+            b in ("re", "ve", "ll")])]] = Q3
     functions, compose, start = _monoid()
     element = sym + np.where(first, 9, 1).astype(np.uint8)
     before = np.concatenate((np.zeros(1, compose.dtype), _scan(element.astype(compose.dtype), compose)[:-1]))
@@ -320,7 +322,8 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -
             offsets = np.concatenate(([0], np.cumsum(n)))
             total = np.cumsum(length)
             ends = total - np.repeat(np.concatenate(([0], total))[offsets[:-1]], n)
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), _lists(offsets, ids), _lists(offsets, ends)], _ENCODED)
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), _lists(offsets, ids),
+                _lists(offsets, ends)], _ENCODED)
             at = to
 
 

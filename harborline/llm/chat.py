@@ -22,7 +22,8 @@ def turn_prefixes(turns: DataFrame, conv_col: str, turn_col: str, role_col: str,
     running window, so a prefix hash depends on order and no conversation is
     gathered into an array. Texts aren't shuffled, only their hashes.
     """
-    same = [F.coalesce(F.col(role_col), F.lit("")), F.col(role_col).isNull(), F.coalesce(F.col(text_col), F.lit("")), F.col(text_col).isNull()]
+    same = [F.coalesce(F.col(role_col), F.lit("")), F.col(role_col).isNull(), F.coalesce(F.col(text_col), F.lit("")),
+        F.col(text_col).isNull()]
     hashed = turns.select(
         F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"),
         F.xxhash64(*same).alias("h1"), F.xxhash64(F.lit(7), *same).alias("h2"),
@@ -42,7 +43,8 @@ def turn_prefixes(turns: DataFrame, conv_col: str, turn_col: str, role_col: str,
     )
 
 
-def maximal_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+def maximal_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
+    text_col: str = "text") -> DataFrame:
     """(conv, n_turns, n_absorbed) of conversations that are a prefix of no other.
 
     Of equal conversations the one with the least id is kept. ``n_absorbed``
@@ -62,30 +64,35 @@ def maximal_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
     )
 
 
-def render_chats(turns: DataFrame, kept: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+def render_chats(turns: DataFrame, kept: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
+    role_col: str = "role", text_col: str = "text") -> DataFrame:
     """``kept`` with ``rendered``: its turns in order, each in role markers.
 
     Null role is "unknown", null text is empty. One conversation is one row, as
     long as its turns together.
     """
-    same = [F.coalesce(F.col(role_col), F.lit("")), F.col(role_col).isNull(), F.coalesce(F.col(text_col), F.lit("")), F.col(text_col).isNull()]
+    same = [F.coalesce(F.col(role_col), F.lit("")), F.col(role_col).isNull(), F.coalesce(F.col(text_col), F.lit("")),
+        F.col(text_col).isNull()]
     body = F.concat(
         F.lit("<|"), F.coalesce(F.col(role_col), F.lit("unknown")), F.lit("|>\n"),
         F.coalesce(F.col(text_col), F.lit("")), F.lit("\n<|end|>"),
     )
     said = turns.select(
         F.col(conv_col).alias("c"),
-        F.struct(F.col(turn_col).alias("turn"), F.xxhash64(*same).alias("h1"), F.xxhash64(F.lit(7), *same).alias("h2"), body.alias("body")).alias("t"),
+        F.struct(F.col(turn_col).alias("turn"), F.xxhash64(*same).alias("h1"), F.xxhash64(F.lit(7), *same).alias("h2"),
+            body.alias("body")).alias("t"),
     )
     return (
         kept.join(said, F.col("conv").eqNullSafe(F.col("c")))
         .groupBy("conv", "n_turns", "n_absorbed")
         .agg(F.sort_array(F.collect_list("t")).alias("ts"))
-        .select("conv", "n_turns", "n_absorbed", F.array_join(F.transform("ts", lambda t: t["body"]), "\n").alias("rendered"))
+        .select("conv", "n_turns", "n_absorbed", F.array_join(F.transform("ts", lambda t: t["body"]), "\n")
+            .alias("rendered"))
     )
 
 
-def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
+    text_col: str = "text") -> DataFrame:
     """Maximal conversations, rendered. An empty table gives an empty table."""
     kept = maximal_conversations(turns, conv_col, turn_col, role_col, text_col)
     return render_chats(turns, kept, conv_col, turn_col, role_col, text_col)

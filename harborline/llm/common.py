@@ -40,7 +40,8 @@ HASHED = 32 << 20
 
 def prepare(spark: SparkSession) -> None:
     """Settings that the operators on texts need, where the session leaves them unset."""
-    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS), ("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", HASHED)):
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS),
+        ("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", HASHED)):
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
 

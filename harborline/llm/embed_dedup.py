@@ -59,7 +59,8 @@ def border_gaps(cells: np.ndarray) -> np.ndarray:
 _ROWS = 40
 
 
-def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, cell_rows: int = 2048, sample: int = 20_000, margin: float = 0.16, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, cell_rows: int = 2048, sample: int = 20_000,
+    margin: float = 0.16, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(id, n_links, component) for each row of ``vectors``.
 
     Centroids are fitted on at most ``sample`` vectors, one for ``cell_rows``
@@ -118,7 +119,8 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, cell_row
                 i, j = i[sure], j[sure]
                 if len(i):
                     here, there = an[i] >> _ROWS, bn[j] >> _ROWS
-                    alone = (here != there) & (behind(au[i], c, here, there) > margin * gaps[here, there])  # the other side doesn't see it
+                    alone = (here != there) & (behind(au[i], c, here, there) > margin
+                        * gaps[here, there])  # the other side doesn't see it
                     own = np.bincount(i, bn[j] & (1 << _ROWS) - 1, len(ai)).astype(np.int64)
                     other = np.bincount(j[alone], an[i[alone]] & (1 << _ROWS) - 1, len(bi)).astype(np.int64)
                     ids, place = np.unique(np.concatenate([ai[i], bi[j]]), return_inverse=True)
@@ -129,15 +131,18 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, cell_row
                     yield pd.DataFrame({"a": ids[moved], "b": ids[label[moved]], "n": 0})
 
     found = settle(
-        meet(blocks.where("kind = 'home'"), blocks.where("kind = 'listed'")).mapInPandas(compare, "a bigint, b bigint, n bigint")
+        meet(blocks.where("kind = 'home'"), blocks.where("kind = 'listed'"))
+            .mapInPandas(compare, "a bigint, b bigint, n bigint")
     )
     links = found.where("n > 0").groupBy("a").agg(F.sum("n").alias("links")).withColumnRenamed("a", "id")
     groups = connected_components(found.where("n = 0"))
     by_class = (
         distinct.join(links, "id", "left")
         .join(groups, "id", "left")
-        .select("v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
+        .select("v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+            F.coalesce("component", "id").alias("component"))
     )
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
     none = F.coalesce("n_links", F.lit(0).cast("long"))
-    return rows.join(by_class, "v", "left").select("id", none.alias("n_links"), F.coalesce("component", "id").alias("component"))
+    return rows.join(by_class, "v", "left").select("id", none.alias("n_links"),
+        F.coalesce("component", "id").alias("component"))

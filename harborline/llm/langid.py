@@ -61,7 +61,8 @@ class ByteGRU:
     def fresh(cls, langs: list[str], hidden: int, seed: int) -> ByteGRU:
         r = np.random.default_rng(seed)
         f = lambda *s, scale: (r.standard_normal(s) * scale).astype(np.float32)
-        return cls(langs, f(2, 3 * hidden, 256, scale=0.3), f(2, 3 * hidden, hidden, scale=hidden**-0.5), f(len(langs), 2 * hidden + 1, scale=0.1))
+        return cls(langs, f(2, 3 * hidden, 256, scale=0.3), f(2, 3 * hidden, hidden, scale=hidden**-0.5),
+            f(len(langs), 2 * hidden + 1, scale=0.1))
 
     def states(self, data: np.ndarray, keep: list | None = None) -> np.ndarray:
         """(2, T, H, rows): the states that each direction has after each position."""
@@ -142,7 +143,8 @@ class ByteGRU:
             gx[d] = inputs[d].transpose(1, 0, 2).reshape(3 * hidden, -1) @ hot
         return float(loss), [gx, gu, gout.astype(np.float32)]
 
-    def fit(self, data: np.ndarray, label: np.ndarray, mask: np.ndarray, steps: int, batch: int, rate: float, seed: int) -> ByteGRU:
+    def fit(self, data: np.ndarray, label: np.ndarray, mask: np.ndarray, steps: int, batch: int, rate: float,
+        seed: int) -> ByteGRU:
         """Adam over random batches; the rate falls to zero."""
         r = np.random.default_rng(seed)
         weights = [self.x, self.u, self.out]
@@ -168,7 +170,8 @@ class ByteGRU:
         flat, at = data.reshape(-1), (np.cumsum(count) - count) * WINDOW
         for a, t in zip(at.tolist(), texts, strict=True):
             flat[a : a + len(t)] = np.frombuffer(t, np.uint8)
-        used = np.minimum(WINDOW, length[owner] - (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)) * WINDOW)
+        used = np.minimum(WINDOW, length[owner] - (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count,
+            count)) * WINDOW)
         for a in range(0, len(data), ROWS):
             n = used[a : a + ROWS]
             p = self.positions(data[a : a + ROWS])
@@ -183,7 +186,8 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, per_lang: int = 800, windows: int = 3, steps: int = 320, hidden: int = 8, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteGRU | None:
+def train(docs: DataFrame, per_lang: int = 800, windows: int = 3, steps: int = 320, hidden: int = 8, seed: int = 7,
+    id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteGRU | None:
     """Fit on labelled rows that aren't held out; None if there is none.
 
     The sample is bounded: of each label the ``per_lang`` documents of least
@@ -197,15 +201,18 @@ def train(docs: DataFrame, per_lang: int = 800, windows: int = 3, steps: int = 3
     has_letter = F.rlike(F.col(text_col), F.lit(r"\p{L}"))
     usable = docs.where(F.col(lang_col).isNotNull() & ~held_out(id_col) & has_letter)
     places = F.array(
-        *[(F.pmod(F.xxhash64(F.col(id_col), F.lit(seed + 1 + k)), F.greatest(F.length(text_col) - WINDOW + 1, F.lit(1))) + 1).cast("int") for k in range(windows)]
+        *[(F.pmod(F.xxhash64(F.col(id_col), F.lit(seed + 1 + k)),
+            F.greatest(F.length(text_col) - WINDOW + 1, F.lit(1))) + 1).cast("int") for k in range(windows)]
     )
     cut = F.transform(places, lambda p: F.substring(F.col(text_col), p, WINDOW))
-    counts = usable.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).limit(MOST_LABELS + 1).collect()
+    counts = usable.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).limit(MOST_LABELS
+        + 1).collect()
     if not counts:
         return None
     if len(counts) > MOST_LABELS:
         raise ValueError(f"more than {MOST_LABELS} labels")
-    limits = docs.sparkSession.createDataFrame([(r["lang"], 4.0 * per_lang * (1 << 31) / r["n"]) for r in counts], "lang string, below double")
+    limits = docs.sparkSession.createDataFrame([(r["lang"], 4.0 * per_lang * (1 << 31) / r["n"]) for r in counts],
+        "lang string, below double")
     ranked = W.partitionBy("lang").orderBy("h", "id")
     sample = (
         usable.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), seedling.alias("h"), cut.alias("cut"))
@@ -260,10 +267,12 @@ def predict(docs: DataFrame, model: ByteGRU | None, text_col: str = "text", keep
             yield pd.DataFrame({"lang_pred": best, "score": score})
 
     text = F.when(F.rlike(F.col(text_col), F.lit(r"\p{L}")), F.col(text_col))
-    return docs.select(*(keep or docs.columns), label(text).alias("_p")).select(*(keep or docs.columns), "_p.lang_pred", "_p.score")
+    return docs.select(*(keep or docs.columns), label(text).alias("_p")).select(*(keep or docs.columns), "_p.lang_pred",
+        "_p.score")
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **how) -> DataFrame:
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    **how) -> DataFrame:
     """(doc, held_out, lang_pred, score): every row of ``docs``, whole texts.
 
     Null and blank texts and those without a letter are ``und``. A text of any

@@ -65,7 +65,8 @@ def drop_common_lines(
     frequent = F.col("rows") * HOT > total
     hot = common.where(frequent).select("h1", "h2", F.lit(True).alias("hot"))  # fewer than HOT rows
     # a flagged line needs no partner any more: it is spread by its place instead of its hash
-    spread = lines.join(F.broadcast(hot), ["h1", "h2"], "left").withColumn("h1", F.when(F.col("hot"), F.xxhash64("id", "pos")).otherwise(F.col("h1")))
+    spread = lines.join(F.broadcast(hot), ["h1", "h2"], "left").withColumn("h1",
+        F.when(F.col("hot"), F.xxhash64("id", "pos")).otherwise(F.col("h1")))
     flags = (
         spread.join(common.where(~frequent).drop("rows"), ["h1", "h2"], "left")
         .withColumn("hit", F.coalesce("hot", "hit"))

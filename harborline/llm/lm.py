@@ -122,7 +122,8 @@ def most_frequent(counts: DataFrame, most: int) -> int:
     histogram it is a count that none has.
     """
     step = F.floor(F.log2("n") * 16)
-    bins = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("least"), F.max("n").alias("top")).orderBy(F.desc("step")).collect()
+    bins = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("least"),
+        F.max("n").alias("top")).orderBy(F.desc("step")).collect()
     least, held = (bins[0]["top"] + 1 if bins else 1), 0
     for b in bins:
         held += b["rows"]
@@ -135,7 +136,8 @@ def most_frequent(counts: DataFrame, most: int) -> int:
 def _sorted_table(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The two long columns of a frame of bounded size, in order of the first."""
     t = frame.toArrow()
-    key, value = (c.combine_chunks().to_numpy(zero_copy_only=False) if t.num_rows else np.zeros(0, np.int64) for c in t.columns)
+    key, value = (c.combine_chunks().to_numpy(zero_copy_only=False) if t.num_rows else np.zeros(0, np.int64)
+        for c in t.columns)
     order = np.argsort(key, kind="stable")
     return key[order], value[order]
 
@@ -154,7 +156,8 @@ def _codes(hot: np.ndarray, h: np.ndarray) -> np.ndarray:
     return np.where(there, at, (h | _HASHED).view(np.int64))
 
 
-def _grams(hot: np.ndarray, h: np.ndarray, n: np.ndarray, bits: int, order: int = 2) -> list[tuple[np.ndarray, np.ndarray]]:
+def _grams(hot: np.ndarray, h: np.ndarray, n: np.ndarray, bits: int,
+    order: int = 2) -> list[tuple[np.ndarray, np.ndarray]]:
     """(places where it ends, name) of the words, of the bigrams, and so on up to ``order``."""
     words, which = np.unique(h, return_inverse=True)
     code = _codes(hot, words)[which]
@@ -192,18 +195,25 @@ def _long_weights(rows: DataFrame, k: int, lower: DataFrame, hot, min_count: int
                 held[at] = names
             gram, first, n_of = np.unique(name, return_index=True, return_counts=True)
             last = ends[first]
-            yield _batch(gram=gram, front=whole[k - 2][last - 1], tail=whole[k - 2][last], middle=whole[k - 3][last - 1], n=n_of)
+            yield _batch(gram=gram, front=whole[k - 2][last - 1], tail=whole[k - 2][last],
+                middle=whole[k - 3][last - 1], n=n_of)
 
-    counted = rows.mapInArrow(count, "gram bigint, front bigint, tail bigint, middle bigint, n bigint").groupBy("gram", "front", "tail", "middle")
+    counted = rows.mapInArrow(count, "gram bigint, front bigint, tail bigint, middle bigint, n bigint").groupBy("gram",
+        "front", "tail", "middle")
     grams = settle(counted.agg(F.sum("n").alias("n")).where(F.col("n") >= min_count))
     part = lambda c, sign: F.struct(F.col(c).alias("name"), F.lit(sign).alias("sign"))
-    asked = grams.select("gram", "n", F.explode(F.array(part("front", -1), part("tail", -1), part("middle", 1))).alias("p")).select("gram", "n", "p.name", "p.sign")
+    asked = grams.select("gram", "n", F.explode(F.array(part("front", -1), part("tail", -1), part("middle", 1)))
+        .alias("p")).select("gram", "n", "p.name", "p.sign")
     least = most_frequent(lower, 1 << min(bits, 16))
     met = []
-    for some, join in ((lower.where(F.col("n") >= least), F.broadcast), (lower.where(F.col("n") < least), lambda df: df)):  # the former is bounded
-        met.append(asked.join(join(some.select(F.col("gram").alias("name"), "log")), "name").select("gram", "n", "sign", "log"))
-    logs = met[0].union(met[1]).groupBy("gram", "n").agg(F.sum(F.col("sign") * F.col("log")).alias("logs"))  # what has no row counts one
-    return grams.join(logs, ["gram", "n"], "left").select("gram", "n", (F.ln("n") - F.lit(math.log(alpha)) + F.coalesce("logs", F.lit(0.0))).alias("value"))
+    for some, join in ((lower.where(F.col("n") >= least), F.broadcast),
+        (lower.where(F.col("n") < least), lambda df: df)):  # the former is bounded
+        met.append(asked.join(join(some.select(F.col("gram").alias("name"), "log")), "name")
+            .select("gram", "n", "sign", "log"))
+    logs = met[0].union(met[1]).groupBy("gram", "n").agg(F.sum(F.col("sign") * F.col("log"))
+        .alias("logs"))  # what has no row counts one
+    return grams.join(logs, ["gram", "n"], "left").select("gram", "n",
+        (F.ln("n") - F.lit(math.log(alpha)) + F.coalesce("logs", F.lit(0.0))).alias("value"))
 
 
 def train(rows: DataFrame, min_count: int = 2, alpha: float = 0.4, bits: int = HOT_BITS, order: int = 2) -> Model:
@@ -238,13 +248,15 @@ def train(rows: DataFrame, min_count: int = 2, alpha: float = 0.4, bits: int = H
         for b in batches:
             gram, n = b.column(0).to_numpy(), b.column(3).to_numpy()
             named = gram > 0
-            p, w = (np.where(named, own, b.column(i).fill_null(0).to_numpy()) for i, own in ((1, gram >> bits & (1 << bits) - 1), (2, gram & (1 << bits) - 1)))
+            p, w = (np.where(named, own, b.column(i).fill_null(0).to_numpy()) for i,
+                own in ((1, gram >> bits & (1 << bits) - 1), (2, gram & (1 << bits) - 1)))
             value, apart = np.log(n) + more, np.stack([p, w], 1)
             known = apart >= 0
             for k in (0, 1):
                 value[known[:, k]] -= log[apart[known[:, k], k]]
             ends = np.concatenate(([0], np.cumsum((~known).sum(1))))
-            yield _batch(gram=gram, n=n, value=value, apart=pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(apart[~known])))
+            yield _batch(gram=gram, n=n, value=value, apart=pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                pa.array(apart[~known])))
 
     part = bigrams.mapInArrow(weigh, "gram bigint, n bigint, value double, apart array<bigint>")
     whole = part.where(F.size("apart") == 0).select("gram", "n", "value")
@@ -256,10 +268,13 @@ def train(rows: DataFrame, min_count: int = 2, alpha: float = 0.4, bits: int = H
 
     alone = words.where("n > 1").mapInArrow(named, "gram bigint, n bigint").withColumn("value", F.ln("n"))
     rare = alone.where("gram < 0").select(F.col("gram").alias("word"), F.col("value").alias("log"))
-    rest = part.where(F.size("apart") > 0).select("gram", "n", "value", F.explode("apart").alias("word")).join(rare, "word", "left")
-    rest = rest.groupBy("gram", "n", "value").agg(F.sum(F.coalesce("log", F.lit(0.0))).alias("logs")).select("gram", "n", (F.col("value") - F.col("logs")).alias("value"))
+    rest = part.where(F.size("apart") > 0).select("gram", "n", "value", F.explode("apart").alias("word")).join(rare,
+        "word", "left")
+    rest = rest.groupBy("gram", "n", "value").agg(F.sum(F.coalesce("log", F.lit(0.0))).alias("logs")).select("gram",
+        "n", (F.col("value") - F.col("logs")).alias("value"))
     weights = whole.unionByName(rest).unionByName(alone)
-    lower = alone.select("gram", "n", F.col("value").alias("log")).unionByName(bigrams.select("gram", "n", F.ln("n").alias("log")))
+    lower = alone.select("gram", "n", F.col("value").alias("log")).unionByName(bigrams.select("gram", "n",
+        F.ln("n").alias("log")))
     for k in range(3, order + 1):
         longer = settle(_long_weights(rows, k, settle(lower), shared, min_count, alpha, bits))
         weights = weights.unionByName(longer)
@@ -269,7 +284,8 @@ def train(rows: DataFrame, min_count: int = 2, alpha: float = 0.4, bits: int = H
     return Model(words, total, shared, weights)
 
 
-def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_col: str = "doc_id", text_col: str = "text", bits: int = HOT_BITS, order: int = 2) -> DataFrame:
+def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_col: str = "doc_id",
+    text_col: str = "text", bits: int = HOT_BITS, order: int = 2) -> DataFrame:
     """(id, n_tokens, log_score, mean_log_score): one row for each id.
 
     S(w | p) is c(p w) / c(p) if the n-gram p w of up to ``order`` words occurs
@@ -286,7 +302,8 @@ def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_
     model = train(rows, min_count, alpha, bits, order)
     frequent = model.hot
     least = most_frequent(model.weights, 1 << bits)
-    top = rows.sparkSession.sparkContext.broadcast(_sorted_table(model.weights.where(F.col("n") >= least).select("gram", "value")))  # a bounded number of rows
+    top = rows.sparkSession.sparkContext.broadcast(_sorted_table(model.weights.where(F.col("n") >= least)
+        .select("gram", "value")))  # a bounded number of rows
 
     def explode(batches):
         """A row for each occurrence of a gram that isn't among the most frequent, and one for each
@@ -298,26 +315,31 @@ def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_
             at, there = _found(grams, gram)
             value = np.where(there, values[at] if len(values) else 0, 0)[which]
             doc = np.repeat(np.arange(len(n)), n)
-            lost = np.bincount(np.concatenate([np.zeros(0, np.int64), *[doc[at] for at, _ in found[1:]]]), minlength=len(n))
+            lost = np.bincount(np.concatenate([np.zeros(0, np.int64), *[doc[at] for at, _ in found[1:]]]),
+                minlength=len(n))
             doc = np.concatenate([doc[at] for at, _ in found])
             sums = np.zeros(len(n), np.int64)
             np.add.at(sums, doc, value)
             cold = np.flatnonzero(~there[which])
             cold = cold[np.argsort(doc[cold], kind="stable")]
-            own = _NO_GRAM | (_mix((np.arange(len(n)) + int(sums.sum() & 0xFFFFFFFF)).astype(np.uint64)) >> np.uint64(4)).astype(np.int64)
+            own = _NO_GRAM | (_mix((np.arange(len(n)) + int(sums.sum() & 0xFFFFFFFF))
+                .astype(np.uint64)) >> np.uint64(4)).astype(np.int64)
             zero = np.zeros(len(cold), np.int64)
             yield _batch(id=ids, gram=own, tokens=n, lost=lost, value=sums)
             yield _batch(id=ids.take(pa.array(doc[cold])), gram=gram[which[cold]], tokens=zero, lost=zero, value=zero)
 
     exploded = rows.mapInArrow(explode, f"id {kind}, gram bigint, tokens bigint, lost bigint, value bigint")
-    weighed = exploded.join(model.weights.where(F.col("n") < least).select("gram", F.col("value").alias("weight")), "gram", "left")
+    weighed = exploded.join(model.weights.where(F.col("n") < least).select("gram", F.col("value").alias("weight")),
+        "gram", "left")
     telling = F.col("weight").isNotNull() | (F.col("gram") >= _NO_GRAM)
     n = F.col("n_tokens")
-    log = F.col("sum") / F.lit(float(SCALE)) - n * F.lit(math.log(max(model.total, 1))) + F.col("lost") * F.lit(math.log(alpha))
+    log = F.col("sum") / F.lit(float(SCALE)) - n * F.lit(math.log(max(model.total,
+        1))) + F.col("lost") * F.lit(math.log(alpha))
     return (
         weighed.where(telling)
         .groupBy("id")
-        .agg(F.sum("tokens").alias("n_tokens"), F.sum("lost").alias("lost"), F.sum(F.col("value") + F.coalesce("weight", F.lit(0))).alias("sum"))
+        .agg(F.sum("tokens").alias("n_tokens"), F.sum("lost").alias("lost"),
+            F.sum(F.col("value") + F.coalesce("weight", F.lit(0))).alias("sum"))
         .select("id", "n_tokens", log.alias("log_score"))
         .withColumn("mean_log_score", F.when(n > 0, F.col("log_score") / n))
     )

@@ -85,7 +85,8 @@ def _thresholds(sizes: DataFrame, plan: DataFrame) -> DataFrame:
         c = cut.select(F.col("source").alias("src"), "c")
         state = settle(
             state.join(c, F.col("source").eqNullSafe(F.col("src"))).select(
-                "source", "rounds", F.col("c.left").alias("left"), F.col("c.bucket").alias("edge"), F.col("c.size").alias("size")
+                "source", "rounds", F.col("c.left").alias("left"), F.col("c.bucket").alias("edge"),
+                    F.col("c.size").alias("size")
             )
         )
     edge_in = F.col("size") - F.col("left") < F.col("left")
@@ -113,14 +114,17 @@ def mix_sources(
     the id alone and no text is shuffled.
     """
     row = whole_row(docs) if keep_row else F.struct(F.col(id_col))
-    key = F.substring(F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.md5(F.col(text_col)), F.lit("")))), 1, DIGITS * LEVELS)
-    base = docs.select(row.alias("doc"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key"))
+    key = F.substring(F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")),
+        F.coalesce(F.md5(F.col(text_col)), F.lit("")))), 1, DIGITS * LEVELS)
+    base = docs.select(row.alias("doc"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+        key.alias("key"))
     sizes = settle(base if not keep_row else base.drop("doc"))
     plan = settle(mixing_plan(sizes, weights, share, most))
     cut = _thresholds(sizes, plan)
     both = plan.alias("p").join(cut.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left").select(
         F.col("p.source").alias("src"), "source_size", "target",
-        F.coalesce("rounds", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))), F.lit(0)).cast("long").alias("rounds"),
+        F.coalesce("rounds", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))),
+            F.lit(0)).cast("long").alias("rounds"),
         F.coalesce("edge", F.lit("")).alias("edge"), F.coalesce("edge_in", F.lit(False)).alias("edge_in"),
     )
     rows = base if keep_row else sizes

@@ -36,7 +36,8 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = lm.score_documents(table(spark, sf_dir, "documents"))
     return scored.select(
-        F.col("id").alias("doc_id"), "n_tokens", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score")
+        F.col("id").alias("doc_id"), "n_tokens", F.round("log_score", 4).alias("log_score"),
+            F.round("mean_log_score", 6).alias("mean_log_score")
     )
 
 
@@ -54,7 +55,8 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embed_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
     return found.select(
-        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept")
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+            F.col("id").eqNullSafe(F.col("component")).alias("kept")
     )
 
 
@@ -103,7 +105,8 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ORACLE = {
     "op2_lm_score": rf"""
 WITH d AS (
-  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS ws FROM documents
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+  '{_WORD}') AS ws FROM documents
 ), t AS (
   SELECT row, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM d
 ), g AS (
@@ -121,19 +124,22 @@ WITH d AS (
   SELECT row, sum(round(u.log * 100000000)::BIGINT + coalesce(more, 0)) AS value, count(*) AS n
   FROM g JOIN u USING (w) LEFT JOIN weight ON weight.p = g.p AND weight.w = g.w GROUP BY row
 ), r AS (
-  SELECT doc_id, coalesce(sum(s.n), 0)::BIGINT AS n_tokens, count(s.n) AS firsts, coalesce(sum(value), 0)::DOUBLE / 100000000 AS value
+  SELECT doc_id, coalesce(sum(s.n), 0)::BIGINT AS n_tokens, count(s.n) AS firsts, coalesce(sum(value),
+  0)::DOUBLE / 100000000 AS value
   FROM d LEFT JOIN s USING (row) GROUP BY doc_id
 ), f AS (
   SELECT doc_id, n_tokens, value - n_tokens * ln(total.n) + (n_tokens - firsts) * ln(0.4) AS log_score FROM r, total
 )
-SELECT doc_id, n_tokens, round(log_score, 4) AS log_score, CASE WHEN n_tokens > 0 THEN round(log_score / n_tokens, 6) END AS mean_log_score FROM f""",
+SELECT doc_id, n_tokens, round(log_score, 4) AS log_score, CASE WHEN n_tokens > 0 THEN round(log_score / n_tokens,
+  6) END AS mean_log_score FROM f""",
     "op4_line_dedup": rf"""
 WITH line AS (
   SELECT doc_id, row_number() OVER () AS row, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
 ), each AS (
   SELECT doc_id, row, unnest(ls) AS body, generate_subscripts(ls, 1) AS pos FROM line
 ), keyed AS (
-  SELECT *, translate(trim(body, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS k FROM each
+  SELECT *, translate(trim(body, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}',
+  '{_LOWER}') AS k FROM each
 ), common AS (
   SELECT k FROM keyed WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT doc_id) >= 10
 )
@@ -142,7 +148,8 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (c.k IS NOT NULL) AS n_dropp
 FROM keyed LEFT JOIN common c ON keyed.k = c.k GROUP BY doc_id, row""",
     "op6_chat_format": r"""
 WITH t AS (
-  SELECT conv_id, turn, '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' AS body FROM conversations
+  SELECT conv_id, turn, '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text,
+  '') || chr(10) || '<|end|>' AS body FROM conversations
 ), p AS (
   SELECT conv_id, row_number() OVER w AS place, string_agg(md5(body), '') OVER w AS prefix,
     count(*) OVER (PARTITION BY conv_id) AS n
@@ -160,29 +167,35 @@ WITH d AS (
     substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(md5(text), '')), 1, 12) AS key
   FROM documents
 ), s AS (
-  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d
+  GROUP BY source
 ), w AS (
   SELECT *, ([5.0, 2.0, 1.0]::DOUBLE[])[place % 3 + 1] AS weight, 2.0::DOUBLE * source_size AS cap,
     1.5::DOUBLE * (SELECT sum(size)::BIGINT FROM d) AS budget FROM s
 ), o AS (
-  SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent,
-    sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight FROM w
+  SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+  0) AS spent,
+    sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight
+    FROM w
 ), f AS (
   SELECT *, cap * open_weight <= weight * (budget - spent) AS full_ FROM o
 ), t AS (
-  SELECT source, source_size, CASE WHEN full_ THEN cap ELSE weight * (budget - coalesce(sum(cap) FILTER (full_) OVER (), 0))
+  SELECT source, source_size, CASE WHEN full_ THEN cap ELSE weight * (budget - coalesce(sum(cap) FILTER (full_) OVER (),
+  0))
     / sum(weight) FILTER (NOT full_) OVER () END AS target FROM f
 ), g AS (
   SELECT d.source, key, sum(size) AS size FROM d GROUP BY d.source, key
 ), r AS (
-  SELECT g.*, floor(target / greatest(source_size, 1)) AS rounds, target - floor(target / greatest(source_size, 1)) * source_size AS rest,
+  SELECT g.*, floor(target / greatest(source_size, 1)) AS rounds, target - floor(target / greatest(source_size,
+  1)) * source_size AS rest,
     sum(size) OVER (PARTITION BY g.source ORDER BY key) AS upto, source_size, target
   FROM g JOIN t ON g.source IS NOT DISTINCT FROM t.source
 ), e AS (
   SELECT *, row_number() OVER (PARTITION BY source, upto > rest ORDER BY key) = 1 AND upto > rest AS edge FROM r
 )
 SELECT doc_id, d.size, source_size, target,
-  (d.size * (rounds + CASE WHEN upto <= rest OR edge AND size_of_edge - (rest - (upto - size_of_edge)) < rest - (upto - size_of_edge) THEN 1 ELSE 0 END))::BIGINT AS taken
+  (d.size * (rounds + CASE WHEN upto <= rest OR edge
+  AND size_of_edge - (rest - (upto - size_of_edge)) < rest - (upto - size_of_edge) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d JOIN (SELECT *, size AS size_of_edge FROM e) e ON d.source IS NOT DISTINCT FROM e.source AND d.key = e.key""",
 }
 
@@ -196,7 +209,8 @@ def _spans_sql(name: str, pattern: str, kind: int, ok: str) -> str:
   SELECT row, hits, gaps, unnest(hits) AS hit, generate_subscripts(hits, 1) AS i FROM {name}0
 ), {name} AS (
   SELECT row, {kind} AS kind, '{name}' AS word, length(hit) AS n,
-    coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)::BIGINT + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0)::BIGINT AS start
+    coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))),
+    0)::BIGINT + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0)::BIGINT AS start
   FROM {name}1 WHERE {ok}
 )"""
 
@@ -208,7 +222,8 @@ WITH docs AS (SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS
 {_spans_sql("hex", "[0-9a-f]+", 2, "length(hit) >= 16")},
 every AS (SELECT * FROM assign UNION ALL SELECT * FROM access UNION ALL SELECT * FROM hex),
 found AS (
-  SELECT row, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+  SELECT row, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+  count(*) FILTER (kind = 2) AS n_hex,
     string_agg(word || ':' || start || ':' || (start + n), ',' ORDER BY start, kind) AS spans FROM every GROUP BY row
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,

@@ -36,7 +36,8 @@ LEDGER = T.StructType(
         T.StructField("blob", T.BinaryType()),
         T.StructField("rule", T.StringType()),
         T.StructField("version", T.IntegerType()),
-        T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
+        T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()),
+            T.StructField("end", T.LongType())]))),
     ]
 )
 _EMPTY = "array<struct<start:bigint,end:bigint>>"
@@ -57,7 +58,8 @@ def spans_of(text, pattern: str, long_enough=None):
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     ok = long_enough or (lambda hit: F.lit(True))
     parts = F.transform(hits, lambda h: F.struct(F.length(h).cast("long").alias("n"), ok(h).alias("ok")))
-    steps = F.zip_with(parts, F.slice(gaps, 1, F.size(hits)), lambda p, g: F.struct(p["n"].alias("n"), p["ok"].alias("ok"), g.cast("long").alias("gap")))
+    steps = F.zip_with(parts, F.slice(gaps, 1, F.size(hits)), lambda p,
+        g: F.struct(p["n"].alias("n"), p["ok"].alias("ok"), g.cast("long").alias("gap")))
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_EMPTY).alias("out"))
 
     def step(acc, x):
@@ -89,7 +91,8 @@ def _current(versions: dict[str, int]):
     return F.element_at(F.create_map(*[F.lit(x) for kv in versions.items() for x in kv]), F.col("rule"))
 
 
-def scan_unseen(docs: DataFrame, ledger: DataFrame, versions: dict[str, int] = VERSIONS, text_col: str = "text") -> DataFrame:
+def scan_unseen(docs: DataFrame, ledger: DataFrame, versions: dict[str, int] = VERSIONS,
+    text_col: str = "text") -> DataFrame:
     """New ledger rows: every blob of ``docs`` and rule of the current version not yet in ``ledger``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     seen = ledger.where(F.col("version") == _current(versions)).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
@@ -118,7 +121,8 @@ def scan_unseen(docs: DataFrame, ledger: DataFrame, versions: dict[str, int] = V
     return scanned.select("blob", "rule", _current(versions).alias("version"), "spans")
 
 
-def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, versions: dict[str, int] = VERSIONS, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, versions: dict[str, int] = VERSIONS,
+    id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(findings by row, new ledger rows).
 
     Findings: the id, ``assign``, ``access`` and ``hex``, arrays of [start, end)
@@ -130,7 +134,8 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, versions: dic
     old = ledger if ledger is not None else empty_ledger(docs.sparkSession)
     new = settle(scan_unseen(docs, old, versions, text_col))
     known = old.where(F.col("version") == _current(versions)).select(*new.columns).union(new)
-    of = lambda rule: F.coalesce(F.first(F.when(F.col("rule") == rule, F.col("spans")), ignorenulls=True), F.array().cast(_EMPTY)).alias(rule)
+    of = lambda rule: F.coalesce(F.first(F.when(F.col("rule") == rule, F.col("spans")), ignorenulls=True),
+        F.array().cast(_EMPTY)).alias(rule)
     # written, so that the join below is one of two plain exchanges, whose large partitions Spark splits
     by_blob = settle(known.where(F.size("spans") > 0).groupBy("blob").agg(*map(of, RULES)))
     paths = docs.select(F.col(id_col), blob_of(F.col(text_col)).alias("blob"))

@@ -167,9 +167,11 @@ def in_shards(members: DataFrame, solve: Callable[[pa.Table], pa.Table], out: st
     if many:
         tiles = F.ceil(F.col("n") / (tile / 2)).cast("int")
         mine = F.pmod(F.xxhash64(*own), tiles).cast("int")
-        pairs = F.transform(F.sequence(F.lit(0), tiles - 1), lambda o: F.xxhash64("shard", F.least(mine, o), F.greatest(mine, o)))
+        pairs = F.transform(F.sequence(F.lit(0), tiles - 1), lambda o: F.xxhash64("shard", F.least(mine, o),
+            F.greatest(mine, o)))
         met = members.join(F.broadcast(large) if many <= MANY else large, "shard", "left")
-        members = met.select(*own, F.explode(F.when(F.col("n").isNull(), F.array("shard")).otherwise(pairs)).alias("shard"))
+        members = met.select(*own, F.explode(F.when(F.col("n").isNull(), F.array("shard")).otherwise(pairs))
+            .alias("shard"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole shards, many small ones at once; a shard's members adjoin."""
@@ -214,7 +216,8 @@ def link_fingerprints(fps: DataFrame, radius: int = 4, blocks: int = 6, tile: in
     return in_shards(members, solve, "a bigint, b bigint", tile)
 
 
-def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, blocks: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, blocks: int = 6, id_col: str = "doc_id",
+    text_col: str = "text") -> DataFrame:
     """(id, fp, component): the least id reachable by links from each document.
 
     Null or blank texts have fingerprint zero and link like any other. A null
@@ -277,7 +280,8 @@ def spanning_forest(a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int) -> np.n
     return order[np.unique(np.concatenate(chosen))] if chosen else order
 
 
-def likely_pairs(group: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, similarity: float, least: float, label: np.ndarray, part: int = 1 << 14) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def likely_pairs(group: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, similarity: float, least: float,
+    label: np.ndarray, part: int = 1 << 14) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(a, b, estimate) in slices: the pairs of one group that may be ``similarity``
     alike by their numbers of shingles, which is exact, and whose sketches look
     alike to ``least`` or more. Rows are in order of group, then of size. Pairs
@@ -297,14 +301,16 @@ def likely_pairs(group: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, sim
         apart = label[a] != label[b]
         a, b = a[apart], b[apart]
         p, q = words[a].view(np.uint8), words[b].view(np.uint8)
-        same, none = (np.bitwise_count(np.packbits(x, axis=1).view(np.uint64)).sum(1, dtype=np.int64) for x in (p == q, (p | q) == 0))
+        same, none = (np.bitwise_count(np.packbits(x, axis=1).view(np.uint64)).sum(1, dtype=np.int64)
+            for x in (p == q, (p | q) == 0))
         like = (same - none) / np.maximum(BINS - none, 1)
         ok = like >= least
         yield a[ok], b[ok], like[ok]
         at = to
 
 
-def likely_classes(group: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, similarity: float, least: float) -> tuple[np.ndarray, np.ndarray]:
+def likely_classes(group: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, similarity: float,
+    least: float) -> tuple[np.ndarray, np.ndarray]:
     """(place, place of its class) of what likely pairs of one group connect; rows of one group adjoin."""
     order = np.lexsort((sizes, np.cumsum(np.diff(group, prepend=group[:1]) != 0)))
     label = np.arange(len(group))
@@ -314,7 +320,8 @@ def likely_classes(group: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, s
     return order[moved], order[label[moved]]
 
 
-def similar_classes(group: np.ndarray, sets: list[np.ndarray], sketches: np.ndarray, similarity: float, least: float, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+def similar_classes(group: np.ndarray, sets: list[np.ndarray], sketches: np.ndarray, similarity: float, least: float,
+    block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
     """(place, place of its class) of what likely pairs of exact similarity connect.
 
     Every likely pair is held against the exact similarity, the likeliest
@@ -359,7 +366,8 @@ def shard_shingles(hashes: np.ndarray) -> np.ndarray:
     return hashes[np.flatnonzero(np.diff(eighth.astype(np.int64), prepend=-1))]
 
 
-def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slack: float = 0.3, tile: int = TILE, most: int = MOST, text_col: str = "text") -> DataFrame:
+def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slack: float = 0.3, tile: int = TILE,
+    most: int = MOST, text_col: str = "text") -> DataFrame:
     """(id, component): MD5 of each distinct text that is similar to another, by groups.
 
     No fingerprint chooses the candidates: a SimHash of shingles moves by ten
@@ -388,7 +396,8 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slac
             some = [i for i, s in enumerate(sets) if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    b.column(0).take(pa.array(some, pa.int64())), pa.array([len(sets[i]) for i in some], pa.int64()), pa.array([sketch(sets[i]) for i in some], pa.binary()),
+                    b.column(0).take(pa.array(some, pa.int64())), pa.array([len(sets[i]) for i in some], pa.int64()),
+                        pa.array([sketch(sets[i]) for i in some], pa.binary()),
                     pa.array([shard_shingles(sets[i]).view(np.int64) for i in some], pa.list_(pa.int64())),
                 ],
                 ["id", "size", "sketch", "shards"],
@@ -404,21 +413,25 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slac
         ids = t["id"].combine_chunks()
         return pa.table({"a": ids.take(pa.array(a)), "b": ids.take(pa.array(b))})
 
-    clusters = connected_components(in_shards(members, near, "a string, b string", tile)).withColumnRenamed("component", "cluster")
+    clusters = connected_components(in_shards(members, near, "a string, b string", tile)).withColumnRenamed("component",
+        "cluster")
     size = F.col("size") + BINS * 2
-    weights = clusters.join(distinct.select("id", "size"), "id").groupBy("cluster").agg(F.ceil(F.sum(size) / most).cast("int").alias("tiles"))
+    weights = clusters.join(distinct.select("id", "size"), "id").groupBy("cluster").agg(F.ceil(F.sum(size) / most)
+        .cast("int").alias("tiles"))
     tiles = F.when(F.col("tiles") > 1, F.col("tiles") * 2).otherwise(1)
     mine = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("tiles") - 1),
         lambda o: F.xxhash64("cluster", F.least(F.col("mine"), o), F.greatest(F.col("mine"), o)),
     )
-    met = settle(clusters.join(weights.withColumn("tiles", tiles), "cluster").withColumn("mine", mine).select("id", pairs.alias("groups")))
+    met = settle(clusters.join(weights.withColumn("tiles", tiles), "cluster").withColumn("mine", mine)
+        .select("id", pairs.alias("groups")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             made = [shingle_hashes(t.as_py(), width) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([h.tobytes() for h in made], pa.binary())], ["id", "hashes"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([h.tobytes() for h in made], pa.binary())],
+                ["id", "hashes"])
 
     exact = bodies.join(met.select("id"), "id", "left_semi").mapInArrow(sets, "id string, hashes binary")
     exact = exact.groupBy("id").agg(F.first("hashes").alias("hashes")).join(met, "id")
@@ -427,7 +440,8 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slac
         """Groups adjoin; only whole ones are solved, many small ones at once."""
         groups, ids, held, size = [], [], [], 0
         for batch in batches:
-            for group, name, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            for group, name, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2),
+                strict=True):
                 if size > most and group != groups[-1]:
                     yield from done(groups, ids, held)
                     groups, ids, held, size = [], [], [], 0
@@ -445,7 +459,8 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slac
             names = pa.array(ids, pa.string())
             yield pa.RecordBatch.from_arrays([names.take(pa.array(a)), names.take(pa.array(b))], ["a", "b"])
 
-    dealt = exact.select(F.explode("groups").alias("group"), "id", "hashes").repartition("group").sortWithinPartitions("group")
+    dealt = exact.select(F.explode("groups").alias("group"), "id",
+        "hashes").repartition("group").sortWithinPartitions("group")
     return connected_components(dealt.mapInArrow(hold, "a string, b string"))
 
 
@@ -456,9 +471,12 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     groups = similar_texts(docs, text_col=text_col, **how).select(F.col("id").alias("body"), "component")
     given = F.col(id_col)
-    key = [given.isNull().alias("none"), F.coalesce(given.cast("string"), F.lit("")).alias("name"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("body")]
-    ids = docs.select(given.alias("id"), *key).join(groups, "body", "left").withColumn("group", F.coalesce("component", "body"))
-    best = ids.groupBy("group").agg(F.min(F.struct("none", "id", "body", "name")).alias("b")).select("b.none", "b.name", "b.body")
+    key = [given.isNull().alias("none"), F.coalesce(given.cast("string"), F.lit("")).alias("name"),
+        F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("body")]
+    ids = docs.select(given.alias("id"), *key).join(groups, "body", "left").withColumn("group",
+        F.coalesce("component", "body"))
+    best = ids.groupBy("group").agg(F.min(F.struct("none", "id", "body", "name")).alias("b")).select("b.none", "b.name",
+        "b.body")
     # ids spread copies of one text over the tasks; texts move once
     names = ["none", "name", "body"]
     kept = docs.select(whole_row(docs).alias("doc"), *key).join(best, names)

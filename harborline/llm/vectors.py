@@ -22,7 +22,8 @@ def valid_vectors(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame,
     """
     v = F.col(vec_col)
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    good = df.where(F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0) & ~bad & F.exists(v, lambda x: x != 0)).select(
+    good = df.where(F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0) & ~bad
+        & F.exists(v, lambda x: x != 0)).select(
         F.col(id_col).alias("id"), v.alias("v")
     )
     sizes = good.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
@@ -55,7 +56,8 @@ def pack(keys: np.ndarray, ids: np.ndarray, n: np.ndarray, rows: np.ndarray, kin
         for a, b in zip(cuts, cuts[1:], strict=False):
             for c in range(a, b, BLOCK):
                 i = order[c : min(b, c + BLOCK)]
-                out.append((int(keys[c]), kind, ids[i].astype(np.int64).tobytes(), n[i].astype(np.int64).tobytes(), rows[i].astype(store).tobytes()))
+                out.append((int(keys[c]), kind, ids[i].astype(np.int64).tobytes(), n[i].astype(np.int64).tobytes(),
+                    rows[i].astype(store).tobytes()))
     return pd.DataFrame(out, columns=["key", "kind", "ids", "ns", "vs"])
 
 

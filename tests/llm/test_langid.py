@@ -87,13 +87,16 @@ def test_held_out_accuracy(spark):
 def test_hard_rows(spark):
     en, de = "the of and in the word is ", "der und ist nicht ein wort das "
     rows = [(i, (en, de)[i % 2] * 20, ("en", "de")[i % 2]) for i in range(60)]
-    rows += [(100, None, "en"), (101, "", "en"), (102, "12 .. 34\n", "de"), (103, en * 20_000, None), (None, de, None), (7, rows[7][1], "de"), (104, "日本", None)]
-    docs = spark.createDataFrame([(*r, "x", 1.0, True) for r in rows], "doc_id bigint, text string, lang string, lang_pred string, score double, held_out boolean")
+    rows += [(100, None, "en"), (101, "", "en"), (102, "12 .. 34\n", "de"), (103, en * 20_000, None), (None, de, None),
+        (7, rows[7][1], "de"), (104, "日本", None)]
+    docs = spark.createDataFrame([(*r, "x", 1.0, True) for r in rows],
+        "doc_id bigint, text string, lang string, lang_pred string, score double, held_out boolean")
     out = langid.identify(docs, steps=60, per_lang=20).select("doc.doc_id", "lang_pred", "score").collect()
     assert len(out) == len(rows)
     got = {r.doc_id: r for r in out}
     assert [got[i].lang_pred for i in (100, 101, 102)] == ["und"] * 3 and got[100].score == 0
     assert (got[103].lang_pred, got[None].lang_pred, got[104].lang_pred in ("en", "de")) == ("en", "de", True)
-    unlabelled = docs.withColumn("lang", docs.lang.substr(9, 9)).where("lang is null or lang <> ''").where("doc_id = 103")
+    unlabelled = docs.withColumn("lang", docs.lang.substr(9, 9)).where("lang is null or lang <> ''").where(
+        "doc_id = 103")
     assert [tuple(r) for r in langid.identify(unlabelled).select("lang_pred", "score").collect()] == [("und", 0.0)]
     assert langid.identify(docs.limit(0)).count() == 0

@@ -21,20 +21,24 @@ def brute_of_order(rows, order, min_count=2, alpha=0.4):
             return count[w,] / total
         return count[*p, w] / count[p] if count[*p, w] >= min_count else alpha * score(p[1:], w)
 
-    return {i: sum(math.log(score(tuple(ws[max(0, j - order + 1) : j]), w)) for j, w in enumerate(ws)) for i, ws in texts}
+    return {i: sum(math.log(score(tuple(ws[max(0, j - order + 1) : j]), w)) for j, w in enumerate(ws)) for i,
+        ws in texts}
 
 
 @pytest.mark.parametrize("order,min_count,bits", [(1, 2, 20), (2, 1, 3), (3, 2, 20), (3, 3, 2), (4, 1, 4)])
 def test_any_order(spark, order, min_count, bits):
     r = random.Random(order)
-    docs = [(i, " ".join(r.choices("a b c d e f".split(), [6, 3, 2, 1, 1, 0.05], k=r.randint(0, 30)))) for i in range(60)]
-    got = {x.id: x.log_score for x in lm.score_documents(spark.createDataFrame(docs, "doc_id bigint, text string"), order=order, min_count=min_count, bits=bits).collect()}
+    docs = [(i, " ".join(r.choices("a b c d e f".split(), [6, 3, 2, 1, 1, 0.05], k=r.randint(0, 30))))
+        for i in range(60)]
+    got = {x.id: x.log_score for x in lm.score_documents(spark.createDataFrame(docs, "doc_id bigint, text string"),
+        order=order, min_count=min_count, bits=bits).collect()}
     want = brute_of_order(docs, order, min_count)
     assert set(got) == set(want) and all(abs(got[i] - s) < 1e-5 for i, s in want.items())
 
 
 def brute(rows, vocab, min_count=2, alpha=0.4):
-    strip = lambda t: [w for w in (t or "").translate({9: 32, 10: 32, 11: 32, 12: 32, 13: 32}).split(" ") if w]
+    strip = lambda t: [w for w in (t or "").translate({9: 32, 10: 32, 11: 32, 12: 32, 13: 32}).split(" ")
+        if w]
     low = lambda w: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w)
     texts = [(i, [low(w) for w in strip(t)]) for i, t in rows]
     uni = Counter(w for _, ws in texts for w in ws)
@@ -59,8 +63,10 @@ def brute(rows, vocab, min_count=2, alpha=0.4):
 def test_against_brute_force(spark, sf, hot_bits):
     """All grams met in the task, few of them, and (almost) none."""
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
-    docs += [(10_000, None), (10_001, " \n"), (10_002, "One"), (None, "the the"), (None, "the end"), (0, "again"), (10_003, "the of " * 50_000)]
-    df = spark.createDataFrame([(*d, 1, "s") for d in docs], "doc_id bigint, text string, n int, id string").repartition(5)
+    docs += [(10_000, None), (10_001, " \n"), (10_002, "One"), (None, "the the"), (None, "the end"), (0, "again"),
+        (10_003, "the of " * 50_000)]
+    df = spark.createDataFrame([(*d, 1, "s") for d in docs],
+        "doc_id bigint, text string, n int, id string").repartition(5)
     got = {r.id: r for r in lm.score_documents(df, bits=hot_bits).collect()}
     want = brute(docs, 1 << 40)
     assert set(got) == set(want)
@@ -84,12 +90,14 @@ def test_a_bound_of_the_histogram(spark):
 def test_empty_and_wrong(spark):
     assert lm.score_documents(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
     blank = lm.score_documents(spark.createDataFrame([(1, None), (2, " ")], "doc_id bigint, text string")).collect()
-    assert sorted((r.id, r.n_tokens, r.log_score, r.mean_log_score) for r in blank) == [(1, 0, 0.0, None), (2, 0, 0.0, None)]
+    assert sorted((r.id, r.n_tokens, r.log_score, r.mean_log_score) for r in blank) == [(1, 0, 0.0, None),
+        (2, 0, 0.0, None)]
 
 
 def test_all_words_count_in_a_large_vocabulary(spark):
     docs = [(i, " ".join(f"w{i * 100 + k}" for k in range(100))) for i in range(800)]
     docs += [(1000, "w1 w2 w3"), (1001, "w79998 w79999"), (1002, "w79998 w3 never seen")]
-    got = {r.id: r.log_score for r in lm.score_documents(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)).collect()}
+    got = {r.id: r.log_score for r in lm.score_documents(spark.createDataFrame(docs, "doc_id bigint, text string")
+        .repartition(3)).collect()}
     want = brute(docs, 1 << 40)
     assert set(got) == set(want) and all(abs(got[i] - s) < 1e-6 * abs(s) for i, (_, s) in want.items())

@@ -50,7 +50,8 @@ def brute_components(items, linked):
     return {(i, k): least.get(find(k)) for i, k in items}
 
 
-@pytest.mark.parametrize("text", [None, "", " \n\t", "One", "a b c", "A b C d", "x y z w v u t", "é É x y b c d e", "w " * 3000, "\x0b\x0ca\rb"])
+@pytest.mark.parametrize("text", [None, "", " \n\t", "One", "a b c", "A b C d", "x y z w v u t", "é É x y b c d e",
+    "w " * 3000, "\x0b\x0ca\rb"])
 def test_fingerprint(text):
     assert simhash.fingerprint(text) == brute_fingerprint(text)
     assert simhash.fingerprint(text, 1) == brute_fingerprint(text, 1)
@@ -59,11 +60,13 @@ def test_fingerprint(text):
 def test_trees_find_all_within():
     r = np.random.default_rng(1)
     base = r.integers(0, 1 << 63, 20, np.uint64)
-    fps = np.unique(np.array([b ^ np.uint64(sum(1 << int(x) for x in r.choice(64, r.integers(0, 7), False))) for b in base for _ in range(30)], np.uint64))
+    fps = np.unique(np.array([b ^ np.uint64(sum(1 << int(x) for x in r.choice(64, r.integers(0, 7), False)))
+        for b in base for _ in range(30)], np.uint64))
     trees = simhash.BKTrees(fps, np.zeros(len(fps), np.int64))
     for radius in (0, 3, 4, 9):
         who, node = trees.within(fps, np.zeros(len(fps), np.int64), radius)
-        want = {(i, j) for i in range(len(fps)) for j in range(len(fps)) if bin(int(fps[i]) ^ int(fps[j])).count("1") <= radius}
+        want = {(i, j) for i in range(len(fps)) for j in range(len(fps)) if bin(int(fps[i]) ^ int(fps[j]))
+            .count("1") <= radius}
         assert set(zip(who.tolist(), node.tolist())) == want and len(who) == len(want)
 
 
@@ -104,7 +107,8 @@ def test_near_duplicates_against_brute_force(spark):
     got = simhash.near_duplicates(docs).collect()
     items = [(i, brute_fingerprint(t)) for i, t in rows]
     want = brute_components(items, lambda a, b: bin(a ^ b).count("1") <= 4)
-    assert Counter((x.id, x.fp & ((1 << 64) - 1), x.component) for x in got) == Counter((i, k, want[i, k]) for i, k in items)
+    assert Counter((x.id, x.fp & ((1 << 64) - 1), x.component) for x in got) == Counter((i, k, want[i, k]) for i,
+        k in items)
 
 
 def test_empty_table(spark):
@@ -114,7 +118,8 @@ def test_empty_table(spark):
 
 
 def jaccard(a, b, width=5):
-    s = [{" ".join(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} for w in (a.lower().split(), b.lower().split())]
+    s = [{" ".join(w[i : i + width]) for i in range(max(1, len(w) - width + 1))}
+        for w in (a.lower().split(), b.lower().split())]
     return len(s[0] & s[1]) / len(s[0] | s[1])
 
 
@@ -143,7 +148,8 @@ def test_one_of_each_group_stays(spark):
     assert got.columns == docs.columns
     texts = sorted({t or "" for _, t in rows})
     node = {t: k for k, t in enumerate(texts)}
-    groups = brute_components([(node[t], node[t]) for t in texts], lambda a, b: bool(texts[a].split() and texts[b].split()) and jaccard(texts[a], texts[b]) >= 0.8)
+    groups = brute_components([(node[t], node[t]) for t in texts], lambda a,
+        b: bool(texts[a].split() and texts[b].split()) and jaccard(texts[a], texts[b]) >= 0.8)
     best = {}
     for d, t in rows:
         g = groups[node[t or ""], node[t or ""]]
@@ -161,7 +167,8 @@ def block_edit(r, t, kind, share):
     """``t`` with a tail cut, a passage appended, or its tail replaced."""
     w = t.split()
     k = int(len(w) * share)
-    return " ".join({"cut": w[: len(w) - k], "appended": w + words(r, k).split(), "replaced": w[: len(w) - k // 2] + words(r, k // 2).split()}[kind])
+    return " ".join({"cut": w[: len(w) - k], "appended": w + words(r, k).split(),
+        "replaced": w[: len(w) - k // 2] + words(r, k // 2).split()}[kind])
 
 
 def test_block_edits_against_brute_force(spark):
@@ -173,7 +180,8 @@ def test_block_edits_against_brute_force(spark):
                 for _ in range(8):
                     t = words(r, n)
                     pairs.append((t, block_edit(r, t, kind, share)))
-    pairs += [(t, t + " " + "again " * 4000) for t in (words(r, 60) for _ in range(4))]  # one shingle more, another mix of words
+    pairs += [(t, t + " " + "again " * 4000) for t in (words(r, 60)
+        for _ in range(4))]  # one shingle more, another mix of words
     docs = spark.createDataFrame([(t,) for p in pairs for t in p], "text string")
     group = {x.id: x.component for x in simhash.similar_texts(docs).collect()}
     name = lambda t: hashlib.md5(t.encode()).hexdigest()
@@ -192,8 +200,10 @@ def test_groups_near_the_threshold_against_brute_force(spark, how):
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
     node = {hashlib.md5(t.encode()).hexdigest(): t for t in texts}
     names = sorted(node)
-    shingles = {k: {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in ((k, t.split()) for k, t in node.items())}
-    want = brute_components([(k, k) for k in names], lambda a, b: len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]))
+    shingles = {k: {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for k,
+        w in ((k, t.split()) for k, t in node.items())}
+    want = brute_components([(k, k) for k in names], lambda a,
+        b: len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]))
     got = {x.id: x.component for x in simhash.similar_texts(docs, **how).collect()}
     assert {k: got.get(k, k) for k in names} == {k: want[k, k] for k in names}
     assert 16 < len(set(want.values())) < len(names)

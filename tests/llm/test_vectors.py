@@ -11,21 +11,25 @@ BAD = [None, [], [0.0] * 8, [float("nan")] + [1.0] * 7, [None] + [1.0] * 7, [flo
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(i, v if v is None else [None if x is None else float(x) for x in v], 1, "n") for i, v in rows], SCHEMA)
+    return spark.createDataFrame([(i, v if v is None else [None if x is None else float(x) for x in v], 1, "n") for i,
+        v in rows], SCHEMA)
 
 
 def clustered(r, n, d=8):
     base = r.standard_normal((n, d))
-    return np.concatenate([base, base[:20] + 0.02 * r.standard_normal((20, d)), base[:10] + 0.2 * r.standard_normal((10, d)), base[5:8] * 3]).astype(np.float32)
+    return np.concatenate([base, base[:20] + 0.02 * r.standard_normal((20, d)),
+        base[:10] + 0.2 * r.standard_normal((10, d)), base[5:8] * 3]).astype(np.float32)
 
 
 @pytest.mark.parametrize("cell_rows,margin", [(10, 0.3123), (10, 0.16), (1000, 0.16)])
 def test_links_against_brute_force(spark, cell_rows, margin):
     x = clustered(np.random.default_rng(2), 150)
-    rows = [(1000 - i, v.tolist()) for i, v in enumerate(x)] + [(2000 + i, v) for i, v in enumerate(BAD)] + [(3000, x[0].tolist()), (3001, x[0].tolist()), (3001, x[0].tolist())]
+    rows = [(1000 - i, v.tolist()) for i, v in enumerate(x)] + [(2000 + i, v) for i,
+        v in enumerate(BAD)] + [(3000, x[0].tolist()), (3001, x[0].tolist()), (3001, x[0].tolist())]
     got = embed_dedup.near_duplicate_vectors(frame(spark, rows), cell_rows=cell_rows, margin=margin).collect()
     assert len(got) == len(rows)
-    good = [(i, np.array(v, np.float32).astype(float)) for i, v in rows if v is not None and len(v) == 8 and None not in v and np.isfinite(v).all() and any(v)]
+    good = [(i, np.array(v, np.float32).astype(float)) for i,
+        v in rows if v is not None and len(v) == 8 and None not in v and np.isfinite(v).all() and any(v)]
     unit = np.stack([v / np.linalg.norm(v) for _, v in good])
     near = unit @ unit.T >= 0.95
     by = {}
@@ -48,7 +52,8 @@ def test_planted_pairs_across_many_cells(spark, dim, cells):
     y = c * x + np.sqrt(1 - c * c) * side
     every = np.concatenate([x, y, y[:5], x[:3] * 7]).astype(np.float32)
     rows = [(i, v.tolist()) for i, v in enumerate(every)]
-    got = {g.id: g for g in embed_dedup.near_duplicate_vectors(frame(spark, rows), cell_rows=len(rows) // cells).collect()}
+    got = {g.id: g for g in embed_dedup.near_duplicate_vectors(frame(spark, rows), cell_rows=len(rows) // cells)
+        .collect()}
     u = unit(every.astype(float))
     near = u @ u.T >= 0.95
     comp = brute_components([(i, i) for i in range(len(u))], lambda a, b: near[a, b])
@@ -69,7 +74,8 @@ def test_whole_table_against_brute_force(spark):
     x = np.array([r.embedding for r in rows], float)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     near = x @ x.T >= 0.95
-    assert all(got[r.vec_id].n_links == near[k].sum() - 1 and got[r.vec_id].kept == (got[r.vec_id].component_id == r.vec_id) for k, r in enumerate(rows))
+    assert all(got[r.vec_id].n_links == near[k].sum() - 1 and got[r.vec_id].kept == (got[
+        r.vec_id].component_id == r.vec_id) for k, r in enumerate(rows))
 
 
 def brute_nearest(rows, asked, k):
