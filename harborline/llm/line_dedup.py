@@ -22,6 +22,20 @@ def _lines(text):
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def flag_frequent(lines: DataFrame, common: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """(``lines`` with ``hot``, true on copies of frequent common lines; the other common lines).
+
+    ``common`` (h1, h2, rows, hit). A frequent line has over one in ``HOT`` of
+    all ``total`` lines, so there are fewer than ``HOT``. A flagged line needs
+    no partner any more: it is spread by its place instead of its hash.
+    """
+    frequent = F.col("rows") * HOT > total
+    hot = common.where(frequent).select("h1", "h2", F.lit(True).alias("hot"))
+    own = F.when(F.col("hot"), F.xxhash64("id", "pos")).otherwise(F.col("h1"))
+    return lines.join(F.broadcast(hot), ["h1", "h2"], "left").withColumn("h1",
+        own), common.where(~frequent).drop("rows")
+
+
 def drop_common_lines(
     docs: DataFrame,
     min_docs: int = 10,
@@ -62,13 +76,9 @@ def drop_common_lines(
         .where(F.col("n") >= min_docs)
         .select("h1", "h2", "rows", F.lit(True).alias("hit"))
     )
-    frequent = F.col("rows") * HOT > total
-    hot = common.where(frequent).select("h1", "h2", F.lit(True).alias("hot"))  # fewer than HOT rows
-    # a flagged line needs no partner any more: it is spread by its place instead of its hash
-    spread = lines.join(F.broadcast(hot), ["h1", "h2"], "left").withColumn("h1",
-        F.when(F.col("hot"), F.xxhash64("id", "pos")).otherwise(F.col("h1")))
+    spread, rest = flag_frequent(lines, common, total)
     flags = (
-        spread.join(common.where(~frequent).drop("rows"), ["h1", "h2"], "left")
+        spread.join(rest, ["h1", "h2"], "left")
         .withColumn("hit", F.coalesce("hot", "hit"))
         .select("id", "body", "pos", F.coalesce(F.col("hit") & F.col("may"), F.lit(False)).alias("hit"))
         .groupBy("id", "body")

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from harborline.llm import lm
 
@@ -101,3 +102,13 @@ def test_all_words_count_in_a_large_vocabulary(spark):
         .repartition(3)).collect()}
     want = brute(docs, 1 << 40)
     assert set(got) == set(want) and all(abs(got[i] - s) < 1e-6 * abs(s) for i, (_, s) in want.items())
+
+
+def test_no_gram_that_is_shuffled_is_hot(spark):
+    """Above the bound of the histogram a gram is met in the task, so the rest has few occurrences each."""
+    text = " ".join(["hot word"] * 50_000 + [f"w{i}" for i in range(50_000)])
+    docs = spark.createDataFrame([(i, text) for i in range(2)], "id bigint, text string")
+    model = lm.train(docs, bits=10)
+    least = lm.most_frequent(model.weights, 1 << 10)
+    assert model.weights.where(F.col("n") >= least).count() <= 1 << 10
+    assert model.weights.where(F.col("n") < least).agg(F.max("n")).first()[0] == 2

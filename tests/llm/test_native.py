@@ -129,6 +129,23 @@ def test_lines_of_any_frequency(spark, monkeypatch, hot):
     assert got == want
 
 
+def test_no_key_of_the_join_is_hot(spark):
+    """A line of 100,000 copies among as many others: what is shuffled by hash has no key of over ten rows."""
+    n = 100_000
+    lines = spark.range(2 * n).select(
+        F.col("id"), F.lit(0).alias("pos"), F.when(F.col("id") < n, F.lit(7)).otherwise(F.col("id")).alias("h1"),
+        F.lit(1).cast("bigint").alias("h2"),
+    )
+    common = spark.createDataFrame([(7, 1, n, True), (n + 1, 1, 10, True)],
+        "h1 bigint, h2 bigint, rows bigint, hit boolean")
+    spread, rest = line_dedup.flag_frequent(lines, common, 2 * n)
+    keys = spread.groupBy("h1", "h2").count()
+    assert keys.agg(F.max("count")).first()[0] <= 10 and spread.where("hot").count() == n
+    assert [r.h1 for r in rest.collect()] == [n + 1]
+    sizes = [r["count"] for r in spread.repartition(64, "h1", "h2").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 1.2 * sorted(sizes)[32]
+
+
 def test_secrets_against_brute_force(spark):
     rows = [(i, t) for i, t in enumerate(SECRETS)] + [(0, SECRETS[6]), (None, SECRETS[7]), (3, SECRETS[3])]
     docs = spark.createDataFrame([(*r, "b", 1) for r in rows], "doc_id bigint, text string, blob string, seen int")
