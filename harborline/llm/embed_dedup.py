@@ -50,9 +50,25 @@ def behind(u: np.ndarray, cells: np.ndarray, home: np.ndarray, cell: np.ndarray)
     return (u * cells[home]).sum(1) - (u * cells[cell]).sum(1)
 
 
-def border_gaps(cells: np.ndarray) -> np.ndarray:
-    """Distances between centroids."""
-    return np.sqrt(np.maximum(2 - 2 * cells @ cells.T, 1e-18))
+def gaps(cells: np.ndarray, home: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """Distances between pairs of centroids."""
+    return np.sqrt(np.maximum(2 - 2 * (cells[home] * cells[cell]).sum(1), 1e-18))
+
+
+#: Cells at most, and vectors of the sample for each; up to this many are fitted at once, more in two levels.
+MOST_CELLS, EACH, FLAT = 65_536, 8, 1024
+#: Products of vectors and centroids that a task holds at once.
+PRODUCTS = 1 << 23
+
+
+def fit_cells(x: np.ndarray, k: int) -> np.ndarray:
+    """About ``k`` unit centroids of unit rows; many are fitted within coarse cells, in proportion to their rows."""
+    if k <= FLAT:
+        return spherical_kmeans(x, k)
+    coarse = spherical_kmeans(x, round(k**0.5))
+    home = np.concatenate([(x[i : i + 4096] @ coarse.T).argmax(1) for i in range(0, len(x), 4096)])
+    own = [x[home == i] for i in range(len(coarse))]
+    return np.concatenate([spherical_kmeans(rows, max(1, round(k * len(rows) / len(x)))) for rows in own if len(rows)])
 
 
 #: Bits of a block's counts that hold the number of equal rows; the home cell lies above them.
@@ -63,8 +79,9 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, cell_row
     margin: float = 0.16, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(id, n_links, component) for each row of ``vectors``.
 
-    Centroids are fitted on at most ``sample`` vectors, one for ``cell_rows``
-    rows; all vectors are assigned. A vector is listed in a cell if it lies no
+    There is a cell for ``cell_rows`` rows, up to ``MOST_CELLS``; centroids are
+    fitted on ``sample`` vectors, or ``EACH`` for each cell if that is more
+    (524,288 at most). All vectors are assigned. A vector is listed in a cell if it lies no
     further than ``margin`` behind the border to it. Two vectors of cosine c
     are sqrt(2 - 2 c) apart, and so is what their places along the line between
     two centroids differ by at most. With homes on either side of a border,
@@ -82,21 +99,21 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, cell_row
     good, dim = valid_vectors(vectors, id_col, vec_col)
     distinct = settle(classes(good))
     n = distinct.count()
-    picked = distinct.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toPandas()["v"]
-    x = matrix(picked)
-    cells = spherical_kmeans(unit(x), max(1, min(4096, n // cell_rows))) if n else np.zeros((1, max(dim, 1)))
+    k = max(1, min(MOST_CELLS, n // cell_rows))
+    picked = distinct.orderBy(F.xxhash64("id"), "id").limit(max(sample, EACH * k)).select("v").toPandas()["v"]
+    cells = fit_cells(unit(matrix(picked)), k) if n else np.zeros((1, max(dim, 1)))
     shared = sc.broadcast(cells)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = shared.value
-        gaps = border_gaps(c)
-        for b in gathered(batches, 8_192):  # a row is listed several times
+        for b in gathered(batches, max(64, min(8_192, PRODUCTS // len(c)))):  # a row is listed several times
             rows = matrix(b["v"])
             u = unit(rows)
             s = u @ c.T
             home = s.argmax(1)
-            i, cell = np.nonzero((s.max(1)[:, None] - s) <= margin * gaps[home] + 1e-9)
-            near = (cell == home[i]) | (behind(u[i], c, home[i], cell) <= margin * gaps[home[i], cell])
+            far = margin * np.sqrt(np.maximum(2 - 2 * c[home] @ c.T, 0)) + 1e-6
+            i, cell = np.nonzero(s.max(1)[:, None] - s <= far)
+            near = (cell == home[i]) | (behind(u[i], c, home[i], cell) <= margin * gaps(c, home[i], cell))
             i, cell = i[near], cell[near]
             ids, ns = b["id"].to_numpy(np.int64), b["n"].to_numpy(np.int64) + (home << _ROWS)
             yield pack(home, ids, ns, rows, "home", store)
@@ -106,21 +123,25 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, cell_row
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = shared.value
-        gaps = border_gaps(c)
         for b in batches:
             for row in b.itertuples(index=False):
                 ai, an, av = unpack(row.ids, row.ns, row.vs, store)
                 bi, bn, bv = unpack(row.ids2, row.ns2, row.vs2, store)
                 au, bu = unit(av), unit(bv)
-                hit = au @ bu.T >= threshold - 1e-12
+                product = au @ bu.T
+                hit = product >= threshold
+                edge = np.nonzero(np.abs(product - threshold) < 1e-12)
+                hit[edge] = (au[edge[0]] * bu[edge[1]]).sum(1) >= threshold  # the same from either side
                 hit &= ai[:, None] != bi
                 i, j = np.nonzero(hit)
-                sure = (au[i] * bu[j]).sum(1) >= threshold  # the same from either side
-                i, j = i[sure], j[sure]
                 if len(i):
-                    here, there = an[i] >> _ROWS, bn[j] >> _ROWS
-                    alone = (here != there) & (behind(au[i], c, here, there) > margin
-                        * gaps[here, there])  # the other side doesn't see it
+                    here, there = an >> _ROWS, bn >> _ROWS
+                    unseen = np.zeros(hit.shape, bool)  # from the other side
+                    for cell in np.unique(there[hit.any(0)]):
+                        other = np.full(len(ai), cell)
+                        far = (here != cell) & (behind(au, c, here, other) > margin * gaps(c, here, other))
+                        unseen[:, there == cell] = far[:, None]
+                    alone = unseen[i, j]
                     own = np.bincount(i, bn[j] & (1 << _ROWS) - 1, len(ai)).astype(np.int64)
                     other = np.bincount(j[alone], an[i[alone]] & (1 << _ROWS) - 1, len(bi)).astype(np.int64)
                     ids, place = np.unique(np.concatenate([ai[i], bi[j]]), return_inverse=True)

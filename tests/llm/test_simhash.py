@@ -1,5 +1,8 @@
 import hashlib
+import os
 import random
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
@@ -207,3 +210,42 @@ def test_groups_near_the_threshold_against_brute_force(spark, how):
     got = {x.id: x.component for x in simhash.similar_texts(docs, **how).collect()}
     assert {k: got.get(k, k) for k in names} == {k: want[k, k] for k in names}
     assert 16 < len(set(want.values())) < len(names)
+
+
+def test_whole_table_against_brute_force_similarity(spark):
+    """Every pair of texts of 0.8 or more is in one group, and no group holds what no chain of such pairs connects."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {hashlib.md5((r.text or "").encode()).hexdigest(): r.text for r in docs.collect()}
+    names, sets = list(texts), [set(simhash.shingle_hashes(t).tolist()) for t in texts.values()]
+    held, common = {}, Counter()
+    for i, s in enumerate(sets):
+        for h in s:
+            for j in held.setdefault(h, []):
+                common[j, i] += 1
+            held[h].append(i)
+    linked = {p for p, n in common.items() if n >= 0.8 * (len(sets[p[0]]) + len(sets[p[1]]) - n)}
+    got = {r.id: r.component for r in simhash.similar_texts(docs).collect()}
+    assert linked and all(got.get(names[i], i) == got.get(names[j], j) for i, j in linked)
+    want = brute_components([(names[i], i) for i in range(len(names))], lambda a, b: (a, b) in linked)
+    assert got == {n: c for (n, i), c in want.items() if any(i in p for p in linked)}
+
+
+def test_a_shard_of_near_copies_takes_little_memory():
+    code = """
+import resource, time
+import numpy as np
+from harborline.llm import simhash
+r = np.random.default_rng(0)
+n = simhash.TILE
+sketches = np.repeat(r.integers(1, 256, (1, simhash.BINS), np.uint8), n, 0)
+odd = r.random((n, simhash.BINS)) < 0.2
+sketches[odd] = r.integers(1, 256, int(odd.sum()), np.uint8)
+before, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.process_time()
+a, b = simhash.likely_classes(np.zeros(n, np.int64), np.full(n, 100), sketches, 0.8, 0.5)
+assert len(a) == n - 1, len(a)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024, time.process_time() - began)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=300,
+        cwd=os.getcwd())
+    mb, seconds = map(float, out.stdout.split())
+    assert mb < 200 and seconds < 60

@@ -40,9 +40,10 @@ def test_links_against_brute_force(spark, cell_rows, margin):
         assert (r.n_links, r.component) in by.get(r.id, {(0, r.id)})
 
 
-@pytest.mark.parametrize("dim,cells", [(64, 20), (4, 20)])
-def test_planted_pairs_across_many_cells(spark, dim, cells):
+@pytest.mark.parametrize("dim,cells,flat", [(64, 20, 1024), (4, 20, 1024), (64, 60, 10)])
+def test_planted_pairs_across_many_cells(spark, monkeypatch, dim, cells, flat):
     """Pairs of cosine 0.95 to 0.97, many of them across borders, and a chain; at 4 dimensions many are seen from one side."""
+    monkeypatch.setattr(embed_dedup, "FLAT", flat)  # few are fitted at once: the rest in two levels
     r = np.random.default_rng(dim)
     unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
     x = unit(r.standard_normal((1500, dim)))
