@@ -37,7 +37,7 @@ SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
 #: Code points to take at once; a longer text is taken alone.
 CHUNK = 1 << 18
 #: Pieces the cache holds before it is emptied.
-CACHE = 100_000
+CACHE = 300_000
 #: Pieces of more bytes are merged one by one; the rank of a pair that is no word.
 LONG, NONE = 100, 1 << 40
 
