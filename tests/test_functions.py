@@ -107,7 +107,7 @@ def test_is_literal(spark, cell, want):
     [
         ("dir/Stock Report v2.xlsx", "stockreport"), ("Stock_Report (2).xlsm", "stockreport"),
             ("Plan 2026.xlsx", "plan"), ("2026.xlsx", "2026"),
-        ("Plan - Updated - final - copy - v2.xlsx", "plan"), ("Request HIE .xlsm", "requesthie"),
+        ("Plan - Updated - final - copy - v2.xlsx", "plan"), ("Request ABC .xlsm", "requestabc"),
             ("a\\b\\c new rev 7 8.csv", "cnewrev"), ("final.xlsx", ""), ("v1.x", "v1"),
     ],
 )
