@@ -16,6 +16,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Folders made for applications in local mode.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
@@ -27,8 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
         master = spark.conf.get("spark.master", "")
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = tempfile.mkdtemp(prefix="harborline-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        app = spark.conf.get("spark.app.id")
+        where = _LOCAL[app] = _LOCAL.get(app) or tempfile.mkdtemp(prefix="harborline-")
     return where.rstrip("/")
 
 
