@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import BLANKS, forget, prepare, settle
 
 #: Tokens that a task handles together.
-FLUSH = 3 << 17
+FLUSH = 1 << 19
 #: Every task holds at most 2 to this power of words, and as many grams: 16 MB each.
 HOT_BITS = 20
 #: Weights are whole numbers of 1 / SCALE.
