@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, embed_dedup, langid, line_dedup, lm, mixing, secrets, simhash
+from . import ann, bpe, chat, embed_dedup, langid, line_dedup, lm, merkle, mixing, secrets, sharding, simhash, whitening
 from .common import table
 
 
@@ -91,11 +91,41 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs).select(F.col("doc.doc_id").alias("doc_id"), "held_out", "lang_pred", "score")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"), "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened",
+            "explained", "identity_error", F.col("deviation").cast("string").alias("deviation_exact")
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    names = ["doc_id", "source", "lang", "n_chars", "text"]
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("decimal(20,0)")
+    tampered = merkle.leaf_digest([more if c == "n_chars" else F.col(c) for c in names])
+    struck = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    made = merkle.manifest(docs, names, also={"tampered": F.when(struck, tampered)})
+    now = merkle.folded(F.coalesce("also.tampered", "leaf"), F.col("proof"))
+    return made.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"), now.alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    placed = sharding.place(table(spark, sf_dir, "documents"), 24, keep={
+        "size": F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8, "text_crc32": F.crc32(text.cast("binary"))})
+    return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"),
+        F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash_dedup, op2_lm_score, op3_ann_search, op4_line_dedup, op5_embed_dedup,
         op6_chat_format, op7_mix_sources, op8_secret_scan, op9_bpe_tokens, op10_language_id,
+        op11_whitening, op12_merkle_manifest, op13_sharding,
     )
 }
 
