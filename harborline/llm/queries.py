@@ -259,3 +259,101 @@ found AS (
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM docs LEFT JOIN found USING (row)"""
+
+#: CRC-32 by its table, which follows from the polynomial.
+_CRC_TABLE = """
+crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs
+)"""
+
+
+def _crc_sql(text: str) -> str:
+    byte = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return (f"xor(list_reduce(list_concat([4294967295], {byte}), "
+        "lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def _leaf_sql(*fields: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen(({f})::VARCHAR) || ':' || ({f})::VARCHAR, '-')" for f in fields) + ")"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """Levels of a tree over (g, n, idx, hash)."""
+    return f"""
+{name} AS (
+  SELECT g, n, 0 AS level, idx, hash FROM {leaves}
+  UNION ALL
+  SELECT g, (n + 1) // 2, level + 1, idx // 2, sha256(string_agg(hash, '' ORDER BY idx)) FROM {name} WHERE n > 1
+  GROUP BY g, n, level, idx // 2
+)"""
+
+
+def _steps_sql(leaves: str, tree: str, more: str, first: int) -> str:
+    """The way up from each leaf: N without a sibling, else its side and digest."""
+    return f"""
+  SELECT {more}, own.level + {first} AS level,
+    CASE WHEN sib.hash IS NULL THEN 'N' WHEN sib.idx < own.idx THEN 'L' || sib.hash ELSE 'R' || sib.hash END AS step
+  FROM {leaves} l JOIN {tree} own ON own.g IS NOT DISTINCT FROM l.g AND own.n > 1 AND own.idx = l.idx >> own.level
+  LEFT JOIN {tree} sib ON sib.g IS NOT DISTINCT FROM own.g AND sib.level = own.level AND sib.idx = xor(own.idx, 1)"""
+
+
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE {_CRC_TABLE}, d AS (
+  SELECT row_number() OVER () AS row, doc_id, lang AS g,
+    {_leaf_sql("doc_id", "source", "lang", "n_chars", "text")} AS hash,
+    {_leaf_sql("doc_id", "source", "lang", "n_chars::HUGEINT + 1", "text")} AS changed,
+    coalesce({_crc_sql("doc_id::VARCHAR")} % 7 = 0, false) AS struck
+  FROM documents, crc_table
+), leaf AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, hash) - 1 AS idx,
+    count(*) OVER (PARTITION BY g) AS n FROM d
+), {_tree_sql("low", "leaf")}, sub AS (
+  SELECT '' AS g, g AS lang, hash, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS idx, count(*) OVER () AS n
+  FROM low WHERE n = 1
+), {_tree_sql("high", "sub")}, step AS (
+  {_steps_sql("leaf", "low", "l.row", 0)}
+  UNION ALL
+  SELECT leaf.row, s.level, s.step FROM leaf JOIN ({_steps_sql("sub", "high", "l.lang", 1000)}) s
+  ON s.lang IS NOT DISTINCT FROM leaf.g
+), way AS (
+  SELECT row, list(step ORDER BY level) AS steps, string_agg(step[2:], '' ORDER BY level) AS proof FROM step GROUP BY row
+), f AS (
+  SELECT doc_id, leaf.hash AS leaf, sub.hash AS subroot, (SELECT hash FROM high WHERE n = 1) AS root,
+    sha256(coalesce(proof, '')) AS proof_sha256,
+    list_reduce(list_concat([CASE WHEN struck THEN changed ELSE leaf.hash END], coalesce(steps, [])),
+      lambda acc, s: sha256(CASE s[1] WHEN 'L' THEN s[2:] || acc WHEN 'R' THEN acc || s[2:] ELSE acc END)) AS folded_root
+  FROM leaf JOIN sub ON sub.lang IS NOT DISTINCT FROM leaf.g LEFT JOIN way USING (row)
+)
+SELECT *, folded_root = root AS verified FROM f"""
+
+ORACLE["op13_sharding"] = f"""
+WITH RECURSIVE {_CRC_TABLE}, d AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(strlen(text), 0)::BIGINT + 8 AS size,
+    CASE WHEN text = '' THEN 0 ELSE {_crc_sql("text")} END AS text_crc32, md5(coalesce(doc_id::VARCHAR, '')) AS key
+  FROM documents, crc_table
+), k AS MATERIALIZED (
+  SELECT *, ('0x' || key[:4])::BIGINT AS point,
+    row_number() OVER (ORDER BY ('0x' || key[5:19])::BIGINT, doc_id NULLS FIRST, size, text_crc32 NULLS FIRST) - 1 AS rank
+  FROM d
+), node AS (
+  SELECT s, ('0x' || md5(s || ':' || v)[:4])::BIGINT AS point FROM range(24) a(s), range(128) b(v)
+), near AS (
+  SELECT p.point, s, min((node.point - p.point + 65536) % 65536) AS way FROM (SELECT DISTINCT point FROM k) p, node
+  GROUP BY p.point, s
+), around AS (
+  SELECT point, list(s ORDER BY way, s) AS shards FROM near GROUP BY point
+), turn AS MATERIALIZED (
+  SELECT rank, shards FROM k JOIN around USING (point)
+), dealt AS (
+  SELECT -1::BIGINT AS rank, -1::BIGINT AS shard,
+    list_transform(range(24), lambda i: n // 24 + (i < n % 24)::BIGINT) AS room FROM (SELECT count(*) AS n FROM d)
+  UNION ALL
+  SELECT rank, shard, list_transform(range(24), lambda i: room[i + 1] - (i = shard)::BIGINT) FROM (
+    SELECT turn.rank, room, list_filter(shards, lambda s: room[s + 1] > 0)[1] AS shard
+    FROM dealt JOIN turn ON turn.rank = dealt.rank + 1
+  )
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY rank) - 1 AS slot,
+  NULL::INTEGER AS grown_shard
+FROM k JOIN dealt USING (rank)"""
