@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def named(c: str) -> Column:
+    """The column of this name, whatever marks the name holds."""
+    return F.col("`" + c.replace("`", "``") + "`")
+
+
 def strip_all(c: Column) -> Column:
     """Trim all white space; Spark's own trim takes spaces only."""
     return F.regexp_replace(c, r"^\s+|\s+$", "")

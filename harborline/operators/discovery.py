@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import numbers, text
+from ..functions.text import named
 from .estate import assign_roles
 from .joins import set_overlap
 
@@ -195,55 +196,69 @@ def normal_location(c: Column) -> Column:
 def risk(
     locations: Column, macros: Column, protected: Column, hidden_sheets: Column, capped: Column,
         header_confidence: Column, errors: Column,
-    most: int = 3, most_hidden: int = 24,
+    most: int = 3, most_hidden: int = 24, data_model_parts: Column | None = None,
 ) -> Column:
-    """struct<score, band, findings>: what breaks a source; higher is worse.
+    """struct<score, band, findings, details>: what breaks a source; higher is worse.
 
     Each rule of ``FRAGILE`` counts ``most`` locations at most, each location
     for the first rule that it matches. Macros and their protection 10 each,
     hidden sheets 3 each up to ``most_hidden``, a capped row count 15, a weak
-    header (over 0, under 0.55) 12, any probe error 20.
+    header (over 0, under 0.55) 12, any probe error 20, parts of a data model
+    8 together. ``details`` is an array of (finding, n, example), how often each
+    finding was met and the first location, as it was given.
     """
     rule = lambda c: text.first_rule(normal_location(c), {name: p for name, p, _ in FRAGILE})
-    met = F.transform(F.coalesce(locations, F.array().cast("array<string>")), rule)
+    given = F.coalesce(locations, F.array().cast("array<string>"))
+    met = F.transform(given, rule)
     count = lambda name: F.size(F.filter(met, lambda m: m == name))
     weak = (header_confidence > 0) & (header_confidence < 0.55)
-    parts = [(F.lit(w) * F.least(count(name), F.lit(most)), name) for name, _, w in FRAGILE]
+    example = lambda name: F.get(given, F.array_position(met, name).cast("int") - 1)
+    parts = [(F.lit(w) * F.least(count(name), F.lit(most)), name, count(name), example(name)) for name, _, w in FRAGILE]
+    one, none = F.lit(1), F.lit(None).cast("string")
+    model = F.lit(0) if data_model_parts is None else F.coalesce(data_model_parts, F.lit(0))
     parts += [
-        (F.when(macros, 10), "macros"), (F.when(protected, 10), "protected macros"),
-            (F.least(hidden_sheets * 3, F.lit(most_hidden)), "hidden sheets"),
-        (F.when(capped, 15), "row count capped"), (F.when(weak, 12), "weak header"),
-            (F.when(errors > 0, 20), "probe errors"),
+        (F.when(macros, 10), "macros", one, none), (F.when(protected, 10), "protected macros", one, none),
+        (F.least(hidden_sheets * 3, F.lit(most_hidden)), "hidden sheets", hidden_sheets, none),
+        (F.when(capped, 15), "row count capped", one, none), (F.when(weak, 12), "weak header", one, none),
+        (F.when(errors > 0, 20), "probe errors", errors, none), (F.when(model > 0, 8), "data model", model, none),
     ]
     score = F.lit(0)
-    for points, _ in parts:
+    for points, *_ in parts:
         score = score + F.coalesce(points, F.lit(0)).cast("int")
-    named = F.filter(F.array(*[F.when(points > 0, name) for points, name in parts]), lambda x: x.isNotNull())
-    return F.struct(score.alias("score"), numbers.risk_band(score).alias("band"), named.alias("findings"))
+    detail = lambda points, name, n, e: F.when(points > 0, F.struct(F.lit(name).alias("finding"), n.cast("long").alias(
+        "n"), e.alias("example")))
+    details = F.filter(F.array(*[detail(*p) for p in parts]), lambda x: x.isNotNull())
+    return F.struct(score.alias("score"), numbers.risk_band(score).alias("band"),
+        F.transform(details, lambda d: d["finding"]).alias("findings"), details.alias("details"))
 
 
 def overlaps(sheets: DataFrame, owner: str, item: str, file: str, rows: str, least: float = 0.7,
-    min_items: int = 4) -> DataFrame:
-    """(a, b, jaccard, shared, shared_columns, row_delta, conflict): sheets of different files with much the same headers.
+    min_items: int = 4, shown: str | None = None, domain: str | None = None) -> DataFrame:
+    """(a, b, jaccard, shared, shared_columns, row_delta, conflict[, domain]): sheets of different files with much the same headers.
 
     ``sheets`` has one row for each (owner, file, item) with the owner's
-    ``rows``. The pairs whose row counts differ most come first: one of the two
-    is stale or filtered.
+    ``rows`` and ``domain``. The pairs whose row counts differ most come first: one of the two
+    is stale or filtered. ``shared_columns`` are the headers as ``shown`` by a,
+    else by b, else the items (an item is shown in one way by a sheet); ``domain``
+    is that of both, or a's and b's with a bar.
     """
-    found = set_overlap(sheets, owner, item, file, least, min_items)
-    size = sheets.groupBy(owner).agg(F.first(rows).alias("n"))
-    found = found.join(size.select(F.col(owner).alias("a"), F.col("n").alias("_na")),
-        "a").join(size.select(F.col(owner).alias("b"), F.col("n").alias("_nb")), "b")
-    one = sheets.select(owner, item).distinct()
-    common = (
-        found.select("a", "b").join(one.select(F.col(owner).alias("a"), F.col(item).alias("_i")), "a")
-        .join(one.select(F.col(owner).alias("b"), F.col(item).alias("_i")), ["b", "_i"])
-        .groupBy("a", "b").agg(F.sort_array(F.collect_list("_i"))
-            .alias("shared_columns"))  # at most the columns of one sheet
-    )
-    delta = F.col("_na") - F.col("_nb")
-    out = found.join(common, ["a", "b"]).select("a", "b", "jaccard", "shared", "shared_columns",
-        delta.alias("row_delta"), (delta != 0).alias("conflict"))
+    carry = [c for c in dict.fromkeys((rows, domain)) if c]
+    found = set_overlap(sheets, owner, item, file, least, min_items, carry)
+    if shown:
+        pair = F.struct(named(item), named(shown))
+        heads = sheets.where(named(item).isNotNull() & (named(shown) != "")).groupBy(named(owner).alias("o")).agg(
+            F.collect_set(pair).alias("pairs")).select("o", F.map_from_entries("pairs").alias("heads"))
+        for s in "ab":
+            found = found.join(heads.select(F.col("o").alias(s), F.col("heads").alias(f"_heads_{s}")), s, "left")
+        head = lambda i: F.coalesce(F.col("_heads_a")[i], F.col("_heads_b")[i], i)
+    else:
+        head = lambda i: i
+    delta = named(f"a_{rows}") - named(f"b_{rows}")
+    left, right = (named(f"{s}_{domain}") for s in "ab") if domain else (None, None)
+    both = [F.when(left == right, left).otherwise(F.concat_ws("|", left, right)).alias("domain")] if domain else []
+    out = found.select("a", "b", "jaccard", "shared",
+        F.array_sort(F.array_distinct(F.transform("common", head))).alias("shared_columns"), delta.alias("row_delta"),
+        (delta != 0).alias("conflict"), *both)
     return out.orderBy(F.desc(F.abs("row_delta")), F.desc("jaccard"), "a", "b")
 
 
@@ -252,12 +267,12 @@ def capped(df: DataFrame, by: Sequence[str], order: Sequence[str], most: int) ->
 
     The groups' sizes are counted with a combine before the shuffle.
     """
-    size = df.groupBy(*by).agg((F.count(F.lit(1)) > most).alias("capped"))
-    place = F.row_number().over(W.partitionBy(*by).orderBy(*order))
+    size = df.groupBy(*map(named, by)).agg((F.count(F.lit(1)) > most).alias("capped"))
+    place = F.row_number().over(W.partitionBy(*map(named, by)).orderBy(*map(named, order)))
     first = df.withColumn("_place", place).where(F.col("_place") <= most).drop("_place")
     cond = None
     for c in by:
-        same = F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+        same = named(c).eqNullSafe(named(f"_by_{c}"))
         cond = same if cond is None else cond & same
-    return first.join(size.select(*[F.col(c).alias(f"_by_{c}") for c in by], "capped"), cond,
+    return first.join(size.select(*[named(c).alias(f"_by_{c}") for c in by], "capped"), cond,
         "left").drop(*[f"_by_{c}" for c in by])

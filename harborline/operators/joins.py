@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
+
+from ..functions.text import named
 
 
 class NotUnique(ValueError):
@@ -47,10 +51,10 @@ def first_match(facts: DataFrame, right: DataFrame, key: str, order: Sequence[Co
 
 def excluding(facts: DataFrame, others: DataFrame, on: Sequence[str]) -> DataFrame:
     """Facts without a partner whose keys are all the same, null being equal to null."""
-    r = others.select(*[F.col(c).alias(f"_{c}") for c in on]).distinct()
+    r = others.select(*[named(c).alias(f"_{c}") for c in on]).distinct()
     cond = None
     for c in on:
-        same = F.col(c).eqNullSafe(F.col(f"_{c}"))
+        same = named(c).eqNullSafe(named(f"_{c}"))
         cond = same if cond is None else cond & same
     return facts.join(r, cond, "left_anti")
 
@@ -62,13 +66,13 @@ def effective(facts: DataFrame, rates: DataFrame, on: Sequence[str], when: str,
     Rates become intervals by one window over the (small) rate table, so facts
     are joined once by key and interval and are neither ranked nor sorted.
     """
-    span = W.partitionBy(*on).orderBy(since)
-    r = rates.withColumn("_to", F.lead(since).over(span)).select(
-        *[F.col(c).alias(f"_{c}") for c in on], F.col(since).alias("_from"), "_to", *values
+    span = W.partitionBy(*map(named, on)).orderBy(named(since))
+    r = rates.withColumn("_to", F.lead(named(since)).over(span)).select(
+        *[named(c).alias(f"_{c}") for c in on], named(since).alias("_from"), "_to", *map(named, values)
     )
-    cond = (F.col("_from") <= F.col(when)) & (F.col("_to").isNull() | (F.col(when) < F.col("_to")))
+    cond = (F.col("_from") <= named(when)) & (F.col("_to").isNull() | (named(when) < F.col("_to")))
     for c in on:
-        cond = cond & (F.col(c) == F.col(f"_{c}"))
+        cond = cond & (named(c) == named(f"_{c}"))
     return facts.join(r, cond, "left").drop("_from", "_to", *[f"_{c}" for c in on])
 
 
@@ -82,7 +86,8 @@ def contains_key(facts: DataFrame, right: DataFrame, text: str, key: str, gram:
 
     An equi-join on the key's rarest piece of ``gram`` letters among the pieces
     of the right side's texts, then checked whole. Keys of fewer letters meet
-    pieces of their own length. Blank keys match nothing.
+    pieces of their own length. Blank keys match nothing. Equal right rows stay
+    as many as they are.
     """
     low, want = F.upper(F.col(text)), F.upper(F.col(key))
     pieces = lambda c, n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1))),
@@ -90,7 +95,8 @@ def contains_key(facts: DataFrame, right: DataFrame, text: str, key: str, gram:
     keys = facts.select(key).where(F.length(key) > 0).distinct()
     lengths = sorted({gram, *(r[0] for r in keys.select(F.least(F.length(key), F.lit(gram))).distinct()
         .collect())})  # gram rows at most
-    rows = right.withColumn("_row", F.xxhash64(*right.columns)).withColumn("_low", low)
+    copies = right.groupBy(*right.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    rows = copies.withColumn("_row", F.sha2(F.to_json(F.struct(*right.columns)), 256)).withColumn("_low", low)
     held = rows.select("_row", F.explode(F.array_distinct(F.concat(*[pieces(F.col("_low"), n) for n in lengths])))
         .alias("_piece"))
     often = held.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
@@ -99,41 +105,103 @@ def contains_key(facts: DataFrame, right: DataFrame, text: str, key: str, gram:
             .alias("_piece"))
     rarest = own.join(often, "_piece").groupBy(key).agg(F.min(F.struct("_n", "_piece"))["_piece"].alias("_piece"))
     met = rarest.join(held, "_piece").join(rows, "_row").where(F.contains("_low", want)).select(key,
-        *right.columns).distinct()
+        *right.columns, F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))).alias("_copy")).drop("_copy")
     return facts.join(met, key)
 
 
-def set_overlap(sets: DataFrame, owner: str, item: str, file: str, least: float = 0.7, min_items: int = 4) -> DataFrame:
+#: Longs of a set's parity bitmap: 512 bits.
+BITMAP_WORDS = 8
+
+
+def _similar_sets(sets: DataFrame, owner: str, item: str, file: str, least_items: int,
+    carry: Sequence[str] = ()) -> DataFrame:
+    """(o, f, n, items, of, bits) of each owner: a row is a set, ``bits`` its parity bitmap, ``of`` what it carries."""
+    of = F.struct(*map(named, carry)) if carry else F.lit(None).cast("string")
+    items = named(item)
+    if not isinstance(sets.schema[item].dataType, ArrayType):
+        sets = sets.groupBy(named(owner).alias("o"), named(file).alias("f")).agg(F.collect_set(items).alias("items"),
+            F.min(of).alias("of"))
+    else:
+        sets = sets.select(named(owner).alias("o"), named(file).alias("f"), F.array_distinct(F.array_compact(items))
+            .alias("items"), of.alias("of"))
+    one = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int"))
+    word = lambda h: F.shiftrightunsigned(h, 6).bitwiseAND(BITMAP_WORDS - 1)
+    fold = lambda k: F.aggregate("hashes", F.lit(0).cast("long"), lambda acc, h: F.when(word(h) == k,
+        acc.bitwiseXOR(one(h))).otherwise(acc))
+    full = sets.withColumn("n", F.size("items")).where(F.col("n") >= least_items)
+    return full.withColumn("hashes", F.transform("items", lambda i: F.xxhash64(i))).select("o", "f", "n", "items", "of",
+        F.array(*map(fold, range(BITMAP_WORDS))).alias("bits"))
+
+
+def _ceil(c: Column) -> Column:
+    return F.ceil(c - 1e-9).cast("int")
+
+
+def set_candidates(whole: DataFrame, least: float) -> DataFrame:
+    """(lo, ro): pairs of sets that no bound rules out so far, the smaller set on the left.
+
+    Items have one global order, the rarest first. A pair must share one of the
+    first items of both, early enough in both for what follows to suffice
+    (prefix and position filter); sizes meet by bands of the ratio ``least``,
+    which are part of the join's key.
+    """
+    held = whole.select("o", "f", "n", F.explode("items").alias("item"))
+    often = held.groupBy("item").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    alone = F.col("n") - F.count(F.lit(1)).over(W.partitionBy("o"))  # items that no other set has come first
+    place = F.row_number().over(W.partitionBy("o").orderBy("often", "item"))
+    ranked = held.join(often, "item").withColumn("p", place + alone)
+    high = ranked.where(F.col("p") <= F.col("n") - _ceil(least * F.col("n")) + 1)
+    low = high.where(F.col("p") <= F.col("n") - _ceil(2 * least / (1 + least) * F.col("n")) + 1)
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log((1 + 1e-9) / least)) if least < 1 else F.col("n")
+    l = low.select("item", F.explode(F.array(band, band + 1)).alias("band"), *[F.col(c).alias(f"l{c}") for c in "ofnp"])
+    r = high.select("item", band.alias("band"), *[F.col(c).alias(f"r{c}") for c in "ofnp"])
+    smaller = (F.col("ln") < F.col("rn")) | ((F.col("ln") == F.col("rn")) & (F.col("lo") < F.col("ro")))
+    early = 1 + F.least(F.col("ln") - F.col("lp"), F.col("rn") - F.col("rp")) >= _need(least)
+    possible = smaller & (F.col("lf") != F.col("rf")) & (F.col("ln") >= F.col("rn") * least - 1e-9) & early
+    return l.join(r, ["item", "band"]).where(possible).select("lo", "ro").distinct()
+
+
+def _need(least: float) -> Column:
+    """Items that sets of these sizes must share."""
+    return _ceil(least / (1 + least) * (F.col("ln") + F.col("rn")))
+
+
+def close_sets(whole: DataFrame, least: float) -> DataFrame:
+    """Candidates with both their sets, where the parity bitmaps differ in no more bits than the sets may in items.
+
+    The bound stands for the filter on suffixes; what passes is counted exactly.
+    """
+    side = lambda s, *cols: whole.select(*[F.col(c).alias(s + c) for c in ("o", *cols)])
+    differ = sum((F.bit_count(F.get("lbits", F.lit(k)).bitwiseXOR(F.get("rbits", F.lit(k))))
+        for k in range(BITMAP_WORDS)), F.lit(0))
+    met = set_candidates(whole, least).join(side("l", "n", "bits"), "lo").join(side("r", "n", "bits"), "ro")
+    near = met.where(F.col("ln") + F.col("rn") - differ >= 2 * _need(least)).drop("lbits", "rbits")
+    return near.join(side("l", "items", "of"), "lo").join(side("r", "items", "of"), "ro")
+
+
+def set_overlap(sets: DataFrame, owner: str, item: str, file: str, least: float = 0.7, min_items: int = 4,
+    carry: Sequence[str] = ()) -> DataFrame:
     """Pairs of owners in different files whose item sets have a Jaccard index of ``least`` or more.
 
-    ``sets`` has one row for each (owner, file, item). Of every owner only the
-    rarest items by a global order are joined on, as many as any partner that
-    similar must share one of (prefix filter); a common item therefore pairs
-    nothing by itself. The index is then counted exactly for the candidates.
+    ``sets`` has one row for each (owner, file, item), or one for each owner
+    with an array of items; null items don't count, an owner has one file.
+    Gives (a, b, na, nb, shared, jaccard, common), a being the smaller owner and
+    ``common`` the shared items, and for each column c of ``carry``, which hangs
+    on the owner, a_c and b_c. Candidates are bounded before a pair is made
+    (``set_candidates``, ``close_sets``) and then counted exactly, on whole sets; a set is one
+    row. Many owners of equal sets make all their pairs: let equal sets be one
+    first where that can be.
     """
-    one = sets.select(owner, file, item).distinct()
-    count = one.groupBy(owner).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= min_items)
-    often = one.groupBy(item).agg(F.count(F.lit(1)).alias("often"))
-    ranked = (
-        one.join(count, owner)
-        .join(often, item)
-        .withColumn("place", F.row_number().over(W.partitionBy(owner).orderBy("often", item)))
-    )
-    prefix = ranked.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * least) + 1)
-    l, r = prefix.alias("l"), prefix.alias("r")
-    near = (
-        l.join(r, (F.col(f"l.{item}") == F.col(f"r.{item}")) & (F.col(f"l.{owner}") < F.col(f"r.{owner}")) & (F.col(
-            f"l.{file}") != F.col(f"r.{file}")))
-        .where((F.col("l.size") >= F.col("r.size") * least) & (F.col("r.size") >= F.col("l.size") * least))
-        .select(F.col(f"l.{owner}").alias("a"), F.col(f"r.{owner}").alias("b"), F.col("l.size").alias("na"),
-            F.col("r.size").alias("nb"))
-        .distinct()
-    )
-    a = one.select(F.col(owner).alias("a"), F.col(item).alias("_i"))
-    b = one.select(F.col(owner).alias("b"), F.col(item).alias("_i"))
-    shared = near.join(a, "a").join(b, ["b", "_i"]).groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"))
-    index = F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))
-    return shared.withColumn("jaccard", index).where(F.col("jaccard") >= least)
+    whole = _similar_sets(sets, owner, item, file, min_items, carry)
+    met = close_sets(whole, least).withColumn("common", F.array_intersect("litems", "ritems"))
+    first = F.col("lo") < F.col("ro")
+    pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
+    shared = F.size("common").cast("long")
+    index = shared / (F.col("ln") + F.col("rn") - shared)
+    return met.select(pick("lo", "ro").alias("a"), pick("ro", "lo").alias("b"), pick("ln", "rn").alias("na"),
+        pick("rn", "ln").alias("nb"), shared.alias("shared"), index.alias("jaccard"), "common",
+        *[pick(f"{x}of.`{c}`", f"{y}of.`{c}`").alias(f"{s}_{c}") for c in carry for s, x, y in (("a", "l", "r"), ("b", "r",
+            "l"))]).where(F.col("jaccard") >= least)
 
 
 def pairs_in_group(df: DataFrame, group: str, label: str) -> DataFrame:

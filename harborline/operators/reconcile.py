@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text
 from ..functions.text import file_stem
+from .estate import upstream_identity
 from .joins import pairs_in_group
 
 PROFILE = (
@@ -85,10 +87,18 @@ def forked_upstreams(profiles: DataFrame) -> DataFrame:
 
 
 def version_skew(edges: DataFrame) -> DataFrame:
-    """(consumer, stem, files) where a consumer reads several files of one stem. ``edges``: src, dst."""
-    named = edges.select(F.col("dst").alias("consumer"), file_stem(F.col("src")).alias("stem"),
-        F.lower("src").alias("file"))
-    return named.groupBy("consumer", "stem").agg(F.countDistinct("file").alias("files")).where("files > 1")
+    """(consumer, stem, files, variants) where a consumer reads several files that are versions of one asset.
+
+    ``edges``: src, as a location is written, and dst. Only locations that are
+    files by ``upstream_identity`` count, by their name alone, as it is written;
+    a name of nothing but marks and version words is no asset.
+    """
+    place = text.strip_all(F.col("src"))
+    name = F.substring_index(F.regexp_replace(F.translate(place, "\\", "/"), "/+$", ""), "/", -1)
+    named = edges.where(F.startswith(upstream_identity(F.col("src")), F.lit("file:"))).select(
+        F.col("dst").alias("consumer"), file_stem(name).alias("stem"), name.alias("file")).where("stem <> ''").distinct()
+    return named.groupBy("consumer", "stem").agg(F.count(F.lit(1)).alias("files"),
+        F.array_sort(F.collect_list("file")).alias("variants")).where("files > 1")
 
 
 def cycles(edges: DataFrame, depth: int = 12) -> DataFrame:

@@ -121,31 +121,39 @@ def lineage_cycles(spark, sf_dir):
 
 
 _VERSIONS = ("", " v2", " - Updated - final - copy", "_2024", " Rev 7", " new")
+#: Where the same file may lie: two folders, a share, the web; and a name of nothing but version words.
+_PLACES = ("dir/{}", "/srv/old/{}", "\\\\host\\share\\{}", "https://host/files/{}?v=1", "dir/final copy.xlsx", "{}")
 _FILES_SQL = f"""f AS (
-  SELECT 'plan ' || l_suppkey || '.xlsx' AS dst, 'dir/' || p_name || {[*_VERSIONS]}[1 + (l_orderkey + l_linenumber) % 6] || '.xlsx' AS src
-  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+  SELECT 'plan ' || l_suppkey || '.xlsx' AS dst, replace({[*_PLACES]}[1 + (l_partkey + l_linenumber) % 6], '{{}}',
+  p_name || {[*_VERSIONS]}[1 + (l_orderkey + l_linenumber) % 6] || '.xlsx') AS src
+  FROM lineitem JOIN part ON l_partkey = p_partkey)""".replace("\\\\", "\\")
 
 
 def file_edges(spark, sf_dir):
-    """Line items as files that a supplier's plan reads, in six versions."""
+    """Line items as files that a supplier's plan reads, in six versions and from six kinds of place."""
     l, p = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     version = F.get(F.array(*map(F.lit, _VERSIONS)), ((F.col("l_orderkey") + F.col("l_linenumber")) % 6).cast("int"))
+    where = F.get(F.array(*map(F.lit, _PLACES)), ((F.col("l_partkey") + F.col("l_linenumber")) % 6).cast("int"))
     return l.join(p, l["l_partkey"] == p["p_partkey"]).select(
         F.concat(F.lit("plan "), "l_suppkey", F.lit(".xlsx")).alias("dst"),
-            F.concat(F.lit("dir/"), "p_name", version, F.lit(".xlsx")).alias("src")
+        F.replace(where, F.lit("{}"), F.concat("p_name", version, F.lit(".xlsx"))).alias("src")
     )
 
 
 _WORDS = "|".join(text.VERSION_WORDS)
 
 
-@query(rf"""WITH {_FILES_SQL}, n AS (SELECT DISTINCT src, dst, trim(regexp_replace(regexp_replace(lower(split_part(src,
-  '/', -1)), '\.[^.]+$', ''), '[^a-z0-9]+', ' ', 'g')) AS w FROM f),
+@query(rf"""WITH {_FILES_SQL}, g AS (SELECT DISTINCT dst, string_split(replace(src, '\', '/'), '/')[-1] AS file FROM f
+  WHERE src NOT LIKE 'http%' AND (contains(src, '/') OR contains(src, '\'))),
+n AS (SELECT dst, file, trim(regexp_replace(regexp_replace(lower(file), '\.[^.]+$', ''), '[^a-z0-9]+', ' ',
+  'g')) AS w FROM g),
 s AS (SELECT dst AS consumer, replace(regexp_replace(regexp_replace(w, '(^| )({_WORDS})( ({_WORDS}))*$', ''),
-  '( [0-9]+)+$', ''), ' ', '') AS stem, lower(src) AS file FROM n)
-SELECT consumer, stem, count(DISTINCT file) AS files FROM s GROUP BY 1, 2 HAVING count(DISTINCT file) > 1""")
+  '( [0-9]+)+$', ''), ' ', '') AS stem, file FROM n)
+SELECT consumer, stem, count(*) AS files, array_to_string(list_sort(list(file)), '|') AS variants FROM s WHERE stem <> ''
+GROUP BY 1, 2 HAVING count(*) > 1""")
 def version_skew(spark, sf_dir):
-    return reconcile.version_skew(file_edges(spark, sf_dir))
+    found = reconcile.version_skew(file_edges(spark, sf_dir))
+    return found.select("consumer", "stem", "files", F.array_join("variants", "|").alias("variants"))
 
 
 @query(r"""WITH files AS (SELECT p_partkey AS pos, 'f' || p_partkey AS file_id, CASE p_size % 3

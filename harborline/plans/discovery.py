@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import discovery, estate
+from ..operators import discovery, estate, joins
 from .base import query, table
 
 _FIRST = ("Qty", "PO", "Item", "Container", "Ship", "On", "Region", "Vendor", "Unit", "Line", "Order", "POL", "Due",
@@ -227,16 +227,18 @@ def header_overlap(spark, sf_dir):
     """Token sets of all texts standing for headers. Equal sets are one, with its members counted, so copies don't pair all with all."""
     b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("owner"), "text")
     d = table(spark, sf_dir, "documents").select((F.col("doc_id") + 1_000_000_000).alias("owner"), "text")
-    items = F.array_sort(F.array_distinct(text.header_tokens(F.col("text"))))
-    sets = b.union(d).select("owner", items.alias("items"), F.length("text").alias("rows_")).where(F.size("items") >= 4)
-    kinds = sets.groupBy(F.sha2(F.array_join("items", " "), 256).alias("kind"))
-    one = kinds.agg(F.min("owner").alias("owner"), F.min_by("rows_", "owner").alias("rows_"),
-        F.count(F.lit(1)).alias("members"), F.first("items").alias("items"))
-    found = discovery.overlaps(one.select("owner", F.col("owner").alias("file"), "rows_",
-        F.explode("items").alias("item")), "owner", "item", "file", "rows_")
-    m = lambda s: one.select(F.col("owner").alias(s), F.col("members").alias(f"members_{s}"))
-    return found.join(m("a"), "a").join(m("b"), "b").select("a", "b", "shared", F.round("jaccard", 9).alias("jaccard"),
-        "row_delta", "conflict", "members_a", "members_b")
+    items = F.array_distinct(text.header_tokens(F.col("text")))
+    sets = b.union(d).select("owner", items.alias("items"), F.length("text").alias("rows_"))
+    name = lambda seed: F.aggregate("items", F.lit(0).cast("long"), lambda acc, i: acc.bitwiseXOR(F.xxhash64(F.lit(seed),
+        i)))  # noqa: E731  (whatever the order)
+    kind = F.struct(F.size("items"), name(1), name(2))
+    one = sets.groupBy(kind.alias("kind")).agg(F.min("owner").alias("owner"), F.count(F.lit(1)).alias("members"),
+        F.min_by(F.struct("rows_", "items"), "owner").alias("first"))
+    one = one.select("owner", F.struct(F.col("first.rows_"), "members").alias("of"), F.col("first.items").alias("items"))
+    found = joins.set_overlap(one, "owner", "items", "owner", carry=["of"])
+    delta = F.col("a_of.rows_") - F.col("b_of.rows_")
+    return found.select("a", "b", "shared", F.round("jaccard", 9).alias("jaccard"), delta.alias("row_delta"),
+        (delta != 0).alias("conflict"), F.col("a_of.members").alias("members_a"), F.col("b_of.members").alias("members_b"))
 
 
 @query("""SELECT event_id, user_id, count(*) OVER (PARTITION BY user_id) > 20 AS capped FROM events

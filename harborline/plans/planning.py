@@ -163,7 +163,7 @@ def alloc_waterfall(spark, sf_dir):
     supply = l.groupBy(F.col("l_partkey").alias("sku")).agg(A.sum_if(F.col("l_returnflag") == "R", q).alias("supply"))
     plan = demand.join(supply, "sku").withColumn("quota", F.floor(F.col("wanted") * 3 / 5)
         .cast("long")).withColumn("held", F.lit(5).cast("long"))
-    out = windows.waterfall(plan, ["sku"], "priority", "supply", "held", "wanted", "quota")
+    out = windows.waterfall(plan, ["sku"], "priority", "supply", "held", "wanted", "quota", bounds=[2, 3, 4, 5])
     return out.select("sku", "priority", *[F.col(c).cast("long").alias(c)
         for c in ("base", "unmet", "leftover", "prior_unmet", "sweep")])
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from harborline.operators import discovery, estate
+from harborline.operators import discovery, estate, joins, reconcile, windows
 
 
 def roles(spark, *headers):
@@ -100,6 +100,49 @@ def test_overlaps_come_by_difference_of_rows(spark):
     assert got[2].shared_columns == list("abcd")
 
 
+def test_overlaps_show_headers_and_domain(spark):
+    rows = [(1, "f1", 3, "sku", "SKU #", "stock"), (1, "f1", 3, "qty", "", "stock"), (1, "f1", 3, "po", None, "stock"),
+        (1, "f1", 3, "loc", "Loc", "stock"), (2, "f2", 3, "sku", "Sku", "po"), (2, "f2", 3, "qty", "Qty.", "po"),
+        (2, "f2", 3, "po", None, "po"), (2, "f2", 3, "loc", "L", "po"), (3, "f3", 9, "sku", "S", "po"),
+        (3, "f3", 9, "qty", "Q", "po"), (3, "f3", 9, "po", "P", "po"), (3, "f3", 9, "loc", None, "po")]
+    df = spark.createDataFrame(rows, "owner int, file string, n int, item string, shown string, domain string")
+    got = discovery.overlaps(df, "owner", "item", "file", "n", shown="shown", domain="domain").collect()
+    assert [(r.a, r.b, r.shared_columns, r.domain) for r in got] == [
+        (1, 3, ["Loc", "P", "Q", "SKU #"], "stock|po"), (2, 3, ["L", "P", "Qty.", "Sku"], "po"),
+        (1, 2, ["Loc", "Qty.", "SKU #", "po"], "stock|po")]
+
+
+def test_risk_of_a_data_model_and_details(spark):
+    df = spark.createDataFrame([(["C:\\Users\\me\\a.xlsx", "C:\\Users\\me\\b.xlsx"], 3)], "l array<string>, m int")
+    no = F.lit(False)
+    r = df.select(discovery.risk(F.col("l"), no, no, F.lit(0), no, F.lit(1.0), F.lit(0), data_model_parts=F.col("m"))
+        .alias("r")).first().r
+    plain = df.select(discovery.risk(F.col("l"), no, no, F.lit(0), no, F.lit(1.0), F.lit(0)).alias("r")).first().r
+    assert r.score == plain.score + 8 and r.findings == [*plain.findings, "data model"]
+    assert [(d.n, d.example) for d in r.details] == [(2, "C:\\Users\\me\\a.xlsx"), (3, None)]
+
+
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([("x", 1, 5), ("x", 2, 7), (None, 3, 7)], "k string, i int, v int").toDF("a.b", "i", "v.w")
+    assert sorted(map(str, discovery.capped(df, ["a.b"], ["i"], 1).select("i", "capped").collect())) == [
+        "Row(i=1, capped=True)", "Row(i=3, capped=False)"]
+    assert [r.rank for r in windows.ranked(df, ["a.b"], "v.w", "i").orderBy("i").collect()] == [2, 1, 1]
+    assert joins.excluding(df, df.where("i = 3"), ["a.b"]).count() == 2
+    rates = spark.createDataFrame([("x", 1, 9)], "k string, since int, r int").toDF("a.b", "s.t", "r.r")
+    assert [r["r.r"] for r in joins.effective(df, rates, ["a.b"], "i", "s.t", ["r.r"]).orderBy("i").collect()] == [9, 9,
+        None]
+
+
+def test_version_skew_counts_names_of_files_only(spark):
+    rows = [("\\\\a\\x\\Plan.xlsx", "c1"), ("\\\\b\\y\\Plan.xlsx", "c1"), ("final.xlsx", "c2"), ("draft.xlsx", "c2"),
+        ("d/final.xlsx", "c2"), ("d/copy 2.xlsx", "c2"), ("https://h/a.csv?x=1", "c3"), ("https://h/a.csv?x=2", "c3"),
+        ("d/Plan v2.xlsx", "c4"), ("e/plan.xlsx", "c4"), ("e\\Plan_2024.xlsx ", "c4"), ("d/plan.xlsx", "c4"), (None, "c4"),
+        ("d/2024.xlsx", "c5"), ("d/2024 new.xlsx", "c5")]
+    got = reconcile.version_skew(spark.createDataFrame(rows, "src string, dst string")).collect()
+    assert sorted((r.consumer, r.stem, r.files, r.variants) for r in got) == [
+        ("c4", "plan", 3, ["Plan v2.xlsx", "Plan_2024.xlsx", "plan.xlsx"]), ("c5", "2024", 2, ["2024 new.xlsx", "2024.xlsx"])]
+
+
 def test_capped_groups(spark):
     df = spark.createDataFrame([("a", i) for i in range(4)] + [("b", 1), (None, 1), (None, 2)], "g string, i int")
     got = sorted(((r.g or "-", r.i, r.capped) for r in discovery.capped(df, ["g"], ["i"], 2).collect()))

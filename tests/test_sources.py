@@ -66,7 +66,11 @@ def test_large_files_are_listed_but_not_read(spark, tmp_path):
     (tmp_path / "small.csv").write_bytes(b"a,b\n1,2\n")
     found = files.sweep(spark, [str(tmp_path)], [".csv"])
     assert found.count() == 2
-    assert [r.path.rsplit("/", 1)[1] for r in files.contents(spark, found, max_mb=1).collect()] == ["small.csv"]
+    got = {r.path.rsplit("/", 1)[1]: (r.content is None, r.error) for r in files.contents(spark, found, max_mb=1).collect()}
+    assert got.pop("small.csv") == (False, None) and got and all(
+        gone and error.endswith("exceeds the limit of 1 MB") for gone, error in got.values())
+    probes = files.probe(files.contents(spark, found, max_mb=1))
+    assert {r.path.rsplit("/", 1)[1] for r in probes.where("error like '%exceeds the limit%'").collect()} == set(got)
     assert "length" in files.contents(spark, found, max_mb=1)._jdf.queryExecution().executedPlan().toString().split(
         "PushedFilters")[1][:200]
 
@@ -199,6 +203,19 @@ def test_cells_and_sheet_table(spark):
     assert [(r["SKU"], r["Qty"], r["Region"]) for r in rows] == [("x", "2", None), ("y", None, None)]
 
 
+def test_sheets_of_several_files_keep_their_own_headers(spark):
+    heads = {"a": ["SKU", "Qty"], "b": ["Item"], "c": ["SKU", "SKU", " "]}
+    rows = [(p, "S", 1, "ABC"[i], h) for p, hs in heads.items() for i, h in enumerate(hs)]
+    rows += [(p, "S", 2, "ABC"[i], f"{p}{i}") for p, hs in heads.items() for i in range(len(hs))] + [("a", "S", 2, "D", "x")]
+    cells = spark.createDataFrame(rows, "path string, sheet string, row bigint, col string, value string")
+    got = {r.path: r.values for r in files.sheet_rows(cells, "S").collect()}
+    assert got == {"a": {"SKU": "a0", "Qty": "a1"}, "b": {"Item": "b0"}, "c": {"SKU": "c0", "SKU (B)": "c1", "": "c2"}}
+    one = files.sheet_table(cells, "S", path="c")
+    assert one.columns == ["path", "row", "SKU", "SKU (B)", ""] and one.first()["SKU (B)"] == "c1"
+    with pytest.raises(ValueError):
+        files.sheet_table(cells, "S")
+
+
 def test_column_index():
     assert [files.column_index(x) for x in ("A1", "Z", "AA3", "BX", "")] == [0, 25, 26, 75, -1]
 
