@@ -36,6 +36,8 @@ def brute_manifest(rows, fanout):
     groups = defaultdict(list)
     for r in rows:
         groups[r[2]].append((r[0] is not None, r[0] or 0, leaf_of(*r), r[0]))
+    if not rows:
+        return []
     names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
     subs = {g: tree([x[2] for x in sorted(groups[g], key=lambda x: x[:3])], fanout) for g in names}
     root, ways = tree([subs[g][0] for g in names], fanout)
