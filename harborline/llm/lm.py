@@ -13,9 +13,10 @@ Weights are whole numbers of 1e-8, so sums don't depend on the order of rows.
 
 Grams are 64-bit names. The most frequent words are named by their place in a
 table of at most ``2 ** HOT_BITS`` words, which every task holds; two such words make an
-exact name, all other bigrams a hash. The weights of as many of the most
-frequent grams are met before any shuffle: a gram that is shuffled has so few
-occurrences that no partition can be hot.
+exact name, all other bigrams a hash. Only grams that could make a partition
+hot, those with a ``1 / HOT_SHARE`` of all tokens or more, meet their weights
+before the shuffle, in a table of ``HOT_SHARE`` rows an order at most; all others
+are shuffled to the hash-partitioned table and joined there.
 """
 
 from __future__ import annotations
@@ -32,8 +33,12 @@ from .common import BLANKS, forget, prepare, settle
 
 #: Tokens that a task handles together.
 FLUSH = 1 << 19
-#: Every task holds at most 2 to this power of words, and as many grams: 16 MB each.
+#: Every task holds at most 2 to this power of words for their names: 16 MB.
 HOT_BITS = 20
+#: A gram with one in so many of all tokens, and with HOT_LEAST, is hot.
+HOT_SHARE, HOT_LEAST = 1 << 14, 64
+#: Rows that a task hands over at once.
+ROWS = 1 << 17
 #: Weights are whole numbers of 1 / SCALE.
 SCALE = 10**8
 _LOW = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
@@ -284,6 +289,11 @@ def train(rows: DataFrame, min_count: int = 2, alpha: float = 0.4, bits: int = H
     return Model(words, total, shared, weights)
 
 
+def hot_count(total: int) -> int:
+    """The count from which on a gram is hot; at most ``HOT_SHARE`` grams of an order have it."""
+    return max(HOT_LEAST, -(-total // HOT_SHARE))
+
+
 def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_col: str = "doc_id",
     text_col: str = "text", bits: int = HOT_BITS, order: int = 2) -> DataFrame:
     """(id, n_tokens, log_score, mean_log_score): one row for each id.
@@ -301,13 +311,13 @@ def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_
     kind = rows.schema["id"].dataType.simpleString()
     model = train(rows, min_count, alpha, bits, order)
     frequent = model.hot
-    least = most_frequent(model.weights, 1 << bits)
+    least = hot_count(model.total)
     top = rows.sparkSession.sparkContext.broadcast(_sorted_table(model.weights.where(F.col("n") >= least)
-        .select("gram", "value")))  # a bounded number of rows
+        .select("gram", "value")))  # HOT_SHARE rows an order at most
 
     def explode(batches):
-        """A row for each occurrence of a gram that isn't among the most frequent, and one for each
-        text with the weights of those that are. The latter's gram is a name that no gram has."""
+        """A row for each occurrence of a gram that isn't hot, and one for each text with the
+        weights of those that are. The latter's gram is a name that no gram has."""
         hot, (grams, values) = frequent.value[0], top.value
         for ids, h, n in _in_flushes(batches):
             found = _grams(hot, h, n, bits, order)
@@ -324,9 +334,10 @@ def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_
             cold = cold[np.argsort(doc[cold], kind="stable")]
             own = _NO_GRAM | (_mix((np.arange(len(n)) + int(sums.sum() & 0xFFFFFFFF))
                 .astype(np.uint64)) >> np.uint64(4)).astype(np.int64)
-            zero = np.zeros(len(cold), np.int64)
             yield _batch(id=ids, gram=own, tokens=n, lost=lost, value=sums)
-            yield _batch(id=ids.take(pa.array(doc[cold])), gram=gram[which[cold]], tokens=zero, lost=zero, value=zero)
+            for some in np.split(cold, range(ROWS, len(cold), ROWS)):
+                zero = np.zeros(len(some), np.int64)
+                yield _batch(id=ids.take(pa.array(doc[some])), gram=gram[which[some]], tokens=zero, lost=zero, value=zero)
 
     exploded = rows.mapInArrow(explode, f"id {kind}, gram bigint, tokens bigint, lost bigint, value bigint")
     weighed = exploded.join(model.weights.where(F.col("n") < least).select("gram", F.col("value").alias("weight")),

@@ -105,10 +105,22 @@ def test_all_words_count_in_a_large_vocabulary(spark):
 
 
 def test_no_gram_that_is_shuffled_is_hot(spark):
-    """Above the bound of the histogram a gram is met in the task, so the rest has few occurrences each."""
+    """From a share of all tokens on a gram is met in the task, so the rest has few occurrences each."""
     text = " ".join(["hot word"] * 50_000 + [f"w{i}" for i in range(50_000)])
     docs = spark.createDataFrame([(i, text) for i in range(2)], "id bigint, text string")
     model = lm.train(docs, bits=10)
-    least = lm.most_frequent(model.weights, 1 << 10)
+    least = lm.hot_count(model.total)
     assert model.weights.where(F.col("n") >= least).count() <= 1 << 10
     assert model.weights.where(F.col("n") < least).agg(F.max("n")).first()[0] == 2
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_most_weights_come_from_the_join(spark, sf):
+    """Of the weights, all of which some document meets, the broadcast table holds only the hot ones."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select(F.col("doc_id").alias("id"), "text")
+    model = lm.train(docs)
+    least = lm.hot_count(model.total)
+    rows, met = model.weights.select(F.count(F.lit(1)), F.count_if(F.col("n") < least)).first()
+    uses, joined = model.weights.select(F.sum("n"), F.sum(F.when(F.col("n") < least, F.col("n")))).first()
+    assert met > rows / 2 and joined > uses / 4
+    assert lm.hot_count(10**12) * lm.HOT_SHARE >= 10**12 and lm.hot_count(0) == lm.HOT_LEAST
