@@ -16,13 +16,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import forget, settle
 
 
 def binned(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """``df``, settled, with ``_bin`` (number of its range of the order) and ``_tie`` (unique)."""
-    tied = df.withColumn("_tie", F.monotonically_increasing_id())
-    return settle(tied.repartitionByRange(*order, "_tie").withColumn("_bin", F.spark_partition_id()))
+    """``df``, settled, with ``_bin`` (number of its range of the order) and ``_tie`` (unique).
+
+    The ranges are found by a sample, which reads the rows once more; they are
+    written first, so that what made them isn't run twice.
+    """
+    tied = settle(df.withColumn("_tie", F.monotonically_increasing_id()))
+    out = settle(tied.repartitionByRange(*order, "_tie").withColumn("_bin", F.spark_partition_id()))
+    forget(tied)
+    return out
 
 
 def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[str], idx: str = "_idx", n: str = "_n") -> DataFrame:
