@@ -36,7 +36,7 @@ FLUSH = 1 << 19
 #: Every task holds at most 2 to this power of words for their names: 16 MB.
 HOT_BITS = 20
 #: A gram with one in so many of all tokens, and with HOT_LEAST, is hot.
-HOT_SHARE, HOT_LEAST = 1 << 14, 64
+HOT_SHARE, HOT_LEAST = 1 << 18, 64
 #: Rows that a task hands over at once.
 ROWS = 1 << 17
 #: Weights are whole numbers of 1 / SCALE.
@@ -334,12 +334,12 @@ def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_
             cold = cold[np.argsort(doc[cold], kind="stable")]
             own = _NO_GRAM | (_mix((np.arange(len(n)) + int(sums.sum() & 0xFFFFFFFF))
                 .astype(np.uint64)) >> np.uint64(4)).astype(np.int64)
-            yield _batch(id=ids, gram=own, tokens=n, lost=lost, value=sums)
+            whole = pa.StructArray.from_arrays([pa.array(c) for c in (n, lost, sums)], ["tokens", "lost", "value"])
+            yield _batch(id=ids, gram=own, own=whole)
             for some in np.split(cold, range(ROWS, len(cold), ROWS)):
-                zero = np.zeros(len(some), np.int64)
-                yield _batch(id=ids.take(pa.array(doc[some])), gram=gram[which[some]], tokens=zero, lost=zero, value=zero)
+                yield _batch(id=ids.take(pa.array(doc[some])), gram=gram[which[some]], own=pa.nulls(len(some), whole.type))
 
-    exploded = rows.mapInArrow(explode, f"id {kind}, gram bigint, tokens bigint, lost bigint, value bigint")
+    exploded = rows.mapInArrow(explode, f"id {kind}, gram bigint, own struct<tokens bigint, lost bigint, value bigint>")
     weighed = exploded.join(model.weights.where(F.col("n") < least).select("gram", F.col("value").alias("weight")),
         "gram", "left")
     telling = F.col("weight").isNotNull() | (F.col("gram") >= _NO_GRAM)
@@ -349,8 +349,8 @@ def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_
     return (
         weighed.where(telling)
         .groupBy("id")
-        .agg(F.sum("tokens").alias("n_tokens"), F.sum("lost").alias("lost"),
-            F.sum(F.col("value") + F.coalesce("weight", F.lit(0))).alias("sum"))
+        .agg(F.sum("own.tokens").alias("n_tokens"), F.sum("own.lost").alias("lost"),
+            F.sum(F.coalesce("own.value", "weight")).alias("sum"))
         .select("id", "n_tokens", log.alias("log_score"))
         .withColumn("mean_log_score", F.when(n > 0, F.col("log_score") / n))
     )
