@@ -101,25 +101,6 @@ def version_skew(edges: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list("file")).alias("variants")).where("files > 1")
 
 
-def cycles(edges: DataFrame, depth: int = 12) -> DataFrame:
-    """Cycles of up to ``depth`` nodes as sorted node sets, one row each set.
-
-    Paths grow from their least node and never go below it, so each cycle is
-    found from one start; a step is a join, and the driver sees no path.
-    """
-    e = edges.select("src", "dst").distinct()
-    paths = e.where("src <= dst").select(F.array("src").alias("path"), F.col("dst").alias("at"))
-    found = None
-    for _ in range(depth):
-        closed = paths.where(F.col("path")[0] == F.col("at")).select(F.array_join(F.array_sort("path"), ",")
-            .alias("nodes"))
-        found = closed if found is None else found.union(closed)
-        open_ = paths.where(F.col("path")[0] < F.col("at")).where(~F.array_contains("path", F.col("at")))
-        paths = open_.join(e, F.col("at") == F.col("src")).select(F.concat("path", F.array("at")).alias("path"),
-            F.col("dst").alias("at"))
-    return found.distinct()
-
-
 def resolve(edges: DataFrame, files: DataFrame) -> DataFrame:
     """Edges with the swept file that their name means: by lower name, else by letters and digits; the first registered wins."""
     key = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]", "")

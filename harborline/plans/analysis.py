@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import aggregates, estate, reconcile
+from ..operators import aggregates, estate, graph, reconcile
 from .base import query, table
 
 #: A part as a query definition: four of them read one upstream.
@@ -117,7 +117,74 @@ def lineage_cycles(spark, sf_dir):
         .alias("j"), F.col("n_name").alias("dst"))
     first = a.join(b, F.col("j") == (3 * F.col("k") + 1) % 25)
     more = a.where("k % 5 = 0").join(b, F.col("j") == F.col("k") + 1)
-    return reconcile.cycles(first.union(more).select("src", "dst"))
+    return graph.cycles(first.union(more).select("src", "dst"))
+
+
+_REFS_SQL = """r(reader, read) AS (
+  SELECT p_partkey, p_partkey // 2 FROM part UNION ALL SELECT p_partkey, p_partkey * 7 % (SELECT count(*) FROM part) FROM part
+  WHERE p_size % 10 = 0)"""
+
+
+def _references(spark, sf_dir):
+    """Parts as queries that read the one at half their number, and some another one, in circles too."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("reader"), "p_size", "p_brand")
+    n = p.count()
+    half = p.select("reader", F.floor(F.col("reader") / 2).alias("read"))
+    return p, half.union(p.where("p_size % 10 = 0").select("reader", F.col("reader") * 7 % n))
+
+
+@query(f"""WITH RECURSIVE {_REFS_SQL}, f(reader, source) AS (
+  SELECT p_partkey, p_brand FROM part WHERE p_size < 4
+  UNION SELECT r.reader, f.source FROM f JOIN r ON r.read = f.reader)
+SELECT reader, source FROM f""")
+def inherited_sources(spark, sf_dir):
+    """Every external source of a query, its own and those of all that it reads."""
+    p, refs = _references(spark, sf_dir)
+    facts = p.where("p_size < 4").select("reader", F.col("p_brand").alias("source"))
+    return graph.passed_on(refs, facts, "reader", "read", "source")
+
+
+@query("""WITH RECURSIVE e(src, dst) AS (
+  SELECT p_partkey, CASE p_partkey % 7 WHEN 2 THEN p_partkey - 2 WHEN 6 THEN p_partkey - (p_partkey // 7) % 3
+    ELSE p_partkey + 1 END FROM part WHERE p_partkey % 7 <> 3 OR p_partkey % 14 = 3),
+t(a, b) AS (SELECT src, dst FROM e UNION SELECT t.a, e.dst FROM t JOIN e ON t.b = e.src)
+SELECT x.a AS node, min(x.b) AS component FROM t x JOIN t y ON x.a = y.b AND x.b = y.a GROUP BY 1""")
+def lineage_components(spark, sf_dir):
+    """Parts that replace each other: circles of three, pairs and single ones in chains that join blocks of seven."""
+    k = F.col("p_partkey")
+    to = F.when(k % 7 == 2, k - 2).when(k % 7 == 6, k - F.floor(k / 7) % 3).otherwise(k + 1)
+    edges = table(spark, sf_dir, "part").where((k % 7 != 3) | (k % 14 == 3)).select(k.alias("src"), to.alias("dst"))
+    return graph.components(edges)
+
+
+_STEPS_SQL = """s AS (SELECT p_partkey AS query, unnest(range(1, 2 + p_size % 9)) AS pos FROM part),
+t AS (SELECT query, pos, ['rename', 'rename', 'remove', 'rename', 'add'][1 + (query + pos) % 5] AS kind,
+  'c' || (query * pos % 6) AS old, 'c' || ((query + 3 * pos) % 7) AS new FROM s)"""
+
+
+@query(f"""WITH RECURSIVE {_STEPS_SQL}, m AS (
+  SELECT p_partkey AS query, 0::BIGINT AS pos, list_transform(range(5), lambda i: {{'n': 'c' || i, 'o': 'c' || i}}) AS st FROM part
+  UNION ALL
+  SELECT m.query, m.pos + 1, CASE
+    WHEN kind = 'rename' AND NOT list_contains(list_transform(st, lambda x: x.n), old) THEN st
+    WHEN kind = 'rename' THEN list_transform(list_filter(st, lambda x: x.n <> new OR x.n = old),
+      lambda x: {{'n': CASE WHEN x.n = old THEN new ELSE x.n END, 'o': x.o}})
+    WHEN kind = 'remove' THEN list_filter(st, lambda x: x.n <> old)
+    ELSE list_append(list_filter(st, lambda x: x.n <> new), {{'n': new, 'o': NULL::VARCHAR}}) END
+  FROM m JOIN t ON t.query = m.query AND t.pos = m.pos + 1),
+l AS (SELECT query, unnest(arg_max(st, pos)) AS x FROM m GROUP BY query)
+SELECT query, x.n AS "column", x.o AS original FROM l""")
+def replayed_renames(spark, sf_dir):
+    """Parts as queries whose steps rename, remove and add columns; names are used again."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("query"), "p_size")
+    columns = p.select("query", F.explode(F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.concat(F.lit("c"), i)))
+        .alias("name"))
+    pos, q = F.col("pos"), F.col("query")
+    kind = F.get(F.array(*map(F.lit, ("rename", "rename", "remove", "rename", "add"))), ((q + pos) % 5).cast("int"))
+    steps = p.select("query", F.explode(F.sequence(F.lit(1).cast("long"), 1 + F.col("p_size") % 9)).alias("pos")).select(
+        "query", "pos", kind.alias("kind"), F.concat(F.lit("c"), q * pos % 6).alias("old"),
+        F.concat(F.lit("c"), (q + 3 * pos) % 7).alias("new"))
+    return graph.replayed(columns, steps)
 
 
 _VERSIONS = ("", " v2", " - Updated - final - copy", "_2024", " Rev 7", " new")

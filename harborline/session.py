@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "harborline", master: str | None = None, **conf: str) -> SparkSession:
@@ -19,3 +21,21 @@ def session(app: str = "harborline", master: str | None = None, **conf: str) ->
     for key, value in (base | {k.replace("__", "."): v for k, v in conf.items()}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the folder that all executors share, its lineage cut.
+
+    The folder is ``spark.checkpoint.dir`` of the session. Where that is unset,
+    local mode makes one; a cluster is an error, as no machine's own folder is shared.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        where = spark.conf.get("spark.checkpoint.dir", None)
+        if not where:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            where = tempfile.mkdtemp(prefix="harborline-checkpoints-")
+        context.setCheckpointDir(where)
+    return df.checkpoint()
