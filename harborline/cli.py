@@ -32,56 +32,48 @@ def discover(args) -> int:
 def extract(args) -> int:
     """Read exports, build entities, check all gates, publish all or nothing.
 
-    Gates of every source, and those over several of them, are evaluated
-    before any table is written. A blocked or partly failed run exits with 2,
-    forced or not. Every entity is computed whole, once, before its gates, so
-    an error in any row is an error of its source.
+    Each entity is one job: it is written to the run's folder, where no reader
+    looks, and the same pass counts for its gates and what its types lost. The
+    other gates read what is written. Only after all of them does the pointer
+    move. A blocked or partly failed run exits with 2, forced or not; an error
+    in any row is an error of its source.
     """
     spark = session()
     now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    built, frames, failed, cached = {}, {}, [], []
-    try:
-        return _extract(args, spark, now, built, frames, failed, cached)
-    finally:  # another run may read changed files under the same names
-        for df in cached:
-            df.unpersist()
-
-
-def _extract(args, spark, now, built, frames, failed, cached) -> int:
-    def keep(df: DataFrame) -> DataFrame:
-        cached.append(df.persist())
-        df.count()
-        return df
-
+    built, verdicts, lost, failed = {}, [], [], []
     for c in contracts.load(args.contracts):
         if c.slug not in entities.BUILDERS:
             continue
         path = exports.local_path(args.drop, c.slug)
         try:
-            rows = keep(exports.read_export(spark, path, c).frame)
+            rows, coerced = exports.read_export(spark, path, c).observed()
             extra = [spark.read.parquet(args.locations)] if c.slug == "inventory" else []
             one = entities.BUILDERS[c.slug](rows, *extra)
-            frame = keep(sinks.stamp(one.frame, c.slug, path, now))
+            frame, counts = gates.observed(one.frame, one.checks)
+            built[c.slug] = one.on(sinks.stage(sinks.stamp(frame, c.slug, path, now), c.slug, args.warehouse, args.run_id))
+            verdicts += [gates.told(spark, one.name, one.name, one.checks, counts.get), built[c.slug].duplicates]
+            lost += [(c.slug, column, n) for column, n in (coerced.get if coerced else {}).items() if n]
         except Exception as e:
+            built.pop(c.slug, None)
             failed.append(f"{c.slug}: {type(e).__name__}: {e}")
-            continue
-        built[c.slug], frames[c.slug] = one, frame
     for line in failed:
         print(line, file=sys.stderr)
     if not built:
         return 2
     given = lambda path: spark.read.parquet(path) if path else None
-    crossed = entities.cross_checks(built, given(args.items), given(args.precedence), given(args.crosswalk))
-    verdicts = functools.reduce(DataFrame.unionByName, [one.verdicts for one in built.values()] + ([crossed]
-        if crossed is not None else []))
-    verdicts = keep(verdicts)
-    exceptions = gates.exceptions(verdicts)
+    crossed = entities.cross_checks(built, given(args.items), given(args.precedence), given(args.crosswalk), now)
+    whole = functools.reduce(DataFrame.unionByName, verdicts + ([crossed] if crossed is not None else []))
+    whole = sinks.stage(whole, "verdicts", args.warehouse, args.run_id)
+    exceptions = gates.exceptions(whole)
     for one in built.values():
-        if one.conflicts is not None:
-            exceptions = exceptions.unionByName(one.conflicts, allowMissingColumns=True)
-    ok = gates.may_publish(verdicts)
+        if (conflicts := one.conflicts) is not None:
+            exceptions = exceptions.unionByName(conflicts, allowMissingColumns=True)
+    sinks.stage(exceptions, "exceptions", args.warehouse, args.run_id)
+    sinks.stage(spark.createDataFrame(lost, "source string, column string, lost bigint"), "coercions", args.warehouse,
+        args.run_id)
+    ok = gates.may_publish(whole)
     if ok or args.force:
-        sinks.publish(frames | {"exceptions": exceptions}, args.warehouse, args.run_id)
+        sinks.point(spark, args.warehouse, args.run_id)
     return 0 if ok and not failed else 2
 
 

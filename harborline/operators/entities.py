@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,22 +16,37 @@ from .aggregates import first_known, total
 from .joins import many_to_one
 from .reshape import unpivot
 
-#: Side of supply to owner, and channel columns to channel codes.
+#: Side of supply to owner.
 OWNERS = {"consigned": "consigned", "company": "company_paid", "vendor": "vendor_owned"}
-CHANNELS = {"B2C": "b2c", "Sponsorships": "sponsorship", "EMEA": "emea", "Americas": "americas", "ASIA": "apac",
-    "Tradeshows": "tradeshow", "Marketing": "marketing"}
 
 
 @dataclass
 class EntityBuild:
-    """A lazy entity with its grain, verdicts and conflicts."""
+    """A lazy entity with its grain and gates, and how its source's conflicts follow from its rows."""
 
     frame: DataFrame
     grain: list[str]
-    verdicts: DataFrame
-    conflicts: DataFrame | None = None
+    checks: list[gates.Gate] = field(default_factory=list)
+    name: str = ""
+    conflicts_of: Callable[[DataFrame], DataFrame] | None = None
     notes: list[str] = field(default_factory=list)
 
+    def on(self, frame: DataFrame) -> EntityBuild:
+        """The same over another frame, such as its written table."""
+        return replace(self, frame=frame)
+
+    @property
+    def conflicts(self) -> DataFrame | None:
+        return self.conflicts_of(self.frame) if self.conflicts_of else None
+
+    @property
+    def duplicates(self) -> DataFrame:
+        return gates.unique_grain(self.frame, self.name, self.name, self.grain)
+
+    @property
+    def verdicts(self) -> DataFrame:
+        return gates.evaluate(self.frame, self.name, self.name, self.checks).union(self.duplicates)
+
     def exceptions(self) -> DataFrame:
         return gates.exceptions(self.verdicts, self.conflicts)
 
@@ -65,8 +81,7 @@ def inventory_onhand(export: DataFrame, locations: DataFrame, zero_fill: bool =
         gates.min_rows(), *gates.no_null_keys(frame, ["sku", "location_id"]),
         gates.known_members(frame, "location_id", "regional_id"), *gates.non_negative(["on_hand", "available"]),
     ]
-    verdicts = gates.evaluate(frame, "inventory", "inventory_onhand", checks)
-    return EntityBuild(frame, grain, verdicts.union(gates.unique_grain(frame, "inventory", "inventory_onhand", grain)))
+    return EntityBuild(frame, grain, checks, "inventory")
 
 
 def open_po(export: DataFrame) -> EntityBuild:
@@ -82,7 +97,7 @@ def open_po(export: DataFrame) -> EntityBuild:
         floor_zero(F.col("ordered") - received).alias("qty_remaining"), F.col("remaining").alias("stated_remaining"),
         F.coalesce(F.lower(F.trim("closed")).isin("yes", "true", "t", "y"), F.lit(False)).alias("is_closed"),
     )
-    conflicts = frame.where(F.coalesce("qty_remaining", F.lit(0)) != F.coalesce("stated_remaining", F.lit(0))).select(
+    conflicts = lambda rows: rows.where(F.coalesce("qty_remaining", F.lit(0)) != F.coalesce("stated_remaining", F.lit(0))).select(
         F.concat(F.lit("open_po:remaining:"), F.coalesce(F.col("po_number").cast("string"), F.lit("")), F.lit("|"),
             F.coalesce(F.col("po_line").cast("string"), F.lit(""))).alias("exception_id"),
         F.lit("remaining_mismatch").alias("gate"), F.lit("warning").alias("severity"),
@@ -90,19 +105,23 @@ def open_po(export: DataFrame) -> EntityBuild:
             F.col("stated_remaining").cast("string").alias("right_value"),
         (F.coalesce("qty_remaining", F.lit(0)) - F.coalesce("stated_remaining", F.lit(0))).cast("double")
             .alias("delta"),
-    )
+    )
     checks = [gates.min_rows(), *gates.no_null_keys(frame, ["po_number", "sku"]),
         *gates.non_negative(["qty_remaining"])]
-    verdicts = gates.evaluate(frame, "open_po", "open_po", checks)
-    return EntityBuild(frame, grain, verdicts.union(gates.unique_grain(frame, "open_po", "open_po", grain)), conflicts)
+    return EntityBuild(frame, grain, checks, "open_po", conflicts)
 
 
 def allocation(export: DataFrame, channels: dict[str, str] | None = None) -> EntityBuild:
     """Allocation by sku and channel from one column a channel; no number is zero.
 
-    ``export``: name and a column for each key of ``channels``.
+    ``export``: name and a column for each key of ``channels``, which gives the
+    channels' codes; without it every other whole-number column is a channel,
+    its code the header's letters and digits.
     """
-    channels = channels or CHANNELS
+    if channels is None:
+        whole = ("bigint", "int", "smallint", "tinyint")
+        channels = {c: re.sub(r"[^a-z0-9]+", "_", c.lower()).strip("_") for c, t in export.dtypes if t in whole
+            and c not in ("name", "row_id")}
     grain = ["sku", "region_channel"]
     frame = unpivot(export.withColumn("sku", canonical_sku(F.col("name"))), ["sku"], list(channels), "channel_column",
         "qty").select(
@@ -110,8 +129,7 @@ def allocation(export: DataFrame, channels: dict[str, str] | None = None) -> Ent
         F.coalesce("qty", F.lit(0)).alias("qty_allocated"), F.lit("launch_control").alias("basis"),
     )
     checks = [gates.min_rows(), *gates.no_null_keys(frame, grain), *gates.non_negative(["qty_allocated"])]
-    verdicts = gates.evaluate(frame, "allocation", "allocation", checks)
-    return EntityBuild(frame, grain, verdicts.union(gates.unique_grain(frame, "allocation", "allocation", grain)))
+    return EntityBuild(frame, grain, checks, "allocation")
 
 
 #: Export slug to builder: the extension point.
@@ -119,29 +137,56 @@ BUILDERS: dict[str, Callable[..., EntityBuild]] = {"inventory": inventory_onhand
     "allocation": allocation}
 
 
+#: Columns of an entity that are quantities of goods, and that are money.
+QUANTITIES = ("on_hand", "available", "ordered", "received", "qty_remaining", "qty_allocated", "qty")
+MONEY = ("unit_price", "amount", "average_cost", "standard_cost")
+
+
 def cross_checks(built: dict[str, EntityBuild], items: DataFrame | None = None, precedence: DataFrame | None = None,
-    crosswalk: DataFrame | None = None) -> DataFrame | None:
-    """Verdicts of the gates that look at several entities, those for which all that they need is there."""
+    crosswalk: DataFrame | None = None, today: str | None = None, most_days: int = 7) -> DataFrame | None:
+    """Verdicts of the gates beyond one entity's own, those for which all that they need is there.
+
+    Orphans need ``items``, allocation over supply the entities that it
+    compares, unresolved conflicts a table of ``precedence``. A snapshot can be
+    stale where rows say their source and date, lines in transit are held
+    against their ``container`` and ``eta``, quantities against ``uom`` and
+    money against ``currency``, in every entity that has these columns.
+    """
     out = []
-    if items is not None:
-        for name, one in built.items():
-            bad = gates.orphans(one.frame, items, "sku", crosswalk)
-            out.append(gates.verdict(bad, one.frame.select("sku").distinct(), name, name, "orphan_sku",
-                "sku is no item"))
+    tell = lambda bad, every, name, gate, why: out.append(gates.verdict(bad, every, name, name, gate, why))
+    for name, one in built.items():
+        rows, has = one.frame, set(one.frame.columns)
+        if items is not None:
+            tell(gates.orphans(rows, items, "sku", crosswalk), rows.select("sku").distinct(), name, "orphan_sku",
+                "sku is no item")
+        if {"source_slug", "data_as_of"} <= has:
+            day = F.lit(today).cast("date") if today else F.current_date()
+            aged = gates.stale(rows, "source_slug", "data_as_of", day, most_days)
+            tell(aged.where("stale"), aged, name, "stale_snapshot", f"older than {most_days} days")
+        if {"container", "eta"} <= has:
+            tell(gates.incomplete_transit(rows), rows, name, "in_transit_complete", "neither container nor eta")
+        amounts = [c for c in QUANTITIES if c in has]
+        if {"sku", "uom"} <= has and amounts:
+            tell(gates.unit_mismatches(rows, "sku", "uom", amounts), rows.select("sku").distinct(), name, "uom_mismatch",
+                "no unit of measure, or several")
+        money = [c for c in MONEY if c in has]
+        if "currency" in has and money:
+            tell(gates.undeclared_money(rows, money, "currency"), rows, name, "currency_undeclared",
+                "an amount has no currency")
     if "allocation" in built and "inventory" in built:
         supplies = [(built["inventory"].frame, "on_hand")]
+        if "in_transit" in built:
+            supplies.append((built["in_transit"].frame, "qty"))
         if "open_po" in built:
             supplies.append((built["open_po"].frame.where("not is_closed"), "qty_remaining"))
         given = built["allocation"].frame
         bad = gates.over_allocated(given, supplies, "sku", "qty_allocated")
-        out.append(gates.verdict(bad, given.select("sku").distinct(), "allocation", "allocation",
-            "allocation_over_supply", "more is allocated than there is"))
+        tell(bad, given.select("sku").distinct(), "allocation", "allocation_over_supply", "more is allocated than there is")
     if precedence is not None:
         for name, one in built.items():
-            if one.conflicts is not None:
-                bad = gates.unresolved(one.conflicts, precedence)
-                out.append(gates.verdict(bad, one.conflicts, name, name, "unresolved_conflict",
-                    "no rule says which side wins"))
+            if (conflicts := one.conflicts) is not None:
+                tell(gates.unresolved(conflicts, precedence), conflicts, name, "unresolved_conflict",
+                    "no rule says which side wins")
     every = None
     for v in out:
         every = v if every is None else every.unionByName(v)

@@ -7,10 +7,10 @@ gates and for source conflicts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 BLOCKING, WARNING = "blocking", "warning"
@@ -58,12 +58,29 @@ def non_negative(columns: Sequence[str]) -> list[Gate]:
         for c in columns]
 
 
+def _metrics(gates: Sequence[Gate]) -> list[Column]:
+    """Two aggregates a gate, f0, c0, f1, ...: rows that fail it and rows that it looks at."""
+    return [F.coalesce(c, F.lit(0)).cast("long").alias(f"{s}{i}") for i, g in enumerate(gates) for s, c in (("f", g.failed),
+        ("c", g.checked))]
+
+
+def observed(df: DataFrame, gates: Sequence[Gate]) -> tuple[DataFrame, Observation]:
+    """``df`` that counts for all gates while it is written, and where the counts will be."""
+    counts = Observation()
+    return df.observe(counts, *_metrics(gates)), counts
+
+
+def told(spark: SparkSession, source: str, entity: str, gates: Sequence[Gate], counts: Mapping[str, int]) -> DataFrame:
+    """Verdict rows from the counts that a write has observed; of the same columns as ``evaluate``."""
+    rows = [(f"{source}:{entity}:{g.name}", g.name, g.severity, counts[f"f{i}"], counts[f"c{i}"],
+        counts[f"f{i}"] <= g.allowed * counts[f"c{i}"], g.message) for i, g in enumerate(gates)]
+    return spark.createDataFrame(rows, "exception_id string, gate string, severity string, failed bigint, checked bigint, "
+        "passed boolean, message string")
+
+
 def evaluate(df: DataFrame, source: str, entity: str, gates: Sequence[Gate]) -> DataFrame:
     """One verdict row a gate, from one aggregation."""
-    one = df.agg(
-        *[F.coalesce(g.failed, F.lit(0)).cast("long").alias(f"f{i}") for i, g in enumerate(gates)],
-        *[F.coalesce(g.checked, F.lit(0)).cast("long").alias(f"c{i}") for i, g in enumerate(gates)],
-    )
+    one = df.agg(*_metrics(gates))
     rows = F.array(
         *[
             F.struct(

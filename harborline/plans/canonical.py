@@ -328,8 +328,8 @@ def gate_cross_entity(spark, sf_dir):
     l = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("sku"),
         F.col("l_quantity").cast("long").alias("q"), "l_returnflag")
     given = entities.EntityBuild(l.where("l_returnflag = 'R'").select("sku", F.col("q").alias("qty_allocated")),
-        ["sku"], None)
-    held = entities.EntityBuild(l.where("l_returnflag = 'A'").select("sku", F.col("q").alias("on_hand")), ["sku"], None)
+        ["sku"])
+    held = entities.EntityBuild(l.where("l_returnflag = 'A'").select("sku", F.col("q").alias("on_hand")), ["sku"])
     return entities.cross_checks({"allocation": given, "inventory": held}).select(*_VERDICT)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import analysis, canonical, discovery, estate, history, planning, sheets, workbook  # noqa: F401  (they register)
+from .plans import analysis, canonical, discovery, estate, history, planning, sheets, upkeep, workbook  # noqa: F401  (they register)
 from .plans.base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

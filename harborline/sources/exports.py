@@ -10,13 +10,13 @@ import urllib.request
 from dataclasses import dataclass, field
 from urllib.parse import urlsplit, urlunsplit
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import numbers
 from ..functions.dates import parse_date
-from ..functions.text import strip_all
+from ..functions.text import named, strip_all
 from .contracts import Contract
 
 ENCODINGS = ("utf-8-sig", "utf-8", "cp1252", "latin-1")
@@ -35,17 +35,29 @@ class Export:
     raw: DataFrame
     unexpected: list[str] = field(default_factory=list)
 
-    def coercion_report(self) -> DataFrame:
-        """(column, lost): non-null cells that no longer hold a value, where there are any."""
+    def _lost(self) -> dict[str, Column]:
+        """For each typed column, how many non-null cells no longer hold a value."""
         typed = [f.name for f in self.frame.schema if not isinstance(f.dataType, T.StringType)
             and f"_raw_{f.name}" in self.raw.columns]
-        if not typed:
-            return self.raw.sparkSession.createDataFrame([], "column string, lost bigint")
-        quote = lambda c: "`" + c.replace("`", "``") + "`"
-        sums = self.raw.agg(*[F.count_if(F.col(quote(f"_raw_{c}")).isNotNull() & F.col(quote(c)).isNull())
-            .alias(str(i)) for i, c in enumerate(typed)])
-        rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(str(i)).alias("lost")) for i, c in enumerate(typed)])
-        return sums.select(F.explode(rows).alias("r")).select("r.*").where("lost > 0")
+        return {c: F.count_if(named(f"_raw_{c}").isNotNull() & named(c).isNull()) for c in typed}
+
+    def coercion_report(self) -> DataFrame:
+        """(column, lost): non-null cells that no longer hold a value, where there are any."""
+        spark, lost = self.raw.sparkSession, self._lost()
+        if not lost:
+            return spark.createDataFrame([], "column string, lost bigint")
+        sums = self.raw.agg(F.array(*[F.struct(F.lit(c).alias("column"), n.alias("lost")) for c, n in lost.items()])
+            .alias("rows"))
+        return sums.select(F.explode("rows").alias("r")).select("r.*").where("lost > 0")
+
+    def observed(self) -> tuple[DataFrame, Observation | None]:
+        """The typed rows, which count what they lose while they are read, and where the counts will be."""
+        lost = self._lost()
+        if not lost:
+            return self.frame, None
+        counts = Observation()
+        seen = self.raw.observe(counts, *[n.alias(c) for c, n in lost.items()])
+        return seen.select(*map(named, self.frame.columns)), counts
 
 
 def sniff_encoding(data: bytes) -> str:

@@ -24,23 +24,32 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def stage(df: DataFrame, name: str, warehouse: str, run_id: str) -> DataFrame:
+    """Write a table of a run where no reader looks yet, and read it back."""
+    path = f"{warehouse.rstrip('/')}/runs/{run_id}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def point(spark: SparkSession, warehouse: str, run_id: str) -> None:
+    """Let ``CURRENT`` name the run; from then on its tables are the published ones."""
+    fs, p = _fs(spark, f"{warehouse.rstrip('/')}/CURRENT")
+    out = fs.create(p, True)
+    out.write(bytearray(run_id.encode()))
+    out.close()
+
+
 def publish(tables: Mapping[str, DataFrame], warehouse: str, run_id: str) -> str:
     """Write all tables under ``runs/<run_id>``, then point ``CURRENT`` there.
 
     A run that fails half way leaves the pointer, and so all readers, on the
     run before.
     """
-    home = f"{warehouse.rstrip('/')}/runs/{run_id}"
-    spark = None
     for name, df in tables.items():
-        spark = df.sparkSession
-        df.write.mode("overwrite").parquet(f"{home}/{name}")
-    if spark is not None:
-        fs, p = _fs(spark, f"{warehouse.rstrip('/')}/CURRENT")
-        out = fs.create(p, True)
-        out.write(bytearray(run_id.encode()))
-        out.close()
-    return home
+        stage(df, name, warehouse, run_id)
+    if tables:
+        point(next(iter(tables.values())).sparkSession, warehouse, run_id)
+    return f"{warehouse.rstrip('/')}/runs/{run_id}"
 
 
 def current(spark: SparkSession, warehouse: str, name: str) -> DataFrame:

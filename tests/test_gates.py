@@ -38,7 +38,7 @@ def test_units_and_money(spark):
 
 def test_gates_over_several_entities(spark):
     build = lambda rows, schema, conflicts=None: entities.EntityBuild(spark.createDataFrame(rows, schema), ["sku"],
-        None, conflicts)
+        conflicts_of=conflicts and (lambda rows: conflicts))
     clash = spark.createDataFrame([("x", "remaining_mismatch"), ("y", "settled")], "exception_id string, gate string")
     built = {
         "allocation": build([("a", 5), ("a", 6), ("b", 9)], "sku string, qty_allocated bigint"),
@@ -57,3 +57,25 @@ def test_gates_over_several_entities(spark):
             "open_po:open_po:unresolved_conflict": (1, 2, False),
     }
     assert entities.cross_checks({"open_po": built["open_po"]}) is None
+
+
+def test_gates_that_an_entity_has_the_columns_for(spark):
+    rows = [("a", 1, None, None, "EA", 2.0, "USD", "s", "2024-01-01 05:00:00"), ("b", 2, " ", "2024-02-01", "EA", 1.0, None, "s",
+        "2024-01-03 00:00:00"), ("b", 1, "C1", None, "CS", None, None, "s", None)]
+    df = spark.createDataFrame(rows, "sku string, qty bigint, container string, eta string, uom string, amount double, "
+        "currency string, source_slug string, data_as_of string")
+    got = {r.gate: (r.failed, r.checked) for r in entities.cross_checks({"in_transit": entities.EntityBuild(df, ["sku"])},
+        today="2024-01-11").collect()}
+    assert got == {"stale_snapshot": (1, 1), "in_transit_complete": (1, 3), "uom_mismatch": (1, 2),
+        "currency_undeclared": (1, 3)}
+    held = entities.cross_checks({"in_transit": entities.EntityBuild(df, ["sku"])}, today="2024-01-10").collect()
+    assert {r.gate: r.passed for r in held}["stale_snapshot"]
+
+
+def test_counts_of_a_write_are_those_of_a_read(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), (None, -2), ("a", None)], "sku string, q bigint")
+    checks = [gates.min_rows(5), *gates.no_null_keys(df, ["sku", "gone"]), *gates.non_negative(["q"])]
+    seen, counts = gates.observed(df, checks)
+    seen.write.parquet(str(tmp_path / "t"))
+    assert sorted(gates.told(spark, "s", "e", checks, counts.get).collect()) == sorted(gates.evaluate(df, "s", "e", checks)
+        .collect())

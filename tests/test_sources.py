@@ -253,7 +253,14 @@ def test_extract_publishes_or_blocks(spark, tmp_path):
     assert run("r0") == 2
     (drop / "open_po.csv").write_text(",".join(cols) + "\n1,1,P : a,200,0,150,No\n1,2,P : b,5,1,4,No\n")
     assert run("r1") == 0 and sinks.current(spark, str(tmp_path / "w"), "exceptions").count() == 1
+    assert {(r.gate, r.failed, r.checked) for r in sinks.current(spark, str(tmp_path / "w"), "verdicts").collect()} == {
+        ("min_rows", 0, 2), ("no_null_keys:po_number", 0, 2), ("no_null_keys:sku", 0, 2), ("non_negative:qty_remaining", 0,
+        2), ("unique_grain", 0, 2), ("stale_snapshot", 0, 1)}
+    assert sinks.current(spark, str(tmp_path / "w"), "coercions").count() == 0
     (drop / "open_po.csv").write_text(",".join(cols) + "\n1,1,P : a,2,0,2,No\n1,1,P : b,5,1,4,No\n")
     assert run("r2") == 2 and sinks.current(spark, str(tmp_path / "w"), "open_po").count() == 2
     assert run("r3", "--force") == 2 and sinks.current(spark, str(tmp_path / "w"),
         "open_po").where("sku = 'B'").first()["received"] == 1
+    (drop / "open_po.csv").write_text(",".join(cols) + "\n1,1,P : a,2,0,2,No\n1,2,P : b,five,1,0,No\n")
+    assert run("r4") == 0 and [tuple(r) for r in sinks.current(spark, str(tmp_path / "w"), "coercions").collect()] == [
+        ("open_po", "ordered", 1)]
