@@ -84,19 +84,29 @@ REDACT_RULES = {
 }
 
 
+#: A piece of text, in small letters, that every match of a rule holds: what lacks it isn't searched.
+REDACT_NEEDS = {"media_token": "=", "embedded_credentials": "://", "signature": "=", "api_key": "=", "bearer_token": "bearer", "connection_secret": "="}
+
+
 def redact(df: DataFrame, column: str, rules: Mapping[str, str] = REDACT_RULES, mark: str = "<REDACTED>",
-    hits: str = "hits") -> DataFrame:
+    hits: str = "hits", needs: Mapping[str, str] = REDACT_NEEDS) -> DataFrame:
     """``df`` with ``column`` scrubbed and a map of hits by rule, rules without a hit left out.
 
     Rules run in turn, each on what the former left; what group 1 holds is
-    kept, a rule without a group keeps nothing. Each step is a projection of
-    its own, so no replacement is computed twice.
+    kept, a rule without a group keeps nothing. Only text that holds a rule's
+    piece of ``needs`` is searched, and only text with a hit is replaced. Each
+    step is a projection of its own, so nothing is computed twice.
     """
     out, counts = df, []
     for i, (name, pattern) in enumerate(rules.items()):
         kept = "$1" if re.compile(pattern).groups else ""
-        n = F.coalesce(F.regexp_count(column, F.lit(pattern)), F.lit(0))
-        out = out.withColumns({f"_hits{i}": n, column: F.regexp_replace(column, pattern, kept + mark)})
+        n = F.regexp_count(column, F.lit(pattern))
+        if piece := needs.get(name):
+            whole = named(column) if piece.upper() == piece else F.lower(named(column))
+            n = F.when(F.contains(whole, F.lit(piece)), n)
+        out = out.withColumn(f"_hits{i}", F.coalesce(n, F.lit(0)))
+        out = out.withColumn(column, F.when(F.col(f"_hits{i}") > 0, F.regexp_replace(column, pattern, kept + mark))
+            .otherwise(named(column)))
         counts.append(F.struct(F.lit(name).alias("key"), F.col(f"_hits{i}").alias("value")))
     found = F.map_from_entries(F.filter(F.array(*counts), lambda e: e["value"] > 0))
     return out.withColumn(hits, found).drop(*[f"_hits{i}" for i in range(len(rules))])

@@ -203,7 +203,8 @@ def _redact_sql() -> str:
 
 @query(_redact_sql())
 def redact_text(spark, sf_dir):
-    d = text.redact(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", RULES)
+    d = text.redact(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", RULES,
+        needs=text.REDACT_NEEDS | {"mail": "@"})
     n = lambda name: F.coalesce(F.col("hits")[name], F.lit(0))
     total = F.aggregate(F.map_values("hits"), F.lit(0), lambda a, b: a + b)
     return d.select("doc_id", n("mail").alias("mails"), n("phone").alias("phones"), total.alias("hits"),
