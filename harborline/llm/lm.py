@@ -310,6 +310,7 @@ def score_documents(docs: DataFrame, min_count: int = 2, alpha: float = 0.4, id_
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     model = train(rows, min_count, alpha, bits, order)
+    forget(model.words)
     frequent = model.hot
     least = hot_count(model.total)
     top = rows.sparkSession.sparkContext.broadcast(_sorted_table(model.weights.where(F.col("n") >= least)
