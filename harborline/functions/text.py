@@ -85,7 +85,8 @@ REDACT_RULES = {
 
 
 #: A piece of text, in small letters, that every match of a rule holds: what lacks it isn't searched.
-REDACT_NEEDS = {"media_token": "=", "embedded_credentials": "://", "signature": "=", "api_key": "=", "bearer_token": "bearer", "connection_secret": "="}
+REDACT_NEEDS = {"media_token": "=", "embedded_credentials": "://", "signature": "=", "api_key": "=",
+    "bearer_token": "bearer", "connection_secret": "="}
 
 
 def redact(df: DataFrame, column: str, rules: Mapping[str, str] = REDACT_RULES, mark: str = "<REDACTED>",
