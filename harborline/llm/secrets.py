@@ -128,8 +128,9 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, versions: dic
     Findings: the id, ``assign``, ``access`` and ``hex``, arrays of [start, end)
     in code points, one row for each row of ``docs``. Null text is empty; a row
     without findings has empty arrays; repeated rows and several versions of
-    one id are a row each; an empty table gives none. Append the second frame
-    to the ledger to make the next run incremental.
+    one id are a row each; an empty table gives none. An id column with the name
+    of a rule comes back as ``id``. Append the second frame to the ledger to
+    make the next run incremental.
     """
     old = ledger if ledger is not None else empty_ledger(docs.sparkSession)
     new = settle(scan_unseen(docs, old, versions, text_col))
@@ -138,10 +139,10 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, versions: dic
         F.array().cast(_EMPTY)).alias(rule)
     # written, so that the join below is one of two plain exchanges, whose large partitions Spark splits
     by_blob = settle(known.where(F.size("spans") > 0).groupBy("blob").agg(*map(of, RULES)))
-    paths = docs.select(F.col(id_col), blob_of(F.col(text_col)).alias("blob"))
+    paths = docs.select(F.col(id_col).alias("_id"), blob_of(F.col(text_col)).alias("blob"))
     none = F.array().cast(_EMPTY)
     return (
-        paths.join(by_blob, "blob", "left").select(id_col, *[F.coalesce(F.col(r), none).alias(r) for r in RULES]),
+        paths.join(by_blob, "blob", "left").select(F.col("_id").alias("id" if id_col in RULES else id_col), *[F.coalesce(F.col(r), none).alias(r) for r in RULES]),
         new,
     )
 

@@ -238,6 +238,8 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, blocks: in
 
 #: Shingles, with a fixed charge for each text, that a task holds of one cluster.
 MOST = 1 << 21
+#: Parts of the hash range that give a text its further shards, and how many of these must be rare to do.
+PARTS, ENOUGH = 32, 16
 #: Bins of a sketch; a bin holds one byte of its least shingle hash, 0 if empty.
 BINS = 128
 
@@ -366,6 +368,36 @@ def shard_shingles(hashes: np.ndarray) -> np.ndarray:
     return hashes[np.flatnonzero(np.diff(eighth.astype(np.int64), prepend=-1))]
 
 
+def more_shingles(hashes: np.ndarray) -> np.ndarray:
+    """The least shingle hash of each of ``PARTS`` parts of the hash range; those of ``shard_shingles`` are among them."""
+    part = hashes >> np.uint64(64 - PARTS.bit_length() + 1)
+    return hashes[np.flatnonzero(np.diff(part.astype(np.int64), prepend=-1))]
+
+
+def shard_members(distinct: DataFrame, tile: int) -> DataFrame:
+    """(shard, id, size, sketch): the texts of each shard; ``distinct`` has ``shards`` and ``more`` of each text.
+
+    A shingle that many texts share, of a passage that they all quote, would
+    bring them all together. So a text with a shard of more than ``tile`` texts
+    goes instead to the shards of all its ``more`` shingles that aren't such,
+    if these are ``ENOUGH``: what two similar texts share beyond the passage is
+    then at least 0.6 of it, and all of 16 shards miss it with a chance of 4 in
+    ten million. A text that is mostly such passages stays in its large shards.
+    """
+    members = distinct.select(F.explode("shards").alias("shard"), "id", "size", "sketch")
+    count = lambda df: df.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile).select("shard")
+    hot = settle(count(members))
+    if hot.isEmpty():
+        return members
+    some = lambda df: F.broadcast(df) if df.count() <= MANY else df
+    quoting = settle(members.select("shard", "id").join(some(hot), "shard", "left_semi").select("id").distinct())
+    apart = settle(distinct.join(quoting, "id", "left_semi").select(F.explode("more").alias("shard"), "id", "size", "sketch"))
+    hotter = settle(count(apart).union(hot).distinct())
+    cold = apart.join(some(hotter), "shard", "left_anti")
+    able = settle(cold.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= ENOUGH).select("id"))
+    return members.join(able, "id", "left_anti").unionByName(cold.join(able, "id", "left_semi"))
+
+
 def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slack: float = 0.3, tile: int = TILE,
     most: int = MOST, text_col: str = "text") -> DataFrame:
     """(id, component): MD5 of each distinct text that is similar to another, by groups.
@@ -375,7 +407,8 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slac
     as much where a block is cut, added or replaced. A text's shards are the
     least shingles of eight parts of the hash range, of which two texts share
     each with a chance of about their similarity (all eight fail at 0.8 with a
-    chance of 3 in a million). In a shard all pairs whose sizes allow the
+    chance of 3 in a million). Texts that quote a common passage meet by their
+    other shingles (``shard_members``). In a shard all pairs whose sizes allow the
     similarity are held against each other by sketches of their
     ``width``-word shingles; ``slack`` is over eight standard errors of such
     an estimate. What such likely pairs connect is a cluster, and every text
@@ -398,14 +431,15 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slac
                 [
                     b.column(0).take(pa.array(some, pa.int64())), pa.array([len(sets[i]) for i in some], pa.int64()),
                         pa.array([sketch(sets[i]) for i in some], pa.binary()),
-                    pa.array([shard_shingles(sets[i]).view(np.int64) for i in some], pa.list_(pa.int64())),
+                    *[pa.array([f(sets[i]).view(np.int64) for i in some], pa.list_(pa.int64())) for f in (shard_shingles,
+                        more_shingles)],
                 ],
-                ["id", "size", "sketch", "shards"],
+                ["id", "size", "sketch", "shards", "more"],
             )
 
-    seen = bodies.mapInArrow(features, "id string, size bigint, sketch binary, shards array<bigint>")
-    distinct = settle(seen.groupBy("id").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "shards")]))
-    members = distinct.select(F.explode("shards").alias("shard"), "id", "size", "sketch")
+    seen = bodies.mapInArrow(features, "id string, size bigint, sketch binary, shards array<bigint>, more array<bigint>")
+    distinct = settle(seen.groupBy("id").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "shards", "more")]))
+    members = shard_members(distinct, tile)
 
     def near(t: pa.Table) -> pa.Table:
         sketches = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)

@@ -195,3 +195,10 @@ def test_chats_against_brute_force(spark):
     assert text[2] == "<|user|>\na\n<|end|>\n<|assistant|>\nb\n<|end|>\n<|user|>\nc\n<|end|>"
     assert text[6] == "<|unknown|>\n\n<|end|>" and text[9].count("<|user|>") == 50
     assert chat.format_chats(turns.limit(0)).count() == 0
+
+
+def test_an_id_column_with_the_name_of_a_rule(spark):
+    docs = spark.createDataFrame([(1, "token: abcdefghijklmnop", "b")], "assign bigint, text string, blob string")
+    found, _ = secrets.scan_secrets(docs, id_col="assign")
+    assert found.columns == ["id", *secrets.RULES] and found.first().id == 1 and len(found.first().assign) == 1
+    assert secrets.scan_secrets(docs, id_col="blob")[0].first().blob == "b"

@@ -249,3 +249,46 @@ print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024, time
         cwd=os.getcwd())
     mb, seconds = map(float, out.stdout.split())
     assert mb < 200 and seconds < 60
+
+
+def quoting_texts(r, n, passage):
+    """Texts of their own words that all quote one passage, every tenth with a near copy."""
+    out = []
+    for i in range(n):
+        own = [f"w{r.randrange(10**6)}" for _ in range(120)]
+        out.append(" ".join(own[:60] + passage + own[60:]))
+        if i % 10 == 0:
+            own[30] = own[90] = "changed"
+            out.append(" ".join(own[:60] + passage + own[60:]))
+    return out
+
+
+def test_texts_that_quote_one_passage_are_not_all_compared(spark):
+    """Pairs that meet in a shard grow with the texts, not with their square, and near copies are still found."""
+    r = random.Random(12)
+    passage = [f"p{i}" for i in range(40)]
+    met = {}
+    for n in (400, 1600):
+        texts = quoting_texts(r, n, passage)
+        sets = [simhash.shingle_hashes(t) for t in texts]
+        rows = [(str(i), len(s), b"", simhash.shard_shingles(s).view(np.int64).tolist(), simhash.more_shingles(s).view(
+            np.int64).tolist()) for i, s in enumerate(sets)]
+        distinct = spark.createDataFrame(rows, "id string, size bigint, sketch binary, shards array<bigint>, more array<bigint>")
+        shards = simhash.shard_members(distinct, 40).groupBy("shard").count().collect()
+        met[n] = sum(x["count"] * (x["count"] - 1) // 2 for x in shards)
+        assert max(x["count"] for x in shards) <= 40
+    assert met[1600] < 6 * met[400]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = {x.doc_id for x in simhash.one_of_each_group(docs, tile=40).collect()}
+    copies = {i for i in range(1, len(texts)) if i % 11 == 1}
+    assert kept == set(range(len(texts))) - copies
+
+
+def test_texts_that_are_mostly_one_passage_stay_together(spark):
+    r = random.Random(13)
+    passage = [f"p{i}" for i in range(200)]
+    texts = [" ".join(passage + [f"w{r.randrange(10**6)}" for _ in range(8)]) for _ in range(120)]
+    texts += [" ".join(f"v{r.randrange(10**6)}" for _ in range(200)) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = {x.doc_id for x in simhash.one_of_each_group(docs, tile=32).collect()}
+    assert kept == {0, *range(120, 150)}
