@@ -112,6 +112,14 @@ def closure_list(orders: DataFrame, stock: DataFrame, on_order: DataFrame, trans
     return hold_list(orders, stock).join(by, "sku", "left").withColumn("on_order", F.coalesce("on_order", F.lit(0)))
 
 
+def purchase_price(items: DataFrame) -> DataFrame:
+    """(sku, parent, category, average_cost): the greatest cost of each (name, parent, category); the sku is the name's
+    text after the first colon, or all of it."""
+    by = items.groupBy("name", "parent", "category").agg(F.max("average_cost").alias("average_cost"))
+    tail = F.coalesce(text.after_first(F.col("name"), ":"), "name")
+    return by.select(text.strip_all(tail).alias("sku"), "parent", "category", "average_cost")
+
+
 def launch_status(readiness: DataFrame, on_order: DataFrame, least: float = 0.85) -> DataFrame:
     """Readiness rows (sku, name, status, completion) with what is on purchase and a flag on those short of ``least``."""
     by = on_order.groupBy("sku").agg(total(F.col("remaining"), zero_fill=True).alias("po_qty"),

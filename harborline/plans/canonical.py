@@ -39,8 +39,8 @@ def inventory_export(spark, sf_dir):
             qty.alias("on_hand"), (qty - F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("long"))
                 .otherwise(0)).alias("available"),
             F.col("p_retailprice").alias("average_cost"), F.col("p_size").alias("lead_time"),
-                F.col("p_type").alias("description"),
-            F.col("l_orderkey").alias("row_id"),
+                F.when(F.col("l_linenumber") % 2 == 1, F.col("p_type")).alias("description"),
+            (F.col("l_orderkey") * 10_000_000 + F.col("l_partkey")).alias("row_id"),
         )
     )
 
@@ -49,26 +49,28 @@ _EXPORT_SQL = """export AS (SELECT p_brand || ' : ' || lower(p_name) || ' ' AS i
   CASE WHEN l_linenumber = 4 THEN NULL ELSE l_quantity::BIGINT END AS on_hand,
   CASE WHEN l_linenumber = 4 THEN NULL ELSE l_quantity::BIGINT END - CASE
   WHEN l_returnflag = 'R' THEN l_quantity::BIGINT ELSE 0 END AS available,
-  p_retailprice AS average_cost, p_size AS lead_time, p_type AS description
+  p_retailprice AS average_cost, p_size AS lead_time,
+  CASE WHEN l_linenumber % 2 = 1 THEN p_type END AS description, l_orderkey * 10000000 + l_partkey AS row_id
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey)"""
 _SKU_SQL = "nullif(upper(regexp_replace(trim(split_part(item, ':', -1)), '\\s+', ' ', 'g')), '')"
 _ONHAND_SQL = f"""onhand AS (SELECT {_SKU_SQL} AS sku, location_id, sum(on_hand)::BIGINT AS on_hand,
   sum(available)::BIGINT AS available,
-  max(average_cost) AS average_cost, avg(lead_time) AS lead_time, min(description) AS description,
+  max(average_cost) AS average_cost, avg(lead_time) AS lead_time,
+  arg_min(description, row_id) FILTER (description IS NOT NULL) AS description,
   count(*) AS source_rows
   FROM export GROUP BY 1, 2)"""
 
 
 @query(f"""WITH {_DIM_SQL}, {_EXPORT_SQL}, {_ONHAND_SQL}
-SELECT sku, location_id, on_hand, available, average_cost, round(lead_time, 6) AS lead_time, source_rows, regional_id,
-  supply_side,
+SELECT sku, location_id, on_hand, available, average_cost, round(lead_time, 6) AS lead_time, description, source_rows,
+  regional_id, supply_side,
   CASE supply_side WHEN 'consigned' THEN 'consigned' WHEN 'company' THEN 'company_paid'
   WHEN 'vendor' THEN 'vendor_owned' END AS ownership
 FROM onhand LEFT JOIN dim USING (location_id)""")
 def inventory_onhand(spark, sf_dir):
     built = entities.inventory_onhand(inventory_export(spark, sf_dir), locations(spark, sf_dir)).frame
-    return built.withColumn("lead_time", F.round("lead_time", 6)).drop("description")
+    return built.withColumn("lead_time", F.round("lead_time", 6))
 
 
 @query("""SELECT p_partkey, nullif(upper(regexp_replace(trim(split_part(p_brand || ' : ' || p_name || ' ', ':', -1)),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import numbers, text
 from ..functions.dates import year_month
 from ..operators import aggregates as A
-from ..operators import joins, reshape, windows
+from ..operators import joins, reshape, windows, workbook
 from .base import query, table
 from .planning import cover
 
@@ -72,13 +72,18 @@ def items_on_po(spark, sf_dir):
         F.col("l_linenumber").alias("line_id"), F.col("l_partkey").alias("item"), F.col("l_shipdate").alias("expected"))
 
 
-@query("""SELECT p_partkey AS item, p_brand AS parent, max(l_extendedprice / l_quantity) AS average_cost FROM lineitem
-  JOIN part ON l_partkey = p_partkey GROUP BY ALL""")
+@query("""WITH x AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN p_brand || ' : ' || p_name || ' ' ELSE p_name END AS name,
+  p_brand AS parent, p_type AS category, l_extendedprice / l_quantity AS cost FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT trim(CASE WHEN contains(name, ':') THEN substr(name, strpos(name, ':') + 1) ELSE name END) AS sku, parent, category,
+  max(cost) AS average_cost FROM x GROUP BY name, parent, category""")
 def purchase_price(spark, sf_dir):
     l, p = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    name = F.when(F.col("p_partkey") % 2 == 0, F.concat("p_brand", F.lit(" : "), "p_name", F.lit(" "))).otherwise(
+        F.col("p_name"))
     cost = l.groupBy("l_partkey").agg(F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("average_cost"))
-    return cost.join(p, cost["l_partkey"] == p["p_partkey"]).select(F.col("p_partkey").alias("item"),
-        F.col("p_brand").alias("parent"), "average_cost")
+    items = cost.join(p, cost["l_partkey"] == p["p_partkey"]).select(name.alias("name"), F.col("p_brand").alias("parent"),
+        F.col("p_type").alias("category"), "average_cost")
+    return workbook.purchase_price(items)
 
 
 MONTHS = [f"Forecast QTY {m:02d}-{y}" for y in (1996, 1997) for m in range(1, 13)]

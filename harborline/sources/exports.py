@@ -189,8 +189,8 @@ def profile(spark: SparkSession, path: str, cap: int = 2_000_000) -> DataFrame:
 
     Lines are counted where they are read. A line's fields are its delimiters
     outside quotes, and one more; ``ragged`` has another number than the
-    header. Counting stops at ``cap`` rows, which ``capped`` tells. A file with
-    line breaks in quotes has to be probed whole (``files.probe``).
+    header. Of more than ``cap`` rows ``n_rows`` is the cap, which ``capped`` tells;
+    all lines are read, in as many tasks as the file splits into. A file with line breaks in quotes has to be probed whole (``files.probe``).
     """
     encoding, broken = layout(spark, path)
     if broken:
@@ -206,7 +206,7 @@ def profile(spark: SparkSession, path: str, cap: int = 2_000_000) -> DataFrame:
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1
     headers = [h.strip().strip('"') for h in head.split(delimiter)] if '"' not in head else next(csv.reader([head],
         delimiter=delimiter))
-    counted = lines.limit(cap + 2).agg(F.count(F.lit(1)).alias("n"), F.count_if(fields != len(headers)).alias("ragged"))
+    counted = lines.agg(F.count(F.lit(1)).alias("n"), F.count_if(fields != len(headers)).alias("ragged"))
     n = F.col("n") - 1
     return counted.select(
         F.lit(encoding).alias("encoding"), F.lit(delimiter).alias("delimiter"),
