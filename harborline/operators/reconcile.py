@@ -80,6 +80,24 @@ def findings(profiles: DataFrame) -> DataFrame:
     return out
 
 
+def representatives(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(profiles, (label, representative)): equal profiles of an upstream as one, by the least label, and who is whose.
+
+    Equal are profiles whose options, measures, keys, grain, filters and
+    outputs are. Findings between representatives are those of all pairs of
+    their members, which many copies of one query would otherwise multiply.
+    """
+    said = F.struct(F.array_sort(F.map_entries("options")).alias("options"), "measures", "keys", "grain", "filters", "outputs")
+    by = profiles.withColumn("_said", F.sha2(F.to_json(said), 256))
+    cols = [c for c in profiles.columns if c not in ("label", "upstream")]
+    least = by.groupBy("upstream", "_said").agg(F.min("label").alias("representative"),
+        F.min_by(F.struct(*cols), "label").alias("_row"))
+    ones = least.select(F.col("representative").alias("label"), "upstream", *[F.col(f"_row.{c}").alias(c) for c in cols])
+    same = F.col("l.upstream").eqNullSafe(F.col("r.upstream")) & (F.col("l._said") == F.col("r._said"))
+    members = by.alias("l").join(least.alias("r"), same).select("l.label", "r.representative")
+    return ones.select(*profiles.columns), members
+
+
 def forked_upstreams(profiles: DataFrame) -> DataFrame:
     """Upstreams that more than one workbook reads."""
     return profiles.groupBy("upstream").agg(F.countDistinct("workbook").alias("workbooks"),

@@ -171,3 +171,18 @@ def test_snapshot_diff(spark):
         for r in ([(1, "a", None), (2, "b", 1), (3, "c", 1)], [(1, None, None), (2, "b", 1), (4, "d", 1)]))
     assert sorted(map(tuple, estate.snapshot_diff(before, after, ["k"]).collect())) == [(1, "changed"), (3, "removed"),
         (4, "added")]
+
+
+def test_findings_of_representatives_stand_for_all_pairs(spark):
+    rows = [(f"q{i}", f"w{i}", "u", {"QuoteStyle": "QuoteStyle.None" if i % 3 else "QuoteStyle.Csv"}, [("m", f"sum{i % 2}")],
+        [("k", ["trim"], "x")], ["sku"], [], ["sku"]) for i in range(12)] + [("z", "w", "v", {}, [], [], [], [], [])]
+    profiles = spark.createDataFrame(rows, reconcile.PROFILE)
+    ones, members = reconcile.representatives(profiles)
+    assert ones.count() == 5 and ones.columns == profiles.columns
+    of = {r.label: r.representative for r in members.collect()}
+    assert len(of) == 13 and of["q6"] == "q0" and of["z"] == "z"
+    pairs = lambda df, name: {(*sorted((name(r.left_label), name(r.right_label))), r.kind, r.subject,
+        *sorted((r.left_value, r.right_value))) for r in df.collect()}
+    few = reconcile.findings(ones)
+    assert pairs(few, lambda x: x) == pairs(reconcile.findings(profiles), of.get)
+    assert few.count() < reconcile.findings(profiles).count() / 5
