@@ -160,3 +160,44 @@ def test_dimension_is_the_most_frequent(spark):
     df = frame(spark, [(1, [1.0, 2.0]), (2, [1.0]), (3, [2.0, 1.0])])
     good, dim = valid_vectors(df, "vec_id", "embedding")
     assert dim == 2 and sorted(r.id for r in good.collect()) == [1, 3]
+
+
+def test_recall_where_buckets_take_a_second_turn(spark, monkeypatch):
+    """What large tables use, on a small one: two turns, and buckets probed by the best sums of both."""
+    monkeypatch.setattr(ann, "FULL", 4)
+    r = np.random.default_rng(21)
+    base = r.standard_normal((150, 64))
+    x = (np.repeat(base, 20, 0) + 0.5 * r.standard_normal((3000, 64))).astype(np.float32)
+    assert ann.plan(len(x), 128)[0] == 2
+    got = {}
+    for g in ann.nearest(frame(spark, list(enumerate(x.tolist()))), F.col("vec_id") % 20 == 0, k=10).collect():
+        got.setdefault(g.query_id, {})[g.vec_id] = g.score
+    d = x.astype(float)
+    found = 0
+    for q in range(0, len(x), 20):
+        near = d @ d[q]
+        near[q] = -np.inf
+        top = np.argsort(-near, kind="stable")[:10]
+        assert len(got[q]) == 10 and all(abs(near[v] - s) < 1e-9 for v, s in got[q].items())
+        found += len(set(top.tolist()) & set(got[q]))
+    assert found >= 0.9 * 10 * len(range(0, len(x), 20))
+
+
+def test_planted_copies_in_the_whole_table_over_cells(spark, sf):
+    """The given vectors hold no pair at 0.95; with near copies planted, and cells of 32, all of them link."""
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    r = np.random.default_rng(9)
+    some = [(i, v) for i, v in rows if v and None not in v and np.isfinite(v).all() and any(v)]
+    for n, (i, v) in enumerate(some[::7]):
+        noise = r.standard_normal(len(v))
+        v = np.asarray(v, np.float64)
+        rows.append((10**6 + n, (v + noise * 0.2 * np.linalg.norm(v) / np.linalg.norm(noise)).tolist()))
+    got = {g.id: g for g in embed_dedup.near_duplicate_vectors(frame(spark, rows), cell_rows=32).collect()}
+    good = [(i, np.asarray(v, np.float32).astype(float)) for i, v in rows if v and None not in v and np.isfinite(v).all()
+        and any(v)]
+    unit = np.stack([v / np.linalg.norm(v) for _, v in good])
+    near = unit @ unit.T >= 0.95
+    comp = brute_components([(i, k) for k, (i, _) in enumerate(good)], lambda a, b: near[a, b])
+    assert near.sum() > 2 * len(some[::7])
+    for k, (i, _) in enumerate(good):
+        assert (got[i].n_links, got[i].component) == (int(near[k].sum()) - 1, comp[i, k])
