@@ -186,13 +186,14 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, per_lang: int = 800, windows: int = 3, steps: int = 320, hidden: int = 8, seed: int = 7,
+def train(docs: DataFrame, per_lang: int = 800, windows: int | None = 3, steps: int = 320, hidden: int = 8, seed: int = 7,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteGRU | None:
     """Fit on labelled rows that aren't held out; None if there is none.
 
     The sample is bounded: of each label the ``per_lang`` documents of least
     hash, ``windows`` windows of each at places set by the hash anywhere in the
-    text. A label's count sets a limit on the hash below which about four times
+    text; None takes whole texts, in windows one after another, all of which the
+    driver then holds. A label's count sets a limit on the hash below which about four times
     that many documents lie; only those are moved and ranked, so neither grows
     with the input. There is a row for each label in what is broadcast, and an
     output of the network, so labels must be few: over ``MOST_LABELS`` is an error.
@@ -202,8 +203,10 @@ def train(docs: DataFrame, per_lang: int = 800, windows: int = 3, steps: int = 3
     usable = docs.where(F.col(lang_col).isNotNull() & ~held_out(id_col) & has_letter)
     places = F.array(
         *[(F.pmod(F.xxhash64(F.col(id_col), F.lit(seed + 1 + k)),
-            F.greatest(F.length(text_col) - WINDOW + 1, F.lit(1))) + 1).cast("int") for k in range(windows)]
+            F.greatest(F.length(text_col) - WINDOW + 1, F.lit(1))) + 1).cast("int") for k in range(windows or 0)]
     )
+    if windows is None:
+        places = F.sequence(F.lit(1), F.greatest(F.length(text_col), F.lit(1)), F.lit(WINDOW))
     cut = F.transform(places, lambda p: F.substring(F.col(text_col), p, WINDOW))
     counts = usable.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).limit(MOST_LABELS
         + 1).collect()

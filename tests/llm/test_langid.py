@@ -84,6 +84,15 @@ def test_held_out_accuracy(spark):
     assert np.mean(right) > 0.97 and all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_whole_training_texts_do_as_well_as_windows_of_them(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    right = {}
+    for windows in (3, None):
+        got = langid.identify(docs, windows=windows).where("held_out").select("doc.lang", "lang_pred").collect()
+        right[windows] = np.mean([r.lang == r.lang_pred for r in got])
+    assert abs(right[3] - right[None]) < 0.01 and right[None] > 0.97
+
+
 def test_hard_rows(spark):
     en, de = "the of and in the word is ", "der und ist nicht ein wort das "
     rows = [(i, (en, de)[i % 2] * 20, ("en", "de")[i % 2]) for i in range(60)]
