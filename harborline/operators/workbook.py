@@ -120,6 +120,40 @@ def purchase_price(items: DataFrame) -> DataFrame:
     return by.select(text.strip_all(tail).alias("sku"), "parent", "category", "average_cost")
 
 
+def readiness(plan: DataFrame, stock: DataFrame, vendor_stock: DataFrame, production: DataFrame, shipments: DataFrame,
+    as_of: str, least: float = 0.85, transit_days: int = 10, ahead_days: int = 45) -> DataFrame:
+    """Whether what a launch needs will be there: ten columns for each row of ``plan``.
+
+    ``plan`` (sku, needed, due, own: whether one's own plant makes it),
+    ``stock`` and ``vendor_stock`` (sku, qty), ``production`` and ``shipments``
+    (sku, day, qty). Production counts up to the due day, shipments that arrive
+    by it after ``transit_days``; without a due day all count. What isn't one's
+    own has neither vendor stock nor production, and no state.
+    """
+    by = lambda df, name: df.groupBy("sku").agg(total(F.col("qty"), zero_fill=True).alias(name))
+
+    def due(df: DataFrame, name: str, lag: int) -> DataFrame:
+        daily = df.groupBy("sku", "day").agg(F.sum("qty").alias("qty"), F.max("day").alias("last"))
+        met = daily.join(plan.select("sku", "due"), "sku")
+        ready = F.col("due").isNull() | (F.date_add("day", lag) <= F.col("due"))
+        return met.groupBy("sku").agg(sum_if(ready, F.col("qty")).alias(name), F.max("last").alias(f"{name}_last"))
+
+    out = plan.join(by(stock, "on_hand"), "sku", "left").join(by(vendor_stock, "vendor_held"), "sku", "left").join(
+        due(production, "made", 0), "sku", "left").join(due(shipments, "arriving", transit_days), "sku", "left")
+    some = lambda c: F.coalesce(c, F.lit(0))
+    own = lambda c: F.when(F.col("own"), some(F.col(c)))
+    out = out.select("sku", "needed", "due", "own", F.date_diff("due", F.lit(as_of).cast("date")).alias("days_to_due"),
+        some(F.col("on_hand")).alias("on_hand"), own("vendor_held").alias("vendor_held"), own("made").alias("made"),
+        some(F.col("arriving")).alias("arriving"), F.when(F.col("own"), F.col("made_last")).alias("last_made"))
+    there = F.col("on_hand") + some(F.col("vendor_held")) + some(F.col("made")) + F.col("arriving")
+    wanted = F.coalesce(F.col("needed"), F.lit(0)) != 0
+    out = out.withColumn("available", there).withColumn("completion", F.when(wanted, F.col("available") / F.col("needed")))
+    ahead = F.col("last_made").isNull() | (F.col("last_made") <= F.date_sub("due", ahead_days))
+    state = F.when(~F.col("own") | (F.col("due").isNotNull() & ~wanted), "N/A").when(F.col("due").isNull(),
+        "TBD Date").when(F.col("completion") < least, "Behind").when(ahead, "Ahead of Schedule").otherwise("On Track")
+    return out.withColumn("state", state).drop("own")
+
+
 def launch_status(readiness: DataFrame, on_order: DataFrame, least: float = 0.85) -> DataFrame:
     """Readiness rows (sku, name, status, completion) with what is on purchase and a flag on those short of ``least``."""
     by = on_order.groupBy("sku").agg(total(F.col("remaining"), zero_fill=True).alias("po_qty"),

@@ -216,6 +216,37 @@ def launch_status(spark, sf_dir):
     return workbook.launch_status(ready, _bought(spark, sf_dir).select("sku", "remaining"))
 
 
+@query("""WITH p AS (SELECT p_partkey AS sku, CASE WHEN p_size % 7 > 0 THEN p_size * 10 END AS needed,
+  CASE WHEN p_partkey % 5 > 0 THEN DATE '1996-01-01' + p_size * 20 END AS due, p_brand LIKE 'Brand#1%' AS own FROM part),
+l AS (SELECT l_partkey AS sku, l_quantity::BIGINT AS q, l_shipdate::DATE AS day, l_returnflag AS f, l_linestatus AS s,
+  l_linenumber AS n FROM lineitem),
+x AS (SELECT sku, needed, due, own, date_diff('day', DATE '1996-06-01', due) AS days_to_due,
+  coalesce(sum(q) FILTER (f = 'A' AND n = 1), 0)::BIGINT AS on_hand,
+  CASE WHEN own THEN coalesce(sum(q) FILTER (f = 'R' AND n <= 2), 0)::BIGINT END AS vendor_held,
+  CASE WHEN own THEN coalesce(sum(q) FILTER (f = 'N' AND (due IS NULL OR day <= due)), 0)::BIGINT END AS made,
+  coalesce(sum(q) FILTER (s = 'F' AND n = 3 AND (due IS NULL OR day + 10 <= due)), 0)::BIGINT AS arriving,
+  CASE WHEN own THEN max(day) FILTER (f = 'N') END AS last_made
+  FROM p LEFT JOIN l USING (sku) GROUP BY sku, needed, due, own),
+y AS (SELECT *, on_hand + coalesce(vendor_held, 0) + coalesce(made, 0) + arriving AS available FROM x)
+SELECT * EXCLUDE (own), CASE WHEN needed > 0 THEN round(available / needed::DOUBLE, 9) END AS completion,
+  CASE WHEN NOT own THEN 'N/A' WHEN due IS NULL THEN 'TBD Date' WHEN coalesce(needed, 0) = 0 THEN 'N/A'
+  WHEN available / needed::DOUBLE < 0.85 THEN 'Behind' WHEN last_made IS NULL OR last_made <= due - 45
+  THEN 'Ahead of Schedule' ELSE 'On Track' END AS state FROM y""")
+def launch_readiness(spark, sf_dir):
+    """Stock, what the plant makes and what is under way against what each launch needs by its day."""
+    p, l = table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem")
+    size = F.col("p_size")
+    plan = p.select(F.col("p_partkey").alias("sku"), F.when(size % 7 > 0, size * 10).alias("needed"),
+        F.when(F.col("p_partkey") % 5 > 0, F.date_add(F.lit("1996-01-01").cast("date"), size * 20)).alias("due"),
+        F.startswith("p_brand", F.lit("Brand#1")).alias("own"))
+    lines = l.select(F.col("l_partkey").alias("sku"), F.col("l_quantity").cast("long").alias("qty"),
+        F.col("l_shipdate").cast("date").alias("day"), "l_returnflag", "l_linestatus", "l_linenumber")
+    out = workbook.readiness(plan, lines.where("l_returnflag = 'A' AND l_linenumber = 1"),
+        lines.where("l_returnflag = 'R' AND l_linenumber <= 2"), lines.where("l_returnflag = 'N'"),
+        lines.where("l_linestatus = 'F' AND l_linenumber = 3"), "1996-06-01")
+    return out.withColumn("completion", F.round("completion", 9))
+
+
 _CONTAINER_SQL = """k AS (SELECT p_partkey::VARCHAR AS sku FROM part),
 l AS (SELECT *, l_partkey::VARCHAR AS sku, CASE l_suppkey % 3 WHEN 0 THEN 'Americas' WHEN 1 THEN 'EMEA'
   ELSE 'AP' END AS region, year(l_shipdate) * 100 + month(l_shipdate) AS ym,
