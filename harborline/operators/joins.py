@@ -174,7 +174,9 @@ def close_sets(whole: DataFrame, least: float) -> DataFrame:
     side = lambda s, *cols: whole.select(*[F.col(c).alias(s + c) for c in ("o", *cols)])
     differ = sum((F.bit_count(F.get("lbits", F.lit(k)).bitwiseXOR(F.get("rbits", F.lit(k))))
         for k in range(BITMAP_WORDS)), F.lit(0))
-    met = set_candidates(whole, least).join(side("l", "n", "bits"), "lo").join(side("r", "n", "bits"), "ro")
+    pairs = set_candidates(whole, least)  # few bytes but much work: adaptive execution would put them in one task
+    pairs = pairs.repartition(int(whole.sparkSession.conf.get("spark.sql.shuffle.partitions")), "lo")
+    met = pairs.join(side("l", "n", "bits"), "lo").join(side("r", "n", "bits"), "ro")
     near = met.where(F.col("ln") + F.col("rn") - differ >= 2 * _need(least)).drop("lbits", "rbits")
     return near.join(side("l", "items", "of"), "lo").join(side("r", "items", "of"), "ro")
 
