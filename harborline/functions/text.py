@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,11 @@ def named(c: str) -> Column:
     return F.col("`" + c.replace("`", "``") + "`")
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row, however often it is used; as an expression it is copied into each use."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip_all(c: Column) -> Column:
     """Trim all white space; Spark's own trim takes spaces only."""
     return F.regexp_replace(c, r"^\s+|\s+$", "")

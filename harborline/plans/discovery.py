@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import discovery, estate, joins
-from .base import query, table
+from .base import dealt, query, table
 
 _FIRST = ("Qty", "PO", "Item", "Container", "Ship", "On", "Region", "Vendor", "Unit", "Line", "Order", "POL", "Due",
     "Invoice", "Location", "Price")
@@ -180,7 +180,8 @@ def risk_score(spark, sf_dir):
     bad = F.col("event_type") == "error"
     r = discovery.risk(F.array(*at), bad, bad & (v > 30), (u % 12).cast("int"), v > 70, v / 100,
         F.when(u % 5 == 0, 1).otherwise(0))
-    return table(spark, sf_dir, "events").select("event_id", r.alias("r")).select("event_id", "r.score", "r.band")
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    return dealt(e, "event_id").select("event_id", r.alias("r")).select("event_id", "r.score", "r.band")
 
 
 RULES = {

@@ -186,3 +186,16 @@ def test_findings_of_representatives_stand_for_all_pairs(spark):
     few = reconcile.findings(ones)
     assert pairs(few, lambda x: x) == pairs(reconcile.findings(profiles), of.get)
     assert few.count() < reconcile.findings(profiles).count() / 5
+
+
+def _uses(df, word: str) -> int:
+    return df._jdf.queryExecution().optimizedPlan().toString().lower().count(word)
+
+
+def test_risk_searches_each_location_once_a_rule(spark):
+    row = [([r"C:\Users\a\b.xlsx", r"D:\x\Downloads\b.csv", None], 2)]
+    df = spark.createDataFrame(row, "at array<string>, hidden int").select(discovery.risk(F.col("at"), F.lit(True),
+        F.lit(False), F.col("hidden"), F.lit(True), F.lit(0.3), F.lit(0)).alias("r")).select("r.score", "r.band", "r.findings")
+    assert _uses(df, "rlike") <= len(discovery.FRAGILE) and _uses(df, "regexp_replace") <= 2
+    assert [tuple(r) for r in df.collect()] == [(128, "critical", ["user path", "download or desktop folder", "macros",
+        "hidden sheets", "row count capped", "weak header"])]
