@@ -108,29 +108,32 @@ def domain(path: Column, headers: Column, keywords: Mapping[str, Sequence[str]],
     are also found with all separators dropped.
     """
     low, heads = F.lower(path), F.lower(F.array_join(headers, " | "))
-    low_flat, heads_flat = text.header_key(low), text.header_key(heads)
+    told = F.struct(low.alias("low"), heads.alias("heads"), text.header_key(low).alias("low_flat"), text.header_key(heads)
+        .alias("heads_flat"))
 
     def inside(word: str, whole: Column, flat: Column) -> Column:
         bare = "".join(ch for ch in word.lower() if ch.isascii() and ch.isalnum())
         found = F.contains(whole, F.lit(word))
         return F.coalesce(found | F.contains(flat, F.lit(bare)) if len(bare) > 3 else found, F.lit(False))
 
-    every = []
-    for i, (name, words) in enumerate(keywords.items()):
-        hits = [
-            F.when(inside(w, low, low_flat), F.struct(F.lit(by_path).alias("w"), F.lit(f"{w} (path)").alias("hit")))
-                .when(
-                inside(w, heads, heads_flat), F.struct(F.lit(1).alias("w"), F.lit(w).alias("hit"))
-            )
-            for w in words
-        ]
-        found = F.filter(F.array(*hits), lambda h: h.isNotNull())
-        weight = F.aggregate(found, F.lit(0), lambda n, h: n + h["w"])
-        every.append(F.struct(weight.alias("score"), F.lit(-i).alias("place"), F.lit(name).alias("domain"),
-            F.transform(found, lambda h: h["hit"]).alias("hits")))
-    best = F.array_max(F.array(*every))
-    return F.struct(F.when(best["score"] > 0, best["domain"]).otherwise("unclassified").alias("domain"),
-        best["score"].alias("score"), best["hits"].alias("hits"))
+    def weighed(t: Column) -> Column:
+        every = []
+        for i, (name, words) in enumerate(keywords.items()):
+            hits = [
+                F.when(inside(w, t["low"], t["low_flat"]), F.struct(F.lit(by_path).alias("w"), F.lit(f"{w} (path)").alias("hit")))
+                    .when(
+                    inside(w, t["heads"], t["heads_flat"]), F.struct(F.lit(1).alias("w"), F.lit(w).alias("hit"))
+                )
+                for w in words
+            ]
+            own = lambda found: F.struct(F.aggregate(found, F.lit(0), lambda n, h: n + h["w"]).alias("score"),
+                F.lit(-i).alias("place"), F.lit(name).alias("domain"), F.transform(found, lambda h: h["hit"])
+                    .alias("hits"))  # noqa: B023, E731
+            every.append(text.once(F.filter(F.array(*hits), lambda h: h.isNotNull()), own))
+        return F.array_max(F.array(*every))
+
+    return text.once(text.once(told, weighed), lambda best: F.struct(F.when(best["score"] > 0, best["domain"])
+        .otherwise("unclassified").alias("domain"), best["score"].alias("score"), best["hits"].alias("hits")))
 
 
 def part_played(

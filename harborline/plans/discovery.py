@@ -107,7 +107,8 @@ def domain_classify(spark, sf_dir):
     """Parts as files: a word in the path weighs 3, one that is only in the headers 1; the best domain wins, ties to the first."""
     path = F.concat("p_type", F.lit("/"), F.replace("p_name", F.lit(" "), F.lit("_")), F.lit(".csv"))
     best = discovery.domain(path, F.array("p_brand", F.lit("On-Hand"), "p_name"), DOMAINS)
-    return table(spark, sf_dir, "part").select("p_partkey", best.alias("d")).select("p_partkey", "d.domain", "d.score")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name", "p_brand")
+    return dealt(p, "p_partkey").select("p_partkey", best.alias("d")).select("p_partkey", "d.domain", "d.score")
 
 
 _SOURCE_SQL = """s AS (

@@ -199,3 +199,12 @@ def test_risk_searches_each_location_once_a_rule(spark):
     assert _uses(df, "rlike") <= len(discovery.FRAGILE) and _uses(df, "regexp_replace") <= 2
     assert [tuple(r) for r in df.collect()] == [(128, "critical", ["user path", "download or desktop folder", "macros",
         "hidden sheets", "row count capped", "weak header"])]
+
+
+def test_a_domain_drops_separators_once_a_text(spark):
+    df = spark.createDataFrame([("Stock/on_hand.csv", ["Qty"]), ("a/b.csv", ["Purchase-Order", "x"]), (None, None)],
+        "path string, heads array<string>").select(discovery.domain(F.col("path"), F.col("heads"), {"inventory": ["on hand",
+        "stock"], "purchasing": ["purchase order"]}).alias("d")).select("d.domain", "d.score", "d.hits")
+    assert _uses(df, "regexp_replace") == 2
+    assert [tuple(r) for r in df.collect()] == [("inventory", 6, ["on hand (path)", "stock (path)"]),
+        ("purchasing", 1, ["purchase order"]), ("unclassified", 0, [])]
