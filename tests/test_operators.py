@@ -158,3 +158,13 @@ def test_exact_total_keeps_digits_and_survives_any_number(spark):
     got = {r.k: r.s for r in spark.createDataFrame(rows, "k int, x double").groupBy("k")
         .agg(aggregates.exact_total(F.col("x"), 5).alias("s")).collect()}
     assert got == {1: 0.12346, 2: 1e18 + 1, 3: None, 4: None}
+
+
+def test_wildcard_lookup_never_broadcasts_pieces(spark):
+    """Pieces are many times the texts: a broadcast of them, chosen by the size of the texts, filled the driver."""
+    keys = spark.createDataFrame([(1, "Ring"), (2, "xyz"), (3, "q"), (4, ""), (5, None), (6, "ringo")], "k int, key string")
+    texts = spark.createDataFrame([(1, "a ring"), (1, "a ring"), (2, "BRING IT"), (3, "Q"), (4, None)], "id int, c string")
+    got = joins.contains_key(keys, texts, "c", "key")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "Join" in plan
+    assert sorted((r.k, r.id, r.c) for r in got.collect()) == [(1, 1, "a ring"), (1, 1, "a ring"), (1, 2, "BRING IT"), (3, 3, "Q")]
