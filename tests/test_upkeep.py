@@ -69,3 +69,13 @@ def test_the_last_edit_of_a_cell_wins(spark):
     assert why == [("conflict", "b", "status", "p"), ("conflict", "b", "status", "q"), ("not a double", "a", "share", "abc"),
         ("unknown column", "b", "n", "8"), ("unknown column", "c", "-", "t"), ("unknown key", "-", "status", "t"),
         ("unknown key", "z", "status", "s")]
+
+
+def test_names_and_pieces_are_not_broadcast(spark):
+    seeds = spark.createDataFrame([(i, ["*a?.csv", "*.X"]) for i in range(50)] + [(None, ["*"]), (90, None), (91, ["*"])],
+        "seed int, patterns array<string>")
+    got = assets.confirm(seeds, spark.createDataFrame([(f"a{i}.csv",) for i in range(9)] + [("b.x",)], "name string"))
+    assert got._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange") <= 1  # globs without a literal
+    told = {r.seed: (r.status, r.files, r.first) for r in got.collect()}
+    assert len(told) == 53 and all(told[i] == ("ambiguous", 10, "a0.csv") for i in [*range(50), 91])
+    assert told[None] == told[90] == ("absent", 0, None)
