@@ -114,7 +114,9 @@ def passed_on(references: DataFrame, facts: DataFrame, reader: str, read: str, f
 
     ``references``: reader, read; ``facts``: reader, fact. Semi-naive: only the
     facts that a round has added are joined in the next, and the end is a round
-    that adds none, so that readers which read each other end too.
+    that adds none, so that readers which read each other end too. A round's
+    facts are as many as the graph is large, which Spark's estimates, of files
+    that compress well, don't tell: no side is broadcast.
     """
     up = checkpointed(references.select(F.col(reader).alias("up"), F.col(read).alias("node")).where(
         F.col("up") != F.col("node")).distinct())
@@ -122,8 +124,8 @@ def passed_on(references: DataFrame, facts: DataFrame, reader: str, read: str, f
         "node IS NOT NULL AND fact IS NOT NULL").distinct())
     known = [new]
     while not new.isEmpty():
-        met = new.join(up, "node").select(F.col("up").alias("node"), "fact").distinct()
-        new = checkpointed(met.join(reduce(DataFrame.union, known), ["node", "fact"], "left_anti"))
+        met = new.hint("merge").join(up.hint("merge"), "node").select(F.col("up").alias("node"), "fact").distinct()
+        new = checkpointed(met.join(reduce(DataFrame.union, known).hint("merge"), ["node", "fact"], "left_anti"))
         known.append(new)
     return reduce(DataFrame.union, known).select(F.col("node").alias(reader), F.col("fact").alias(fact))
 

@@ -76,3 +76,14 @@ def test_renames_are_replayed_in_order(spark):
         "query string, pos bigint, kind string, old string, new string"))
     assert sorted(map(str, got.collect())) == sorted(f"Row(query={q!r}, column={c!r}, original={o!r})" for q, c, o in [
         ("q", "b", "a"), ("q", "a", "b"), ("q", "c", "c"), ("q", "m", None), ("none", "x", "x")])
+
+
+def test_facts_of_a_round_are_not_broadcast(spark, monkeypatch):
+    plans = []
+    keep = graph.checkpointed
+    monkeypatch.setattr(graph, "checkpointed", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+        or keep(df))
+    refs = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (4, 3)], "reader int, read int")
+    got = graph.passed_on(refs, spark.createDataFrame([(3, "x"), (1, "y")], "reader int, fact string"), "reader", "read", "fact")
+    assert sorted(map(tuple, got.collect())) == sorted([(i, f) for i in range(1, 5) for f in "xy"])
+    assert len(plans) > 2 and not any("BroadcastExchange" in p for p in plans)
