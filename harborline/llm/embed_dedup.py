@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ann import fill_blocks
 from .common import settle
 from .components import connected_components
 from .simhash import _least
@@ -57,8 +58,28 @@ def gaps(cells: np.ndarray, home: np.ndarray, cell: np.ndarray) -> np.ndarray:
 
 #: Cells at most, and vectors of the sample for each; up to this many are fitted at once, more in two levels.
 MOST_CELLS, EACH, FLAT = 65_536, 8, 1024
-#: Products of vectors and centroids that a task holds at once.
-PRODUCTS = 1 << 23
+#: Products of vectors and centroids, and listings of vectors, that a task holds at once.
+PRODUCTS, LISTED = 1 << 21, 1 << 15
+
+
+def listings(u: np.ndarray, cells: np.ndarray, margin: float, most: int = LISTED) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(place, cell) of each cell that a unit row is listed in, in slices of whole rows, of ``most`` unless a row has more.
+
+    A row may be near the borders of many cells, the more the more cells there
+    are, so a batch of rows says nothing of how much is listed.
+    """
+    s = u @ cells.T
+    home = s.argmax(1)
+    close = s.max(1)[:, None] - s <= margin * np.sqrt(np.maximum(2 - 2 * cells[home] @ cells.T, 0)) + 1e-6
+    total = np.concatenate(([0], np.cumsum(close.sum(1))))
+    at = 0
+    while at < len(u):
+        to = max(at + 1, int(np.searchsorted(total, total[at] + most, "right")) - 1)
+        i, cell = np.nonzero(close[at:to])
+        i += at
+        near = (cell == home[i]) | (behind(u[i], cells, home[i], cell) <= margin * gaps(cells, home[i], cell))
+        yield i[near], cell[near]
+        at = to
 
 
 def fit_cells(x: np.ndarray, k: int) -> np.ndarray:
@@ -109,15 +130,11 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, cell_row
         for b in gathered(batches, max(64, min(8_192, PRODUCTS // len(c)))):  # a row is listed several times
             rows = matrix(b["v"])
             u = unit(rows)
-            s = u @ c.T
-            home = s.argmax(1)
-            far = margin * np.sqrt(np.maximum(2 - 2 * c[home] @ c.T, 0)) + 1e-6
-            i, cell = np.nonzero(s.max(1)[:, None] - s <= far)
-            near = (cell == home[i]) | (behind(u[i], c, home[i], cell) <= margin * gaps(c, home[i], cell))
-            i, cell = i[near], cell[near]
+            home = (u @ c.T).argmax(1)
             ids, ns = b["id"].to_numpy(np.int64), b["n"].to_numpy(np.int64) + (home << _ROWS)
             yield pack(home, ids, ns, rows, "home", store)
-            yield pack(cell, ids[i], ns[i], rows[i], "listed", store)
+            for i, cell in listings(u, c, margin):
+                yield pack(cell, ids[i], ns[i], rows[i], "listed", store)
 
     blocks = settle(distinct.mapInPandas(assign, BLOCKS))
 
@@ -151,8 +168,9 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, cell_row
                     yield pd.DataFrame({"a": bi[other > 0], "b": -1, "n": other[other > 0]})
                     yield pd.DataFrame({"a": ids[moved], "b": ids[label[moved]], "n": 0})
 
+    homes = fill_blocks(blocks.where("kind = 'home'"))  # each listed block travels once for each of these
     found = settle(
-        meet(blocks.where("kind = 'home'"), blocks.where("kind = 'listed'"))
+        meet(homes, blocks.where("kind = 'listed'"))
             .mapInPandas(compare, "a bigint, b bigint, n bigint")
     )
     links = found.where("n > 0").groupBy("a").agg(F.sum("n").alias("links")).withColumnRenamed("a", "id")

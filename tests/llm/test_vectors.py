@@ -201,3 +201,15 @@ def test_planted_copies_in_the_whole_table_over_cells(spark, sf):
     assert near.sum() > 2 * len(some[::7])
     for k, (i, _) in enumerate(good):
         assert (got[i].n_links, got[i].component) == (int(near[k].sum()) - 1, comp[i, k])
+
+
+def test_listings_are_bounded_slices():
+    from harborline.llm.embed_dedup import listings, unit
+
+    r = np.random.default_rng(2)
+    u, cells = unit(r.normal(size=(300, 16))), unit(r.normal(size=(40, 16)))
+    whole = [np.concatenate(x) for x in zip(*listings(u, cells, 0.16, 1 << 30), strict=True)]
+    parts = list(listings(u, cells, 0.16, 64))
+    assert len(parts) > 10 and max(len(i) for i, _ in parts) <= 64 and len(whole[0]) > 640
+    assert all((np.concatenate(x) == y).all() for x, y in zip(zip(*parts, strict=True), whole, strict=True))
+    assert (np.bincount(whole[0], minlength=300) > 0).all()
