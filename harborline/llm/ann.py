@@ -2,8 +2,7 @@
 
 A vector, scaled to unit length, is turned by three rounds of random signs and
 a fast Hadamard transform; the nearest signed axis is its hash. A bucket is one
-such hash, or two of different turns where there are so many rows that one
-would leave thousands in a bucket. Each of several tables turns differently. A
+such hash, or two or more of different turns if asked for. Each of several tables turns differently. A
 query probes the buckets whose axes it is nearest to; what they hold is
 reranked exactly, block against block, and a task keeps only the best of each
 query over all blocks that it sees.
@@ -47,6 +46,8 @@ def axes(rows: np.ndarray, table: int, seed: int = 11) -> np.ndarray:
 
 #: Rows of a bucket, on average, beyond which buckets take one turn more.
 FULL = 4096
+#: Buckets probed in each table of one turn; the same for every number of rows, of which more only raise the recall.
+PROBES = 10
 #: Pairs (query, row) after which a task keeps the best of each query only.
 HELD = 1 << 20
 #: Places that blocks of one bucket are put together in, so that no task has all of a hot one.
@@ -54,7 +55,7 @@ SPREAD = 4
 
 
 def plan(n: int, slots: int) -> tuple[int, int]:
-    """(turns of a bucket, buckets probed in each table) for ``n`` rows.
+    """(turns of a bucket, buckets probed in each table) that suit ``n`` rows, for callers that ask; ``nearest`` doesn't.
 
     The more rows, the nearer the neighbours and the fewer buckets suffice. The
     figures hold 0.9 of the true neighbours even where vectors are noise in 64
@@ -125,8 +126,8 @@ def fill_blocks(blocks: DataFrame) -> DataFrame:
     return blocks.repartition("key", salt).sortWithinPartitions("key").mapInPandas(merge, BLOCKS)
 
 
-def nearest(vectors: DataFrame, queries: Column, k: int = 20, tables: int = 12, probes: int | None = None,
-    turns: int | None = None, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, queries: Column, k: int = 20, tables: int = 12, probes: int = PROBES,
+    turns: int = 1, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each query row.
 
     ``queries`` is a condition on the columns of ``vectors``. Nearness is the
@@ -136,8 +137,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, tables: int = 12,
     than ``k`` probes every bucket of one table, which is an exact search. Rows
     that take no part (see ``valid_vectors``) are neither queries nor
     candidates. Rows that share an id count as one vector each, and none is a
-    candidate for a query of that id. ``turns`` and ``probes`` are those of
-    ``plan`` unless given. An empty table gives an empty table.
+    candidate for a query of that id. ``turns`` and ``probes`` don't depend on
+    the number of rows. An empty table gives an empty table.
     """
     store = stored_as(vectors, vec_col)
     good, dim = valid_vectors(vectors, id_col, vec_col)
@@ -145,8 +146,6 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, tables: int = 12,
     asked = asked.where(F.size("v") == dim)
     distinct = settle(classes(good))
     slots = 2 << max(0, dim - 1).bit_length() if dim else 2
-    own = plan(distinct.count(), slots)
-    turns, probes = turns or own[0], probes or own[1]
     buckets = slots**turns
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -213,3 +213,9 @@ def test_listings_are_bounded_slices():
     assert len(parts) > 10 and max(len(i) for i, _ in parts) <= 64 and len(whole[0]) > 640
     assert all((np.concatenate(x) == y).all() for x, y in zip(zip(*parts, strict=True), whole, strict=True))
     assert (np.bincount(whole[0], minlength=300) > 0).all()
+
+
+def test_no_size_chooses_how_to_search(spark, sf, monkeypatch):
+    monkeypatch.setattr(ann, "plan", None)
+    got = queries.QUERIES["op3_ann_search"](spark, sf).groupBy("query_id").count().collect()
+    assert got and all(r["count"] == 20 for r in got)
