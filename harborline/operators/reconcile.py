@@ -109,12 +109,15 @@ def version_skew(edges: DataFrame) -> DataFrame:
 
     ``edges``: src, as a location is written, and dst. Only locations that are
     files by ``upstream_identity`` count, by their name alone, as it is written;
-    a name of nothing but marks and version words is no asset.
+    a name of nothing but marks and version words is no asset. A location is
+    judged once, however many read it.
     """
     place = text.strip_all(F.col("src"))
     name = F.substring_index(F.regexp_replace(F.translate(place, "\\", "/"), "/+$", ""), "/", -1)
-    named = edges.where(F.startswith(upstream_identity(F.col("src")), F.lit("file:"))).select(
-        F.col("dst").alias("consumer"), file_stem(name).alias("stem"), name.alias("file")).where("stem <> ''").distinct()
+    met = edges.select(F.col("dst").alias("consumer"), "src").where("src IS NOT NULL")
+    assets = met.select("src").distinct().where(F.startswith(upstream_identity(F.col("src")), F.lit("file:"))).select("src",
+        name.alias("file"), file_stem(name).alias("stem")).where("stem <> ''")
+    named = met.join(assets, "src").select("consumer", "stem", "file").distinct()
     return named.groupBy("consumer", "stem").agg(F.count(F.lit(1)).alias("files"),
         F.array_sort(F.collect_list("file")).alias("variants")).where("files > 1")
 

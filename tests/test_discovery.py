@@ -208,3 +208,13 @@ def test_a_domain_drops_separators_once_a_text(spark):
     assert _uses(df, "regexp_replace") == 2
     assert [tuple(r) for r in df.collect()] == [("inventory", 6, ["on hand (path)", "stock (path)"]),
         ("purchasing", 1, ["purchase order"]), ("unclassified", 0, [])]
+
+
+def test_version_skew_judges_a_location_once(spark):
+    df = spark.createDataFrame([(r"d/Plan v2.xlsx", f"c{i}") for i in range(5)] + [("d/Plan.xlsx", "c1"), ("e/Plan.xlsx", "c1"),
+        (None, "c1")], "src string, dst string")
+    got = reconcile.version_skew(df)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    judged = plan[: plan.index("file:")]
+    assert "Join" in judged and [(r.consumer, r.stem, r.files, r.variants) for r in got.collect()] == [("c1", "plan", 2,
+        ["Plan v2.xlsx", "Plan.xlsx"])]
