@@ -11,8 +11,8 @@ from ..functions.text import named
 
 #: Size of a quantile sketch: its rank error is under 1.65 % with it, for 99 of 100.
 KLL_SIZE = 200
-#: Logarithm of a distinct sketch's size: its relative error is about 1.6 %, under 5 % nearly always.
-HLL_BITS = 12
+#: Logarithm of a distinct sketch's size (16 KB): its relative error is about 0.8 %, so 6 % are over seven standard errors.
+HLL_BITS = 14
 
 
 def monthly(df: DataFrame, by: Sequence[str], when: str, value: Column, item: Column) -> DataFrame:
@@ -47,6 +47,23 @@ def trailing(stored: DataFrame, by: Sequence[str], months: int) -> DataFrame:
         F.col("l._end").alias("month"), "rows", "values", "items")
 
 
+def trailing_distinct(df: DataFrame, by: Sequence[str], when: str, item: Column, months: int) -> DataFrame:
+    """(by, month, step): exact distinct items of every window of ``months`` months, as steps from month to month.
+
+    A window that ends in a month has as many items as the steps up to that
+    month add up to. Rows travel once, as the set of months of each item: it is
+    in the windows from one of its months to ``months`` later or its next month.
+    """
+    day = named(when)
+    month = F.year(day) * 12 + F.month(day) - 1
+    own = df.where(day.isNotNull() & item.isNotNull()).groupBy(*map(named, by), item.alias("_item")).agg(
+        F.array_sort(F.collect_set(month)).alias("_months"))
+    until = lambda m, i: F.least(m + months, F.get("_months", i + 1))  # noqa: E731  (least passes over null)
+    steps = F.flatten(F.transform("_months", lambda m, i: F.array(F.struct(m.alias("month"), F.lit(1).alias("n")),
+        F.struct(until(m, i).alias("month"), F.lit(-1).alias("n")))))
+    return own.select(*map(named, by), F.inline(steps)).groupBy(*map(named, by), "month").agg(F.sum("n").alias("step"))
+
+
 def quantile(values: Column, share: float) -> Column:
     """The value at a share of the rows; null if there is none."""
     return F.when(F.kll_sketch_get_n_double(values) > 0, F.kll_sketch_get_quantile_double(values, F.lit(share)))
