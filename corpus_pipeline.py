@@ -35,9 +35,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose texts are equal or, by five-word shingles, 0.8 similar.
 
-    It stands where SimHash near-dedup was dealt, which can't find these: no
-    radius that leaves clean documents alone holds a fingerprint of a text in
-    which one word in nine has changed (see ``simhash.similar_texts`` and the README).
+    SimHash fingerprints are linked through BK-trees first and every class of
+    them is held against the exact similarity; a search between the classes
+    finds what no radius can link, as a text in which one word in nine has
+    changed (see ``simhash.similar_texts`` and the README).
     Empty texts are equal; rows that are the same in id and text are one.
     """
     return simhash.one_of_each_group(docs)

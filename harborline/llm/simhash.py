@@ -48,11 +48,16 @@ def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
     digest = xxhash.xxh64_intdigest
     spans = zip(starts[:k].tolist(), ends[min(width, len(words)) - 1 :].tolist(), strict=True)
     hashes = np.fromiter((digest(joined[a:b], seed) for a, b in spans), np.uint64, k)
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes: a bit is set if it is set in over half of them."""
     counts = np.zeros(64, np.int64)
-    for at in range(0, k, 1 << 16):  # bits of a very long text are counted in slices
+    for at in range(0, len(hashes), 1 << 16):  # bits of a very long text are counted in slices
         part = hashes[at : at + (1 << 16)]
         counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > k, bitorder="little").view(np.uint64)[0])
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
@@ -312,13 +317,23 @@ def likely_pairs(group: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, sim
 
 
 def likely_classes(group: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, similarity: float,
-    least: float) -> tuple[np.ndarray, np.ndarray]:
-    """(place, place of its class) of what likely pairs of one group connect; rows of one group adjoin."""
-    order = np.lexsort((sizes, np.cumsum(np.diff(group, prepend=group[:1]) != 0)))
-    label = np.arange(len(group))
+    least: float, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(place, place of its class) of what likely pairs of one group connect; rows of one group adjoin.
+
+    Rows of one ``known`` class are connected already: they aren't held against
+    each other, and only links beyond their class are given.
+    """
+    place = np.cumsum(np.diff(group, prepend=group[:1]) != 0)
+    order = np.lexsort((sizes, place))
+    start = np.arange(len(group))
+    if known is not None and len(group):
+        names, name = np.unique(known[order], return_inverse=True)
+        _, first, which = np.unique(place[order] * len(names) + name, return_index=True, return_inverse=True)
+        start = first[which]
+    label = start.copy()
     for a, b, _ in likely_pairs(group[order], sizes[order], sketches[order], similarity, least, label):
         label[:] = _least(label, a, b)
-    moved = label != np.arange(len(group))
+    moved = label != start
     return order[moved], order[label[moved]]
 
 
@@ -377,6 +392,8 @@ def more_shingles(hashes: np.ndarray) -> np.ndarray:
 def shard_members(distinct: DataFrame, tile: int) -> DataFrame:
     """(shard, id, size, sketch): the texts of each shard; ``distinct`` has ``shards`` and ``more`` of each text.
 
+    Other columns of ``distinct`` go along.
+
     A shingle that many texts share, of a passage that they all quote, would
     bring them all together. So a text with a shard of more than ``tile`` texts
     goes instead to the shards of all its ``more`` shingles that aren't such,
@@ -384,27 +401,37 @@ def shard_members(distinct: DataFrame, tile: int) -> DataFrame:
     then at least 0.6 of it, and all of 16 shards miss it with a chance of 4 in
     ten million. A text that is mostly such passages stays in its large shards.
     """
-    members = distinct.select(F.explode("shards").alias("shard"), "id", "size", "sketch")
+    own = [c for c in distinct.columns if c not in ("shards", "more")]
+    members = distinct.select(F.explode("shards").alias("shard"), *own)
     count = lambda df: df.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile).select("shard")
     hot = settle(count(members))
     if hot.isEmpty():
         return members
     some = lambda df: F.broadcast(df) if df.count() <= MANY else df
     quoting = settle(members.select("shard", "id").join(some(hot), "shard", "left_semi").select("id").distinct())
-    apart = settle(distinct.join(quoting, "id", "left_semi").select(F.explode("more").alias("shard"), "id", "size", "sketch"))
+    apart = settle(distinct.join(quoting, "id", "left_semi").select(F.explode("more").alias("shard"), *own))
     hotter = settle(count(apart).union(hot).distinct())
     cold = apart.join(some(hotter), "shard", "left_anti")
     able = settle(cold.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= ENOUGH).select("id"))
     return members.join(able, "id", "left_anti").unionByName(cold.join(able, "id", "left_semi"))
 
 
+def fingerprint_classes(distinct: DataFrame, radius: int = 4, blocks: int = 6, tile: int = TILE) -> DataFrame:
+    """``distinct`` with ``class``: what chains of fingerprints ``fp`` within the radius connect, found through BK-trees."""
+    links = link_fingerprints(distinct.select("fp").distinct(), radius, blocks, tile)
+    classes = connected_components(links).select(F.col("id").alias("fp"), "component")
+    return distinct.join(classes, "fp", "left").withColumn("class", F.coalesce("component", "fp")).drop("fp", "component")
+
+
 def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slack: float = 0.3, tile: int = TILE,
-    most: int = MOST, text_col: str = "text") -> DataFrame:
+    most: int = MOST, text_col: str = "text", radius: int = 4) -> DataFrame:
     """(id, component): MD5 of each distinct text that is similar to another, by groups.
 
-    No fingerprint chooses the candidates: a SimHash of shingles moves by ten
-    bits and more at a Jaccard similarity of 0.8, and one of single words by
-    as much where a block is cut, added or replaced. A text's shards are the
+    SimHash fingerprints of the ``width``-word shingles, each counted once, are
+    linked within ``radius`` bits through the BK-trees of ``link_fingerprints``;
+    every class of these links is held against the exact similarity below. What
+    no radius can link is searched between the classes: a SimHash of shingles
+    moves by ten bits and more at a Jaccard similarity of 0.8. A text's shards are the
     least shingles of eight parts of the hash range, of which two texts share
     each with a chance of about their similarity (all eight fail at 0.8 with a
     chance of 3 in a million). Texts that quote a common passage meet by their
@@ -431,24 +458,30 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, slac
                 [
                     b.column(0).take(pa.array(some, pa.int64())), pa.array([len(sets[i]) for i in some], pa.int64()),
                         pa.array([sketch(sets[i]) for i in some], pa.binary()),
+                    pa.array(np.array([majority(sets[i]) for i in some], np.uint64).view(np.int64)),
                     *[pa.array([f(sets[i]).view(np.int64) for i in some], pa.list_(pa.int64())) for f in (shard_shingles,
                         more_shingles)],
                 ],
-                ["id", "size", "sketch", "shards", "more"],
+                ["id", "size", "sketch", "fp", "shards", "more"],
             )
 
-    seen = bodies.mapInArrow(features, "id string, size bigint, sketch binary, shards array<bigint>, more array<bigint>")
-    distinct = settle(seen.groupBy("id").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "shards", "more")]))
-    members = shard_members(distinct, tile)
+    seen = bodies.mapInArrow(features, "id string, size bigint, sketch binary, fp bigint, shards array<bigint>, "
+        "more array<bigint>")
+    distinct = settle(seen.groupBy("id").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "fp", "shards", "more")]))
+    classes = settle(fingerprint_classes(distinct.select("id", "fp"), radius, tile=tile))
+    least = classes.groupBy("class").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    alike = classes.join(least, "class").where("id <> b").select(F.col("id").alias("a"), "b")
+    members = shard_members(distinct.drop("fp").join(classes, "id"), tile)
 
     def near(t: pa.Table) -> pa.Table:
         sketches = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)
-        a, b = likely_classes(t["shard"].to_numpy(), t["size"].to_numpy(), sketches, similarity, similarity - slack)
+        a, b = likely_classes(t["shard"].to_numpy(), t["size"].to_numpy(), sketches, similarity, similarity - slack,
+            t["class"].to_numpy())
         ids = t["id"].combine_chunks()
         return pa.table({"a": ids.take(pa.array(a)), "b": ids.take(pa.array(b))})
 
-    clusters = connected_components(in_shards(members, near, "a string, b string", tile)).withColumnRenamed("component",
-        "cluster")
+    clusters = connected_components(alike.unionByName(in_shards(members, near, "a string, b string", tile))).withColumnRenamed(
+        "component", "cluster")
     size = F.col("size") + BINS * 2
     weights = clusters.join(distinct.select("id", "size"), "id").groupBy("cluster").agg(F.ceil(F.sum(size) / most)
         .cast("int").alias("tiles"))

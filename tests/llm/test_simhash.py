@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from harborline.llm import simhash
 
@@ -292,3 +293,28 @@ def test_texts_that_are_mostly_one_passage_stay_together(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     kept = {x.doc_id for x in simhash.one_of_each_group(docs, tile=32).collect()}
     assert kept == {0, *range(120, 150)}
+
+
+def test_near_texts_are_linked_through_bk_trees(spark, monkeypatch):
+    """Without any shard of shingles the fingerprints alone link what is within their radius, and the exact check follows."""
+    r = random.Random(14)
+    texts = [words(r, 400) for _ in range(12)]
+    texts += [near_copy(r, t, 1) for t in texts] + ["x y z " * 300 + words(r, 40) for _ in range(2)]
+    names = [hashlib.md5(t.encode()).hexdigest() for t in texts]
+    fps = [simhash.majority(simhash.shingle_hashes(t)) for t in texts]
+    near = brute_components([(n, f) for n, f in zip(names, fps, strict=True)], lambda a, b: bin(a ^ b).count("1") <= 4)
+    monkeypatch.setattr(simhash, "shard_members", lambda distinct, tile: distinct.select(F.lit(0).cast("long").alias("shard"),
+        "id", "size", "sketch", "class").limit(0))
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {x.id: x.component for x in simhash.similar_texts(docs).collect()}
+    assert {n: got.get(n, n) for n in names} == {n: near[n, f] for n, f in zip(names, fps, strict=True)}
+    assert len(set(got.values())) >= 6
+
+
+def test_classes_that_are_known_are_not_searched_again():
+    r = np.random.default_rng(1)
+    sketches = np.repeat(r.integers(1, 256, (1, simhash.BINS), np.uint8), 6, 0)
+    group, sizes = np.zeros(6, np.int64), np.full(6, 100)
+    assert not len(simhash.likely_classes(group, sizes, sketches, 0.8, 0.5, np.zeros(6, np.int64))[0])
+    a, b = simhash.likely_classes(group, sizes, sketches, 0.8, 0.5, np.array([7, 7, 9, 9, 9, 9]))
+    assert sorted(a.tolist()) == [2, 3, 4, 5] and set(b.tolist()) == {0}
