@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import discovery, estate, joins
+from ..session import checkpointed
 from .base import dealt, query, table
 
 _FIRST = ("Qty", "PO", "Item", "Container", "Ship", "On", "Region", "Vendor", "Unit", "Line", "Order", "POL", "Due",
@@ -230,18 +231,19 @@ def header_overlap(spark, sf_dir):
     """Token sets of all texts standing for headers. Equal sets are one, with its members counted, so copies don't pair all with all."""
     b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("owner"), "text")
     d = table(spark, sf_dir, "documents").select((F.col("doc_id") + 1_000_000_000).alias("owner"), "text")
-    items = F.array_distinct(text.header_tokens(F.col("text")))
+    items = F.array_sort(F.array_distinct(F.transform(text.header_tokens(F.col("text")), lambda i: F.xxhash64(i))))
     sets = b.union(d).select("owner", items.alias("items"), F.length("text").alias("rows_"))
-    name = lambda seed: F.aggregate("items", F.lit(0).cast("long"), lambda acc, i: acc.bitwiseXOR(F.xxhash64(F.lit(seed),
-        i)))  # noqa: E731  (whatever the order)
-    kind = F.struct(F.size("items"), name(1), name(2))
+    kind = F.struct(F.size("items"), F.xxhash64(F.lit(1), "items"), F.xxhash64(F.lit(2), "items"))
     one = sets.groupBy(kind.alias("kind")).agg(F.min("owner").alias("owner"), F.count(F.lit(1)).alias("members"),
         F.min_by(F.struct("rows_", "items"), "owner").alias("first"))
-    one = one.select("owner", F.struct(F.col("first.rows_"), "members").alias("of"), F.col("first.items").alias("items"))
-    found = joins.set_overlap(one, "owner", "items", "owner", carry=["of"])
-    delta = F.col("a_of.rows_") - F.col("b_of.rows_")
+    one = checkpointed(one.select("owner", F.col("first.rows_").alias("rows_"), "members", F.col("first.items").alias("items")))
+    found = joins.hashed_overlap(one, "owner", "items")
+    for s in "ab":
+        found = found.join(one.select(F.col("owner").alias(s), F.col("rows_").alias(f"rows_{s}"), F.col("members")
+            .alias(f"members_{s}")), s)
+    delta = F.col("rows_a") - F.col("rows_b")
     return found.select("a", "b", "shared", F.round("jaccard", 9).alias("jaccard"), delta.alias("row_delta"),
-        (delta != 0).alias("conflict"), F.col("a_of.members").alias("members_a"), F.col("b_of.members").alias("members_b"))
+        (delta != 0).alias("conflict"), "members_a", "members_b")
 
 
 @query("""SELECT event_id, user_id, count(*) OVER (PARTITION BY user_id) > 20 AS capped FROM events

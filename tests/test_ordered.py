@@ -160,6 +160,24 @@ def test_set_overlap_against_brute_force(spark, least):
         assert all(g.shared == len(g.common) and (g.na, g.nb) == (len(sets[g.a]), len(sets[g.b])) for g in got)
 
 
+@pytest.mark.parametrize(("least", "block"), [(0.5, 1 << 24), (0.7, 200), (0.8, 1 << 24), (1.0, 10)])
+def test_hashed_overlap_against_brute_force(spark, monkeypatch, least, block):
+    """Counts of hashed sets, in one block or in many that cut the groups of neighbours."""
+    monkeypatch.setattr(joins, "BLOCK", block)
+    r = random.Random(9)
+    sets = {}
+    for i in range(60):
+        base = set(r.choices(range(-(10**12), 10**12), k=r.choice([3, 4, 20, 60])))
+        for k in range(3):
+            sets[3 * i + k] = {x for x in base if r.random() > 0.1} | {r.randrange(20) for _ in range(3)}
+    df = spark.createDataFrame([(o, list(s)) for o, s in sets.items()], "owner bigint, items array<bigint>")
+    want = {(a, b): (len(sets[a] & sets[b]), jaccard(sets[a], sets[b])) for a, b in itertools.combinations(sorted(sets), 2)
+        if min(len(sets[a]), len(sets[b])) >= 4 and jaccard(sets[a], sets[b]) >= least}
+    got = joins.hashed_overlap(df, "owner", "items", least).collect()
+    assert {(g.a, g.b): (g.shared, g.jaccard) for g in got} == want and len(got) == len(want)
+    assert all((g.na, g.nb) == (len(sets[g.a]), len(sets[g.b])) for g in got) and (want or least == 1)
+
+
 def test_few_pairs_are_looked_at(spark, sf):
     """Words of all texts as sets: at most ten pairs are counted for each that is similar."""
     d = spark.read.parquet(f"{sf}/documents.parquet")
