@@ -229,15 +229,16 @@ FROM p JOIN k x ON a = x.owner JOIN k y ON b = y.owner
   WHERE shared / (len(x.items) + len(y.items) - shared)::DOUBLE >= 0.7""")
 def header_overlap(spark, sf_dir):
     """Token sets of all texts standing for headers. Equal sets are one, with its members counted, so copies don't pair all with all."""
-    b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("owner"), "text")
+    b = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("long").alias("owner"), "text")
     d = table(spark, sf_dir, "documents").select((F.col("doc_id") + 1_000_000_000).alias("owner"), "text")
+    texts = b.union(d)
     items = F.array_sort(F.array_distinct(F.transform(text.header_tokens(F.col("text")), lambda i: F.xxhash64(i))))
-    sets = b.union(d).select("owner", items.alias("items"), F.length("text").alias("rows_"))
-    kind = F.struct(F.size("items"), F.xxhash64(F.lit(1), "items"), F.xxhash64(F.lit(2), "items"))
-    one = sets.groupBy(kind.alias("kind")).agg(F.min("owner").alias("owner"), F.count(F.lit(1)).alias("members"),
-        F.min_by(F.struct("rows_", "items"), "owner").alias("first"))
-    one = checkpointed(one.select("owner", F.col("first.rows_").alias("rows_"), "members", F.col("first.items").alias("items")))
-    found = joins.hashed_overlap(one, "owner", "items")
+    sets = texts.select("owner", F.length("text").alias("rows_"), items.alias("items")).select("owner", "rows_", "items",
+        F.size("items").alias("n"), F.xxhash64(F.lit(1), "items").alias("kind"), F.xxhash64(F.lit(2), "items").alias("more"))
+    one = checkpointed(sets.groupBy("n", "kind", "more").agg(F.min("owner").alias("owner"), F.count(F.lit(1)).alias("members"),
+        F.min_by("rows_", "owner").alias("rows_")))
+    near = joins.hashed_candidates(sets, "owner", "items", same="kind", sizes=one)
+    found = joins.hashed_counts(near, texts, "owner", items)
     for s in "ab":
         found = found.join(one.select(F.col("owner").alias(s), F.col("rows_").alias(f"rows_{s}"), F.col("members")
             .alias(f"members_{s}")), s)

@@ -4,11 +4,12 @@ import datetime as dt
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from harborline.functions import text
-from harborline.operators import intervals, joins, windows
+from harborline.operators import cells, intervals, joins, windows
 
 
 def brute_waterfall(rows):
@@ -178,6 +179,62 @@ def test_hashed_overlap_against_brute_force(spark, monkeypatch, least, block):
     assert all((g.na, g.nb) == (len(sets[g.a]), len(sets[g.b])) for g in got) and (want or least == 1)
 
 
+def near_sets(r, count, vocabulary=4000):
+    """Sets of up to 3,000 items, each with two near copies and one with an equal set; items of low numbers are in most sets."""
+    sets = {}
+    for i in range(count):
+        base = {min(r.randrange(vocabulary), r.randrange(vocabulary)) for _ in range(r.choice([5, 9, 30, 90, 250, 700, 3000]))}
+        for k in range(3):
+            sets[3 * i + k] = {x for x in base if r.random() > 0.06 * k} | {r.randrange(vocabulary) for _ in range(k)}
+    sets[3 * count] = sets[21]
+    return {o: [hash((x, 1)) for x in s] for o, s in sets.items()}
+
+
+def similar(sets, least):
+    return {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if min(len(sets[a]), len(sets[b])) >= 4
+        and jaccard(set(sets[a]), set(sets[b])) >= least}
+
+
+@pytest.mark.parametrize(("least", "tile", "part"), [(0.7, 1 << 23, 48), (0.7, 1500, 48), (0.5, 4000, 16), (0.9, 1 << 23, 4), (1.0, 300, 48)])
+def test_cells_miss_no_pair(spark, monkeypatch, least, tile, part):
+    """All pairs of sets of all sizes, in cells that are whole or cut into tiles, with parts of which many are empty."""
+    monkeypatch.setattr(cells, "TILE", tile)
+    monkeypatch.setattr(cells, "PART", part)
+    sets = near_sets(random.Random(5), 60)
+    df = spark.createDataFrame(list(sets.items()), "owner bigint, items array<bigint>")
+    want = similar(sets, least)
+    met = joins.hashed_candidates(df, "owner", "items", least).collect()
+    pairs = {(min(m.lo, m.ro), max(m.lo, m.ro)) for m in met}
+    assert want <= pairs and len(met) == len(pairs) and want
+    assert all((m.ln, m.rn) == (len(sets[m.lo]), len(sets[m.ro])) and m.ln <= m.rn for m in met)
+    got = joins.hashed_overlap(df, "owner", "items", least).collect()
+    assert {(g.a, g.b) for g in got} == want and len(got) == len(want)
+
+
+def test_cells_of_equal_sets_and_equal_codes(spark):
+    """Equal sets count once, for the smallest owner; a set whose items share a code is no pair with itself."""
+    x = np.random.default_rng(1).integers(-(2**63), 2**63, 60_000)
+    code = cells._mixed(x) >> np.uint64(16) & np.uint64(0xFFFFFF)
+    order = np.argsort(code)
+    at = np.flatnonzero(code[order][1:] == code[order][:-1])[:4]
+    twins = [int(v) for i in at for v in x[order[i:i + 2]]]
+    sets = {9: twins, 4: twins, 7: twins, 2: twins[:7], 3: [int(v) for v in x[:8]]}
+    df = spark.createDataFrame([(o, sum(s) % 2**62, s) for o, s in sets.items()], "owner bigint, kind bigint, items array<bigint>")
+    met = joins.hashed_candidates(df.repartition(3), "owner", "items", 0.7, same="kind").collect()
+    assert {(m.lo, m.ro) for m in met} == {(2, 4)}
+
+
+def test_overlap_shuffles_each_set_about_once(spark):
+    """What leaves the tasks that read is some bytes an item, and only similar sets are looked at again."""
+    sets = near_sets(random.Random(8), 150, 100_000)
+    df = spark.createDataFrame(list(sets.items()), "owner bigint, items array<bigint>")
+    planned = cells.plan({}, cells.bounds(0.7))
+    dealt = df.select(F.col("owner").alias("o"), F.col("owner").alias("same"), F.col("items").alias("h")).mapInArrow(
+        cells.deal(0.7, 4, planned), cells.DEALT)
+    assert dealt.agg(F.sum(F.length("codes"))).first()[0] <= 6 * sum(map(len, sets.values()))
+    assert joins.hashed_candidates(df, "owner", "items").count() <= 1.5 * len(similar(sets, 0.7))
+
+
 def test_few_pairs_are_looked_at(spark, sf):
     """Words of all texts as sets: at most ten pairs are counted for each that is similar."""
     d = spark.read.parquet(f"{sf}/documents.parquet")
