@@ -195,7 +195,8 @@ def similar(sets, least):
         and jaccard(set(sets[a]), set(sets[b])) >= least}
 
 
-@pytest.mark.parametrize(("least", "tile", "part"), [(0.7, 1 << 23, 48), (0.7, 1500, 48), (0.5, 4000, 16), (0.9, 1 << 23, 4), (1.0, 300, 48)])
+@pytest.mark.parametrize(("least", "tile", "part"), [(0.7, 1 << 23, 48), (0.7, 1500, 48), (0.5, 4000, 16), (0.9, 1 << 23, 4),
+    (1.0, 300, 48)])
 def test_cells_miss_no_pair(spark, monkeypatch, least, tile, part):
     """All pairs of sets of all sizes, in cells that are whole or cut into tiles, with parts of which many are empty."""
     monkeypatch.setattr(cells, "TILE", tile)
