@@ -110,16 +110,18 @@ def version_skew(edges: DataFrame) -> DataFrame:
     ``edges``: src, as a location is written, and dst. Only locations that are
     files by ``upstream_identity`` count, by their name alone, as it is written;
     a name of nothing but marks and version words is no asset. A location is
-    judged once, however many read it.
+    judged once, however many read it: in columns, as Spark would move a filter
+    down to every edge. What is no asset has no stem and no file. Edges go
+    early only where their location has no folder or is a web address.
     """
     place = text.strip_all(F.col("src"))
     name = F.substring_index(F.regexp_replace(F.translate(place, "\\", "/"), "/+$", ""), "/", -1)
-    met = edges.select(F.col("dst").alias("consumer"), "src").where("src IS NOT NULL")
-    assets = met.select("src").distinct().where(F.startswith(upstream_identity(F.col("src")), F.lit("file:"))).select("src",
-        name.alias("file"), file_stem(name).alias("stem")).where("stem <> ''")
-    named = met.join(assets, "src").select("consumer", "stem", "file").distinct()
-    return named.groupBy("consumer", "stem").agg(F.count(F.lit(1)).alias("files"),
-        F.array_sort(F.collect_list("file")).alias("variants")).where("files > 1")
+    stem = F.when(F.startswith(upstream_identity(F.col("src")), F.lit("file:")), F.nullif(file_stem(name), F.lit("")))
+    met = edges.select(F.col("dst").alias("consumer"), "src").where(F.col("src").rlike(r"(?s)^(?!https?://).*[/\\]"))
+    judged = met.select("src").distinct().select("src", stem.alias("stem"), F.when(stem.isNotNull(), name).alias("file"))
+    named = met.join(judged, "src").select("consumer", "stem", "file").distinct()
+    found = named.groupBy("consumer", "stem").agg(F.count("file").alias("files"), F.collect_list("file").alias("variants"))
+    return found.where("files > 1").withColumn("variants", F.sort_array("variants"))
 
 
 def resolve(edges: DataFrame, files: DataFrame) -> DataFrame:

@@ -218,3 +218,17 @@ def test_version_skew_judges_a_location_once(spark):
     judged = plan[: plan.index("file:")]
     assert "Join" in judged and [(r.consumer, r.stem, r.files, r.variants) for r in got.collect()] == [("c1", "plan", 2,
         ["Plan v2.xlsx", "Plan.xlsx"])]
+
+
+def test_version_skew_judges_no_edge(spark):
+    """What judges a location stands only above the list of distinct ones; odd rows are as they were."""
+    rows = [("d/Plan v2.xlsx", None), ("d/Plan.xlsx", None), ("d/Plan.xlsx", None), ("", "c1"), (" ", "c1"), ("d/", "c1"), ("e//", "c1"),
+        (" https://h/Plan.xlsx", "c1"), ("HTTPS://h/Plan v2.xlsx", "c1"), ("d/Plan.xlsx", "c1"), ("d/final.xlsx", "c2"),
+        ("d/copy.xlsx", "c2"), ("d/a\nb.xlsx", "c3"), ("\te\\a b v2.xlsx\n", "c3"), ("x/media.nl?id=1", "c4"), ("x/media", "c4"),
+        ("media", "c4"), (None, None)]
+    got = reconcile.version_skew(spark.createDataFrame(rows, "src string, dst string"))
+    judging = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "media" in x]
+    assert judging and not any("Filter" in x or "Join" in x for x in judging)
+    assert sorted(map(str, got.collect())) == [
+        "Row(consumer='c3', stem='ab', files=2, variants=['a\\nb.xlsx', 'a b v2.xlsx'])",
+        "Row(consumer=None, stem='plan', files=2, variants=['Plan v2.xlsx', 'Plan.xlsx'])"]
