@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,3 +41,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
             where = tempfile.mkdtemp(prefix="harborline-checkpoints-")
         context.setCheckpointDir(where)
     return df.checkpoint()
+
+
+@contextmanager
+def fixed_layout(spark: SparkSession, tasks: int) -> Iterator[None]:
+    """Plans made inside shuffle to ``tasks`` and don't change while they run, so checkpoints keep how rows are dealt and sorted.
+
+    Of an adaptive plan Spark doesn't know that before it has run, and shuffles
+    its checkpoint again in each join.
+    """
+    fixed = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(tasks)}
+    was = {k: spark.conf.get(k) for k in fixed}
+    try:
+        for k, v in fixed.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)

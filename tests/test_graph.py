@@ -87,3 +87,39 @@ def test_facts_of_a_round_are_not_broadcast(spark, monkeypatch):
     got = graph.passed_on(refs, spark.createDataFrame([(3, "x"), (1, "y")], "reader int, fact string"), "reader", "read", "fact")
     assert sorted(map(tuple, got.collect())) == sorted([(i, f) for i in range(1, 5) for f in "xy"])
     assert len(plans) > 2 and not any("BroadcastExchange" in p for p in plans)
+
+
+def inherited(refs, facts):
+    up = adjacency(p for p in refs if p[0] != p[1])
+    return sorted({(a, f) for a in {p[0] for p in refs + facts if p[0] is not None} for n, f in facts
+        if n is not None and f is not None and (n == a or n in reach(up, a))})
+
+
+@pytest.mark.parametrize("many,rows,pieces", [(1 << 20, 100_000, 8), (3, 40, 2)])
+def test_facts_of_nodes_that_many_read(spark, monkeypatch, many, rows, pieces):
+    """Also where some nodes are dealt in parts, the layout is made again and pieces become one; odd rows as before."""
+    for k, v in (("_MANY", many), ("_ROWS", rows), ("_PIECES", pieces), ("_PARTS", 5)):
+        monkeypatch.setattr(graph, k, v)
+    r = random.Random(4)
+    refs = [(i, i // 2 if i % 3 else 7) for i in range(120)] + [(r.randrange(120), r.randrange(120)) for _ in range(20)]
+    refs += refs[:30] + [(None, 3), (4, None), (5, 5), (300, 7), (None, None)]
+    facts = [(i, "ab"[i % 2]) for i in range(0, 120, 11)] * 2 + [(7, "x"), (None, "y"), (9, None), (400, "z"), (8, "")]
+    settings = [spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")]
+    got = graph.passed_on(spark.createDataFrame(refs, "reader int, read int"), spark.createDataFrame(facts,
+        "reader int, fact string"), "reader", "read", "fact")
+    assert sorted(map(tuple, got.collect())) == inherited(refs, facts)
+    assert settings == [spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")]
+    none = spark.createDataFrame([], "reader int, fact string")
+    assert graph.passed_on(spark.createDataFrame(refs, "reader int, read int"), none, "reader", "read", "fact").count() == 0
+
+
+def test_a_round_shuffles_only_new_facts(spark, monkeypatch):
+    plans = []
+    keep = graph.checkpointed
+    monkeypatch.setattr(graph, "checkpointed", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+        or keep(df))
+    refs = spark.createDataFrame([(i, i + 1) for i in range(12)], "reader int, read int")
+    got = graph.passed_on(refs, spark.createDataFrame([(12, "x")], "reader int, fact string"), "reader", "read", "fact")
+    assert sorted(map(tuple, got.collect())) == [(i, "x") for i in range(13)]
+    rounds = [p for p in plans if "LeftAnti" in p]
+    assert len(rounds) > 10 and all(p.count("Exchange hashpartitioning") <= 2 for p in rounds)
