@@ -116,9 +116,11 @@ def version_skew(edges: DataFrame) -> DataFrame:
     """
     place = text.strip_all(F.col("src"))
     name = F.substring_index(F.regexp_replace(F.translate(place, "\\", "/"), "/+$", ""), "/", -1)
-    stem = F.when(F.startswith(upstream_identity(F.col("src")), F.lit("file:")), F.nullif(file_stem(name), F.lit("")))
+    is_file = F.startswith(upstream_identity(F.col("src")), F.lit("file:"))
     met = edges.select(F.col("dst").alias("consumer"), "src").where(F.col("src").rlike(r"(?s)^(?!https?://).*[/\\]"))
-    judged = met.select("src").distinct().select("src", stem.alias("stem"), F.when(stem.isNotNull(), name).alias("file"))
+    seen = met.select("src").distinct().withColumn("name", name)  # each step a projection of its own: nothing is computed twice
+    judged = seen.withColumn("stem", F.when(is_file, file_stem(F.col("name")))).select("src", F.nullif("stem", F.lit("")).alias("stem"),
+        F.when(F.col("stem") != "", F.col("name")).alias("file"))
     named = met.join(judged, "src").select("consumer", "stem", "file").distinct()
     found = named.groupBy("consumer", "stem").agg(F.count("file").alias("files"), F.collect_list("file").alias("variants"))
     return found.where("files > 1").withColumn("variants", F.sort_array("variants"))
