@@ -112,12 +112,15 @@ def version_skew(edges: DataFrame) -> DataFrame:
     a name of nothing but marks and version words is no asset. A location is
     judged once, however many read it: in columns, as Spark would move a filter
     down to every edge. What is no asset has no stem and no file. Edges go
-    early only where their location has no folder or is a web address.
+    early only where their location has no folder, is a web address or plainly
+    a name of version words, which many may read.
     """
     place = text.strip_all(F.col("src"))
     name = F.substring_index(F.regexp_replace(F.translate(place, "\\", "/"), "/+$", ""), "/", -1)
     is_file = F.startswith(upstream_identity(F.col("src")), F.lit("file:"))
-    met = edges.select(F.col("dst").alias("consumer"), "src").where(F.col("src").rlike(r"(?s)^(?!https?://).*[/\\]"))
+    word = f"(?i:{'|'.join(text.VERSION_WORDS)})"
+    early = rf"(?s)^(?!https?://)(?!.*[/\\]{word}(?:[ _-]+{word})*\.[A-Za-z0-9]+\z).*[/\\]"
+    met = edges.select(F.col("dst").alias("consumer"), "src").where(F.col("src").rlike(early))
     seen = met.select("src").distinct().withColumn("name", name)  # each step a projection of its own: nothing is computed twice
     judged = seen.withColumn("stem", F.when(is_file, file_stem(F.col("name")))).select("src", F.nullif("stem", F.lit("")).alias("stem"),
         F.when(F.col("stem") != "", F.col("name")).alias("file"))
